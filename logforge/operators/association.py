@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logforge.operators.joins import join_on
+from logforge.operators.rows import unfold
 
 REGISTRY_SCHEMA = """namespace string, resource_types array<string>, patterns array<struct<
     idx int, regex string, groups array<int>, dims array<string>, strip array<string>>>"""
@@ -77,7 +78,7 @@ def load_inventory(pages: DataFrame, resource_types: list[str] | None = None, pa
     ``pos`` orders resources as listed, page by page.
     """
     items = F.from_json(F.col(page), INVENTORY_PAGE_SCHEMA).getField("ResourceTagMappingList")
-    df = pages.select("page_no", F.posexplode(items).alias("_i", "_r"))
+    df = unfold(pages, ["page_no"], items, "_r", "_i")
     arn = F.coalesce(F.col("_r.ResourceARN"), F.lit(""))
     service = F.split_part(arn, F.lit(":"), F.lit(3))
     kind = F.regexp_extract(arn, r"^(?:[^:]*:){5}([^:/]+)[:/]", 1)

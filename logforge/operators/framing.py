@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.functions.naming import java_pattern
-from logforge.functions.text import json_at, json_quote, not_blank, variant_text, with_json
+from logforge.functions.text import json_quote, not_blank, variant_text, with_json
+from logforge.operators.rows import unfold
 
 
 def split_records(text: Column, pattern: str) -> Column:
@@ -58,28 +59,28 @@ def frame_delimited(
     names = F.when(extended, F.slice(directive, F.lit(2), F.size(directive))).otherwise(plain)
     rows = F.slice(lines, F.when(extended, 3).otherwise(2), F.size(lines))
     df = df.withColumn("_names", names).withColumn("_rows", F.filter(rows, not_blank)).drop("_lines")
-    # A repeated name keeps its last cell.
-    places = F.filter(
-        F.transform(F.col("_names"), lambda n, i: F.struct(n.alias("name"), i.alias("i"))),
-        lambda p: ~F.array_contains(
-            F.slice(F.col("_names"), p["i"] + 2, F.size("_names")), p["name"]
+    # A repeated name keeps its last cell; NULL heads drop a cell.
+    named = F.zip_with(
+        F.col("_names"),
+        F.sequence(F.lit(2), F.size("_names") + 1),
+        lambda n, after: F.when(
+            ~F.array_contains(F.slice(F.col("_names"), after, F.size("_names")), n), F.concat(json_quote(n), F.lit(":"))
         ),
     )
-    places = F.transform(
-        places, lambda p: F.struct(F.concat(json_quote(p["name"]), F.lit(":")).alias("head"), p["i"].alias("i"))
-    )
-    df = df.withColumn("_places", places)
+    df = df.withColumn("_heads", named)
 
     def row_json(row: Column) -> Column:
-        cells = F.split(row, cut, -1)
-        parts = F.transform(
-            F.col("_places"),
-            lambda p: F.concat(p["head"], typed_cell(F.coalesce(F.get(cells, p["i"]), F.lit("")))),
+        parts = F.zip_with(
+            F.col("_heads"),
+            F.split(row, cut, -1),
+            lambda head, cell: F.concat(head, typed_cell(F.coalesce(cell, F.lit("")))),
         )
         return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
-    df = df.withColumn("records", F.transform(F.col("_rows"), row_json))
-    return df.drop("_names", "_rows", "_places")
+    # The second mention of _heads keeps Spark from computing it anew for every row.
+    ready = F.size("_heads") > 0
+    df = df.withColumn("records", F.when(ready, F.transform(F.col("_rows"), row_json)))
+    return df.drop("_names", "_rows", "_heads")
 
 
 def typed_cell(value: Column) -> Column:
@@ -205,6 +206,4 @@ def explode_records(df: DataFrame, block: str | None = None, sample: int = 1) ->
     rest = [c for c in df.columns if c not in ("records", "pos", "log")]
     if "pos" in df.columns:
         rest.append(F.col("pos").alias("record"))
-    return df.select(*rest, F.posexplode(records).alias("pos", "log")).withColumn(
-        "pos", F.col("pos").cast("bigint")
-    )
+    return unfold(df, rest, records, "log", "pos")

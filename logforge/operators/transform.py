@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from logforge.functions.naming import java_pattern
 from logforge.functions.text import json_at, json_quote, variant_text, with_json
+from logforge.operators.rows import unfold
 
 
 def _parse(log: str) -> Any:
@@ -111,7 +112,7 @@ def unnest(df: DataFrame, path: str = ".logs", log: str = "log", drop: Callable[
         items = F.filter(items, lambda v: ~F.coalesce(drop(v), F.lit(False)))
     texts = F.coalesce(F.transform(items, lambda v: variant_text(v, False)), F.array(F.col(log)))
     rest = [c for c in df.columns if c not in (log, "_json", "transform_seq")]
-    return df.select(*rest, F.posexplode(texts).alias("transform_seq", log))
+    return unfold(df.withColumn("_texts", texts), rest, "_texts", "_text", "transform_seq").withColumnRenamed("_text", log)
 
 
 def drop_where(df: DataFrame, path: str, value: str, log: str = "log") -> DataFrame:
@@ -120,7 +121,10 @@ def drop_where(df: DataFrame, path: str, value: str, log: str = "log") -> DataFr
     found = json_at(F.col("_json"), path)
     is_text = F.schema_of_variant(found) == "STRING"
     hit = F.coalesce(is_text & (found.cast("string") == value), F.lit(False))
-    return df.filter(~hit).drop("_json")
+    # Kept records as arrays: a filter would be pushed below and parse the text again.
+    rest = [c for c in df.columns if c not in (log, "_json")]
+    kept = df.withColumn("_kept", F.when(~hit, F.array(F.col(log))))
+    return unfold(kept, rest, "_kept", "_text").drop("_pos").withColumnRenamed("_text", log)
 
 
 def add_fields(df: DataFrame, fields: dict[str, Any], where: Column | None = None, log: str = "log") -> DataFrame:

@@ -38,8 +38,8 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
     the columns of the configured integration give nothing.
     """
     kind = cfg.integration
-    if "error" in df.columns:
-        df = df.filter(F.col("error").isNull()).drop("error")
+    # Rows with an error have no text, and so no records.
+    df = df.drop("error")
     need = {"CloudWatch": ["payload"], "Kinesis": ["text", "payload"], "EcrScan": ["findings"]}
     for name in need.get(kind, ["text"] if kind in OBJECT_SOURCES else ["log"]):
         if name not in df.columns:
@@ -86,7 +86,7 @@ def frame_stream_records(df: DataFrame, cfg: LogConfig) -> DataFrame:
         messages = F.filter(messages, lambda m, i: i % cfg.sample == 0)
     df = df.withColumns({
         "meta": F.when(payload.isNotNull(), F.map_concat("meta", names)).otherwise(F.col("meta")),
-        "records": F.when(payload.isNotNull(), messages).otherwise(F.array("text")),
+        "records": F.when(payload.isNotNull(), messages).when(F.col("text") != "", F.array("text")),
     })
     return framing.explode_records(df.drop("text", "payload"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.functions.text import base64_or_raw, gunzip_or_raw, utf8_or_null
+from logforge.operators.rows import unfold
 from logforge.sources.objects import NOTIFICATION_SCHEMA
 
 ATTRIBUTE = "struct<stringValue string, dataType string>"
@@ -70,14 +71,14 @@ def unwrap_envelopes(df: DataFrame, event: str = "event", depth: int = 3) -> Dat
             .otherwise(F.array(F.col(event)))
         )
         rest = [c for c in df.columns if c not in (event, "event_kind")]
-        df = df.select(*rest, F.explode(inner).alias(event))
+        df = unfold(df, rest, inner, "_inner").withColumnRenamed("_inner", event).drop("_pos")
     return classify_events(df, event)
 
 
 def _explode_records(df: DataFrame, event: str, schema: str) -> DataFrame:
     records = F.from_json(F.col(event), schema).getField("Records")
     rest = [c for c in df.columns if c not in (event, "pos")]
-    return df.select(*rest, F.posexplode(records).alias("pos", "r")).withColumn("pos", F.col("pos").cast("bigint"))
+    return unfold(df, rest, records, "r", "pos")
 
 
 def read_sqs_messages(df: DataFrame, event: str = "event") -> DataFrame:
@@ -115,7 +116,7 @@ def read_kafka_records(df: DataFrame, event: str = "event") -> DataFrame:
     """
     rest = [c for c in df.columns if c not in (event, "pos")]
     records = F.flatten(F.map_values(F.from_json(F.col(event), KAFKA_SCHEMA).getField("records")))
-    df = df.select(*rest, F.explode(records).alias("r")).filter(F.col("r.value").isNotNull())
+    df = unfold(df, rest, records, "r").filter(F.col("r.value").isNotNull())
     return kafka_values(
         df.select(*rest, "r.topic", "r.partition", F.col("r.offset").alias("pos"), "r.value")
     ).drop("topic", "value")
@@ -151,7 +152,7 @@ def cloudwatch_payload(text: Column) -> Column:
 def read_kinesis_records(df: DataFrame, event: str = "event") -> DataFrame:
     """Stream records: inflated or raw, as ``text`` and, where it is one, ``payload``.
 
-    Data that is not UTF-8 is dropped, as is empty text.
+    ``text`` is NULL for data that is not UTF-8; such records, and empty ones, give no logs.
     """
     rest = [c for c in df.columns if c not in (event, "pos")]
     df = _explode_records(df, event, KINESIS_SCHEMA)
@@ -164,7 +165,6 @@ def read_kinesis_records(df: DataFrame, event: str = "event") -> DataFrame:
         F.unbase64("r.kinesis.data").alias("_data"),
     )
     df = df.withColumn("text", utf8_or_null(gunzip_or_raw(F.col("_data")))).drop("_data")
-    df = df.filter(F.col("text") != "")
     return df.withColumn("payload", cloudwatch_payload(F.col("text")))
 
 

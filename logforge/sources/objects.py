@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logforge.functions.text import gunzip, gunzip_or_raw, object_key, utf8_or_null
+from logforge.operators.rows import unfold
 
 NOTIFICATION_SCHEMA = """Records array<struct<eventSource string, eventName string,
     s3 struct<bucket struct<name string>, object struct<key string>>>>"""
@@ -85,8 +86,7 @@ def notifications_to_paths(df: DataFrame, event: str = "event") -> DataFrame:
     """Object-created notifications (JSON text) → ``bucket``, ``key``, one row per record."""
     records = F.from_json(F.col(event), NOTIFICATION_SCHEMA).getField("Records")
     rest = [c for c in df.columns if c != event]
-    df = df.select(*rest, F.explode(records).alias("_r"))
-    return df.select(
+    return unfold(df, rest, records, "_r").select(
         *rest,
         F.col("_r.s3.bucket.name").alias("bucket"),
         object_key(F.col("_r.s3.object.key")).alias("key"),
