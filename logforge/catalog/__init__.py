@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from logforge.catalog import events, framing  # noqa: F401
+from logforge.catalog import events, framing, records  # noqa: F401
 from logforge.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
