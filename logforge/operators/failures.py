@@ -63,10 +63,14 @@ def dead_objects(df: DataFrame, prefix: str, event: str = "event", ts: str = "ts
 
 
 def store_dead(df: DataFrame, path: str, ts: str = "ts") -> None:
-    """Append dead events to a table partitioned by day and hour."""
+    """Append dead events to a table partitioned by day and hour.
+
+    Rows are brought together by hour for few files; a hot hour is split again by size.
+    """
     (
         df.withColumn("dt", F.date_format(ts, "yyyy-MM-dd"))
         .withColumn("hour", F.date_format(ts, "HH"))
+        .hint("rebalance", F.col("dt"), F.col("hour"))
         .write.mode("append")
         .partitionBy("dt", "hour")
         .parquet(path)
