@@ -276,7 +276,7 @@ def due_retries(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT event_id, 'dead/failed-events/' || strftime(ts, '%Y/%m/%d/%H') || '/' || CASE event_id % 3
+SELECT event_id, 'dead/failed-events/' || strftime(to_timestamp(epoch_us(ts) // 1000000 // 21600 * 21600), '%Y/%m/%d/%H') || '/' || CASE event_id % 3
     WHEN 0 THEN 'bucket/' || event_type || '+' || event_id ELSE md5(event) || '.json' END AS object_path,
   CASE event_id % 3 WHEN 0 THEN md5(props) ELSE md5(event) END AS digest
 FROM (SELECT *, CASE event_id % 3 WHEN 1 THEN props ELSE
@@ -284,12 +284,14 @@ FROM (SELECT *, CASE event_id % 3 WHEN 1 THEN props ELSE
 """)
 def store_dead(t: Tables) -> DataFrame:
     # Notifications with a readable object, other events, notifications whose object is gone.
+    # They died in a run that takes place every six hours.
+    run = F.timestamp_seconds(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 21_600_000_000) * 21_600)
     notice = F.concat(
         F.lit('{"Records":[{"s3":{"bucket":{"name":"bucket"},"object":{"key":"'), "event_type", F.lit("+"),
         F.col("event_id").cast("string"), F.lit('"}}}]}'),
     )
     df = t("events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"),
+        "event_id", run.alias("ts"),
         F.when(F.col("event_id") % 3 == 1, F.col("props")).otherwise(notice).alias("event"),
         F.when(F.col("event_id") % 3 == 0, F.encode("props", "UTF-8")).alias("content"),
     )

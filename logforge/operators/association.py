@@ -120,9 +120,9 @@ def build_associations(resources: DataFrame, registry: DataFrame) -> DataFrame:
     wanted = registry.select("namespace", "patterns", F.explode("resource_types").alias("_type"))
     named = resources.withColumn("_type", F.explode(_type_names()))
     df = named.join(wanted, "_type").drop("_type")
-    matching = F.filter("patterns", lambda p: F.col("arn").rlike(p["regex"]))
+    matching = F.filter("patterns", lambda p: F.rlike(F.col("arn"), p["regex"]))
     df = df.withColumn("_p", F.get(matching, F.lit(0))).filter(F.col("_p").isNotNull())
-    key = F.transform("_p.groups", lambda g: F.regexp_extract(F.col("arn"), F.col("_p.regex"), g))
+    key = F.transform("_p.groups", lambda g: F.call_function("regexp_extract", F.col("arn"), F.col("_p.regex"), g))
     df = df.select("namespace", F.col("_p.idx").alias("pattern_idx"), key.alias("key"), "arn", "tags", "pos")
     kept = F.max_by(F.struct("arn", "tags"), F.struct("pos", "arn"))
     return df.groupBy("namespace", "pattern_idx", "key").agg(kept.alias("_r")).select(

@@ -72,11 +72,11 @@ def explode_points(df: DataFrame) -> DataFrame:
     )
     return df.select(
         *keys, "rm_idx", "rm_rest", "sm_idx", "sm_rest", "m_idx",
-        F.col("_m.name").alias("name"), F.col("_m.unit").alias("unit"), F.col("_m.kind").alias("kind"),
+        F.col("_m.name").alias("name"), F.col("_m.unit").alias("metric_unit"), F.col("_m.kind").alias("kind"),
         F.col("_m.data_rest").alias("data_rest"), F.col("_m.rest").alias("m_rest"),
         F.posexplode_outer("_m.data_points").alias("dp_idx", "_p"),
     ).select(
-        *keys, "rm_idx", "rm_rest", "sm_idx", "sm_rest", "m_idx", "name", "unit", "kind", "data_rest", "m_rest",
+        *keys, "rm_idx", "rm_rest", "sm_idx", "sm_rest", "m_idx", "name", "metric_unit", "kind", "data_rest", "m_rest",
         "dp_idx", F.col("_p.attributes").alias("attributes"), F.col("_p.count").alias("count"),
         F.col("_p.sum").alias("sum"), F.col("_p.rest").alias("dp_rest"),
     )
@@ -96,14 +96,14 @@ def rebuild_payload(df: DataFrame, keys: list[str]) -> DataFrame:
 
     col = F.col
     scope = [*keys, "rm_idx", "rm_rest", "sm_idx", "sm_rest"]
-    metric = [*scope, "m_idx", "name", "unit", "kind", "data_rest", "m_rest"]
+    metric = [*scope, "m_idx", "name", "metric_unit", "kind", "data_rest", "m_rest"]
     df = df.repartition(*keys)
     point = struct(
         otlp.POINT, col("attributes").alias("attributes"), col("count").alias("count"), col("sum").alias("sum"), col("dp_rest").alias("rest")
     )
     df = level(df, metric, "dp_idx", point, "data_points")
     item = struct(
-        otlp.METRIC, col("name").alias("name"), col("unit").alias("unit"), col("kind").alias("kind"),
+        otlp.METRIC, col("name").alias("name"), col("metric_unit").alias("unit"), col("kind").alias("kind"),
         col("data_points").alias("data_points"), col("data_rest").alias("data_rest"), col("m_rest").alias("rest"),
     )
     df = level(df, scope, "m_idx", item, "metrics")
@@ -223,7 +223,7 @@ def finish_points(
     attrs.append(labels_of({APPLICATION_KEY: application, SUBSYSTEM_KEY: subsystem}))
     summary = F.col("kind") == "summary"
     df = df.withColumn("attributes", F.when(summary, F.concat(*attrs)).otherwise(F.col("attributes")))
-    return df.withColumn("unit", F.when(F.col("unit").isNotNull(), ""))
+    return df.withColumn("metric_unit", F.when(F.col("metric_unit").isNotNull(), ""))
 
 
 def flatten_points(df: DataFrame) -> DataFrame:
