@@ -9,6 +9,7 @@ from logforge.catalog.framing import LINES_SQL, NOT_BLANK_SQL
 from logforge.catalog.records import EVENT_LOG_SQL, SEVERITY_SQL, event_logs
 from logforge.catalog.registry import Tables, query
 from logforge.functions import otlp
+from logforge.functions.text import with_json
 from logforge.operators import batching, export, failures
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import block_pattern, drop_blank, size_gate as gate
@@ -326,7 +327,8 @@ def log_counts(t: Tables) -> DataFrame:
     """Flagship: records → filter → names, severity → body → counts per resource."""
     df = drop_blank(block_pattern(log_rows(t), '"event_type":"signup"'))
     parity = F.when(F.regexp_extract("unit", "([0-9]+)$", 1).cast("bigint") % 2 == 0, "even").otherwise("odd")
-    df = name_records(df.withColumn("parity", parity), "{{ $.event_type }}", F.col("parity"))
+    df = with_json(df.withColumn("parity", parity))
+    df = name_records(df, "{{ $.event_type }}", F.col("parity"))
     df = build_body(df, ["topic_name"], {"env": "prod"})
     return df.groupBy("application", "subsystem", "severity").agg(
         F.count(F.lit(1)).alias("records"),

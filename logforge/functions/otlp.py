@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -51,6 +50,7 @@ KINDS = {
     "exponential_histogram": (10, 1),
     "summary": (11, 7),
 }
+KIND_OF = {field: kind for kind, (field, _) in KINDS.items()}
 
 
 def read_varint(data: bytes, at: int) -> tuple[int, int]:
@@ -75,148 +75,322 @@ def varint(value: int) -> bytes:
     return bytes(out)
 
 
-def _fields(data: bytes) -> Iterator[tuple[int, Any, bytes]]:
-    """(number, value, raw bytes) of each field of a message."""
-    at = 0
-    while at < len(data):
+SHORT = [varint(n) for n in range(128)]
+
+
+def _block(number: int, data: bytes) -> bytes:
+    size = len(data)
+    return SHORT[number << 3 | 2] + (SHORT[size] if size < 128 else varint(size)) + data
+
+
+def _fields(data: bytes) -> list[tuple[int, Any, int, int]]:
+    """(number, value, start, end) of each field of a message."""
+    out = []
+    at, end = 0, len(data)
+    while at < end:
         start = at
-        tag, at = read_varint(data, at)
+        tag, at = read_varint(data, at) if data[at] & 0x80 else (data[at], at + 1)
         wire = tag & 7
-        if wire == 0:
+        if wire == 2:
+            if at >= end:
+                raise ValueError("short message")
+            size, at = read_varint(data, at) if data[at] & 0x80 else (data[at], at + 1)
+            value = data[at : at + size]
+            at += size
+        elif wire == 0:
             value, at = read_varint(data, at)
-        elif wire == 2:
-            size, at = read_varint(data, at)
-            value, at = data[at : at + size], at + size
         elif wire in (1, 5):
             size = 8 if wire == 1 else 4
-            value, at = data[at : at + size], at + size
+            value = data[at : at + size]
+            at += size
         else:
             raise ValueError(f"bad wire type {wire}")
-        if at > len(data):
+        if at > end:
             raise ValueError("short message")
-        yield tag >> 3, value, data[start:at]
+        out.append((tag >> 3, value, start, at))
+    return out
 
 
-def _block(number: int, data: bytes) -> bytes:
-    return varint(number << 3 | 2) + varint(len(data)) + data
+# Messages are decoded into one flat list per column and level, and encoded from them, so
+# no nested Python objects are made per message.
+
+
+class _Columns:
+    """Growing lists, one per column of a level; ``mark`` and ``undo`` drop a bad message."""
+
+    def __init__(self, *names: str):
+        self.lists: dict[str, list] = {name: [] for name in names}
+
+    def __getitem__(self, name: str) -> list:
+        return self.lists[name]
+
+    def mark(self) -> dict[str, int]:
+        return {name: len(column) for name, column in self.lists.items()}
+
+    def undo(self, mark: dict[str, int]) -> None:
+        for name, size in mark.items():
+            del self.lists[name][size:]
+
+
+def _add_scalar(columns: _Columns, prefix: str, data: bytes) -> tuple[int, bytes] | None:
+    """Append one value; a list value is returned for the caller to unfold."""
+    text = flag = number = real = held = None
+    for field, value, _, _ in _fields(data):
+        text = flag = number = real = held = None
+        if field == 1:
+            text = value.decode()
+        elif field == 2:
+            flag = bool(value)
+        elif field == 3:
+            number = value - (1 << 64) if value >> 63 else value
+        elif field == 4:
+            real = struct.unpack("<d", value)[0]
+        elif field in (5, 6):
+            held = (field, value)
+    columns[prefix + "text"].append(text)
+    columns[prefix + "flag"].append(flag)
+    columns[prefix + "number"].append(number)
+    columns[prefix + "real"].append(real)
+    return held
+
+
+def _add_pair(columns: _Columns, data: bytes) -> None:
+    key, raw = b"", b""
+    for field, value, _, _ in _fields(data):
+        if field == 1:
+            key = value
+        elif field == 2:
+            raw = value
+    columns["key"].append(key.decode())
+    held = _add_scalar(columns, "v_", raw)
+    columns["is_list"].append(held is not None and held[0] == 5)
+    columns["is_pairs"].append(held is not None and held[0] == 6)
+    if held is not None:
+        for field, item, _, _ in _fields(held[1]):
+            if field == 1 and held[0] == 5:
+                _add_scalar(columns, "i_", item)
+            elif field == 1:
+                inner = {number: value for number, value, _, _ in _fields(item)}
+                columns["p_key"].append(inner.get(1, b"").decode())
+                _add_scalar(columns, "p_", inner.get(2, b""))
+    columns["list_end"].append(len(columns["i_text"]))
+    columns["pairs_end"].append(len(columns["p_key"]))
+
+
+def _add_point(columns: _Columns, kind: str, data: bytes) -> None:
+    attributes = KINDS[kind][1]
+    has_totals = kind in ("histogram", "exponential_histogram", "summary")
+    count, total, rest = (0 if has_totals else None), None, []
+    for field, value, start, end in _fields(data):
+        if field == attributes:
+            _add_pair(columns, value)
+            continue
+        rest.append(data[start:end])
+        if has_totals and field == 4:
+            count = struct.unpack("<q", value)[0]
+        elif has_totals and field == 5:
+            total = struct.unpack("<d", value)[0]
+    columns["attributes_end"].append(len(columns["key"]))
+    columns["count"].append(count)
+    columns["sum"].append(total)
+    columns["point_rest"].append(b"".join(rest))
+
+
+def _add_metric(columns: _Columns, data: bytes) -> None:
+    name = unit = ""
+    kind, data_rest, rest = None, b"", []
+    for field, value, start, end in _fields(data):
+        if field == 1:
+            name = value.decode()
+        elif field == 3:
+            unit = value.decode()
+        elif field in KIND_OF:
+            kind, kept = KIND_OF[field], []
+            for inner, point, low, high in _fields(value):
+                if inner == 1:
+                    _add_point(columns, kind, point)
+                else:
+                    kept.append(value[low:high])
+            data_rest = b"".join(kept)
+        else:
+            rest.append(data[start:end])
+    columns["points_end"].append(len(columns["count"]))
+    columns["name"].append(name)
+    columns["unit"].append(unit)
+    columns["kind"].append(kind)
+    columns["data_rest"].append(data_rest)
+    columns["metric_rest"].append(b"".join(rest))
 
 
-def _parse(data: bytes, children: dict[int, tuple[str, Any]]) -> dict:
-    """Repeated child messages by field number, all other fields kept as ``rest``."""
-    out: dict = {name: [] for name, _ in children.values()}
+def _add_scope(columns: _Columns, data: bytes) -> None:
     rest = []
-    for number, value, raw in _fields(data):
-        if number in children:
-            name, parse = children[number]
-            out[name].append(parse(value))
+    for field, value, start, end in _fields(data):
+        if field == 2:
+            _add_metric(columns, value)
         else:
-            rest.append(raw)
-    out["rest"] = b"".join(rest)
-    return out
-
-
-def _any_value(data: bytes) -> dict:
-    out: dict = {}
-    for number, value, _ in _fields(data):
-        if number == 1:
-            out = {"stringValue": value.decode()}
-        elif number == 2:
-            out = {"boolValue": bool(value)}
-        elif number == 3:
-            out = {"intValue": value - (1 << 64) if value >> 63 else value}
-        elif number == 4:
-            out = {"doubleValue": struct.unpack("<d", value)[0]}
-        elif number == 5:
-            out = {"arrayValue": {"values": [_any_value(v) for n, v, _ in _fields(value) if n == 1]}}
-        elif number == 6:
-            out = {"kvlistValue": {"values": [_pair(v) for n, v, _ in _fields(value) if n == 1]}}
-    return out
-
-
-def _pair(data: bytes) -> dict:
-    found = {number: value for number, value, _ in _fields(data)}
-    return {"key": found.get(1, b"").decode(), "value": _any_value(found.get(2, b""))}
+            rest.append(data[start:end])
+    columns["metrics_end"].append(len(columns["name"]))
+    columns["scope_rest"].append(b"".join(rest))
 
 
-def _point(data: bytes, kind: str) -> dict:
-    out = _parse(data, {KINDS[kind][1]: ("attributes", _pair)})
-    if kind in ("histogram", "exponential_histogram", "summary"):
-        found = {number: value for number, value, _ in _fields(out["rest"])}
-        out["count"] = struct.unpack("<q", found[4])[0] if 4 in found else 0
-        out["sum"] = struct.unpack("<d", found[5])[0] if 5 in found else None
-    return out
-
-
-def _metric(data: bytes) -> dict:
-    out: dict = {"name": "", "unit": "", "kind": None, "data_points": [], "data_rest": b""}
-    numbers = {field: kind for kind, (field, _) in KINDS.items()}
+def _add_resource(columns: _Columns, data: bytes) -> None:
     rest = []
-    for number, value, raw in _fields(data):
-        if number == 1:
-            out["name"] = value.decode()
-        elif number == 3:
-            out["unit"] = value.decode()
-        elif number in numbers:
-            kind = numbers[number]
-            body = _parse(value, {1: ("data_points", lambda v, k=kind: _point(v, k))})
-            out.update(kind=kind, data_points=body["data_points"], data_rest=body["rest"])
+    for field, value, start, end in _fields(data):
+        if field == 2:
+            _add_scope(columns, value)
         else:
-            rest.append(raw)
-    out["rest"] = b"".join(rest)
-    return out
+            rest.append(data[start:end])
+    columns["scopes_end"].append(len(columns["scope_rest"]))
+    columns["resource_rest"].append(b"".join(rest))
 
 
-def _scope(data: bytes) -> dict:
-    return _parse(data, {2: ("metrics", _metric)})
+SCALARS = [f"{prefix}{kind}" for prefix in ("v_", "i_", "p_") for kind in ("text", "flag", "number", "real")]
 
 
-def _resource(data: bytes) -> dict:
-    return _parse(data, {2: ("scope_metrics", _scope)})
+def _decode(messages: pa.Array) -> pa.Array:
+    columns = _Columns(
+        *SCALARS, "key", "is_list", "is_pairs", "p_key", "list_end", "pairs_end",
+        "attributes_end", "count", "sum", "point_rest",
+        "points_end", "name", "unit", "kind", "data_rest", "metric_rest",
+        "metrics_end", "scope_rest", "scopes_end", "resource_rest",
+    )
+    ends, good = [], []
+    for message in _values(messages):
+        mark = columns.mark()
+        try:
+            for field, value, _, _ in _fields(message) if message is not None else []:
+                if field == 1:
+                    _add_resource(columns, value)
+            good.append(message is not None)
+        except (ValueError, struct.error, AttributeError, TypeError):
+            # A field of the wrong wire type has a value of the wrong Python type.
+            columns.undo(mark)
+            good.append(False)
+        ends.append(len(columns["resource_rest"]))
+
+    def lists(name_or_ends, items: pa.Array, kind: pa.DataType, mask: pa.Array | None = None) -> pa.Array:
+        stops = columns[name_or_ends] if isinstance(name_or_ends, str) else name_or_ends
+        return pa.ListArray.from_arrays(pa.array([0, *stops], pa.int32()), items, type=kind, mask=mask)
+
+    def structs(kind: pa.DataType, arrays: list, mask: pa.Array | None = None) -> pa.Array:
+        typed = [a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, kind)]
+        return pa.StructArray.from_arrays(typed, fields=list(kind), mask=mask)
+
+    def scalars(prefix: str) -> list:
+        return [columns[prefix + kind] for kind in ("text", "flag", "number", "real")]
+
+    def absent(name: str) -> pa.Array:
+        return pa.array([not found for found in columns[name]], pa.bool_())
+
+    held, pairs = VALUE.field("arrayValue").type, VALUE.field("kvlistValue").type
+    pair = pairs.field("values").type.value_type
+    items = lists("list_end", structs(SCALAR, scalars("i_")), held.field("values").type)
+    inner = structs(pair, [columns["p_key"], structs(SCALAR, scalars("p_"))])
+    inner = lists("pairs_end", inner, pairs.field("values").type)
+    value = structs(VALUE, [
+        *scalars("v_"), structs(held, [items], absent("is_list")), structs(pairs, [inner], absent("is_pairs")),
+    ])
+    attributes = lists("attributes_end", structs(ATTRIBUTES.value_type, [columns["key"], value]), ATTRIBUTES)
+    points = structs(POINT, [attributes, columns["count"], columns["sum"], columns["point_rest"]])
+    points = lists("points_end", points, METRIC.field("data_points").type)
+    metrics = structs(METRIC, [
+        columns["name"], columns["unit"], columns["kind"], points, columns["data_rest"], columns["metric_rest"],
+    ])
+    scopes = structs(SCOPE, [lists("metrics_end", metrics, SCOPE.field("metrics").type), columns["scope_rest"]])
+    resources = structs(RESOURCE, [
+        lists("scopes_end", scopes, RESOURCE.field("scope_metrics").type), columns["resource_rest"],
+    ])
+    return lists(ends, resources, RESOURCES, pa.array([not ok for ok in good], pa.bool_()))
+
+
+def _values(array: pa.Array) -> list:
+    """Python values of a flat array; the detour over numpy is much faster than by item."""
+    if array.null_count == len(array):
+        return [None] * len(array)
+    if array.null_count and not (pa.types.is_string(array.type) or pa.types.is_binary(array.type)):
+        return array.to_pylist()
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _children(array: pa.StructArray) -> dict[str, pa.Array]:
+    return {field.name: child for field, child in zip(array.type, array.flatten())}
+
+
+def _joined(lists: pa.ListArray, items: list[bytes]) -> list[bytes]:
+    """The bytes of each list; ``items`` belong to all of its values."""
+    stops = _values(lists.offsets)
+    return [b"".join(items[low:high]) for low, high in zip(stops, stops[1:])]
+
+
+def _encode_values(array: pa.StructArray) -> list[bytes]:
+    parts = _children(array)
+    scalars = [_values(parts[name]) for name in ("stringValue", "boolValue", "intValue", "doubleValue")]
+    out = []
+    for text, flag, number, real in zip(*scalars):
+        if text is not None:
+            out.append(_block(1, text.encode()))
+        elif flag is not None:
+            out.append(b"\x10\x01" if flag else b"\x10\x00")
+        elif number is not None:
+            out.append(b"\x18" + varint(number & (1 << 64) - 1))
+        elif real is not None:
+            out.append(b"\x21" + struct.pack("<d", real))
+        else:
+            out.append(b"")
+    for field, name in ((5, "arrayValue"), (6, "kvlistValue")):
+        held = parts.get(name)
+        if held is None or held.null_count == len(held):
+            continue
+        lists = held.flatten()[0]
+        inner = _encode_values(lists.values) if field == 5 else _encode_pairs(lists.values)
+        joined = _joined(lists, [_block(1, item) for item in inner])
+        for i, there in enumerate(_values(held.is_valid())):
+            if there:
+                out[i] = _block(field, joined[i])
+    return out
 
 
-def _write_any(value: dict) -> bytes:
-    if value.get("stringValue") is not None:
-        return _block(1, value["stringValue"].encode())
-    if value.get("boolValue") is not None:
-        return varint(2 << 3) + varint(int(value["boolValue"]))
-    if value.get("intValue") is not None:
-        return varint(3 << 3) + varint(value["intValue"] & (1 << 64) - 1)
-    if value.get("doubleValue") is not None:
-        return varint(4 << 3 | 1) + struct.pack("<d", value["doubleValue"])
-    if value.get("arrayValue") is not None:
-        return _block(5, b"".join(_block(1, _write_any(v)) for v in value["arrayValue"]["values"]))
-    if value.get("kvlistValue") is not None:
-        return _block(6, b"".join(_block(1, _write_pair(v)) for v in value["kvlistValue"]["values"]))
-    return b""
+def _encode_pairs(array: pa.StructArray) -> list[bytes]:
+    parts = _children(array)
+    values = _encode_values(parts["value"])
+    return [_block(1, key.encode()) + _block(2, value) for key, value in zip(_values(parts["key"]), values)]
 
 
-def _write_pair(pair: dict) -> bytes:
-    return _block(1, pair["key"].encode()) + _block(2, _write_any(pair["value"] or {}))
+def _rest(column: pa.Array) -> list[bytes]:
+    return [raw or b"" for raw in _values(column)]
 
 
-def _write_metric(metric: dict) -> bytes:
-    out = [_block(1, (metric["name"] or "").encode())]
-    if metric["unit"]:
-        out.append(_block(3, metric["unit"].encode()))
-    if metric["kind"]:
-        field, attributes = KINDS[metric["kind"]]
-        points = [
-            _block(1, (p["rest"] or b"") + b"".join(_block(attributes, _write_pair(a)) for a in p["attributes"]))
-            for p in metric["data_points"]
-        ]
-        out.append(_block(field, b"".join(points) + (metric["data_rest"] or b"")))
-    return b"".join(out) + (metric["rest"] or b"")
+def _encode_metrics(array: pa.StructArray) -> list[bytes]:
+    parts = _children(array)
+    kinds, points = _values(parts["kind"]), parts["data_points"]
+    stops = _values(points.offsets)
+    point_kinds: list = [None] * len(points.values)
+    for kind, low, high in zip(kinds, stops, stops[1:]):
+        point_kinds[low:high] = [kind] * (high - low)
+    point = _children(points.values)
+    pairs, ends = _encode_pairs(point["attributes"].values), _values(point["attributes"].offsets)
+    blocks = []
+    for kind, rest, low, high in zip(point_kinds, _rest(point["rest"]), ends, ends[1:]):
+        field = KINDS[kind][1] if kind else 7
+        blocks.append(_block(1, rest + b"".join([_block(field, pair) for pair in pairs[low:high]])))
+    bodies = _joined(points, blocks)
+    out = []
+    rows = zip(_values(parts["name"]), _values(parts["unit"]), kinds, bodies, _rest(parts["data_rest"]), _rest(parts["rest"]))
+    for name, unit, kind, body, data_rest, rest in rows:
+        head = _block(1, (name or "").encode()) + (_block(3, unit.encode()) if unit else b"")
+        out.append(head + (_block(KINDS[kind][0], body + data_rest) if kind else b"") + rest)
+    return out
 
 
-def _write_request(resources: list[dict]) -> bytes:
-    out = []
-    for resource in resources:
-        scopes = [
-            _block(2, b"".join(_block(2, _write_metric(m)) for m in s["metrics"]) + (s["rest"] or b""))
-            for s in resource["scope_metrics"]
-        ]
-        out.append(_block(1, b"".join(scopes) + (resource["rest"] or b"")))
-    return b"".join(out)
+def _encode(resources: pa.ListArray) -> pa.Array:
+    resource = _children(resources.values)
+    scope = _children(resource["scope_metrics"].values)
+    metrics = [_block(2, m) for m in _encode_metrics(scope["metrics"].values)]
+    scopes = [_block(2, m + rest) for m, rest in zip(_joined(scope["metrics"], metrics), _rest(scope["rest"]))]
+    joined = _joined(resource["scope_metrics"], scopes)
+    items = [_block(1, s + rest) for s, rest in zip(joined, _rest(resource["rest"]))]
+    there = _values(resources.is_valid())
+    return pa.array([m if ok else None for m, ok in zip(_joined(resources, items), there)], pa.binary())
 
 
 def decode_request(message: Column) -> Column:
@@ -224,13 +398,7 @@ def decode_request(message: Column) -> Column:
 
     @F.arrow_udf(from_arrow_type(RESOURCES))
     def decode(messages: pa.Array) -> pa.Array:
-        def one(data: bytes | None):
-            try:
-                return None if data is None else [_resource(v) for n, v, _ in _fields(data) if n == 1]
-            except (ValueError, struct.error):
-                return None
-
-        return pa.array([one(data) for data in messages.to_pylist()], RESOURCES)
+        return _decode(messages)
 
     return decode(message)
 
@@ -240,7 +408,7 @@ def encode_request(resources: Column) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def encode(column: pa.Array) -> pa.Array:
-        return pa.array([None if r is None else _write_request(r) for r in column.to_pylist()], pa.binary())
+        return _encode(column)
 
     return encode(resources)
 
@@ -265,7 +433,7 @@ def split_delimited(data: Column) -> Column:
                 return None
             return found
 
-        return pa.array([one(r) for r in records.to_pylist()], pa.list_(pa.binary()))
+        return pa.array([one(r) for r in _values(records)], pa.list_(pa.binary()))
 
     return split(data)
 

@@ -6,14 +6,24 @@ import re
 import warnings
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logforge.operators.joins import join_on
 from logforge.operators.rows import unfold
 
-REGISTRY_SCHEMA = """namespace string, resource_types array<string>, patterns array<struct<
-    idx int, regex string, groups array<int>, dims array<string>, strip array<string>>>"""
+REGISTRY_SCHEMA = pa.schema([
+    ("namespace", pa.string()),
+    ("resource_types", pa.list_(pa.string())),
+    ("patterns", pa.list_(pa.struct([
+        ("idx", pa.int32()),
+        ("regex", pa.string()),
+        ("groups", pa.list_(pa.int32())),
+        ("dims", pa.list_(pa.string())),
+        ("strip", pa.list_(pa.string())),
+    ]))),
+])
 
 INVENTORY_PAGE_SCHEMA = """ResourceTagMappingList array<struct<ResourceARN string,
     Tags array<struct<Key string, Value string>>>>"""
@@ -67,9 +77,15 @@ def load_registry(spark: SparkSession, entries: Iterable[dict] | None = None) ->
             dims = [name.replace("_", " ") for name in compiled.groupindex]
             strip = [VALUE_SUFFIXES.get((entry["namespace"], d)) for d in dims]
             plain = re.sub(r"\(\?P<[A-Za-z_][A-Za-z0-9_]*>", "(", text)
-            patterns.append((len(patterns), plain, list(compiled.groupindex.values()), dims, strip))
-        rows.append((entry["namespace"], list(entry.get("resource_types") or []), patterns))
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+            groups = list(compiled.groupindex.values())
+            patterns.append({"idx": len(patterns), "regex": plain, "groups": groups, "dims": dims, "strip": strip})
+        rows.append({
+            "namespace": entry["namespace"],
+            "resource_types": list(entry.get("resource_types") or []),
+            "patterns": patterns,
+        })
+    # A local relation: Spark knows its size, and so when it may broadcast it.
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=REGISTRY_SCHEMA))
 
 
 def load_inventory(pages: DataFrame, resource_types: list[str] | None = None, page: str = "page") -> DataFrame:
@@ -120,10 +136,15 @@ def build_associations(resources: DataFrame, registry: DataFrame) -> DataFrame:
     wanted = registry.select("namespace", "patterns", F.explode("resource_types").alias("_type"))
     named = resources.withColumn("_type", F.explode(_type_names()))
     df = named.join(wanted, "_type").drop("_type")
-    matching = F.filter("patterns", lambda p: F.rlike(F.col("arn"), p["regex"]))
-    df = df.withColumn("_p", F.get(matching, F.lit(0))).filter(F.col("_p").isNotNull())
-    key = F.transform("_p.groups", lambda g: F.call_function("regexp_extract", F.col("arn"), F.col("_p.regex"), g))
-    df = df.select("namespace", F.col("_p.idx").alias("pattern_idx"), key.alias("key"), "arn", "tags", "pos")
+    arn = F.col("arn")
+    matching = F.slice(F.filter("patterns", lambda p: F.rlike(arn, p["regex"])), 1, 1)
+
+    def index_key(pattern: Column) -> Column:
+        return F.transform(pattern["groups"], lambda g: F.call_function("regexp_extract", arn, pattern["regex"], g))
+
+    first = F.transform(matching, lambda p: F.struct(p["idx"].alias("pattern_idx"), index_key(p).alias("key")))
+    df = unfold(df, ["namespace", "arn", "tags", "pos"], first, "_p", "_n")
+    df = df.select("namespace", "_p.pattern_idx", "_p.key", "arn", "tags", "pos")
     kept = F.max_by(F.struct("arn", "tags"), F.struct("pos", "arn"))
     return df.groupBy("namespace", "pattern_idx", "key").agg(kept.alias("_r")).select(
         "namespace", "pattern_idx", "key", "_r.arn", "_r.tags"
@@ -138,21 +159,24 @@ def associate_tags(points: DataFrame, index: DataFrame, registry: DataFrame) ->
     dimension sets, so those are reduced first, matched by equi-joins, and joined back.
     """
     sets = points.select("namespace", "dims").distinct()
-    wanted = registry.select("namespace", F.explode("patterns").alias("_p"))
-
     def value(dim: Column, strip: Column) -> Column:
         found = F.filter("dims", lambda d: d["key"] == dim)
         text = F.try_element_at(found, F.lit(-1))["value"]
         return F.when(strip.isNotNull(), F.regexp_replace(text, strip, F.lit(""))).otherwise(text)
 
-    present = F.forall("_p.dims", lambda d: F.exists("dims", lambda m: m["key"] == d))
-    tries = sets.join(wanted, "namespace").filter(present).select(
-        "namespace",
-        "dims",
-        F.col("_p.idx").alias("pattern_idx"),
-        (-F.size("_p.dims")).alias("_rank"),
-        F.zip_with("_p.dims", "_p.strip", value).alias("key"),
+    def attempt(pattern: Column) -> Column:
+        return F.struct(
+            pattern["idx"].alias("pattern_idx"),
+            (-F.size(pattern["dims"])).alias("rank"),
+            F.zip_with(pattern["dims"], pattern["strip"], value).alias("key"),
+        )
+
+    present = F.filter(
+        "patterns", lambda p: F.forall(p["dims"], lambda d: F.exists("dims", lambda m: m["key"] == d))
     )
+    tries = sets.join(registry.select("namespace", "patterns"), "namespace")
+    tries = unfold(tries, ["namespace", "dims"], F.transform(present, attempt), "_try", "_n")
+    tries = tries.select("namespace", "dims", "_try.pattern_idx", F.col("_try.rank").alias("_rank"), "_try.key")
     hits = tries.join(index, ["namespace", "pattern_idx", "key"])
     best = F.min_by(F.struct("arn", "tags"), F.struct("_rank", "pattern_idx"))
     found = hits.groupBy("namespace", "dims").agg(best.alias("_r"))

@@ -79,7 +79,7 @@ def transform_records(
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             rows, logs, seqs, errors = [], [], [], []
-            for i, record in enumerate(batch.column(log).to_pylist()):
+            for i, record in enumerate(batch.column(log).to_numpy(zero_copy_only=False).tolist()):
                 results, error = run(record) if record is not None else ([None], None)
                 rows += [i] * len(results)
                 logs += results

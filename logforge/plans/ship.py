@@ -157,8 +157,12 @@ def ship_metrics(
     """Binary records ``(unit…, record_id BIGINT, data)`` → requests per batch:
     ``resource_metrics``, ``message`` (bytes). Malformed records stop the job, as their
     unit must not be sent in part."""
-    unit = unit or []
+    if not unit:
+        unit = ["unit"]
+        df = df.withColumn("unit", F.lit(""))
     points = explode_points(decode_metrics(split_messages(df)))
+    # Decoded once: association reads the points twice.
+    points = staged(points, "points")
     stop = F.raise_error(F.concat(F.lit("bad metrics record: "), F.col("error"))).cast("boolean")
     points = points.filter(F.when(F.col("error").isNotNull(), stop).otherwise(True)).drop("error")
     keys = [*unit, "record_id", "msg_idx"]

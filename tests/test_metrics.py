@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ def message(kind="summary", dims=(("InstanceId", "i-1"),), rest=b""):
     ]
     point = {"attributes": attributes, "rest": rest}
     metric = {"name": "m", "unit": "Count", "kind": kind, "data_points": [point], "data_rest": b"", "rest": b""}
-    return otlp._write_request([{"scope_metrics": [{"metrics": [metric], "rest": b""}], "rest": b"\x1a\x01u"}])
+    request = [{"scope_metrics": [{"metrics": [metric], "rest": b""}], "rest": b"\x1a\x01u"}]
+    return otlp._encode(pa.array([request], otlp.RESOURCES))[0].as_py()
 
 
 def records(spark, datas):
