@@ -210,15 +210,17 @@ SELECT CAST(l_orderkey // 100 AS BIGINT) AS object, CAST(l_partkey AS VARCHAR) A
 FROM lineitem GROUP BY ALL
 """)
 def frame_vpc_flow(t: Tables) -> DataFrame:
-    row = F.concat_ws(" ", F.col("l_partkey") * 1_000_000, "l_partkey", "l_suppkey", "l_returnflag")
-    df = t("lineitem").groupBy(
-        F.floor(F.col("l_orderkey") / 100).alias("object"), (F.col("l_suppkey") % 4).alias("part")
-    ).agg(F.collect_list(row).alias("rows"))
-    text = F.concat(F.lit("account-id  srcport dstport\taction\n"), F.array_join("rows", "\n"))
-    rows = framing.explode_records(framing.frame_vpc_flow(df.select("object", text.alias("text"))).drop("text"))
+    # An object holds at most 512 rows of one task.
+    block = F.floor(F.monotonically_increasing_id() / 512).alias("block")
+    start = F.floor(F.col("l_orderkey") / 100)
+    row = F.concat_ws(" ", F.col("l_partkey") * 1_000_000, "l_partkey", "l_suppkey", "l_returnflag", start)
+    df = t("lineitem").select(block, row.alias("row")).groupBy("block").agg(F.collect_list("row").alias("rows"))
+    text = F.concat(F.lit("account-id  srcport dstport\taction start\n"), F.array_join("rows", "\n"))
+    rows = framing.explode_records(framing.frame_vpc_flow(df.select(text.alias("text"))).drop("text"))
     kind = F.when(F.contains("log", F.lit('"account-id":"')), "string").otherwise("number")
     fields = [F.get_json_object("log", f"$.{c}").alias(c) for c in ("srcport", "dstport", "action")]
-    rows = rows.select("object", *fields, kind.alias("account_kind"))
+    object_id = F.get_json_object("log", "$.start").cast("bigint").alias("object")
+    rows = rows.select(object_id, *fields, kind.alias("account_kind"))
     return rows.groupBy("object", "srcport", "dstport", "action", "account_kind").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -282,8 +282,9 @@ def line_payloads(t: Tables) -> DataFrame:
 
 
 def line_records(t: Tables) -> DataFrame:
-    """Binary records: the messages of an order, length-prefixed."""
-    return ops.join_messages(ops.encode_metrics(line_payloads(t)).drop("resource_metrics"), ["record_id"])
+    """Binary records: the messages of an order and 32 suppliers, length-prefixed."""
+    df = ops.encode_metrics(line_payloads(t)).drop("resource_metrics")
+    return ops.join_messages(df.withColumn("part", F.floor(F.col("msg_idx") / 32)), ["record_id", "part"])
 
 
 POINTS_SQL = f"""
@@ -302,13 +303,14 @@ def decode_metrics(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey AS record_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey) - 1 AS msg_idx, count(*) AS metrics
+SELECT l_orderkey AS record_id, l_suppkey // 32 AS part,
+  row_number() OVER (PARTITION BY l_orderkey, l_suppkey // 32 ORDER BY l_suppkey) - 1 AS msg_idx, count(*) AS metrics
 FROM lineitem GROUP BY l_orderkey, l_suppkey
 """)
 def split_messages(t: Tables) -> DataFrame:
     df = ops.decode_metrics(ops.split_messages(line_records(t)))
-    return ops.batch_totals(df, ["record_id", "msg_idx"]).select(
-        "record_id", F.col("msg_idx").cast("bigint").alias("msg_idx"), F.col("metrics").cast("bigint").alias("metrics")
+    return ops.batch_totals(df, ["record_id", "part", "msg_idx"]).select(
+        "record_id", "part", F.col("msg_idx").cast("bigint").alias("msg_idx"), F.col("metrics").cast("bigint").alias("metrics")
     )
 
 
@@ -324,14 +326,14 @@ def rebuild_payload(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT CAST(l_orderkey // 16 AS BIGINT) AS batch, count(DISTINCT (l_orderkey, l_suppkey)) AS resource_metrics,
+SELECT CAST(l_orderkey // 16 AS BIGINT) AS batch, l_suppkey // 32 AS part, count(DISTINCT (l_orderkey, l_suppkey)) AS resource_metrics,
   count(DISTINCT (l_orderkey, l_suppkey)) AS scope_metrics, count(*) AS metrics FROM lineitem GROUP BY ALL
 """)
 def metric_batch_totals(t: Tables) -> DataFrame:
-    df = line_payloads(t).withColumn("batch", F.floor(F.col("record_id") / 16))
-    merged = ops.merge_payloads(df, ["batch"], ["record_id", "msg_idx"])
-    df = ops.batch_totals(merged, ["batch"])
-    return df.select("batch", *[F.col(c).cast("bigint").alias(c) for c in ("resource_metrics", "scope_metrics", "metrics")])
+    keys = {"batch": F.floor(F.col("record_id") / 16), "part": F.floor(F.col("msg_idx") / 32)}
+    merged = ops.merge_payloads(line_payloads(t).withColumns(keys), ["batch", "part"], ["record_id", "msg_idx"])
+    df = ops.batch_totals(merged, ["batch", "part"])
+    return df.select("batch", "part", *[F.col(c).cast("bigint").alias(c) for c in ("resource_metrics", "scope_metrics", "metrics")])
 
 
 @query("""
@@ -357,10 +359,13 @@ def pack_metric_batches(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT l_orderkey AS record_id, 'Dropped' AS result, CAST(count(DISTINCT l_suppkey) AS BIGINT) AS messages FROM lineitem GROUP BY 1")
+@query("""
+SELECT l_orderkey AS record_id, 'Dropped' AS result, l_suppkey // 32 AS part, CAST(count(DISTINCT l_suppkey) AS BIGINT) AS messages
+FROM lineitem GROUP BY l_orderkey, l_suppkey // 32
+""")
 def acknowledge(t: Tables) -> DataFrame:
-    acks = ops.acknowledge(line_records(t))
-    return acks.select("record_id", "result", F.size(otlp.split_delimited(F.col("data"))).cast("bigint").alias("messages"))
+    acks = ops.acknowledge(line_records(t), ["record_id", "part"])
+    return acks.select("record_id", "result", "part", F.size(otlp.split_delimited(F.col("data"))).cast("bigint").alias("messages"))
 
 
 SHIPPED_SQL = f"""
@@ -375,12 +380,12 @@ def shipped_points(t: Tables, batching: bool) -> DataFrame:
     index = assoc.build_associations(resources(t), registry)
     cfg = MetricConfig("app", "sub", {"env": "prod"}, batching=batching, batch_target=20_000)
     sent = line_records(t).withColumn("unit", F.floor(F.col("record_id") / 512))
-    return ship(sent, cfg, index, registry, ["unit"])
+    return ship(sent, cfg, index, registry, ["unit", "part"])
 
 
 @query(SHIPPED_SQL)
 def ship_metrics(t: Tables) -> DataFrame:
-    df = ops.explode_points(ops.decode_metrics(shipped_points(t, True).select("unit", "batch_id", "message")).drop("unit", "error"))
+    df = ops.explode_points(ops.decode_metrics(shipped_points(t, True).select("batch_id", "message")))
     team = F.get(F.filter("attributes", lambda a: a["key"] == "Team"), F.lit(0))["value"]["stringValue"]
     df = df.select(team.alias("team"), F.element_at("attributes", -1)["key"].alias("last_key"), F.col("metric_unit").alias("unit"))
     return df.groupBy("team", "last_key", "unit").agg(F.count(F.lit(1)).alias("points"))

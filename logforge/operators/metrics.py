@@ -232,6 +232,6 @@ def flatten_points(df: DataFrame) -> DataFrame:
     return df.withColumn("attributes", F.coalesce(flat, F.col("attributes")))
 
 
-def acknowledge(df: DataFrame) -> DataFrame:
-    """The answer to each input record: accepted here, so dropped there."""
-    return df.select("record_id", F.lit("Dropped").alias("result"), "data")
+def acknowledge(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The answer to each input record, by its id: accepted here, so dropped there."""
+    return df.select(*(keys or ["record_id"]), F.lit("Dropped").alias("result"), "data")
