@@ -13,9 +13,12 @@ from logforge.functions.text import with_json
 from logforge.operators import batching, export, failures
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import block_pattern, drop_blank, size_gate as gate
+from logforge.catalog.events import subscription_events
 from logforge.plans.config import LogConfig
+from logforge.plans.deliver import deliver, file_sink
 from logforge.plans.ship import ship_logs
 from logforge.session import work_dir
+from logforge.sources.events import read_cloudwatch
 from logforge.sources.objects import object_meta
 from logforge.streaming.stream import ship_stream
 
@@ -302,6 +305,15 @@ def store_dead(t: Tables) -> DataFrame:
     return stored.select("event_id", "object_path", F.md5("data").alias("digest"))
 
 
+@query(PACK_EVENTS_SQL + """
+SELECT unit AS user_id, true AS delivered, CAST(max(batch_id) + 1 AS BIGINT) AS batches FROM packed GROUP BY unit
+""")
+def deliver_requests(t: Tables) -> DataFrame:
+    requests = export.to_singles(projected_events(t), ["user_id", "batch_id"], ["event_id"])
+    sink = file_sink(work_dir(t.spark, "requests"), ["user_id", "batch_id"], parallelism=4)
+    return deliver(requests, sink, ["user_id"]).select("user_id", "delivered", "batches")
+
+
 # Whole pipelines.
 
 
@@ -406,3 +418,24 @@ def stream_ship(t: Tables) -> DataFrame:
     run = ship_stream(stream, lambda df: ship_logs(df, cfg), out, work_dir(t.spark, "stream-checkpoint"))
     run.awaitTermination()
     return t.spark.read.parquet(out).groupBy("unit", "application", "severity").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("""
+SELECT conv_id, turn, '/chat/' || (conv_id % 4) AS subsystem, md5(text) AS text,
+  CASE WHEN conv_id % 4 < 2 THEN n_name END AS nation, 'shop' AS application
+FROM conversations LEFT JOIN nation ON n_nationkey = conv_id % 4
+""")
+def ship_subscriptions(t: Tables) -> DataFrame:
+    # Two of the four log groups have tags.
+    tags = t("nation").filter("n_nationkey < 2").select(
+        F.concat(F.lit("/chat/"), F.col("n_nationkey").cast("string")).alias("log_group"),
+        F.create_map(F.lit("nation"), F.col("n_name")).alias("tags"), F.timestamp_micros(F.lit(0)).alias("fetched_at"),
+    )
+    df = read_cloudwatch(subscription_events(t)).withColumn("unit", F.concat_ws("/", F.col("conv_id").cast("string"), F.col("block").cast("string")))
+    df = ship_logs(df, LogConfig("CloudWatch", application="shop", batch_target=4000), tags)
+    text = F.when(F.startswith("body", F.lit('"')), F.get_json_object(F.concat(F.lit('{"text":'), "body", F.lit("}")), "$.text"))
+    return df.select(
+        "conv_id", (F.col("block") * 64 + F.col("pos")).alias("turn"), "subsystem", "application",
+        F.md5(F.coalesce(text, F.get_json_object("body", "$.text"))).alias("text"),
+        F.get_json_object("body", "$['cw.tags'].nation").alias("nation"),
+    )

@@ -10,7 +10,10 @@ from logforge.functions.text import gzip, key_level
 from logforge.operators import framing
 from logforge.operators.filters import block_pattern as block_rows
 from logforge.operators.filters import drop_blank, stride_sample as stride_rows
+from logforge.plans.config import LogConfig
+from logforge.plans.ship import frame_source
 from logforge.session import work_dir
+from logforge.sources.events import read_scan_events
 from logforge.sources.objects import decode_objects, read_lines as lines_of, read_objects as objects_of, select_keys
 
 LINES_SQL = r"""
@@ -265,6 +268,21 @@ FROM (SELECT p_brand, block, upper(severity[1]) || lower(severity[2:]) AS label,
 GROUP BY p_brand, block
 """)
 def frame_scan_findings(t: Tables) -> DataFrame:
+    scans = scan_results(t)
+    rows = framing.explode_records(framing.frame_scan_findings(scans.withColumn("repo", F.col("repository"))))
+    labels = F.array_sort(F.from_json(F.get_json_object("log", "$.ecr_scan_summary.finding_severity_counts"), "array<string>"))
+    package = F.get_json_object("log", "$.findings.package.package")
+    rows = rows.select(
+        F.col("repo").alias("repository"), "block",
+        F.when(package.isNotNull(), "finding").otherwise("summary").alias("kind"),
+        F.get_json_object("log", "$.findings.details.name").alias("name"),
+        F.get_json_object("log", "$.findings.details.severity").alias("severity"),
+        F.coalesce(package, F.array_join(labels, ",")).alias("package"),
+    )
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def scan_results(t: Tables) -> DataFrame:
     # A scan per brand and key block; every part is a finding.
     size = F.col("p_size")
     attributes = F.array(
@@ -285,18 +303,27 @@ def frame_scan_findings(t: Tables) -> DataFrame:
     scans = t("part").groupBy(
         F.col("p_brand").alias("repository"), F.floor(F.col("p_partkey") / 500).alias("block")
     ).agg(F.collect_list(finding).alias("findings"), F.map_from_entries(counts).alias("severity_counts"))
-    scans = scans.select(
-        "*", F.concat(F.lit("sha256:"), F.md5("repository")).alias("image_digest"),
-        F.array(F.lit("latest")).alias("image_tags"), F.col("repository").alias("repo"),
+    digest = F.concat(F.lit("sha256:"), F.md5(F.concat_ws("/", "repository", F.col("block").cast("string"))))
+    return scans.select("*", digest.alias("image_digest"), F.array(F.lit("latest")).alias("image_tags"))
+
+
+@query("""
+SELECT p_brand AS repository, 'scan-' || p_brand || '-' || (p_partkey // 500) AS id,
+  count(*) FILTER (p_size % 7 <> 0) + 1 AS records
+FROM part WHERE p_partkey // 500 % 2 = 0 GROUP BY ALL
+""")
+def scan_events(t: Tables) -> DataFrame:
+    # An event per scan; the results of every second block are missing.
+    scans = scan_results(t)
+    name = F.concat_ws("-", F.lit("scan"), "repository", F.col("block").cast("string"))
+    detail = F.struct(
+        F.col("repository").alias("repository-name"), F.col("image_digest").alias("image-digest"), F.col("image_tags").alias("image-tags")
     )
-    rows = framing.explode_records(framing.frame_scan_findings(scans))
-    labels = F.array_sort(F.from_json(F.get_json_object("log", "$.ecr_scan_summary.finding_severity_counts"), "array<string>"))
-    package = F.get_json_object("log", "$.findings.package.package")
-    rows = rows.select(
-        F.col("repo").alias("repository"), "block",
-        F.when(package.isNotNull(), "finding").otherwise("summary").alias("kind"),
-        F.get_json_object("log", "$.findings.details.name").alias("name"),
-        F.get_json_object("log", "$.findings.details.severity").alias("severity"),
-        F.coalesce(package, F.array_join(labels, ",")).alias("package"),
+    events = scans.select(F.to_json(F.struct(name.alias("id"), F.lit("aws.ecr").alias("source"), detail.alias("detail"))).alias("event"))
+    events = events.withColumn("unit", F.md5("event"))
+    findings = scans.filter("block % 2 = 0").select("repository", "image_digest", "findings", "severity_counts")
+    rows = frame_source(read_scan_events(events, findings), LogConfig("EcrScan"))
+    scan = F.try_element_at("meta", F.lit("ecr.scan.id")).alias("id")
+    return rows.groupBy(F.get_json_object("log", "$.metadata.repository").alias("repository"), scan).agg(
+        F.count(F.lit(1)).alias("records")
     )
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))

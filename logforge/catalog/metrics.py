@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from logforge.catalog.registry import Tables, query
 from logforge.functions import otlp
@@ -13,7 +14,7 @@ from logforge.operators.batching import pack_batches
 from logforge.operators.filters import filter_metrics
 from logforge.plans.config import MetricConfig
 from logforge.plans.ship import ship_metrics as ship
-from pyspark.sql.pandas.types import from_arrow_type
+from logforge.sources.events import read_delivery_records
 
 # A line item is a data point. Its line number picks the namespace.
 NAMESPACES = ["AWS/EC2", "Shop/Parts", "AWS/AmazonMQ", "Unknown/Space"]
@@ -394,3 +395,18 @@ def ship_metrics(t: Tables) -> DataFrame:
 @query("SELECT CAST(l_orderkey // 512 AS BIGINT) AS unit, count(DISTINCT (l_orderkey, l_suppkey)) AS requests FROM lineitem GROUP BY 1")
 def ship_metrics_unbatched(t: Tables) -> DataFrame:
     return shipped_points(t, False).groupBy("unit").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query("""
+SELECT l_orderkey // 16 AS unit, l_suppkey // 32 AS part, count(DISTINCT l_orderkey) AS records, count(DISTINCT (l_orderkey, l_suppkey)) AS messages
+FROM lineitem GROUP BY ALL
+""")
+def delivery_records(t: Tables) -> DataFrame:
+    # Records as they come: base64 inside the event of a delivery stream.
+    record = F.struct(F.col("record_id").cast("string").alias("recordId"), F.base64("data").alias("data"))
+    df = line_records(t).groupBy(F.floor(F.col("record_id") / 16).alias("unit"), "part").agg(F.collect_list(record).alias("records"))
+    df = df.select("unit", "part", F.to_json(F.struct(F.lit("i").alias("invocationId"), "records")).alias("event"))
+    df = ops.split_messages(read_delivery_records(df))
+    return df.groupBy("unit", "part").agg(
+        F.count_distinct("record").alias("records"), F.count(F.lit(1)).alias("messages")
+    )

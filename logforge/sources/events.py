@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.functions.text import base64_or_raw, gunzip_or_raw, utf8_or_null
+from logforge.operators.joins import join_on
 from logforge.operators.rows import unfold
 from logforge.sources.objects import NOTIFICATION_SCHEMA
 
@@ -22,6 +23,11 @@ CLOUDWATCH_SCHEMA = """owner string, logGroup string, logStream string, messageT
     logEvents array<struct<id string, timestamp bigint, message string>>"""
 
 
+SCAN_SCHEMA = """id string, source string, detail struct<`repository-name` string,
+    `image-digest` string, `image-tags` array<string>>"""
+FIREHOSE_SCHEMA = "records array<struct<recordId string, data string>>"
+
+
 def event_kind(event: Column) -> Column:
     """Kind of one event; the order matters because the shapes overlap."""
 
@@ -168,6 +174,34 @@ def read_kinesis_records(df: DataFrame, event: str = "event") -> DataFrame:
     return df.withColumn("payload", cloudwatch_payload(F.col("text")))
 
 
+def read_scan_events(df: DataFrame, findings: DataFrame, event: str = "event") -> DataFrame:
+    """Image-scan events joined to ``findings(repository, image_digest, findings,
+    severity_counts)``, ready for ``frame_scan_findings``; ``error`` where there are none."""
+    rest = [c for c in df.columns if c != event]
+    parsed = F.from_json(F.col(event), SCAN_SCHEMA)
+    detail = parsed.getField("detail")
+    df = df.select(
+        *rest,
+        F.coalesce(detail.getField("repository-name"), F.lit("")).alias("repository"),
+        F.coalesce(detail.getField("image-digest"), F.lit("")).alias("image_digest"),
+        detail.getField("image-tags").alias("image_tags"),
+        F.create_map(
+            F.lit("ecr.scan.id"), parsed.getField("id"), F.lit("ecr.scan.source"), parsed.getField("source")
+        ).alias("meta"),
+    )
+    df = join_on(df, findings, ["repository", "image_digest"], "left")
+    return df.withColumn("error", F.when(F.col("findings").isNull(), "no scan findings"))
+
+
+def read_delivery_records(df: DataFrame, event: str = "event") -> DataFrame:
+    """Delivery-stream events → ``record_id`` (position), ``record``, ``data`` bytes, for
+    ``split_messages``."""
+    rest = [c for c in df.columns if c != event]
+    records = F.from_json(F.col(event), FIREHOSE_SCHEMA).getField("records")
+    df = unfold(df, rest, records, "_r", "record_id")
+    return df.select(*rest, "record_id", F.col("_r.recordId").alias("record"), F.unbase64("_r.data").alias("data"))
+
+
 # Metadata keys of stream records.
 KINESIS_META = {
     "kinesis.event.id": "eventID",
