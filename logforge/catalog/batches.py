@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.catalog.framing import LINES_SQL, NOT_BLANK_SQL
 from logforge.catalog.records import EVENT_LOG_SQL, SEVERITY_SQL, event_logs
 from logforge.catalog.registry import Tables, query
 from logforge.functions import otlp
-from logforge.functions.text import with_json
-from logforge.operators import batching, export, failures
+from logforge.functions.text import json_quote, with_json
+from logforge.operators import batching, export, failures, framing
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import block_pattern, drop_blank, size_gate as gate
 from logforge.catalog.events import subscription_events
@@ -85,6 +85,22 @@ def unit_stats(t: Tables) -> DataFrame:
     return export.unit_stats(stats, ["user_id"])
 
 
+@query("WITH RECURSIVE " + LINES_SQL.strip().removeprefix("WITH ") + f"""
+, numbered AS (SELECT source AS unit, doc_id * 1000000 + pos AS k, octet_length(encode(line)) + 200 AS size,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) AS n FROM lines JOIN documents USING (doc_id)),
+{packed_cte(64 * 1024)}
+SELECT unit AS source, batch_id, count(*) AS records, min(k) AS first_key FROM packed GROUP BY ALL
+""")
+def pack_lines(t: Tables) -> DataFrame:
+    # All lines of a source as one unit, ordered by document and place in it.
+    df = t("documents").select("source", "doc_id", "text")
+    rows = framing.explode_records(framing.frame_lines(df).drop("text")).withColumn("bytes", F.octet_length("log"))
+    df = batching.pack_batches(rows.drop("log"), ["source"], ["doc_id", "pos"], "bytes", 64 * 1024, span=256)
+    return df.groupBy("source", "batch_id").agg(
+        F.count(F.lit(1)).alias("records"), F.min(F.col("doc_id") * 1_000_000 + F.col("pos")).alias("first_key")
+    )
+
+
 @query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS batch_id FROM events")
 def single_batches(t: Tables) -> DataFrame:
     df = t("events").select("user_id", "event_id")
@@ -207,6 +223,36 @@ def to_resource_logs(t: Tables) -> DataFrame:
     )
 
 
+# Grouping whole documents: one resource per batch, or one per record.
+
+GROUPED_SQL = f"""
+WITH RECURSIVE numbered AS (SELECT source AS unit, doc_id AS k, octet_length(encode(text)) + 200 AS size,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),
+{packed_cte(64 * 1024)}
+SELECT unit AS source, batch_id, {{resources}} AS resources, CAST(count(*) AS BIGINT) AS records FROM packed GROUP BY unit, batch_id
+"""
+
+
+def grouped_documents(t: Tables, application: Column) -> DataFrame:
+    df = t("documents").select("source", "doc_id", "text", F.octet_length("text").alias("bytes"))
+    df = batching.pack_batches(df, ["source"], ["doc_id"], "bytes", 64 * 1024)
+    df = df.select(
+        "source", "batch_id", "doc_id", application.alias("application"), F.lit("docs").alias("subsystem"),
+        F.lit("Info").alias("severity"), json_quote(F.col("text")).alias("body"), F.timestamp_micros("doc_id").alias("ts"),
+    )
+    return export.to_resource_logs(df, ["source", "batch_id"], ["doc_id"]).drop("payload")
+
+
+@query(GROUPED_SQL.format(resources="CAST(1 AS BIGINT)"))
+def group_one_resource(t: Tables) -> DataFrame:
+    return grouped_documents(t, F.lit("all"))
+
+
+@query(GROUPED_SQL.format(resources="count(*)"))
+def group_many_resources(t: Tables) -> DataFrame:
+    return grouped_documents(t, F.col("doc_id").cast("string"))
+
+
 @query("""
 SELECT event_id, CASE event_id % 4 WHEN 0 THEN json_extract_string(props, '$.k') END AS kv_int,
   CASE event_id % 4 WHEN 1 THEN event_type END AS text, CASE event_id % 4 WHEN 2 THEN CAST(event_id AS VARCHAR) END AS int,
