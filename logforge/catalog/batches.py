@@ -60,7 +60,12 @@ def pack_batches(t: Tables) -> DataFrame:
     return packed_events(t).select("user_id", "event_id", "batch_id")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE numbered AS (
+  SELECT 'all' AS unit, event_id AS k, {SIZE_SQL} + {OVERHEAD} AS size, row_number() OVER (ORDER BY event_id) AS n FROM events),
+{packed_cte(20_000)}
+SELECT k AS event_id, batch_id FROM packed
+""")
 def pack_batches_hot_unit(t: Tables) -> DataFrame:
     # One unit holds all rows: it is packed exactly, in chunks of 512 keys.
     df = sized_events(t).withColumn("unit", F.lit("all"))
