@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
     need = {"CloudWatch": ["payload"], "Kinesis": ["text", "payload"], "EcrScan": ["findings"]}
     for name in need.get(kind, ["text"] if kind in OBJECT_SOURCES else ["log"]):
         if name not in df.columns:
+            warnings.warn(f"rows do not match integration {kind}: no column {name!r}", stacklevel=2)
             empty = df.filter(F.lit(False))
             return empty.select("unit", *[F.lit(None).cast(t).alias(c) for c, t in (
                 ("pos", "bigint"), ("log", "string"), ("meta", "map<string,string>"))])
