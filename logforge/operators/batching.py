@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logforge.functions.text import not_blank
+from logforge.operators.framing import kept_records
 from logforge.operators.joins import join_on
 from logforge.operators.ordering import SPAN, chunk_column, ordered_position
+from logforge.operators.rows import unfold
 
 # Default batch target, and the bytes added for each record.
 BATCH_TARGET = 4 * 1024 * 1024
@@ -170,6 +173,49 @@ def pack_batches(
     )
 
 
+def pack_objects(
+    df: DataFrame,
+    block: str | None = None,
+    sample: int = 1,
+    target: int = BATCH_TARGET,
+    overhead: int = RECORD_OVERHEAD,
+) -> DataFrame:
+    """``explode_records`` (blank records dropped) with ``batch_id``, for rows that each
+    hold a whole unit in ``records``.
+
+    The unit is packed where it was framed: nothing is shuffled, and only the sizes visit
+    Python.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def batches(sizes: pa.Array) -> pa.Array:
+        out = []
+        for row in sizes:
+            if row.values is None:
+                out.append(None)
+                continue
+            sums = np.cumsum(np.asarray(row.values))
+            opens = np.zeros(len(sums), dtype=np.int64)
+            at = 0
+            while at < len(sums):
+                limit = (sums[at - 1] if at else 0) + target
+                at = max(int(np.searchsorted(sums, limit, side="right")), at + 1)
+                if at < len(sums):
+                    opens[at] = 1
+            out.append(np.cumsum(opens))
+        return pa.array(out, pa.list_(pa.int64()))
+
+    numbered = F.transform(
+        kept_records(block, sample), lambda r, i: F.struct(i.cast("bigint").alias("pos"), r.alias("log"))
+    )
+    rest = [c for c in df.columns if c not in ("records", "pos", "log")]
+    df = df.withColumn("_rows", F.filter(numbered, lambda r: not_blank(r["log"])))
+    sizes = F.transform("_rows", lambda r: (F.octet_length(r["log"]) + overhead).cast("bigint"))
+    df = df.withColumn("_batches", batches(sizes))
+    items = F.zip_with("_rows", "_batches", lambda r, b: F.struct(r["pos"].alias("pos"), r["log"].alias("log"), b.alias("batch_id")))
+    return unfold(df, rest, items, "_item", "_n").select(*rest, "_item.pos", "_item.log", "_item.batch_id")
+
+
 def single_batches(
     df: DataFrame,
     unit: list[str],

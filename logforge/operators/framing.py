@@ -195,15 +195,20 @@ def frame_scan_findings(df: DataFrame) -> DataFrame:
     )
 
 
-def explode_records(df: DataFrame, block: str | None = None, sample: int = 1) -> DataFrame:
-    """Drop records matching ``block``, keep every ``sample``-th of the rest (counted
-    within the object, blank records included), and unfold: ``pos``, ``log``."""
+def kept_records(block: str | None = None, sample: int = 1) -> Column:
+    """``records`` without those matching ``block``, then every ``sample``-th of the rest
+    (counted within the object, blank records included)."""
     records = F.col("records")
     if block:
         records = F.filter(records, lambda r: ~r.rlike(java_pattern(block)))
     if sample > 1:
         records = F.filter(records, lambda r, i: i % sample == 0)
+    return records
+
+
+def explode_records(df: DataFrame, block: str | None = None, sample: int = 1) -> DataFrame:
+    """Unfold ``kept_records``: ``pos``, ``log``. A ``pos`` that was there is ``record`` now."""
     rest = [c for c in df.columns if c not in ("records", "pos", "log")]
     if "pos" in df.columns:
         rest.append(F.col("pos").alias("record"))
-    return unfold(df, rest, records, "log", "pos")
+    return unfold(df, rest, kept_records(block, sample), "log", "pos")

@@ -11,7 +11,7 @@ from logforge.functions.naming import NO_APPLICATION, NO_SUBSYSTEM, java_pattern
 from logforge.functions.text import with_json
 from logforge.operators import framing
 from logforge.operators.association import associate_tags, require_inventory
-from logforge.operators.batching import pack_batches, single_batches
+from logforge.operators.batching import pack_batches, pack_objects, single_batches
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import drop_blank
 from logforge.operators.lookup import join_group_tags
@@ -50,17 +50,7 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
             return empty.select("unit", *[F.lit(None).cast(t).alias(c) for c, t in (
                 ("pos", "bigint"), ("log", "string"), ("meta", "map<string,string>"))])
     if kind in OBJECT_SOURCES:
-        if kind == "S3":
-            df = framing.frame_lines(df, cfg.newline_pattern)
-        elif kind == "S3Csv":
-            df = framing.frame_delimited(df, cfg.delimiter, cfg.header or None)
-        elif kind == "CloudFront":
-            df = framing.frame_delimited(df, "\t", cfg.header or None)
-        elif kind == "VpcFlow":
-            df = framing.frame_vpc_flow(df)
-        else:
-            df = framing.frame_json_array(df)
-        return framing.explode_records(df.drop("text"), cfg.block, cfg.sample)
+        return framing.explode_records(frame_objects(df, cfg), cfg.block, cfg.sample)
     if kind == "CloudWatch":
         df = framing.frame_cloudwatch(df, cfg.stream_filter)
         return framing.explode_records(df, cfg.block, cfg.sample)
@@ -71,6 +61,21 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
     return df
 
 
+def frame_objects(df: DataFrame, cfg: LogConfig) -> DataFrame:
+    """Whole objects → their ``records``, one row per object."""
+    if cfg.integration == "S3":
+        df = framing.frame_lines(df, cfg.newline_pattern)
+    elif cfg.integration == "S3Csv":
+        df = framing.frame_delimited(df, cfg.delimiter, cfg.header or None)
+    elif cfg.integration == "CloudFront":
+        df = framing.frame_delimited(df, "\t", cfg.header or None)
+    elif cfg.integration == "VpcFlow":
+        df = framing.frame_vpc_flow(df)
+    else:
+        df = framing.frame_json_array(df)
+    return df.drop("text", "error")
+
+
 def frame_stream_records(df: DataFrame, cfg: LogConfig) -> DataFrame:
     """Stream records: subscription payloads are unfolded, other text is one log."""
     payload = F.col("payload")
@@ -123,17 +128,22 @@ def ship_logs(df: DataFrame, cfg: LogConfig, group_tags: DataFrame | None = None
     Frame, block, sample, drop blanks, transform, drop blanks, pack per unit, project.
     ``ts`` is the processing time unless the source brings its own.
     """
-    df = drop_blank(frame_source(df, cfg))
-    order = [c for c in ("record", "pos") if c in df.columns]
-    if cfg.transform is not None:
-        df = drop_blank(transform_records(df, cfg.transform))
-        order.append("transform_seq")
-        df = staged(df, "transformed")
+    in_place = cfg.integration in OBJECT_SOURCES and "text" in df.columns and cfg.transform is None
+    if in_place:
+        # An object is one row until it is unfolded, so it is packed there, without a shuffle.
+        df = pack_objects(frame_objects(df, cfg), cfg.block, cfg.sample, cfg.batch_target, cfg.record_overhead)
+    else:
+        df = drop_blank(frame_source(df, cfg))
+        order = [c for c in ("record", "pos") if c in df.columns]
+        if cfg.transform is not None:
+            df = drop_blank(transform_records(df, cfg.transform))
+            order.append("transform_seq")
+            df = staged(df, "transformed")
+        df = df.withColumn("log_bytes", F.octet_length("log"))
+        df = pack_batches(df, ["unit"], order, "log_bytes", cfg.batch_target, cfg.record_overhead)
     if group_tags is not None:
         df = df.withColumn("_log_group", F.try_element_at("meta", F.lit("cw.log.group")))
         df = join_group_tags(df, group_tags, group="_log_group").drop("_log_group")
-    df = df.withColumn("log_bytes", F.octet_length("log"))
-    df = pack_batches(df, ["unit"], order, "log_bytes", cfg.batch_target, cfg.record_overhead)
     df = project_logs(df, cfg)
     return df if "ts" in df.columns else df.withColumn("ts", F.current_timestamp())
 
