@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,11 +28,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables and stream checkpoints.
 
-    It lies under ``spark.checkpoint.dir`` (a shared folder on a cluster). Only a
-    session without that setting, such as a local test, gets a temporary folder.
+    It lies under ``spark.checkpoint.dir``, a folder that driver and executors share. Only
+    a local session (one process, one disk) may leave that unset and gets a temporary
+    folder; on a cluster a folder of one machine would lose rows, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="logforge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
