@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Texts are handed to numpy in runs of about this many characters.
-CHUNK_CHARS = 1 << 20
-
 
 def free(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` is called so (in any case)."""
@@ -35,16 +34,13 @@ def fresh_key(col: Column) -> Column:
     return col.bitwiseXOR(F.lit(0).cast("long"))
 
 
-def runs(texts: list[str], limit: int = CHUNK_CHARS):
-    """Consecutive slices of ``texts`` with at most ``limit`` characters (or one text)."""
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > begin and size + len(text) > limit:
-            yield begin, i
-            begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+def process_cache(name: str) -> dict:
+    """A dictionary that lives as long as this Python process.
+
+    Functions travel inside tasks with the globals they use; what is kept here stays behind.
+    """
+    holder = sys.modules.setdefault("_logforge_process_cache", ModuleType("_logforge_process_cache"))
+    return holder.__dict__.setdefault(name, {})
 
 
 def text_udf(kind, per_batch: Callable[[list[str]], pa.Array]):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import simhash
+from logforge.llm import packing, quality, secret_scan, simhash
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,31 @@ def op10_simhash(docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     return found.select(
         "doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def beside(sf_dir: str, table: str) -> DataFrame:
+    """Another table of the same folder."""
+    return SparkSession.active().read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+@query("documents")
+def op1_packing(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length buckets and token-budget batches over all documents."""
+    return packing.pack(docs)
+
+
+@query("documents")
+def op6_secret_scan(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text."""
+    return secret_scan.find_secrets(docs).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess",
+        "log10_guesses")
+
+
+@query("documents")
+def op9_quality(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    ratings = quality.grades_of(beside(sf_dir, "labels"))
+    return quality.rate(docs.select("doc_id", "text"), ratings).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "expected_grade",
+        "tail_probability", "top_probability", "keep")
