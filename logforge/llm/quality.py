@@ -73,6 +73,7 @@ def associated(sizes: np.ndarray, counts: np.ndarray, kept: int = LEXICAL_KEPT)
     """The features whose documents' grades are furthest from what their number makes likely.
 
     The score is the deviation of the grade sum from its mean, in standard deviations.
+    Features of more than a tenth of the documents speak of length, not content: left out.
     """
     grades = np.arange(len(sizes))
     share = sizes / max(sizes.sum(), 1)
@@ -80,6 +81,7 @@ def associated(sizes: np.ndarray, counts: np.ndarray, kept: int = LEXICAL_KEPT)
     spread = max(float(((grades - mean) ** 2) @ share), 1e-9)
     n = counts.sum(axis=1)
     score = np.abs(counts @ grades - n * mean) / np.sqrt(np.maximum(n, 1) * spread)
+    score[n > max(sizes.sum() / 10, 30)] = 0.0
     best = np.argsort(-score, kind="stable")[:kept]
     return np.sort(best[score[best] > 4])
 
@@ -111,7 +113,7 @@ def features(
 
 def fit_cumulative_link(
     rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray,
-    levels: int, width: int, penalty: float = 1e-4, steps: int = 300,
+    levels: int, width: int, penalty: float = 1e-5, steps: int = 600,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds: P(grade <= k) = sigmoid(threshold[k] - weights . x).
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import packing, quality, secret_scan, simhash
+from logforge.llm import mixing, packing, quality, secret_scan, simhash
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,10 @@ def op9_quality(docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.rate(docs.select("doc_id", "text"), ratings).select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "expected_grade",
         "tail_probability", "top_probability", "keep")
+
+
+@query("documents")
+def op5_mixing(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cell, calibrated probability and decision of every document."""
+    return mixing.mix(docs.select("doc_id", "text", "lang", "source")).select(
+        "doc_id", "source", "lang", "topic", "tokens", "weight", "kept")
