@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import mixing, packing, quality, secret_scan, simhash
+from logforge.llm import exact_topk, mixing, packing, quality, secret_scan, simhash
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,27 @@ def op5_mixing(docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cell, calibrated probability and decision of every document."""
     return mixing.mix(docs.select("doc_id", "text", "lang", "source")).select(
         "doc_id", "source", "lang", "topic", "tokens", "weight", "kept")
+
+
+@query("embeddings", sql="""
+WITH flat AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM flat q JOIN flat c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+),
+placed AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+         AS INTEGER) AS rank, vec_id, score
+  FROM pairs
+)
+SELECT * FROM placed WHERE rank <= 10
+""")
+def op3_exact_topk(table: DataFrame, sf_dir: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector."""
+    return exact_topk.exact_top_k(table, every=100, k=10)
