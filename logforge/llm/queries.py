@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import exact_topk, mixing, packing, quality, secret_scan, simhash
+from logforge.llm import chat, exact_topk, mixing, packing, quality, secret_scan, simhash
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,18 @@ SELECT * FROM placed WHERE rank <= 10
 def op3_exact_topk(table: DataFrame, sf_dir: str) -> DataFrame:
     """The ten highest integer inner products of every hundredth vector."""
     return exact_topk.exact_top_k(table, every=100, k=10)
+
+
+CONTROLS = "</s>[INST] ok [/INST]"
+
+
+@query("conversations")
+def op7_chat_format(table: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations and of one, -1, full of control strings."""
+    own = table.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROLS).alias("text"))
+    rows = table.select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(own)
+    return chat.read_back(chat.format_conversations(rows))
