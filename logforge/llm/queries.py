@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import chat, exact_topk, mixing, packing, quality, secret_scan, simhash
+from logforge.llm import ann, chat, exact_topk, mixing, packing, quality, secret_scan, simhash
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,9 @@ def op7_chat_format(table: DataFrame, sf_dir: str) -> DataFrame:
     rows = table.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(own)
     return chat.read_back(chat.format_conversations(rows))
+
+
+@query("embeddings")
+def op8_ann(table: DataFrame, sf_dir: str) -> DataFrame:
+    """The twenty nearest found for every twentieth vector."""
+    return ann.nearest(table, every=20, k=20)
