@@ -1,7 +1,7 @@
 """Hashed text features, computed with numpy over many texts at once.
 
 Lexical features are whole words and the character 4-, 5- and 6-grams inside words, with a
-word's edges as characters of their own. Shape features are 1- to 4-grams over character
+word's edges as characters of their own; words and each size of grams have a quarter of the buckets. Shape features are 1- to 4-grams over character
 classes (runs of letters or digits count once) and the share of words that repeat the word
 before them. A feature is its bucket; equal buckets are one feature.
 """
@@ -102,10 +102,10 @@ def lexical(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         letter = _letters(codes)
         owner = rows.astype(np.int32)[piece]
         starts, hashes = _words(codes, letter)
-        yield owner[starts], _bucket(hashes, 1, LEXICAL_BITS)
+        yield owner[starts], _bucket(hashes, 1, LEXICAL_BITS - 2)
         chars = np.where(letter, codes, 0).astype(np.uint64)
         edges = np.concatenate([[0], np.cumsum(~letter)])
-        rolled, n = chars, 1
+        rolled = chars
         for size in range(2, max(GRAMS) + 1):
             if len(chars) < size:
                 break
@@ -114,7 +114,8 @@ def lexical(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 n = len(rolled)
                 inner = edges[size - 1 : size - 1 + n] == edges[1 : n + 1]
                 at = np.flatnonzero(inner)
-                yield owner[at], _bucket(rolled[at], size, LEXICAL_BITS)
+                kind = np.int32((size - GRAMS[0] + 1) << (LEXICAL_BITS - 2))
+                yield owner[at], _bucket(rolled[at], size, LEXICAL_BITS - 2) + kind
 
 
 def word_bucket(word: str) -> int:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import ann, chat, exact_topk, mixing, packing, quality, secret_scan, simhash
+from logforge.llm import ann, chat, exact_topk, mixing, packing, quality, secret_scan, simhash, toxicity
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,10 @@ def op7_chat_format(table: DataFrame, sf_dir: str) -> DataFrame:
 def op8_ann(table: DataFrame, sf_dir: str) -> DataFrame:
     """The twenty nearest found for every twentieth vector."""
     return ann.nearest(table, every=20, k=20)
+
+
+@query("documents")
+def op4_toxicity(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity score and decision of every document."""
+    return toxicity.score(docs.select("doc_id", "text"), beside(sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
