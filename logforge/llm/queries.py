@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import ann, chat, exact_topk, mixing, packing, quality, secret_scan, simhash, toxicity
+from logforge.llm import ann, chat, exact_topk, mixing, packing, quality, secret_scan, simhash, spans, toxicity
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op4_toxicity(docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity score and decision of every document."""
     return toxicity.score(docs.select("doc_id", "text"), beside(sf_dir, "labels")).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@query("documents")
+def op2_sentence_spans(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without repeated runs of sentences."""
+    return spans.remove_repeats(docs)
