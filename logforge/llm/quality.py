@@ -63,9 +63,11 @@ def lexical_counts(sample: DataFrame, grades: int) -> tuple[np.ndarray, np.ndarr
     summed = sample.select("text", "grade").mapInArrow(count, kind).groupBy("bucket").agg(
         *[F.sum(n).alias(n) for n in names])
     sizes = {r["grade"]: r["count"] for r in sample.groupBy("grade").count().collect()}
-    seen = summed.filter(" + ".join(names) + " >= 3").toPandas()
+    seen = summed.filter(" + ".join(names) + " >= 3").toArrow()
     counts = np.zeros((hashed.LEXICAL, grades))
-    counts[seen["bucket"].to_numpy(np.int64)] = seen[names].to_numpy(float).reshape(-1, grades)
+    at = seen.column("bucket").to_numpy()
+    for grade, name in enumerate(names):
+        counts[at, grade] = seen.column(name).to_numpy()
     return np.array([sizes.get(g, 0) for g in range(grades)], float), counts
 
 

@@ -221,9 +221,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     cast = staged(docs.select(
         "doc_id", F.xxhash64("doc_id", F.lit(4)).alias("mix"), voted(whole_text()).alias("votes")), "votes")
     # At most 2 ** VOTERS patterns, whatever the data.
-    counted = cast.groupBy("votes").count().toPandas()
-    patterns = np.sort(counted["votes"].to_numpy(np.int64))
-    counts = counted.set_index("votes")["count"].reindex(patterns).to_numpy(float)
+    counted = cast.groupBy("votes").count().toArrow().sort_by("votes")
+    patterns = counted.column("votes").to_numpy().astype(np.int64)
+    counts = counted.column("count").to_numpy().astype(float)
     anchors = np.zeros((len(patterns), 2))
     for row in sample.select(voted("text").alias("votes"), "grade").groupBy("votes", "grade").count().collect():
         at = np.searchsorted(patterns, row["votes"])
