@@ -16,10 +16,10 @@ from logforge.operators.filters import block_pattern, drop_blank, size_gate as g
 from logforge.catalog.events import subscription_events
 from logforge.plans.config import LogConfig
 from logforge.plans.deliver import deliver, file_sink
-from logforge.plans.ship import ship_logs
+from logforge.plans.ship import failed_rows, ship_logs
 from logforge.session import work_dir
 from logforge.sources.events import read_cloudwatch
-from logforge.sources.objects import object_meta
+from logforge.sources.objects import decode_objects, object_meta
 from logforge.streaming.stream import ship_stream
 
 TARGET = 2000
@@ -316,12 +316,14 @@ def route_failures(t: Tables) -> DataFrame:
 
 @query("""
 SELECT event_id FROM events
-WHERE event_id % 2 = 0 AND epoch_us(ts) + 900000000 <= epoch_us(TIMESTAMP '2024-01-10 00:00:00')
+WHERE NOT (event_id % 2 = 1 AND event_id % 6 >= 3)
+  AND epoch_us(ts) + 900000000 <= epoch_us(TIMESTAMP '2024-01-10 00:00:00')
 """)
 def due_retries(t: Tables) -> DataFrame:
-    # First failures are written to a retry table; the next run reads what is due.
-    df = t("events").filter("event_id % 2 = 0").select(
-        "event_id", F.lit(False).alias("from_retry"), F.lit(None).cast("string").alias("retry"),
+    # Failures are written to a retry table, the dead ones left out; the next run reads what
+    # is due.
+    df = t("events").select(
+        "event_id", (F.col("event_id") % 2 == 1).alias("from_retry"), (F.col("event_id") % 6).cast("string").alias("retry"),
         F.lit("failed").alias("error"), F.col("ts").cast("timestamp").alias("ts"),
     )
     path = work_dir(t.spark, "retry")
@@ -419,6 +421,44 @@ def shipped_documents(t: Tables, **settings) -> DataFrame:
     return ship_logs(df, cfg)
 
 
+@query("""
+SELECT doc_id % 4 AS kind, CASE doc_id % 4 WHEN 0 THEN 'nothing could be decompressed' ELSE 'not UTF-8' END AS error, count(*) AS n
+FROM documents WHERE doc_id % 4 < 2 GROUP BY ALL
+""")
+def ship_failures(t: Tables) -> DataFrame:
+    # Broken compression, bytes that are not UTF-8, and objects that are fine.
+    raw, kind = F.encode("text", "UTF-8"), F.col("doc_id") % 4
+    content = F.when(kind == 0, F.concat(F.unhex(F.lit("1F8B0800")), F.unhex(F.lit("FFFF")))).when(
+        kind == 1, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(raw)
+    name = F.concat(F.lit("o"), F.col("doc_id").cast("string"), F.when(kind == 0, ".gz").otherwise(".log"))
+    objects = decode_objects(t("documents").select(name.alias("unit"), content.alias("content")))
+    failed = failed_rows(objects)
+    number = F.regexp_extract("unit", "[0-9]+", 0).cast("bigint")
+    return failed.groupBy((number % 4).alias("kind"), "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(SHIP_SQL + f"""
+SELECT doc_id, {SEVERITY_SQL} AS severity, source AS application, CAST(doc_id AS VARCHAR) AS subsystem,
+  md5(log) AS message, source AS bucket FROM sent JOIN documents USING (doc_id)
+""")
+def ship_lines(t: Tables) -> DataFrame:
+    # Lines of objects, as they are read one by one, give what whole objects give.
+    key = F.concat(F.lit("in/"), F.col("doc_id").cast("string"), F.lit(".log"))
+    lines = t("documents").select(
+        "doc_id", F.col("doc_id").cast("string").alias("unit"), object_meta(F.col("source"), key).alias("meta"),
+        F.posexplode(F.split("text", "\n")).alias("seq", "log"),
+    )
+    lines = lines.select("*", F.floor(F.col("seq") / 16).alias("block"))
+    cfg = LogConfig(
+        "S3", subsystem="{{ s3.object.key | r'in/([0-9]+)' }}", block="token = ", sample=2,
+        add_metadata=["s3.bucket"], batch_target=4000,
+    )
+    return ship_logs(lines, cfg).select(
+        "doc_id", "severity", "application", "subsystem", F.md5(F.get_json_object("body", "$.message")).alias("message"),
+        F.get_json_object("body", "$['s3.bucket']").alias("bucket"),
+    )
+
+
 @query(SHIP_SQL + f"""
 SELECT doc_id, pos, {SEVERITY_SQL} AS severity, source AS application, CAST(doc_id AS VARCHAR) AS subsystem,
   md5(log) AS message, source AS bucket FROM sent JOIN documents USING (doc_id)
@@ -473,12 +513,11 @@ def stream_ship(t: Tables) -> DataFrame:
 
 @query("""
 SELECT conv_id, turn, '/chat/' || (conv_id % 4) AS subsystem, md5(text) AS text,
-  CASE WHEN conv_id % 4 < 2 THEN n_name END AS nation, 'shop' AS application
+  n_name AS nation, 'shop' AS application
 FROM conversations LEFT JOIN nation ON n_nationkey = conv_id % 4
 """)
 def ship_subscriptions(t: Tables) -> DataFrame:
-    # Two of the four log groups have tags.
-    tags = t("nation").filter("n_nationkey < 2").select(
+    tags = t("nation").select(
         F.concat(F.lit("/chat/"), F.col("n_nationkey").cast("string")).alias("log_group"),
         F.create_map(F.lit("nation"), F.col("n_name")).alias("tags"), F.timestamp_micros(F.lit(0)).alias("fetched_at"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logforge.catalog.registry import Tables, query
 from logforge.functions.text import gzip
 from logforge.operators import framing
+from logforge.operators.failures import dead_objects, route_failures
 from logforge.plans.config import LogConfig
 from logforge.plans.ship import frame_source
 from logforge.sources import events as src
@@ -196,6 +197,56 @@ def kinds(props: Column) -> list[Column]:
     ]
 
 
+@query("""
+SELECT event_id % 3 AS kind, CASE event_id % 3 WHEN 1 THEN 'not base64' WHEN 2 THEN 'not UTF-8' END AS error,
+  event_id % 3 = 0 AS shipped, count(*) AS n FROM events GROUP BY ALL
+""")
+def bad_base64(t: Tables) -> DataFrame:
+    # Stream records: text, data that is no base64, bytes that are no text. No row is lost.
+    kind = F.col("event_id") % 3
+    data = F.when(kind == 0, F.base64(F.encode("props", "UTF-8"))).when(kind == 1, F.lit("%%% no base64 %%%")).otherwise(
+        F.base64(F.unhex(F.lit("FFFE00"))))
+    record = F.struct(F.col("event_id").cast("string").alias("eventID"), F.struct(data.alias("data")).alias("kinesis"))
+    df = t("events").select(kind.alias("kind"), F.to_json(F.struct(F.array(record).alias("Records"))).alias("event"))
+    df = src.read_kinesis_records(df)
+    return df.groupBy("kind", "error", F.col("text").isNotNull().alias("shipped")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT event_id % 3 AS kind, count(*) AS n, count(*) AS stored FROM events GROUP BY ALL
+""")
+def dead_malformed(t: Tables) -> DataFrame:
+    # Dead-lettering takes the very events that nothing else could read.
+    kind = F.col("event_id") % 3
+    event = F.when(kind == 0, F.lit('{"awslogs":{"data":"%%%"}}')).when(kind == 1, F.lit('{"awslogs":{"data":"H4sIAP//"}}')).otherwise(
+        F.concat(F.lit("{broken "), "props"))
+    df = t("events").select(kind.alias("kind"), event.alias("event"), F.col("ts").cast("timestamp").alias("ts"))
+    dead = dead_objects(df, "dead")
+    stored = (F.col("data") == F.encode("event", "UTF-8")) & F.col("object_path").endswith(".json")
+    return dead.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(stored).alias("stored"))
+
+
+@query("""
+SELECT event_id, event_id % 4 AS tries, CASE WHEN event_id % 4 = 3 THEN 'dead' ELSE 'retry' END AS route,
+  CAST(CASE event_id % 4 WHEN 0 THEN 0 WHEN 3 THEN 3 ELSE event_id % 4 + 1 END AS INTEGER) AS retry,
+  'm-' || event_id AS message_id FROM events
+""")
+def retry_cycle(t: Tables) -> DataFrame:
+    # Queue messages, first from the source queue, then from the retry queue with their
+    # counter; all of them fail (again) and are routed by the context the envelope had.
+    tries = F.col("event_id") % 4
+    attributes = F.when(tries > 0, F.create_map(F.lit("retry"), F.struct(
+        F.when(tries == 3, "3").otherwise(tries.cast("string")).alias("stringValue"), F.lit("Number").alias("dataType"))))
+    record = F.struct(
+        F.concat(F.lit("m-"), event_id_text()).alias("messageId"), F.col("props").alias("body"), F.lit("aws:sqs").alias("eventSource"),
+        F.when(tries == 0, "arn:aws:sqs:eu:1:in").otherwise("arn:aws:sqs:eu:1:retry").alias("eventSourceARN"),
+        attributes.alias("messageAttributes"))
+    df = t("events").select("event_id", tries.alias("tries"), F.col("ts").cast("timestamp").alias("ts"),
+                            F.to_json(F.struct(F.array(record).alias("Records"))).alias("event"))
+    df = src.with_retry_context(df, "arn:aws:sqs:eu:1:retry").withColumn("error", F.lit("failed"))
+    return route_failures(df).select("event_id", "tries", "route", "retry", "message_id")
+
+
 @query("""
 SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'S3' WHEN 1 THEN 'Sns' WHEN 2 THEN 'EcrScan' WHEN 3 THEN 'CloudWatch'
   WHEN 4 THEN 'Kinesis' WHEN 5 THEN 'Sqs' WHEN 6 THEN 'Firehose' WHEN 7 THEN 'Kafka' ELSE 'unsupported' END AS event_kind
@@ -209,12 +260,12 @@ def classify_events(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE event_id % 4 WHEN 2 THEN 'Sns' ELSE 'S3' END AS event_kind,
-  CASE event_id % 4 WHEN 2 THEN NULL ELSE event_type || '/' || event_id END AS key
+SELECT event_id, CASE event_id % 5 WHEN 2 THEN 'Sns' ELSE 'S3' END AS event_kind,
+  CASE event_id % 5 WHEN 2 THEN NULL ELSE event_type || '/' || event_id END AS key
 FROM events
 """)
 def unwrap_envelopes(t: Tables) -> DataFrame:
-    # Notification; in a queue message; in a topic in a queue message; plain topic text.
+    # Notification; in a queue message; in a topic in a queue message; plain topic text; five deep.
     notice = F.to_json(F.struct(F.array(F.struct(
         F.lit("ObjectCreated:Put").alias("eventName"),
         F.struct(
@@ -230,9 +281,11 @@ def unwrap_envelopes(t: Tables) -> DataFrame:
     def queue(text: Column) -> Column:
         return F.to_json(F.struct(F.array(F.struct(F.lit("1").alias("messageId"), text.alias("body"))).alias("Records")))
 
-    case = F.col("event_id") % 4
+    case = F.col("event_id") % 5
+    deep = queue(queue(queue(queue(topic(notice)))))
     event = (
         F.when(case == 0, notice).when(case == 1, queue(notice)).when(case == 2, queue(topic(F.col("props"))))
+        .when(case == 3, deep)
         .otherwise(queue(topic(notice)))
     )
     df = src.unwrap_envelopes(t("events").select("event_id", event.alias("event")))

@@ -93,6 +93,16 @@ def stride_sample_hot_unit(t: Tables) -> DataFrame:
     return stride_rows(events, 9, ["unit"], ["event_id"], span=512).select("event_id")
 
 
+@query("""
+SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS n FROM events)
+WHERE n % 7 = 0
+""")
+def stride_sample_by_time(t: Tables) -> DataFrame:
+    # Ordered by time: chunks are cut where the rows lie.
+    events = t("events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    return stride_rows(events, 7, ["event_type"], ["ts", "event_id"], span=512).select("event_id")
+
+
 @query(LINES_SQL + f"SELECT line, count(*) AS n FROM lines WHERE {NOT_BLANK_SQL} GROUP BY line")
 def read_objects(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "objects")
@@ -121,6 +131,16 @@ def gunzip_documents(t: Tables) -> DataFrame:
     return text.select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"), F.md5("text").alias("digest"))
 
 
+@query("SELECT doc_id, octet_length(encode(text)) AS bytes, md5(text) AS digest FROM documents")
+def gunzip_corrupt(t: Tables) -> DataFrame:
+    # The checksum at the end is broken: all that came before it is kept.
+    whole = gzip(F.encode("text", "UTF-8"))
+    df = t("documents").select("doc_id", F.lit("u.gz").alias("unit"), whole.alias("content"))
+    broken = F.concat(F.substr("content", F.lit(1), F.octet_length("content") - 8), F.unhex(F.lit("0102030405060708")))
+    text = decode_objects(df.withColumn("content", broken), "gzip")
+    return text.select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"), F.md5("text").alias("digest"))
+
+
 @query("""
 SELECT doc_id, lang AS level FROM documents WHERE source LIKE 'src1%' AND doc_id % 10 = 7
 """)

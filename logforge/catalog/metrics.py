@@ -24,6 +24,7 @@ def dimension(key: str, text: Column) -> Column:
     scalar = F.struct(
         text.alias("stringValue"), F.lit(None).cast("boolean").alias("boolValue"),
         F.lit(None).cast("bigint").alias("intValue"), F.lit(None).cast("double").alias("doubleValue"),
+        F.lit(None).cast("binary").alias("raw"),
     )
     return F.struct(F.lit(key).alias("key"), scalar.alias("value"))
 
@@ -82,7 +83,8 @@ SELECT {NAMESPACE_SQL} AS namespace, 'm-' || l_returnflag AS metric_name,
 FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL
 """)
 def metric_identity(t: Tables) -> DataFrame:
-    df = ops.metric_identity(ops.flatten_points(line_points(t).filter("l_returnflag <> 'R'")))
+    # Gauges go through it too; only those that summaries have are compared in text.
+    df = ops.metric_identity(ops.flatten_points(line_points(t))).filter("kind = 'summary'")
     df = df.select(
         "namespace", "metric_name", F.array_join(F.transform("dims", lambda d: d["key"]), ",").alias("dim_keys"),
         F.get("dims", F.lit(0))["value"].alias("first_value"),
@@ -140,7 +142,7 @@ def filter_metrics_exclude(t: Tables) -> DataFrame:
 # Inventory: instances and brokers are suppliers, parts are parts, and pairs of both.
 
 REGISTRY = [
-    {"namespace": "AWS/EC2", "resource_types": ["ec2:instance"], "arn_patterns": [r"instance/(?P<InstanceId>[^/]+)"]},
+    {"namespace": "AWS/EC2", "resource_types": ["ec2:instance"], "arn_patterns": [assoc.whole_arn("ec2", "instance/(?P<InstanceId>i-[0-9a-z]+)")]},
     {
         "namespace": "Shop/Parts",
         "resource_types": ["shop"],
@@ -150,7 +152,7 @@ REGISTRY = [
             r":pair/(?P<PartId>[0-9]+)/(?P<Supplier_Id>[0-9]+)$",
         ],
     },
-    {"namespace": "AWS/AmazonMQ", "resource_types": ["mq"], "arn_patterns": [r"broker:(?P<Broker>[^:]+)"]},
+    {"namespace": "AWS/AmazonMQ", "resource_types": ["mq"], "arn_patterns": [assoc.whole_arn("mq", "broker:(?P<Broker>[^:]+):[^:]+")]},
     {"namespace": "Empty/Space", "resource_types": [], "arn_patterns": []},
 ]
 
@@ -213,7 +215,7 @@ def build_associations(t: Tables) -> DataFrame:
 
 @query("""
 SELECT s_suppkey AS supplier, s_name AS team, 'ec2:instance' AS resource_type,
-  s_suppkey // 40 * 1000000 + row_number() OVER (PARTITION BY s_suppkey // 40 ORDER BY s_suppkey) - 1 AS pos
+  s_suppkey // 40 * 2147483648 + row_number() OVER (PARTITION BY s_suppkey // 40 ORDER BY s_suppkey) - 1 AS pos
 FROM supplier WHERE s_suppkey % 2 = 0
 """)
 def load_inventory(t: Tables) -> DataFrame:
@@ -315,6 +317,55 @@ def split_messages(t: Tables) -> DataFrame:
     )
 
 
+def _wire(tag: str, data: Column) -> Column:
+    """One length-prefixed field, under 128 bytes."""
+    return F.concat(F.unhex(F.lit(tag)), F.unhex(F.lpad(F.hex(F.octet_length(data)), 2, "0")), data)
+
+
+@query("""
+SELECT l_linenumber % 5 AS kind, CASE WHEN l_returnflag = 'R' THEN 'gauge' ELSE 'summary' END AS point_kind,
+  count(*) AS n, count(*) AS same_message, count(*) AS same_value FROM lineitem GROUP BY ALL
+""")
+def metric_value_kinds(t: Tables) -> DataFrame:
+    # Attribute values that are bytes, or nested twice, survive decoding and encoding whole,
+    # also where Dimensions are flattened.
+    text = _wire("0A", F.encode(F.concat_ws("-", "l_orderkey", "l_partkey"), "UTF-8"))
+    data = _wire("3A", F.encode(F.col("l_suppkey").cast("string"), "UTF-8"))
+
+    def listed(value: Column) -> Column:
+        return _wire("2A", _wire("0A", value))
+
+    def paired(value: Column) -> Column:
+        return _wire("32", _wire("0A", F.concat(_wire("0A", F.encode(F.lit("k"), "UTF-8")), _wire("12", value))))
+
+    kind = F.col("l_linenumber") % 5
+    value = (
+        F.when(kind == 0, data).when(kind == 1, listed(listed(text))).when(kind == 2, paired(paired(data)))
+        .when(kind == 3, listed(data)).otherwise(paired(listed(text)))
+    )
+    rows = line_points(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("kind").alias("point_kind"))
+    point = F.struct(
+        F.array(ops.attribute("n", F.lit("x")), F.struct(F.lit("v").alias("key"), ops._value({"raw": value}).alias("value"))).alias("attributes"),
+        F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("double").alias("sum"), F.lit(None).cast("binary").alias("rest"),
+    )
+    empty = F.lit(None).cast("binary")
+    metric = F.struct(
+        F.lit("m").alias("name"), F.lit("u").alias("unit"), F.col("point_kind").alias("kind"), F.array(point).alias("data_points"),
+        empty.alias("data_rest"), empty.alias("rest"),
+    )
+    resource = F.struct(F.array(F.struct(F.array(metric).alias("metrics"), empty.alias("rest"))).alias("scope_metrics"), empty.alias("rest"))
+    df = rows.select(kind.alias("kind"), "point_kind", value.alias("value"),
+                     F.array(resource).cast(from_arrow_type(otlp.RESOURCES)).alias("resource_metrics"))
+    df = df.withColumn("message", otlp.encode_request(F.col("resource_metrics")))
+    df = df.withColumn("again", otlp.decode_request(F.col("message")))
+    held = F.col("again")[0]["scope_metrics"][0]["metrics"][0]["data_points"][0]["attributes"][1]["value"]["raw"]
+    df = df.withColumns({"held": held, "back": otlp.encode_request(F.col("again"))})
+    return df.groupBy("kind", "point_kind").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("back") == F.col("message")).alias("same_message"),
+        F.count_if(F.col("held") == F.col("value")).alias("same_value"),
+    )
+
+
 @query("SELECT count(*) AS messages, count(*) AS same FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)")
 def rebuild_payload(t: Tables) -> DataFrame:
     # Taking payloads apart and putting them together again gives the same payloads.

@@ -13,28 +13,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-# Tables that grow with the data; the others are small dimensions.
-FACTS = ["lineitem", "orders", "events", "documents", "conversations"]
-
-
 class Tables:
-    """The given tables by name: ``t("events")``.
-
-    A fact table with fewer splits than cores (a small file is one split) is spread over
-    the cores first. Splits are bounded, so this moves little; a large table has more
-    splits than cores and is read as it lies.
-    """
+    """The given tables by name: ``t("events")``, read as they lie."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def __call__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in FACTS and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 def query(sql: str | None = None):

@@ -49,12 +49,13 @@ def group_count(pattern: str) -> int:
     return len(re.findall(r"\((?!\?)|\(\?P?<[A-Za-z_]", bare))
 
 
-def _variant_path(dotted: str) -> str:
+def _variant_path(dotted: str) -> str | None:
+    """Path of nested keys; None if a key can't be written down in one."""
     steps = []
     for key in dotted.split("."):
         quote = '"' if "'" in key else "'"
         if quote in key:
-            raise ValueError(f"cannot address JSON key {key!r}")
+            return None
         steps.append(f"[{quote}{key}{quote}]")
     return "".join(steps)
 
@@ -69,6 +70,8 @@ def json_name(log: Column, json: Column, dotted: str) -> Column:
     if not all(dotted.split(".")):
         return F.lit(None).cast("string")
     path = _variant_path(dotted)
+    if path is None:
+        return F.lit(None).cast("string")
     value = json_at(json, path)
     kind = F.schema_of_variant(value)
     number = F.get_json_object(log, "$" + path.replace('"', "'"))

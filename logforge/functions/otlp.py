@@ -1,8 +1,9 @@
 """Metric messages: small Arrow helpers between wire bytes and nested columns.
 
 Only what the operators touch is decoded (names, units, attributes, count and sum). The
-other fields of each level travel along untouched as ``rest`` bytes, so writing a message
-back loses nothing.
+other fields of each level travel along untouched as ``rest`` bytes, and attribute values
+that are more than scalars or flat lists of them as ``raw`` bytes, so writing a message back
+loses nothing.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ _scalar = [
     ("doubleValue", pa.float64()),
 ]
 SCALAR = pa.struct(_scalar)
+HELD = pa.struct([*_scalar, ("raw", pa.binary())])
 VALUE = pa.struct([
     *_scalar,
     ("arrayValue", pa.struct([("values", pa.list_(SCALAR))])),
-    ("kvlistValue", pa.struct([("values", pa.list_(pa.struct([("key", pa.string()), ("value", SCALAR)])))])),
+    ("kvlistValue", pa.struct([("values", pa.list_(pa.struct([("key", pa.string()), ("value", HELD)])))])),
+    # Wire bytes of a value that the fields above do not hold whole: bytes, deeper lists.
+    ("raw", pa.binary()),
 ])
 ATTRIBUTES = pa.list_(pa.struct([("key", pa.string()), ("value", VALUE)]))
 POINT = pa.struct([
@@ -133,7 +137,7 @@ class _Columns:
 
 
 def _add_scalar(columns: _Columns, prefix: str, data: bytes) -> tuple[int, bytes] | None:
-    """Append one value; a list value is returned for the caller to unfold."""
+    """Append one value; a value that is no scalar is returned (field, bytes)."""
     text = flag = number = real = held = None
     for field, value, _, _ in _fields(data):
         text = flag = number = real = held = None
@@ -145,7 +149,7 @@ def _add_scalar(columns: _Columns, prefix: str, data: bytes) -> tuple[int, bytes
             number = value - (1 << 64) if value >> 63 else value
         elif field == 4:
             real = struct.unpack("<d", value)[0]
-        elif field in (5, 6):
+        else:
             held = (field, value)
     columns[prefix + "text"].append(text)
     columns[prefix + "flag"].append(flag)
@@ -165,14 +169,20 @@ def _add_pair(columns: _Columns, data: bytes) -> None:
     held = _add_scalar(columns, "v_", raw)
     columns["is_list"].append(held is not None and held[0] == 5)
     columns["is_pairs"].append(held is not None and held[0] == 6)
-    if held is not None:
+    deep = held is not None and held[0] not in (5, 6)
+    if held is not None and not deep:
         for field, item, _, _ in _fields(held[1]):
             if field == 1 and held[0] == 5:
-                _add_scalar(columns, "i_", item)
+                deep |= _add_scalar(columns, "i_", item) is not None
             elif field == 1:
                 inner = {number: value for number, value, _, _ in _fields(item)}
                 columns["p_key"].append(inner.get(1, b"").decode())
-                _add_scalar(columns, "p_", inner.get(2, b""))
+                below = _add_scalar(columns, "p_", inner.get(2, b"")) is not None
+                columns["p_raw"].append(inner[2] if below else None)
+                deep |= below
+            else:
+                deep = True
+    columns["raw"].append(raw if deep else None)
     columns["list_end"].append(len(columns["i_text"]))
     columns["pairs_end"].append(len(columns["p_key"]))
 
@@ -249,7 +259,7 @@ SCALARS = [f"{prefix}{kind}" for prefix in ("v_", "i_", "p_") for kind in ("text
 
 def _decode(messages: pa.Array) -> pa.Array:
     columns = _Columns(
-        *SCALARS, "key", "is_list", "is_pairs", "p_key", "list_end", "pairs_end",
+        *SCALARS, "key", "is_list", "is_pairs", "raw", "p_key", "p_raw", "list_end", "pairs_end",
         "attributes_end", "count", "sum", "point_rest",
         "points_end", "name", "unit", "kind", "data_rest", "metric_rest",
         "metrics_end", "scope_rest", "scopes_end", "resource_rest",
@@ -285,10 +295,11 @@ def _decode(messages: pa.Array) -> pa.Array:
     held, pairs = VALUE.field("arrayValue").type, VALUE.field("kvlistValue").type
     pair = pairs.field("values").type.value_type
     items = lists("list_end", structs(SCALAR, scalars("i_")), held.field("values").type)
-    inner = structs(pair, [columns["p_key"], structs(SCALAR, scalars("p_"))])
+    inner = structs(pair, [columns["p_key"], structs(HELD, [*scalars("p_"), columns["p_raw"]])])
     inner = lists("pairs_end", inner, pairs.field("values").type)
     value = structs(VALUE, [
         *scalars("v_"), structs(held, [items], absent("is_list")), structs(pairs, [inner], absent("is_pairs")),
+        columns["raw"],
     ])
     attributes = lists("attributes_end", structs(ATTRIBUTES.value_type, [columns["key"], value]), ATTRIBUTES)
     points = structs(POINT, [attributes, columns["count"], columns["sum"], columns["point_rest"]])
@@ -347,6 +358,10 @@ def _encode_values(array: pa.StructArray) -> list[bytes]:
         for i, there in enumerate(_values(held.is_valid())):
             if there:
                 out[i] = _block(field, joined[i])
+    if "raw" in parts and parts["raw"].null_count < len(parts["raw"]):
+        for i, whole in enumerate(_values(parts["raw"])):
+            if whole is not None:
+                out[i] = whole
     return out
 
 
@@ -475,15 +490,19 @@ def to_any_value(body: Column) -> Column:
     go through Python.
     """
 
+    def one(text: str) -> str:
+        # A body that has no typed form (infinite number, lone surrogate, too deep) is text.
+        try:
+            value = json.dumps(
+                _any_json(json.loads(text)), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+            value.encode()
+            return value
+        except (ValueError, RecursionError):
+            return json.dumps({"stringValue": text}, ensure_ascii=False, separators=(",", ":"))
+
     @F.arrow_udf(T.StringType())
     def convert(bodies: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                None if b is None else json.dumps(_any_json(json.loads(b)), ensure_ascii=False, separators=(",", ":"))
-                for b in bodies.to_pylist()
-            ],
-            pa.string(),
-        )
+        return pa.array([None if b is None else one(b) for b in bodies.to_pylist()], pa.string())
 
     is_text = F.startswith(body, F.lit('"'))
     is_int = body.rlike(r"^(?:0|-?[1-9][0-9]{0,17})$")

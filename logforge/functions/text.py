@@ -45,7 +45,36 @@ def with_json(df: DataFrame, text: str = "log", out: str = "_json") -> DataFrame
     closed = ~F.contains(col, F.lit("]")) | F.try_parse_json(
         F.concat(F.lit('{"e":'), col, F.lit("}"))
     ).isNotNull()
-    return df.withColumn(out, F.when(one & ~two & closed, F.col(out)))
+    return df.withColumn(out, F.when(one & ~two & closed & ~_beyond_json(col), F.col(out)))
+
+
+# A high surrogate escape without its low one, or a low one without its high
+# one; a number that may be beyond a double; a string.
+LONE_SURROGATE = (
+    r"(?<!\\)(?:\\\\)*(?:\\u[dD][89abAB][0-9a-fA-F]{2}(?!\\u[dD][c-fC-F][0-9a-fA-F]{2})"
+    r"|(?<!\\u[dD][89abAB][0-9a-fA-F]{2})\\u[dD][c-fC-F][0-9a-fA-F]{2})")
+MAYBE_HUGE = r"[0-9][eE]\+?0*[1-9][0-9]{2}|[0-9]{300}"
+JSON_STRING = r'"(?:[^"\\]|\\.)*"'
+JSON_NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+
+
+def _beyond_json(text: Column) -> Column:
+    """What a strict parser refuses and Spark's does not: lone surrogates, infinite numbers."""
+    numbers = F.regexp_extract_all(
+        F.regexp_replace(text, JSON_STRING, '""'), F.lit(JSON_NUMBER), F.lit(0))
+    infinite = F.exists(numbers, lambda n: F.abs(n.cast("double")) == float("inf"))
+    return F.coalesce(
+        text.rlike(LONE_SURROGATE) | F.when(text.rlike(MAYBE_HUGE), infinite).otherwise(False),
+        F.lit(False))
+
+
+def strict_object(text: Column) -> Column:
+    """Whether the whole text is one JSON object."""
+    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    kind = F.schema_of_variant(F.try_variant_get(boxed, "$[0]", "variant"))
+    two = F.try_variant_get(boxed, "$[1]", "variant").isNotNull()
+    closed = F.try_parse_json(F.concat(F.lit('{"e":'), text, F.lit("}"))).isNotNull()
+    return F.coalesce(kind.startswith("OBJECT") & ~two & closed & ~_beyond_json(text), F.lit(False))
 
 
 def json_at(json: Column, path: str = "") -> Column:
@@ -66,11 +95,16 @@ def base64_or_raw(value: Column) -> Column:
 
     Spark's own decoder accepts unpadded and spaced input, hence the pattern.
     """
-    return F.when(value.rlike(BASE64_PATTERN), F.unbase64(value)).otherwise(
+    return F.when(value.rlike(BASE64_PATTERN), base64_bytes(value)).otherwise(
         F.encode(value, "UTF-8")
     )
 
 
+def base64_bytes(value: Column) -> Column:
+    """Decoded base64; NULL, not a failed job, for text that is none."""
+    return F.try_to_binary(value, F.lit("base64"))
+
+
 def utf8_or_null(data: Column) -> Column:
     """Text of valid UTF-8 bytes, NULL otherwise."""
     return F.try_validate_utf8(data.cast("string"))
@@ -96,9 +130,16 @@ def _gunzip(data: bytes) -> bytes | None:
         try:
             while pos < len(view) and not member.eof:
                 chunk = view[pos : pos + (1 << 16)]
+                before = member.copy()
                 parts.append(member.decompress(chunk))
                 pos += len(chunk)
         except zlib.error:
+            # Again byte by byte, to keep what the step gave before its error.
+            try:
+                for at in range(len(chunk)):
+                    parts.append(before.decompress(chunk[at : at + 1]))
+            except zlib.error:
+                pass
             break
         pos -= len(member.unused_data)
     return b"".join(parts) or None

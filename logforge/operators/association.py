@@ -31,40 +31,36 @@ INVENTORY_PAGE_SCHEMA = """ResourceTagMappingList array<struct<ResourceARN strin
 # Broker metrics carry a node number that resource names do not have.
 VALUE_SUFFIXES = {("AWS/AmazonMQ", "Broker"): "-[0-9]+$"}
 
-# A small default registry; pass your own entries for other namespaces.
-DEFAULT_REGISTRY = [
-    {
-        "namespace": "AWS/EC2",
-        "resource_types": ["ec2:instance"],
-        "arn_patterns": [r"instance/(?P<InstanceId>[^/]+)"],
-    },
-    {
-        "namespace": "AWS/AmazonMQ",
-        "resource_types": ["mq"],
-        "arn_patterns": [r"broker:(?P<Broker>[^:]+)"],
-    },
-    {
-        "namespace": "AWS/SQS",
-        "resource_types": ["sqs"],
-        "arn_patterns": [r"(?P<QueueName>[^:]+)$"],
-    },
-    {
-        "namespace": "AWS/Lambda",
-        "resource_types": ["lambda:function"],
-        "arn_patterns": [r":function:(?P<FunctionName>[^/]+)"],
-    },
-]
+
+def whole_arn(service: str, resource: str) -> str:
+    """A pattern of complete ARNs (arn:partition:service:region:account:resource)."""
+    return rf"^arn:[a-z0-9-]+:{service}:[a-z0-9-]*:[0-9]*:{resource}$"
+
+
+def default_registry() -> list[dict]:
+    """Entries for four namespaces, by the documented form of their resources' ARNs."""
+    documented = [
+        ("AWS/EC2", "ec2", "ec2:instance", "instance/(?P<InstanceId>i-[0-9a-z]+)"),
+        ("AWS/SQS", "sqs", "sqs", "(?P<QueueName>[A-Za-z0-9_.-]+)"),
+        ("AWS/Lambda", "lambda", "lambda:function", "function:(?P<FunctionName>[A-Za-z0-9_-]+)"),
+        ("AWS/AmazonMQ", "mq", "mq", "broker:(?P<Broker>[A-Za-z0-9_-]+):[A-Za-z0-9-]+"),
+    ]
+    return [
+        {"namespace": namespace, "resource_types": [kind], "arn_patterns": [whole_arn(service, resource)]}
+        for namespace, service, kind, resource in documented
+    ]
 
 
 def load_registry(spark: SparkSession, entries: Iterable[dict] | None = None) -> DataFrame:
-    """Registry rows from ``{namespace, resource_types, arn_patterns}`` entries.
+    """Registry rows from ``{namespace, resource_types, arn_patterns}`` entries (by default
+    ``default_registry``). ``whole_arn`` helps to write patterns that cannot match by accident.
 
     It has one row per namespace. Patterns are checked here: a bad one is skipped with a
     warning, and so is one without named groups, which could match nothing. Group names are
     the dimension names, ``_`` standing for a blank.
     """
     rows = []
-    for entry in DEFAULT_REGISTRY if entries is None else entries:
+    for entry in default_registry() if entries is None else entries:
         patterns = []
         for text in entry.get("arn_patterns") or []:
             try:
@@ -102,7 +98,8 @@ def load_inventory(pages: DataFrame, resource_types: list[str] | None = None, pa
         arn.alias("arn"),
         F.when(kind == "", service).otherwise(F.concat(service, F.lit(":"), kind)).alias("resource_type"),
         F.transform("_r.Tags", lambda t: F.struct(t["Key"].alias("key"), t["Value"].alias("value"))).alias("tags"),
-        (F.col("page_no").cast("bigint") * 1_000_000 + F.col("_i")).alias("pos"),
+        # A page is one array, which has fewer than 2 ** 31 elements.
+        (F.shiftleft(F.col("page_no").cast("bigint"), 31) + F.col("_i")).alias("pos"),
     )
     if resource_types is not None:
         df = df.filter(F.exists(_type_names(), lambda t: t.isin(resource_types)))

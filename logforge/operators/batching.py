@@ -271,13 +271,16 @@ def split_by_size(
 
     df = df.withColumn("_at", F.struct(*order))
     row = F.struct(
-        F.col("_at").alias("at"), F.col(size).cast("bigint").alias("size"), F.xxhash64(*group).alias("group")
+        F.col("_at").alias("at"), F.col(size).cast("bigint").alias("size"), F.struct(*group).alias("group")
     )
+    # Groups are numbered by their place among the batch's distinct ones: no hash can collide.
+    known = F.array_distinct("_rows.group")
+    numbers = F.transform("_rows.group", lambda g: F.array_position(known, g))
     starts = (
         df.select(*batch, row.alias("_row"))
         .groupBy(*batch)
         .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
-        .withColumn("_first", halve("_rows.size", "_rows.group"))
+        .withColumn("_first", halve("_rows.size", numbers))
         .select(*batch, F.transform("_first", lambda i: F.get("_rows.at", i)).alias("_starts"))
     )
     passed = F.size(F.filter("_starts", lambda s: s <= F.col("_at"))) - 1

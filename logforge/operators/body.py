@@ -88,8 +88,13 @@ def build_body(
     kind = F.schema_of_variant(F.try_variant_get(F.col("_json"), "$[0]", "variant"))
     head = F.regexp_replace(text, r"\}\s*$", "")
     comma = F.when(head.rlike(r"^\s*\{\s*$"), "").otherwise(",")
+    members = F.try_variant_get(F.col("_json"), "$[0]", "map<string,variant>")
+    others = F.map_filter(members, lambda k, _: k != TAGS)
+    replaced = F.to_json(F.map_concat(others, F.create_map(F.lit(TAGS), F.try_parse_json(tags))))
     tagged = (
-        F.when(kind.startswith("OBJECT"), F.concat(head, comma, tags_member, F.lit("}")))
+        # An object with tags of its own gets these in their place, not a second member.
+        F.when(F.map_contains_key(members, TAGS), replaced)
+        .when(kind.startswith("OBJECT"), F.concat(head, comma, tags_member, F.lit("}")))
         .when(F.coalesce(kind == "STRING", F.lit(True)), F.concat(F.lit('{"text":'), value, F.lit(","), tags_member, F.lit("}")))
         .otherwise(F.concat(F.lit('{"message":'), value, F.lit(","), tags_member, F.lit("}")))
     )

@@ -62,8 +62,11 @@ def dead_objects(df: DataFrame, prefix: str, event: str = "event", ts: str = "ts
     }).drop("payload")
 
 
-def store_dead(df: DataFrame, path: str, ts: str = "ts") -> None:
-    """Append dead events to a table partitioned by day and hour.
+def store_dead(df: DataFrame, path: str, ts: str = "ts", run: str | None = None) -> None:
+    """Add dead events to a table partitioned by day and hour.
+
+    With ``run``, a name for what is stored now, the rows get a folder of their own below
+    ``path``, which storing them again replaces; without, they are appended.
 
     Rows are brought together by hour for few files; a hot hour is split again by size.
     """
@@ -71,7 +74,7 @@ def store_dead(df: DataFrame, path: str, ts: str = "ts") -> None:
         df.withColumn("dt", F.date_format(ts, "yyyy-MM-dd"))
         .withColumn("hour", F.date_format(ts, "HH"))
         .hint("rebalance", F.col("dt"), F.col("hour"))
-        .write.mode("append")
+        .write.mode("append" if run is None else "overwrite")
         .partitionBy("dt", "hour")
-        .parquet(path)
+        .parquet(path if run is None else f"{path.rstrip('/')}/run={run}")
     )

@@ -18,7 +18,8 @@ def join_group_tags(
 ) -> DataFrame:
     """Left-join ``tags(log_group, tags, fetched_at)`` and put them into ``meta['cw.tags']``.
 
-    Without ``ttl_seconds`` the latest snapshot of a group counts. With it, a record gets
+    Without ``ttl_seconds``, or with 0 (nothing is remembered), the latest snapshot of a group
+    counts. With it, a record gets
     the latest snapshot not after its ``ts`` and younger than the time to live. Empty tags,
     or none, leave ``meta`` as it is.
 
@@ -26,7 +27,7 @@ def join_group_tags(
     meets at most two time buckets of that width. Buckets also spread a hot group.
     """
     tags = tags.select(F.col("log_group").alias("_group"), "tags", "fetched_at")
-    if ttl_seconds is None:
+    if not ttl_seconds:
         latest = tags.groupBy("_group").agg(F.max_by("tags", "fetched_at").alias("_tags"))
         df = df.withColumn("_group", F.col(group))
         df = join_on(df, latest, ["_group"], "left").drop("_group")

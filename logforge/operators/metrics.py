@@ -155,14 +155,31 @@ def _value(present: dict[str, Column]) -> Column:
     ])
 
 
+def _plain_digits(text: Column) -> Column:
+    """``1.25E-5`` → ``0.0000125``, ``-1.0E20`` → ``-100000000000000000000``."""
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(text, "E", 1), r"[-.]", ""), "0+$", "")
+    power = F.substring_index(text, "E", -1).cast("int")
+    # Shortest digits of a double are at most 17, so none of them stands behind the point here.
+    large = F.rpad(digits, power + 1, F.lit("0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    middle = F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))
+    shown = F.when(power < 0, small).when(F.length(digits) > power + 1, middle).otherwise(large)
+    return F.concat(sign, shown)
+
+
 def value_text(value: Column) -> Column:
-    """Text of a scalar value, ``""`` for lists; whole doubles print without a fraction."""
+    """Text of a scalar value, ``""`` for lists; whole doubles print without a fraction, and
+    large or small ones without an exponent."""
     number = value["doubleValue"]
     whole = (number == F.floor(number)) & (F.abs(number) < 1e18)
+    short = number.cast("string")
     return F.coalesce(
         value["stringValue"],
         value["intValue"].cast("string"),
-        F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string")),
+        F.when(whole, number.cast("bigint").cast("string"))
+        .when(F.contains(short, F.lit("E")), _plain_digits(short))
+        .otherwise(short),
         value["boolValue"].cast("string"),
         F.lit(""),
     )
@@ -172,7 +189,7 @@ def flatten_dimensions(attributes: Column) -> Column:
     """Remove ``Dimensions`` and append the pairs it held."""
 
     def widen(pair: Column) -> Column:
-        scalars = ["stringValue", "boolValue", "intValue", "doubleValue"]
+        scalars = ["stringValue", "boolValue", "intValue", "doubleValue", "raw"]
         value = _value({name: pair["value"][name] for name in scalars})
         return F.struct(pair["key"].alias("key"), value.alias("value"))
 

@@ -7,6 +7,8 @@ per chunk is combined along the unit.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,23 +16,62 @@ from pyspark.sql import types as T
 from logforge.operators.joins import join_on
 
 SPAN = 1 << 16
+MOST_CHUNKS = 1 << 12
 
 
 def chunk_column(df: DataFrame, order: list[str], chunk: Column | str | None, span: int) -> Column:
     """A value that never decreases along ``order``.
 
-    By default the first order column, an integer or timestamp (in microseconds), is
-    divided by ``span``; a dense position then gives at most ``span`` rows per chunk.
+    A single integer column is a dense position: it is divided by ``span``. Other orders, by
+    time or by several columns, are cut where the data lie: at approximate quantiles of the
+    first column, and at those of the second one inside values of the first that fill
+    whole chunks. This reads ``df`` up to three times while the plan is made.
     """
     if chunk is not None:
         return F.col(chunk) if isinstance(chunk, str) else chunk
-    kind = df.schema[order[0]].dataType
-    key = F.col(order[0])
+    key = order_key(df, order[0])
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.IntegralType):
+        return F.floor(key / F.lit(span)).cast("bigint")
+    parts = min(MOST_CHUNKS, df.count() // span + 1)
+    bounds = quantiles(df, key, parts)
+    column = between(key, sorted(set(bounds)))
+    heavy = sorted({b for b in bounds if bounds.count(b) > 1})
+    if heavy and len(order) > 1:
+        second = order_key(df, order[1])
+        inner = quantiles(df.filter(key.isin(heavy)), second, parts)
+        column = column * (2 * parts) + F.when(key.isin(heavy), between(second, sorted(set(inner)))).otherwise(0)
+    return column
+
+
+def order_key(df: DataFrame, name: str) -> Column:
+    """An order column as a number; nulls come first."""
+    kind, key = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.TimestampType):
         key = F.unix_micros(key)
     elif not isinstance(kind, T.IntegralType):
-        raise TypeError(f"give chunk= to order by {order[0]!r} of type {kind.simpleString()}")
-    return F.floor(key / F.lit(span)).cast("bigint")
+        raise TypeError(f"give chunk= to order by {name!r} of type {kind.simpleString()}")
+    return F.coalesce(key.cast("bigint"), F.lit(-(1 << 63)))
+
+
+def quantiles(df: DataFrame, key: Column, parts: int) -> list[int]:
+    """The bounds between ``parts`` parts of about equal size."""
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    return df.agg(F.percentile_approx(key, shares, 10 * parts)).first()[0] or []
+
+
+def between(key: Column, bounds: list[int]) -> Column:
+    """Twice the number of bounds below the key, one more if it is one of them."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+
+    @F.arrow_udf(T.LongType())
+    def search(keys: pa.Array) -> pa.Array:
+        values, edges = keys.to_numpy(zero_copy_only=False), np.array(bounds, np.int64)
+        return pa.array(np.searchsorted(edges, values, "left") + np.searchsorted(edges, values, "right"))
+
+    return search(key)
 
 
 def ordered_position(

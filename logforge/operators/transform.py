@@ -20,9 +20,17 @@ def _parse(log: str) -> Any:
     def not_json(name: str):
         raise ValueError(name)
 
+    def finite(text: str) -> float:
+        number = float(text)
+        if number in (float("inf"), float("-inf")):
+            raise ValueError(text)
+        return number
+
     try:
-        return json.loads(log, parse_constant=not_json)
-    except ValueError:
+        value = json.loads(log, parse_constant=not_json, parse_float=finite)
+        json.dumps(value, ensure_ascii=False).encode()
+        return value
+    except (ValueError, RecursionError):
         return log
 
 
@@ -70,7 +78,11 @@ def transform_records(
             result = call(_parse(record))
             if not isinstance(result, list):
                 raise TypeError(f"got {type(result).__name__}, expected a list")
-            return [_render(item) for item in result], None
+            texts = [_render(item) for item in result]
+            for text in texts:
+                # A lone surrogate has no UTF-8 form: that is this record's error, not the job's.
+                text.encode()
+            return texts, None
         except Exception as error:
             if on_error == "fail":
                 raise

@@ -14,16 +14,25 @@ from logforge.operators.export import delivery_outcome
 Sink = Callable[[DataFrame], DataFrame]
 
 
-def file_sink(path: str, keys: list[str], parallelism: int | None = None, mode: str = "append") -> Sink:
-    """Write requests as a table; what can be read back was delivered.
+def file_sink(path: str, keys: list[str], parallelism: int | None = None, run: str | None = None) -> Sink:
+    """Write requests as a table under ``path``; what can be read back was delivered.
 
-    ``parallelism`` bounds the concurrent writers, without a shuffle.
+    Each run has a folder of its own, named ``run`` or, by default, after the set of keys sent:
+    sending the same requests again replaces them, and a run reports only its own. Readers
+    of the whole table find the folder as the column ``run``. ``parallelism`` bounds the
+    concurrent writers only: the work before them keeps its own tasks.
     """
 
     def send(requests: DataFrame) -> DataFrame:
-        rows = requests.coalesce(parallelism) if parallelism else requests
-        rows.write.mode(mode).parquet(path)
-        stored = requests.sparkSession.read.parquet(path)
+        rows, name = requests, run
+        if name is None:
+            sent = requests.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*keys)), F.sum(F.crc32(F.to_json(F.struct(*keys)).cast("binary")))).first()
+            name = "-".join(str(x or 0) for x in sent)
+        if parallelism:
+            rows = rows.repartition(parallelism)
+        folder = f"{path.rstrip('/')}/run={name}"
+        rows.write.mode("overwrite").parquet(folder)
+        stored = requests.sparkSession.read.parquet(folder)
         return stored.select(
             *keys,
             F.lit(1).alias("attempt"),

@@ -13,7 +13,7 @@ from logforge.operators import framing
 from logforge.operators.association import associate_tags, require_inventory
 from logforge.operators.batching import pack_batches, pack_objects, single_batches
 from logforge.operators.body import build_body, name_records
-from logforge.operators.filters import drop_blank
+from logforge.operators.filters import block_pattern, drop_blank, stride_sample
 from logforge.operators.lookup import join_group_tags
 from logforge.operators.metrics import (
     decode_metrics,
@@ -29,6 +29,7 @@ from logforge.operators.metrics import (
 from logforge.operators.transform import transform_records
 from logforge.plans.config import OBJECT_SOURCES, LogConfig, MetricConfig
 from logforge.session import staged
+from logforge.sources.objects import object_meta, split_path
 
 
 def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
@@ -36,14 +37,17 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
 
     Objects come with ``unit, text, meta``; subscriptions with ``payload``; stream records
     with ``text`` and ``payload``; queue, topic and Kafka messages with ``log`` already.
-    Blocking and sampling apply to objects and subscriptions only. Rows that do not have
-    the columns of the configured integration give nothing.
+    Blocking and sampling apply to objects, their lines and subscriptions only. Lines of
+    objects read one by one (``read_lines``: ``unit, block, seq, log``) are records already.
+    Rows without the columns of the configured integration give nothing but a warning here;
+    ``failed_rows`` reports each of them.
     """
     kind = cfg.integration
-    # Rows with an error have no text, and so no records.
+    # Rows with an error have no text, and so no records; ``failed_rows`` tells of them.
     df = df.drop("error")
-    need = {"CloudWatch": ["payload"], "Kinesis": ["text", "payload"], "EcrScan": ["findings"]}
-    for name in need.get(kind, ["text"] if kind in OBJECT_SOURCES else ["log"]):
+    if kind == "S3" and _are_lines(df):
+        return frame_object_lines(df, cfg)
+    for name in _needed(kind):
         if name not in df.columns:
             warnings.warn(f"rows do not match integration {kind}: no column {name!r}", stacklevel=2)
             empty = df.filter(F.lit(False))
@@ -61,6 +65,42 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
     return df
 
 
+def _needed(kind: str) -> list[str]:
+    need = {"CloudWatch": ["payload"], "Kinesis": ["text", "payload"], "EcrScan": ["findings"]}
+    return need.get(kind, ["text"] if kind in OBJECT_SOURCES else ["log"])
+
+
+def _are_lines(df: DataFrame) -> bool:
+    return "text" not in df.columns and {"log", "block", "seq"} <= set(df.columns)
+
+
+def frame_object_lines(df: DataFrame, cfg: LogConfig) -> DataFrame:
+    """Lines of objects, blocked and sampled as whole objects are; ``seq`` becomes ``pos``."""
+    if cfg.newline_pattern != LogConfig.newline_pattern:
+        raise ValueError("lines are split while reading; a separator pattern needs whole objects")
+    if cfg.block:
+        df = block_pattern(df, cfg.block)
+    if cfg.sample > 1:
+        df = stride_sample(df, cfg.sample, ["unit"], ["seq"], chunk="block")
+    if "meta" not in df.columns:
+        df = df.withColumn("meta", object_meta(*split_path(F.col("unit"))))
+    return df.withColumnRenamed("seq", "pos")
+
+
+def failed_rows(df: DataFrame, cfg: LogConfig | None = None) -> DataFrame:
+    """``unit, error`` of the rows of a source that cannot be shipped: undecodable objects and
+    payloads, events of no known kind, and, given ``cfg``, all rows if they do not match its
+    integration. Route them with ``route_failures`` beside ``ship_logs``."""
+    error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    if "event_kind" in df.columns:
+        error = F.coalesce(error, F.when(F.col("event_kind") == "unsupported", "unsupported event"))
+    if cfg is not None and not (cfg.integration == "S3" and _are_lines(df)):
+        missing = [name for name in _needed(cfg.integration) if name not in df.columns]
+        if missing:
+            error = F.coalesce(error, F.lit(f"rows do not match integration {cfg.integration}: no {missing[0]}"))
+    return df.select("unit", error.alias("error")).filter(F.col("error").isNotNull())
+
+
 def frame_objects(df: DataFrame, cfg: LogConfig) -> DataFrame:
     """Whole objects → their ``records``, one row per object."""
     if cfg.integration == "S3":
@@ -133,14 +173,18 @@ def ship_logs(df: DataFrame, cfg: LogConfig, group_tags: DataFrame | None = None
         # An object is one row until it is unfolded, so it is packed there, without a shuffle.
         df = pack_objects(frame_objects(df, cfg), cfg.block, cfg.sample, cfg.batch_target, cfg.record_overhead)
     else:
+        lines = cfg.integration == "S3" and _are_lines(df)
         df = drop_blank(frame_source(df, cfg))
         order = [c for c in ("record", "pos") if c in df.columns]
+        if not order:
+            raise ValueError("rows have neither record nor pos to be packed in order by")
         if cfg.transform is not None:
             df = drop_blank(transform_records(df, cfg.transform))
             order.append("transform_seq")
             df = staged(df, "transformed")
         df = df.withColumn("log_bytes", F.octet_length("log"))
-        df = pack_batches(df, ["unit"], order, "log_bytes", cfg.batch_target, cfg.record_overhead)
+        chunk = "block" if lines else None
+        df = pack_batches(df, ["unit"], order, "log_bytes", cfg.batch_target, cfg.record_overhead, chunk=chunk)
     if group_tags is not None:
         df = df.withColumn("_log_group", F.try_element_at("meta", F.lit("cw.log.group")))
         df = join_group_tags(df, group_tags, group="_log_group").drop("_log_group")
@@ -171,8 +215,9 @@ def ship_metrics(
     ``resource_metrics``, ``message`` (bytes). Malformed records stop the job, as their
     unit must not be sent in part."""
     if not unit:
+        # No global unit, which would be one long sequence: each record is its own.
         unit = ["unit"]
-        df = df.withColumn("unit", F.lit(""))
+        df = df.withColumn("unit", F.col("record_id").cast("string"))
     points = explode_points(decode_metrics(split_messages(df)))
     # Decoded once: association reads the points twice.
     points = staged(points, "points")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from logforge.functions.text import base64_or_raw, gunzip_or_raw, utf8_or_null
+from logforge.functions.text import base64_bytes, base64_or_raw, gunzip_or_raw, strict_object, utf8_or_null
 from logforge.operators.joins import join_on
 from logforge.operators.rows import unfold
+from logforge.session import staged
 from logforge.sources.objects import NOTIFICATION_SCHEMA
 
 ATTRIBUTE = "struct<stringValue string, dataType string>"
@@ -58,22 +60,84 @@ def classify_events(df: DataFrame, event: str = "event") -> DataFrame:
 
 
 def unwrap_envelopes(df: DataFrame, event: str = "event", depth: int = 3) -> DataFrame:
-    """Replace queue messages and notification topics by the event they carry.
+    """Replace queue messages and notification topics by the event they carry, however deep.
 
-    One narrow pass per level. Topic messages that carry no object notification stay as
-    they are (they are log text), as does anything that is no envelope.
+    One narrow pass per level; after ``depth`` passes the rows are written out and passes go
+    on while any row is still an envelope. Topic messages that carry no object notification
+    stay as they are (they are log text), as does anything that is no envelope. A stream
+    cannot be looked at while it is planned; there a row that is an envelope after ``depth``
+    levels gets ``error``, for the quarantine.
+
+    With a column ``message_id``, ``source_arn`` and ``retry`` (see ``with_retry_context``)
+    those of the outermost message are kept.
     """
+    df = _unwrap_levels(df, event, depth)
+    if df.isStreaming:
+        kept = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+        deep = (F.col("event_kind") == "Sqs") | ((F.col("event_kind") == "Sns") & _notices(event))
+        return df.withColumn("error", F.coalesce(kept, F.when(deep, "nested too deep")))
+    while True:
+        df = staged(df, "unwrapped")
+        deep = (F.col("event_kind") == "Sqs") | ((F.col("event_kind") == "Sns") & _notices(event))
+        if df.filter(deep & ~_text_messages(event)).isEmpty():
+            return df
+        df = _unwrap_levels(df.drop("event_kind"), event, 1)
+
+
+def _text_messages(event: str) -> Column:
+    """A queue event none of whose bodies can be unwrapped further."""
+    bodies = F.transform(F.from_json(F.col(event), SQS_SCHEMA).getField("Records"), lambda r: r["body"])
+    return (F.col("event_kind") == "Sqs") & ~F.coalesce(F.exists(bodies, lambda b: b.isNotNull()), F.lit(False))
+
+
+def _notices(event: str) -> Column:
+    """Whether all messages of a topic event are object notifications."""
+    messages = F.transform(F.from_json(F.col(event), SNS_SCHEMA).getField("Records"), lambda r: r["Sns"]["Message"])
+    return F.forall(
+        messages,
+        lambda m: F.get(F.from_json(m, NOTIFICATION_SCHEMA).getField("Records"), F.lit(0)).getField("s3").isNotNull(),
+    )
+
+
+def with_retry_context(df: DataFrame, retry_arn: str | None = None, event: str = "event") -> DataFrame:
+    """Add ``message_id``, ``source_arn``, ``retry`` and ``from_retry`` of queue events, one row per
+    message: each row gets an event with that message alone.
+
+    ``from_retry`` says that the message came from the queue ``retry_arn``; ``retry`` is its
+    attempt counter as text. Other events have NULL and false. Use it before
+    ``unwrap_envelopes``, whose rows keep the columns, and ``route_failures`` after.
+    """
+    df = classify_events(df, event)
+    records = F.from_json(F.col(event), SQS_SCHEMA).getField("Records")
+    none = F.lit(None).cast(records_type())
+    rest = [c for c in df.columns if c not in (event, "event_kind", "message_id", "source_arn", "retry", "from_retry")]
+    one = F.when(F.col("event_kind") == "Sqs", records).otherwise(F.array(none))
+    df = unfold(df.withColumn("_old", F.col(event)), [*rest, "_old"], one, "_r").drop("_pos")
+    text = F.to_json(F.struct(F.array("_r").alias("Records")))
+    arn = F.col("_r.eventSourceARN")
+    return df.select(
+        *rest,
+        F.when(F.col("_r").isNotNull(), text).otherwise(F.col("_old")).alias(event),
+        F.col("_r.messageId").alias("message_id"),
+        arn.alias("source_arn"),
+        F.try_element_at("_r.messageAttributes", F.lit("retry")).getField("stringValue").alias("retry"),
+        F.coalesce(arn == F.lit(retry_arn), F.lit(False)).alias("from_retry"),
+    )
+
+
+def records_type() -> str:
+    """The type of one queue record."""
+    return SQS_SCHEMA.split("array<", 1)[1].rsplit(">", 1)[0]
+
+
+def _unwrap_levels(df: DataFrame, event: str, depth: int) -> DataFrame:
     for _ in range(depth):
         df = classify_events(df, event)
         bodies = F.transform(F.from_json(F.col(event), SQS_SCHEMA).getField("Records"), lambda r: r["body"])
         messages = F.transform(F.from_json(F.col(event), SNS_SCHEMA).getField("Records"), lambda r: r["Sns"]["Message"])
-        notices = F.forall(
-            messages,
-            lambda m: F.get(F.from_json(m, NOTIFICATION_SCHEMA).getField("Records"), F.lit(0)).getField("s3").isNotNull(),
-        )
         inner = (
             F.when(F.col("event_kind") == "Sqs", F.filter(bodies, lambda b: b.isNotNull()))
-            .when((F.col("event_kind") == "Sns") & notices, messages)
+            .when((F.col("event_kind") == "Sns") & _notices(event), messages)
             .otherwise(F.array(F.col(event)))
         )
         rest = [c for c in df.columns if c not in (event, "event_kind")]
@@ -129,9 +193,12 @@ def read_kafka_records(df: DataFrame, event: str = "event") -> DataFrame:
 
 
 def kafka_values(df: DataFrame) -> DataFrame:
-    """``topic``, ``value`` → ``log``, ``meta``, ``error``; also for ``readStream`` rows
-    whose value was cast to text."""
-    df = df.withColumn("log", utf8_or_null(base64_or_raw(F.col("value"))))
+    """``topic``, ``value`` → ``log``, ``meta``, ``error``; ``value`` is text, or the bytes of a
+    ``readStream`` row, which must be UTF-8 before they are looked at as text."""
+    text = F.col("value")
+    if isinstance(df.schema["value"].dataType, T.BinaryType):
+        text = utf8_or_null(text)
+    df = df.withColumn("log", utf8_or_null(base64_or_raw(text)))
     return df.withColumn("meta", F.create_map(F.lit("kafka.topic"), F.col("topic"))).withColumn(
         "error", F.when(F.col("log").isNull(), "not UTF-8")
     )
@@ -141,8 +208,12 @@ def read_cloudwatch(df: DataFrame, event: str = "event") -> DataFrame:
     """Subscription events: base64 gzip payload → ``payload`` struct."""
     data = F.from_json(F.col(event), "awslogs struct<data string>").getField("awslogs").getField("data")
     rest = [c for c in df.columns if c != event]
-    text = utf8_or_null(gunzip_or_raw(F.unbase64(data)))
-    return df.select(*rest, cloudwatch_payload(text).alias("payload"))
+    raw = base64_bytes(data)
+    text = utf8_or_null(gunzip_or_raw(raw))
+    payload = cloudwatch_payload(text)
+    error = F.when(data.isNotNull() & raw.isNull(), "not base64").when(
+        data.isNotNull() & text.isNull(), "not UTF-8")
+    return df.select(*[c for c in rest if c != "error"], payload.alias("payload"), error.alias("error"))
 
 
 def cloudwatch_payload(text: Column) -> Column:
@@ -152,7 +223,7 @@ def cloudwatch_payload(text: Column) -> Column:
     whole = payload.getField(needed[0]).isNotNull()
     for name in needed[1:]:
         whole = whole & payload.getField(name).isNotNull()
-    return F.when(text.startswith("{") & whole, payload)
+    return F.when(whole & strict_object(text), payload)
 
 
 def read_kinesis_records(df: DataFrame, event: str = "event") -> DataFrame:
@@ -168,9 +239,13 @@ def read_kinesis_records(df: DataFrame, event: str = "event") -> DataFrame:
         F.create_map(
             *[x for name, field in KINESIS_META.items() for x in (F.lit(name), F.col(f"r.{field}"))]
         ).alias("meta"),
-        F.unbase64("r.kinesis.data").alias("_data"),
+        F.col("r.kinesis.data").alias("_text"),
+        base64_bytes(F.col("r.kinesis.data")).alias("_data"),
     )
-    df = df.withColumn("text", utf8_or_null(gunzip_or_raw(F.col("_data")))).drop("_data")
+    df = df.withColumn("text", utf8_or_null(gunzip_or_raw(F.col("_data"))))
+    error = F.when(F.col("_text").isNotNull() & F.col("_data").isNull(), "not base64").when(
+        F.col("_data").isNotNull() & F.col("text").isNull(), "not UTF-8")
+    df = df.withColumn("error", error).drop("_data", "_text")
     return df.withColumn("payload", cloudwatch_payload(F.col("text")))
 
 
@@ -195,11 +270,11 @@ def read_scan_events(df: DataFrame, findings: DataFrame, event: str = "event") -
 
 def read_delivery_records(df: DataFrame, event: str = "event") -> DataFrame:
     """Delivery-stream events → ``record_id`` (position), ``record``, ``data`` bytes, for
-    ``split_messages``."""
+    ``split_messages``; ``data`` is NULL where it is not base64, which the splitter reports."""
     rest = [c for c in df.columns if c != event]
     records = F.from_json(F.col(event), FIREHOSE_SCHEMA).getField("records")
     df = unfold(df, rest, records, "_r", "record_id")
-    return df.select(*rest, "record_id", F.col("_r.recordId").alias("record"), F.unbase64("_r.data").alias("data"))
+    return df.select(*rest, "record_id", F.col("_r.recordId").alias("record"), base64_bytes(F.col("_r.data")).alias("data"))
 
 
 # Metadata keys of stream records.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,18 +22,27 @@ def read_objects(
 ) -> DataFrame:
     """Whole objects: ``unit`` (path), ``content``, ``length``, ``meta`` (bucket and key).
 
-    ``prefix`` / ``suffix`` select object keys, as a source notification filter does.
+    ``prefix`` / ``suffix`` select object keys, as a source notification filter does. The
+    suffix goes to the listing as a glob, so other objects are never opened; give the
+    prefix's folder in ``paths`` to bound the listing itself.
     """
-    df = spark.read.format("binaryFile").load(paths)
-    parts = F.regexp_extract
-    bucket = parts("path", r"^[a-z0-9]+:/{1,2}([^/]*)/+(.*)$", 1)
-    key = parts("path", r"^[a-z0-9]+:/{1,2}([^/]*)/+(.*)$", 2)
+    reader = spark.read.format("binaryFile")
+    if suffix and "/" not in suffix:
+        reader = reader.option("pathGlobFilter", "*" + re.sub(r"([*?{}\[\]\\])", r"\\\1", suffix))
+    df = reader.load(paths)
+    bucket, key = split_path(F.col("path"))
     df = df.select(F.col("path").alias("unit"), "content", "length", bucket.alias("bucket"), key.alias("key"))
     return select_keys(df, prefix, suffix).select(
         "unit", "content", "length", object_meta(F.col("bucket"), F.col("key")).alias("meta")
     )
 
 
+def split_path(path: Column) -> tuple[Column, Column]:
+    """Bucket and key of an object's address."""
+    pattern = r"^[a-z0-9]+:/{1,2}([^/]*)/+(.*)$"
+    return F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2)
+
+
 def object_meta(bucket: Column, key: Column) -> Column:
     return F.create_map(F.lit("s3.bucket"), bucket, F.lit("s3.object.key"), key)
 

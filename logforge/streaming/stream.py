@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logforge.sources.events import kafka_values
+from logforge.sources.objects import object_meta, split_path
 
 
 def ship_stream(
@@ -34,26 +35,36 @@ def ship_stream(
     return writer.start()
 
 
-def read_kafka_stream(spark: SparkSession, servers: str, topics: str | list[str], **options: str) -> DataFrame:
+def read_kafka_stream(
+    spark: SparkSession, servers: str, topics: str | list[str], pattern: bool = False, **options: str
+) -> DataFrame:
     """Kafka topics as log rows ``unit, pos, log, meta, error, ts``; a unit is a topic
-    partition. Needs the Kafka connector on the class path."""
+    partition. With ``pattern``, ``topics`` is a regular expression of topic names. Needs the
+    Kafka connector on the class path."""
     names = topics if isinstance(topics, str) else ",".join(topics)
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-    rows = reader.option("subscribe", names).options(**options).load().filter("value IS NOT NULL")
-    rows = rows.select(
+    reader = reader.option("subscribePattern" if pattern else "subscribe", names)
+    return kafka_rows(reader.options(**options).load())
+
+
+def kafka_rows(rows: DataFrame) -> DataFrame:
+    """Rows as the Kafka source gives them (binary ``value``) → log rows."""
+    rows = rows.filter("value IS NOT NULL").select(
         F.concat_ws("-", "topic", F.col("partition").cast("string")).alias("unit"),
         F.col("offset").alias("pos"),
         F.col("timestamp").alias("ts"),
         "topic",
-        F.col("value").cast("string").alias("value"),
+        "value",
     )
     return kafka_values(rows).drop("topic", "value")
 
 
 def read_object_stream(spark: SparkSession, path: str, glob: str | None = None, per_trigger: int = 1000) -> DataFrame:
-    """New objects of a folder as ``unit, content, length``, for ``decode_objects``."""
+    """New objects of a folder as ``unit, content, length, meta``, for ``decode_objects``."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(F.col("path").alias("unit"), "content", "length")
+    bucket, key = split_path(F.col("path"))
+    return reader.load(path).select(
+        F.col("path").alias("unit"), "content", "length", object_meta(bucket, key).alias("meta"))
