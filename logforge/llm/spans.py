@@ -13,7 +13,7 @@ from logforge.llm.common import whole_text
 from logforge.llm.hashed import _P, _Q, _codes, _power, segments
 from logforge.session import staged
 
-#: A run is the shortest one from a sentence on with so many sentences and words.
+#: Runs are the shortest ones from or up to a sentence with so many sentences and words.
 SENTENCES = 3
 WORDS = 24
 #: A sentence ends after one in CUT words, too, chosen by the word's hash once it has SHORT words.
@@ -68,8 +68,8 @@ class Runs:
             np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(4))
         n = len(self.row)
         if not n:
-            self.first = self.last = self.owner = np.zeros(0, np.int64)
-            self.ends, self.hashes = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+            self.first = self.ends = self.owner = self.begin = self.stop = np.zeros(0, np.int64)
+            self.hashes = np.zeros((0, 2), np.int64)
             return
         stop = stop.astype(bool) | np.append(self.row[1:] != self.row[:-1], True)
         at = np.arange(n)
@@ -82,17 +82,24 @@ class Runs:
         self.ends = np.append(self.first[1:], n)
         self.owner = self.row[self.first]
         count = len(self.first)
+        at = np.arange(count)
         reach = np.searchsorted(self.ends, self.first + WORDS, side="left") + 1
-        self.last = np.maximum(np.arange(count) + SENTENCES, reach)
-        inside = self.last <= count
-        inside[inside] = self.owner[self.last[inside] - 1] == self.owner[inside]
-        self.last = np.where(inside, self.last, 0)
-        begin, end = self.first, self.ends[np.maximum(self.last, 1) - 1]
-        self.hashes = np.empty((count, 2), np.int64)
+        after = np.maximum(at + SENTENCES, reach)
+        since = np.minimum(
+            at + 1 - SENTENCES, np.searchsorted(self.first, self.ends - WORDS, side="right") - 1)
+        begin, stop = np.concatenate([at, since]), np.concatenate([after, at + 1])
+        real = (begin >= 0) & (stop <= count)
+        begin, stop = begin[real], stop[real]
+        same = self.owner[begin] == self.owner[stop - 1]
+        runs = np.unique(begin[same] * (count + 1) + stop[same])
+        #: Sentences of each run (end exclusive), by begin.
+        self.begin, self.stop = runs // (count + 1), runs % (count + 1)
+        low, high = self.first[self.begin], self.ends[self.stop - 1]
+        self.hashes = np.empty((len(runs), 2), np.int64)
         for i, base in enumerate(_BASES):
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(self.word * _power(base, n), dtype=np.uint64, out=sums[1:])
-            value = (sums[end] - sums[begin]) * _power(pow(base, -1, 2**64), n + 1)[begin]
+            value = (sums[high] - sums[low]) * _power(pow(base, -1, 2**64), n + 1)[low]
             value = (value ^ (value >> np.uint64(32))) * np.uint64(_BASES[1 - i])
             self.hashes[:, i] = (value ^ (value >> np.uint64(29))).view(np.int64)
 
@@ -109,8 +116,7 @@ class Runs:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """(row, hashes) of the runs, each once per text."""
-        real = np.flatnonzero(self.last > 0)
-        keys = np.column_stack([self.owner[real], self.hashes[real]])
+        keys = np.column_stack([self.owner[self.begin], self.hashes])
         keys = np.unique(keys, axis=0) if len(keys) else keys.reshape(0, 3)
         return keys[:, 0], keys[:, 1:]
 
@@ -119,14 +125,14 @@ class Runs:
         change = np.zeros(len(self.first) + 1, np.int64)
         seen: set = set()
         now = -1
-        for i in np.flatnonzero(self.last > 0).tolist():
-            row = int(self.owner[i])
+        owners, hashes = self.owner[self.begin].tolist(), self.hashes.tolist()
+        for row, key, begin, stop in zip(owners, hashes, self.begin.tolist(), self.stop.tolist()):
             if row != now:
                 seen, now = set(), row
-            key = (int(self.hashes[i, 0]), int(self.hashes[i, 1]))
+            key = tuple(key)
             if key in seen or key[0] in row_keys[row]:
-                change[i] += 1
-                change[self.last[i]] -= 1
+                change[begin] += 1
+                change[stop] -= 1
             seen.add(key)
         return np.cumsum(change[:-1]) > 0
 

@@ -231,13 +231,13 @@ def test_runs_do_not_depend_on_batches():
     texts = [prose(i, 15) + ("\n" if i % 2 else "") for i in range(9)] + ["", " \n", "word"]
     whole = spans.Runs(texts)
     for i, text in enumerate(texts):
-        alone, mine = spans.Runs([text]), whole.owner == i
+        alone, mine = spans.Runs([text]), whole.owner[whole.begin] == i
         assert (whole.hashes[mine] == alone.hashes).all()
         assert (whole.start[whole.row == i] == alone.start).all()
-        for u in range(len(alone.first)):
-            if alone.last[u]:
-                words = alone.ends[alone.last[u] - 1] - alone.first[u]
-                assert words >= spans.WORDS and alone.last[u] - u >= spans.SENTENCES
+        assert (alone.ends[alone.stop - 1] - alone.first[alone.begin] >= spans.WORDS).all()
+        assert (alone.stop - alone.begin >= spans.SENTENCES).all()
+        if len(alone.word) >= spans.WORDS and len(alone.first) >= spans.SENTENCES:
+            assert alone.begin.min() == 0 and alone.stop.max() == len(alone.first)
     long = prose(1, 40) + " "
     many = spans.Runs([long * 400])
     assert len(many.word) == 400 * len(long.split())
