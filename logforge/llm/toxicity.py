@@ -57,20 +57,74 @@ def surprise(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(share >= common, gain, -gain)
 
 
+def candidates(sample: DataFrame, least: float, share: float) -> np.ndarray:
+    """Features of ``sample`` (text, grade) that are clearly commoner in toxic documents."""
+    sizes, counts = lexical_counts(sample, 2)
+    toxic = counts[:, 1] / np.maximum(counts.sum(axis=1), 1)
+    return (surprise(sizes, counts) >= least) & (toxic >= share)
+
+
+def present(sample: DataFrame, kept: np.ndarray, columns: str = "grade int") -> pa.Table:
+    """The given columns of ``sample`` and ``buckets``, the kept features of each text."""
+    names = [part.split()[0] for part in columns.split(", ")]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            rows, buckets = presence(texts, kept)
+            offsets = np.searchsorted(rows, np.arange(len(texts) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(buckets.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], lists], [*names, "buckets"])
+
+    return sample.select(*names, "text").mapInArrow(emit, columns + ", buckets array<int>").toArrow()
+
+
+def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, buckets) of the list column."""
+    lists = table.column("buckets").combine_chunks()
+    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+
+
+def covering(rows: np.ndarray, buckets: np.ndarray, toxic: np.ndarray, times: int, least: float) -> np.ndarray:
+    """Features chosen one by one: the most surprising one among toxic documents that are not
+    yet covered ``times`` times by those chosen before.
+
+    Copies of one toxic document share all its words; once its toxic ones cover them, its
+    other words explain nothing more and are left out.
+    """
+    names, at = np.unique(buckets, return_inverse=True)
+    clean = np.bincount(at, ~toxic[rows], len(names))
+    sizes = np.array([(~toxic).sum(), toxic.sum()], float)
+    left, chosen = np.where(toxic, times, 0), []
+    by_feature = np.argsort(at, kind="stable")
+    begins = np.searchsorted(at[by_feature], np.arange(len(names) + 1))
+    open_ = np.ones(len(names), bool)
+    while len(names):
+        hits = np.bincount(at, left[rows] > 0, len(names))
+        gain = np.where(open_, surprise(sizes, np.stack([clean, hits], 1)), -1.0)
+        best = int(gain.argmax())
+        if gain[best] < least:
+            break
+        chosen.append(names[best])
+        open_[best] = False
+        left[rows[by_feature[begins[best] : begins[best + 1]]]] -= 1
+    return np.array(chosen, np.int64)
+
+
 def mined_lexicons(sample: DataFrame) -> np.ndarray:
     """Bit masks over buckets: the lexicons of all voters.
 
-    For each kind of feature two lexicons are mined from the labelled sample: features so far
-    from the common share of toxic documents that no chance among all buckets explains it
-    (strict), and features that are clearly commoner in toxic documents (loose).
+    For each kind of feature two lexicons are mined from the labelled sample, by ``covering``:
+    a strict one, whose features no chance among all buckets explains, and a loose one.
     """
     masks = np.zeros(hashed.LEXICAL, np.uint16)
-    sizes, counts = lexical_counts(sample, 2)
-    gain, share = surprise(sizes, counts), counts[:, 1] / np.maximum(counts.sum(axis=1), 1)
-    kind = np.arange(hashed.LEXICAL) >> (hashed.LEXICAL_BITS - 2)
+    table = present(sample, candidates(sample, 8, 0.5))
+    toxic = table.column("grade").to_numpy() == 1
+    rows, buckets = flat(table)
     for k in range(KINDS):
-        masks[(kind == k) & (gain >= 12) & (share >= 0.7)] |= np.uint16(1 << (STRICT + k))
-        masks[(kind == k) & (gain >= 8) & (share >= 0.5)] |= np.uint16(1 << (LOOSE + k))
+        mine = buckets >> (hashed.LEXICAL_BITS - 2) == k
+        masks[covering(rows[mine], buckets[mine], toxic, 2, 12)] |= np.uint16(1 << (STRICT + k))
+        masks[covering(rows[mine], buckets[mine], toxic, 4, 8)] |= np.uint16(1 << (LOOSE + k))
     for i, words in enumerate(HAND):
         for word in words.split():
             masks[hashed.word_bucket(word)] |= np.uint16(1 << (LISTS + i))
@@ -249,29 +303,13 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", whole_text().alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"))
     texts = staged(texts.groupBy("doc_id", "toxic", "w").agg(F.min("text").alias("text")), "chosen_texts")
-    sizes, seen = lexical_counts(
-        texts.select("text", (F.col("toxic") >= 0.5).cast("int").alias("grade")), 2)
-    kept = np.zeros(hashed.LEXICAL, bool)
-    share = seen[:, 1] / np.maximum(seen.sum(axis=1), 1)
-    kept[(surprise(sizes, seen) >= 8) & (share >= 0.6)] = True
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            some_texts = batch.column("text").to_pylist()
-            rows, buckets = presence(some_texts, kept)
-            offsets = np.searchsorted(rows, np.arange(len(some_texts) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), batch.column("w"),
-                 pa.ListArray.from_arrays(offsets, pa.array(buckets.astype(np.int32)))],
-                ["toxic", "w", "buckets"])
-
-    fitted = texts.select("toxic", "w", "text").mapInArrow(
-        emit, "toxic double, w double, buckets array<int>").toArrow()
-    lists = fitted.column("buckets").combine_chunks()
-    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    marked = texts.select("text", "toxic", "w", (F.col("toxic") >= 0.5).cast("int").alias("grade"))
+    fitted = present(marked, candidates(marked, 8, 0.6), "toxic double, w double")
+    targets = fitted.column("toxic").to_numpy()
+    rows, buckets = flat(fitted)
+    used = np.isin(buckets, covering(rows, buckets, targets >= 0.5, 8, 8))
     weights, bias = fit_logistic(
-        rows, lists.flatten().to_numpy(), fitted.column("toxic").to_numpy(),
-        fitted.column("w").to_numpy(), hashed.LEXICAL)
+        rows[used], buckets[used], targets, fitted.column("w").to_numpy(), hashed.LEXICAL)
     linear = spark.sparkContext.broadcast(weights)
 
     def rate(texts: list[str]) -> pa.Array:
