@@ -20,6 +20,7 @@ LABELLED = 12_000
 #: Documents with posterior labels that the classifier is fitted on, of each kind.
 LIKELY, UNLIKELY = 6_000, 8_000
 TOXIC = 0.7
+SEEN = 0.25
 
 # Words that insult, degrade or threaten, and words that address someone.
 INSULTS = (
@@ -123,8 +124,8 @@ def mined_lexicons(sample: DataFrame) -> np.ndarray:
     rows, buckets = flat(table)
     for k in range(KINDS):
         mine = buckets >> (hashed.LEXICAL_BITS - 2) == k
-        masks[covering(rows[mine], buckets[mine], toxic, 2, 12)] |= np.uint16(1 << (STRICT + k))
-        masks[covering(rows[mine], buckets[mine], toxic, 4, 8)] |= np.uint16(1 << (LOOSE + k))
+        masks[covering(rows[mine], buckets[mine], toxic, 5, 14)] |= np.uint16(1 << (STRICT + k))
+        masks[covering(rows[mine], buckets[mine], toxic, 8, 10)] |= np.uint16(1 << (LOOSE + k))
     for i, words in enumerate(HAND):
         for word in words.split():
             masks[hashed.word_bucket(word)] |= np.uint16(1 << (LISTS + i))
@@ -220,7 +221,12 @@ class LabelModel:
 
 
 def fit_logistic(rows, columns, targets, weights, width: int, penalty=3e-6, steps: int = 400):
-    """Weights of present features and a bias for soft targets, by gradient steps (Adam)."""
+    """Weights of present features and a bias for soft targets, by gradient steps (Adam).
+
+    Each step sees a random share SEEN of the features of each document, so that a document
+    that has one of them alone is told too.
+    """
+    rng = np.random.default_rng(4)
     n = len(targets)
     used, at = np.unique(columns, return_inverse=True)
     weights = weights / max(weights.sum(), 1e-9)
@@ -229,9 +235,10 @@ def fit_logistic(rows, columns, targets, weights, width: int, penalty=3e-6, step
     theta[-1] = np.log(base / (1 - base))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        z = np.bincount(rows, theta[at], n) + theta[-1]
+        seen = rng.random(len(rows)) < SEEN
+        z = np.bincount(rows, theta[at] * seen, n) + theta[-1]
         pull = weights * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - targets)
-        slope = np.append(np.bincount(at, pull[rows], len(used)) + penalty * theta[:-1], pull.sum())
+        slope = np.append(np.bincount(at, pull[rows] * seen, len(used)) + penalty * theta[:-1], pull.sum())
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         rate = 0.1 * min(1.0, 2 * (1 - step / (steps + 1)))
@@ -307,7 +314,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fitted = present(marked, candidates(marked, 8, 0.6), "toxic double, w double")
     targets = fitted.column("toxic").to_numpy()
     rows, buckets = flat(fitted)
-    used = np.isin(buckets, covering(rows, buckets, targets >= 0.5, 8, 8))
+    used = np.isin(buckets, covering(rows, buckets, targets >= 0.5, 12, 10))
     weights, bias = fit_logistic(
         rows[used], buckets[used], targets, fitted.column("w").to_numpy(), hashed.LEXICAL)
     linear = spark.sparkContext.broadcast(weights)
