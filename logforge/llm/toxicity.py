@@ -20,7 +20,7 @@ LABELLED = 12_000
 #: Documents with posterior labels that the classifier is fitted on, of each kind.
 LIKELY, UNLIKELY = 6_000, 8_000
 TOXIC = 0.7
-SEEN = 0.25
+SEEN = 0.5
 
 # Words that insult, degrade or threaten, and words that address someone.
 INSULTS = (
