@@ -18,8 +18,8 @@ from logforge.session import staged
 TOPICS = 12
 TOPIC_SAMPLE = 3_000
 DIMENSIONS = 1 << 10
-#: So many values of a column are margins of their own; the rest share one margin.
-NAMED = 64
+#: Up to so many (source, language, topic) cells are raked by the driver, more by Spark.
+DRIVER_CELLS = 1 << 17
 SEED = 20
 SWEEPS = 200
 
@@ -89,33 +89,101 @@ def _marked(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("null"))
 
 
-def rake(
-    cells: np.ndarray, targets: list[np.ndarray], total: float, sweeps: int = SWEEPS
+def rake_cells(
+    keys: list[np.ndarray], cells: np.ndarray, targets: list[np.ndarray], total: float, sweeps: int
 ) -> np.ndarray:
     """Cell weights with the target margins: iterative proportional fitting with a ceiling.
 
-    ``cells`` holds the available tokens, one axis per margin. Each sweep scales every axis
-    to its target share of ``total``; a cell never gets more than it has, so a document is
-    never wanted more than once, and what a full cell cannot give falls to its neighbours in
-    later sweeps. Margins that the data cannot meet end as near as the ceilings let them.
+    ``cells`` holds the available tokens, ``keys`` the value of each cell on every axis. Each
+    sweep scales every axis to its target share of ``total``; a cell never gets more than it
+    has, so a document is never wanted more than once, and what a full cell cannot give falls
+    to its neighbours in later sweeps. Margins that the data cannot meet end as near as the
+    ceilings let them.
     """
     weights = cells * (total / max(cells.sum(), 1e-9))
+    # Only margins with data take part; their shares are made to sum to one.
+    shares = [np.where(np.bincount(k, cells, len(t)) > 0, t, 0.0) for k, t in zip(keys, targets)]
+    shares = [share / max(share.sum(), 1e-12) for share in shares]
     for _ in range(sweeps):
         before = weights
-        for axis, share in enumerate(targets):
-            others = tuple(a for a in range(cells.ndim) if a != axis)
-            have = weights.sum(axis=others)
-            # Only margins with data take part; their shares are made to sum to one.
-            share = np.where(cells.sum(axis=others) > 0, share, 0.0)
-            factor = np.divide(total * share / max(share.sum(), 1e-12), have,
-                               out=np.zeros_like(have), where=have > 0)
-            shape = [-1 if a == axis else 1 for a in range(cells.ndim)]
-            weights = np.minimum(weights * factor.reshape(shape), cells)
+        for key, share in zip(keys, shares):
+            have = np.bincount(key, weights, len(share))
+            factor = np.divide(total * share, have, out=np.zeros_like(have), where=have > 0)
+            weights = np.minimum(weights * factor[key], cells)
         if np.abs(weights - before).sum() <= 1e-9 * total:
             break
     return weights
 
 
+def rake(
+    cells: np.ndarray, targets: list[np.ndarray], total: float, sweeps: int = SWEEPS
+) -> np.ndarray:
+    """``rake_cells`` of a full table of cells, one array axis per margin."""
+    keys = list(np.indices(cells.shape).reshape(cells.ndim, -1))
+    return rake_cells(keys, cells.ravel(), targets, total, sweeps).reshape(cells.shape)
+
+
+AXES = ("s", "l", "topic")
+
+
+def _with_shares(cells: DataFrame, given: list[Mapping[str, float] | None], damps: list[float]) -> DataFrame:
+    """``cells`` with the target share of each cell's value on every axis, as share_<axis>."""
+    spark = cells.sparkSession
+    out = cells
+    for axis, targets, damp in zip(AXES, given, damps):
+        have = cells.groupBy(axis).agg(F.sum("tokens").cast("double").alias("have"))
+        share = F.pow("have", F.lit(damp))
+        if targets:
+            wanted = spark.createDataFrame(
+                [("null" if v is None else f"={v}", float(n)) for v, n in targets.items()],
+                f"{axis} string, wanted double")
+            absent = [r[0] for r in wanted.join(have, axis, "left_anti").select(axis).collect()]
+            if absent:
+                raise ValueError(f"targets for values without any tokens: {sorted(absent)}")
+            have = have.join(wanted, axis, "left")
+            share = F.coalesce("wanted", F.lit(0.0))
+        margin = have.select(axis, share.alias(f"share_{axis}"))
+        full = margin.agg(F.sum(f"share_{axis}")).first()[0]
+        out = out.join(margin.withColumn(f"share_{axis}", F.col(f"share_{axis}") / max(full, 1e-12)), axis)
+    return staged(out, "shares")
+
+
+def _rake_here(cells: DataFrame, total: float) -> DataFrame:
+    """Cells and their weights, raked by the driver."""
+    table = cells.toArrow()
+    keys, targets = [], []
+    for axis in AXES:
+        key = table.column(axis).combine_chunks().dictionary_encode()
+        keys.append(key.indices.to_numpy())
+        target = np.zeros(len(key.dictionary))
+        target[keys[-1]] = table.column(f"share_{axis}").to_numpy()
+        targets.append(target)
+    weights = rake_cells(keys, table.column("tokens").to_numpy().astype(float), targets, total, SWEEPS)
+    done = table.select([*AXES, "tokens"]).append_column("raked", pa.array(weights))
+    return staged(cells.sparkSession.createDataFrame(done), "raked")
+
+
+def _rake_tables(cells: DataFrame, total: float) -> DataFrame:
+    """The same by Spark: each sweep joins every axis with the factors of its values."""
+    tokens = cells.agg(F.sum("tokens")).first()[0]
+    now = cells.withColumn("raked", F.col("tokens") * F.lit(total / tokens))
+    for _ in range(SWEEPS):
+        before = now.withColumn("old", F.col("raked"))
+        for axis in AXES:
+            factors = before.groupBy(axis).agg(
+                F.sum("raked").alias("have"), F.max(f"share_{axis}").alias("share")).select(
+                axis, F.when(F.col("have") > 0, F.lit(total) * F.col("share") / F.col("have"))
+                .otherwise(F.lit(0.0)).alias("factor"))
+            before = before.join(staged(factors, "factors"), axis).withColumn(
+                "raked", F.least(F.col("raked") * F.col("factor"), F.col("tokens").cast("double"))).drop("factor")
+        now = staged(before, "sweep")
+        moved = now.agg(F.sum(F.abs(F.col("raked") - F.col("old")))).first()[0]
+        now = now.drop("old")
+        if moved <= 1e-9 * total:
+            break
+    return now
+
+
 def mix(
     docs: DataFrame,
     keep: float = 0.5,
@@ -128,11 +196,12 @@ def mix(
     """``docs`` with tokens, topic, weight and kept: a sample near the target margins.
 
     Token weights of (source, language, topic) cells are raked so that each margin gets its
-    target share of keep * all tokens. A share is given by value, or the token share damped by
-    ``power`` (below 1 small values gain). The NAMED largest sources and languages are margins
-    of their own, all others share one (given as ""; null is given as None), so the table of cells is bounded whatever the data;
-    the counts cover all documents. ``weight`` is the probability of each document of a cell,
-    weight of the cell / its tokens, at most 1. A document stays if a hash of its id and text
+    target share of keep * all tokens. A share is given by value (null as None; values that are
+    not given get nothing, a given value without any tokens is an error, but for a table without
+    any tokens), or it is the token share damped by ``power`` (below 1 small values gain). Every
+    value is a margin of its own, however many there are: cells are a Spark table, raked by the
+    driver up to DRIVER_CELLS rows, else by joins. ``weight`` is the probability of each document
+    of a cell, weight of the cell / its tokens, at most 1. A document stays if a hash of its id and text
     (the same in every run) falls below it.
 
     Null sources and languages are a value of their own; null and empty texts have no tokens,
@@ -148,48 +217,24 @@ def mix(
         hsh: F.xxhash64("doc_id", whole_text(), F.lit(seed))})
     tokens, topic = F.col(f"{name}.tokens"), F.col(f"{name}.topic")
 
-    # One row per (source, language, topic); sources beyond the named ones are then pooled.
+    # One row per (source, language, topic).
     full = docs.select(_marked("source").alias("s"), _marked("lang").alias("l"), whole_text().alias("x"))
     full = full.select("s", "l", tokens_and_topic(spark, centres, F.col("x")).alias("t"))
     full = staged(full.groupBy("s", "l", F.col("t.topic").alias("topic")).agg(
         F.sum("t.tokens").alias("tokens")).filter("tokens > 0"), "margins")
 
-    def named(column: str) -> list[str]:
-        top = full.groupBy(column).agg(F.sum("tokens").alias("n"))
-        return [r[0] for r in top.orderBy(F.desc("n"), column).limit(NAMED).collect()]
-
-    sources, languages = named("s"), named("l")
-
-    def index(column: Column, values: list[str]) -> Column:
-        places = F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
-        return F.array_position(places, column).cast("int")
-
-    cells = np.zeros((len(sources) + 1, len(languages) + 1, max(len(centres), 1)))
-    pooled = full.groupBy(
-        index(F.col("s"), sources).alias("s"), index(F.col("l"), languages).alias("l"), "topic")
-    for row in pooled.agg(F.sum("tokens").alias("n")).collect():
-        cells[row["s"] or 0, row["l"] or 0, row["topic"]] += row["n"]
-
-    def shares(axis: int, values: list[str], given, damp: float) -> np.ndarray:
-        have = cells.sum(axis=tuple(a for a in range(3) if a != axis))
-        if given:
-            return np.array([given.get("", 0.0), *[
-                given.get(v[1:] if v != "null" else None, 0.0) for v in values]])
-        return np.where(have > 0, have, 0.0) ** damp * (have > 0)
-
-    total = keep * cells.sum()
-    weights = rake(cells, [
-        shares(0, sources, source_targets, power), shares(1, languages, language_targets, power),
-        shares(2, [], None, topic_power)], total)
-    rows = [(int(s), int(a), int(t), float(weights[s, a, t] / cells[s, a, t]))
-            for s, a, t in np.argwhere(cells > 0)]
+    count, have = full.agg(F.count("*"), F.sum("tokens")).first()
+    raked = full.withColumn("raked", F.lit(0.0))
+    if count:
+        cells = _with_shares(
+            full, [source_targets, language_targets, None], [power, power, topic_power])
+        raked = (_rake_here if count <= DRIVER_CELLS else _rake_tables)(cells, keep * have)
     si, li, ti, chance = (free(marked, n) for n in ("si", "li", "ti", "chance"))
-    table = spark.createDataFrame(rows, f"{si} int, {li} int, {ti} int, {chance} double")
-    # At most (NAMED + 1) ** 2 * topics rows: small enough to send to every executor.
+    table = raked.select(
+        F.col("s").alias(si), F.col("l").alias(li), F.col("topic").alias(ti),
+        (F.col("raked") / F.col("tokens")).alias(chance))
     met = marked.join(
-        F.broadcast(table),
-        (index(F.col(src), sources) == table[si]) & (index(F.col(lan), languages) == table[li])
-        & (topic == table[ti]), "left")
+        table, (F.col(src) == table[si]) & (F.col(lan) == table[li]) & (topic == table[ti]), "left")
     weight = F.when(tokens > 0, F.coalesce(F.col(chance), F.lit(0.0))).otherwise(F.lit(keep))
     draw = F.shiftrightunsigned(hsh, 11) / float(1 << 53)
     return met.withColumns({

@@ -346,6 +346,41 @@ def test_sample_follows_weights(spark):
     assert again == {r["doc_id"]: r["kept"] for r in rows}
 
 
+def many_sources(spark):
+    rows = [(i, prose(i, 3), "en", f"s{i % 200:03d}") for i in range(1000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_every_source_is_a_margin(spark):
+    rows = rows_of(mixing.mix(many_sources(spark), topic_power=1.0))
+    assert len({r["source"] for r in rows}) == 200
+    by_source = {}
+    for r in rows:
+        a = by_source.setdefault(r["source"], [0, 0])
+        a[0] += r["tokens"] * r["weight"]
+        a[1] += r["tokens"]
+    shares = [a / b for a, b in by_source.values()]
+    assert min(shares) > 0.4 and max(shares) < 0.6
+
+
+def test_target_of_any_source(spark):
+    targets = {f"s{i:03d}": 1.0 for i in range(100, 200)}
+    rows = rows_of(mixing.mix(many_sources(spark), keep=0.2, source_targets=targets))
+    wanted = {r["source"] for r in rows if r["weight"] > 0}
+    assert wanted == set(targets)
+    with pytest.raises(ValueError, match="nowhere"):
+        mixing.mix(many_sources(spark), source_targets={"s001": 1.0, "nowhere": 1.0})
+
+
+def test_raking_by_spark_and_by_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SWEEPS", 3)
+    docs = many_sources(spark).limit(300)
+    here = {r["doc_id"]: r["weight"] for r in rows_of(mixing.mix(docs, source_targets={"s001": 2.0, "s007": 1.0, "s009": 1.0}, keep=0.01))}
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", 0)
+    there = {r["doc_id"]: r["weight"] for r in rows_of(mixing.mix(docs, source_targets={"s001": 2.0, "s007": 1.0, "s009": 1.0}, keep=0.01))}
+    assert here == pytest.approx(there, abs=1e-9) and max(here.values()) > 0
+
+
 # ---- the given tables ------------------------------------------------------------------------
 
 FOLDER = "/root/testdata/sf0.01"
