@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +14,14 @@ from logforge.llm import hashed
 from logforge.llm.common import free, text_udf, whole_text
 from logforge.session import staged
 
-#: Topics are centres of hashed word counts, fitted on at most TOPIC_SAMPLE documents.
+#: Topics are centres of hashed word counts, fitted on all documents in at most PASSES passes.
 TOPICS = 12
-TOPIC_SAMPLE = 3_000
+PASSES = 20
 DIMENSIONS = 1 << 10
+#: Vectors and centres are whole numbers, lengths about FINE and SHARP: sums and products of
+#: them in float64 are exact, so results do not depend on the order or size of batches.
+FINE = 1 << 12
+SHARP = 1 << 20
 #: Up to so many (source, language, topic) cells are raked by the driver, more by Spark.
 DRIVER_CELLS = 1 << 17
 SEED = 20
@@ -25,7 +29,7 @@ SWEEPS = 200
 
 
 def word_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, and unit vectors of damped hashed word counts."""
+    """Words of each text, and vectors of damped hashed word counts, in whole numbers."""
     counts = np.zeros((len(texts), DIMENSIONS), np.float32)
     flat = counts.reshape(-1)
     for rows, words in hashed.word_buckets(texts):
@@ -34,36 +38,123 @@ def word_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flat[found] += n
     totals = counts.sum(axis=1, dtype=np.float64).astype(np.int64)
     np.log1p(counts, out=counts)
-    return totals, counts / np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
+    counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
+    return totals, np.rint(counts * FINE).astype(np.float64)
 
 
-def fit_topics(docs: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE) -> np.ndarray:
-    """Centres by spherical k-means over at most ``sample`` documents chosen by a hash."""
-    chosen = docs.select(
-        whole_text().alias("text"), F.xxhash64("doc_id", F.lit(SEED)).alias("mix")).filter("text != ''")
-    # First the hashes alone, then the texts up to the last one: the limit passes short rows.
-    edge = chosen.select("mix").orderBy("mix").limit(sample).agg(F.max("mix")).first()[0]
-    if edge is None:
-        return np.zeros((0, DIMENSIONS), np.float32)
+FEATURES = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("v", T.BinaryType())])
 
-    def per_batch(texts: list[str]) -> pa.Array:
-        _, vectors = word_vectors(texts)
-        return pa.array(list(vectors), pa.list_(pa.float32()))
-
-    picked = chosen.filter(F.col("mix") <= edge).groupBy("mix").agg(F.min("text").alias("text"))
-    vectors = text_udf(T.ArrayType(T.FloatType()), per_batch)(F.col("text"))
-    table = picked.select("mix", vectors.alias("v")).toArrow().sort_by("mix")
-    points = np.stack(table.column("v").to_numpy(zero_copy_only=False))
-    centres = points[np.linspace(0, len(points) - 1, min(topics, len(points))).astype(int)]
-    for _ in range(20):
-        best = (points @ centres.T).argmax(axis=1)
-        for k in range(len(centres)):
-            mean = points[best == k].sum(axis=0)
-            if mean.any():
-                centres[k] = mean / np.linalg.norm(mean)
+
+def _features(texts: list[str]) -> pa.Array:
+    """struct(tokens, v): v holds the vector's filled places and their values, as 16 bit pairs."""
+    totals, cells = np.zeros(len(texts), np.int64), []
+    for at in range(0, len(texts), 512):
+        n, vectors = word_vectors(texts[at : at + 512])
+        totals[at : at + 512] = n
+        rows, places = np.nonzero(vectors)
+        pairs = np.column_stack([places, vectors[rows, places]]).astype(np.uint16)
+        bounds = np.searchsorted(rows, np.arange(len(vectors) + 1))
+        cells += [pairs[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+    return pa.StructArray.from_arrays([pa.array(totals), pa.array(cells, pa.binary())], FEATURES.fieldNames())
+
+
+def _dense(cells: list[bytes]) -> np.ndarray:
+    """The vectors of ``_features`` again."""
+    pairs = np.frombuffer(b"".join(cells), np.uint16).reshape(-1, 2)
+    rows = np.repeat(np.arange(len(cells)), [len(c) // 4 for c in cells])
+    out = np.zeros((len(cells), DIMENSIONS))
+    out[rows, pairs[:, 0]] = pairs[:, 1]
+    return out
+
+
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(mix, vectors) of up to 512 documents at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            yield part.column("mix").to_numpy(), _dense(part.column("v").to_pylist())
+
+
+def _unit(vector: np.ndarray) -> np.ndarray:
+    return np.rint(vector * (SHARP / np.linalg.norm(vector)))
+
+
+def _first_centres(docs: DataFrame, topics: int) -> np.ndarray:
+    """k-means++ over all documents: a pass per centre draws one by its squared distance.
+
+    The draw is a race by a hash of the text, so copies of a text count once.
+    """
+    centres = np.zeros((0, DIMENSIONS))
+    while len(centres) < topics:
+        known = centres
+
+        def fastest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = (np.inf, 0, b"")
+            for mix, vectors in _vectors(batches):
+                far = np.ones(len(mix))
+                if len(known):
+                    lengths = np.sqrt((vectors * vectors).sum(axis=1))
+                    far = 2 - 2 * (vectors @ known.T).max(axis=1) / (lengths * SHARP)
+                u = ((mix.view(np.uint64) >> np.uint64(11)) + 0.5) / float(1 << 53)
+                time = np.where(far > 1e-4, -np.log(u) / np.maximum(far, 1e-4), np.inf)
+                i = np.lexsort((mix, time))[0]
+                if time[i] < np.inf:
+                    best = min(best, (float(time[i]), int(mix[i]), vectors[i].astype(np.uint16).tobytes()))
+            if best[0] < np.inf:
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in best], ["time", "mix", "v"])
+
+        won = docs.mapInArrow(fastest, "time double, mix long, v binary").orderBy("time", "mix", "v").first()
+        if won is None:
+            break
+        centres = np.vstack([centres, _unit(np.frombuffer(won["v"], np.uint16).astype(float))])
     return centres
 
 
+def fit_topics(docs: DataFrame, topics: int = TOPICS) -> np.ndarray:
+    """Centres by spherical k-means over all ``docs``, a table of (v, mix) with words in each.
+
+    Every pass assigns all documents in tasks, and Spark sums the vectors of each centre.
+    """
+    centres = _first_centres(docs, topics)
+    for _ in range(PASSES if len(centres) else 0):
+        known = centres
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(known.shape)
+            for _, vectors in _vectors(batches):
+                best = (vectors @ known.T).argmax(axis=1)
+                total += (best == np.arange(len(known))[:, None]).astype(float) @ vectors
+            flat = total.ravel().astype(np.int64)
+            at = np.flatnonzero(flat)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["at", "n"])
+
+        found = docs.mapInArrow(sums, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+        total = np.zeros(centres.size)
+        total[found.column("at").to_numpy()] = found.column("n").to_numpy()
+        total = total.reshape(centres.shape)
+        centres = np.stack([_unit(t) if t.any() else c for t, c in zip(total, centres)])
+        if (centres == known).all():
+            break
+    return centres
+
+
+def topic_of(spark, centres: np.ndarray, v: Column) -> Column:
+    """The nearest centre of a vector of ``_features`` (-1 without words)."""
+    shared = spark.sparkContext.broadcast(centres)
+
+    @F.arrow_udf(T.IntegerType())
+    def nearest(cells: pa.Array) -> pa.Array:
+        best = np.full(len(cells), -1, np.int32)
+        for at in range(0, len(cells), 512):
+            some = cells.slice(at, 512).to_pylist()
+            if len(shared.value):
+                near = (_dense(some) @ shared.value.T).argmax(axis=1)
+                best[at : at + 512] = np.where([len(c) > 0 for c in some], near, -1)
+        return pa.array(best)
+
+    return nearest(v)
+
+
 KIND = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("topic", T.IntegerType())])
 
 
@@ -209,7 +300,12 @@ def mix(
     ``docs`` named as an added one are replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    centres = fit_topics(docs)
+    # Vectors instead of texts, for the passes that follow.
+    full = docs.select(
+        _marked("source").alias("s"), _marked("lang").alias("l"),
+        text_udf(FEATURES, _features)(whole_text()).alias("f"), F.xxhash64(whole_text(), F.lit(SEED)).alias("mix"))
+    full = staged(full.select("s", "l", "f.*", "mix"), "vectors").filter("tokens > 0")
+    centres = fit_topics(full.select("v", "mix"))
     name, src, lan, hsh = (free(docs, n) for n in ("topical", "src", "lan", "hsh"))
     marked = docs.select("*", tokens_and_topic(spark, centres, whole_text()).alias(name))
     marked = marked.withColumns({
@@ -218,10 +314,8 @@ def mix(
     tokens, topic = F.col(f"{name}.tokens"), F.col(f"{name}.topic")
 
     # One row per (source, language, topic).
-    full = docs.select(_marked("source").alias("s"), _marked("lang").alias("l"), whole_text().alias("x"))
-    full = full.select("s", "l", tokens_and_topic(spark, centres, F.col("x")).alias("t"))
-    full = staged(full.groupBy("s", "l", F.col("t.topic").alias("topic")).agg(
-        F.sum("t.tokens").alias("tokens")).filter("tokens > 0"), "margins")
+    full = full.select("s", "l", "tokens", topic_of(spark, centres, F.col("v")).alias("topic"))
+    full = staged(full.groupBy("s", "l", "topic").agg(F.sum("tokens").alias("tokens")), "margins")
 
     count, have = full.agg(F.count("*"), F.sum("tokens")).first()
     raked = full.withColumn("raked", F.lit(0.0))

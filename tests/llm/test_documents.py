@@ -372,6 +372,15 @@ def test_target_of_any_source(spark):
         mixing.mix(many_sources(spark), source_targets={"s001": 1.0, "nowhere": 1.0})
 
 
+def test_topics_rest_on_all_documents(spark):
+    # Six texts in all; five of them are rare beside thousands of copies of the first.
+    kinds = [" ".join(f"{w}{k}" for w in prose(k).split()) for k in range(6)]
+    rows = [(i, kinds[max(i - 5000, 0)], "en", "s") for i in range(5006)]
+    found = rows_of(mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    topics = {r["text"]: r["topic"] for r in found}
+    assert len(topics) == 6 and len(set(topics.values())) == 6
+
+
 def test_raking_by_spark_and_by_the_driver(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SWEEPS", 3)
     docs = many_sources(spark).limit(300)
