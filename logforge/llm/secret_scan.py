@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,9 +25,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT_WORDS = (
     "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "apikey", "api_key",
     "api-key", "credential", "private_key", "access_key", "auth_key", "bearer")
+_NAMES = "(?:" + "|".join(CONTEXT_WORDS) + ")"
+# A blank alone announces a value after bearer, unless another announcement follows.
 CONTEXT = re.compile(
-    r"(?:" + "|".join(CONTEXT_WORDS) + r")s?[\"']?(?:\x20{0,4}[:=]\x20{0,4}|\x20is\x20)[\"'`]?"
+    _NAMES + r"s?[\"']?(?:\x20*[:=]\x20*|\x20+is\x20+"
+    r"|(?<=bearer)\x20+(?!" + _NAMES + r"s?[\"']?\x20*(?:[:=]|is\x20)))[\"'`]?"
     r"([^\s\"'`<>,;]+)", re.IGNORECASE | re.ASCII)
+#: Words of the language of the documents: the WORDS most frequent ones in WORD_DOCS documents or more.
+WORDS = 100_000
+WORD_DOCS = 3
+SHORTEST, LONGEST = 4, 20
 #: A value that takes at least 10 to this power guesses is a secret.
 STRONG = 9.0
 REMEMBERED = 1 << 14
@@ -48,6 +57,7 @@ DATE = re.compile(
     r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d\d)")
 RUN = re.compile(r"(.{1,16}?)\1+", re.DOTALL)
 LETTERS = re.compile(r"[^\W\d_]{4,}")
+NO_WORDS: frozenset[str] = frozenset()
 
 
 def _brute(text: str) -> float:
@@ -65,7 +75,13 @@ def _near(a: str, b: str) -> bool:
     return bool(p and q and p != q and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1)
 
 
-def _candidates(value: str) -> list[tuple[int, int, float]]:
+def _word_cost(text: str, words: frozenset[str]) -> float | None:
+    """Log10 guesses of a listed word in one of its usual cases; None for other texts."""
+    usual = text in (text.lower(), text.upper(), text.title())
+    return math.log10(WORDS) if usual and text.lower() in words else None
+
+
+def _candidates(value: str, words: frozenset[str] = NO_WORDS) -> list[tuple[int, int, float]]:
     """Segments (begin, end, log10 guesses) other than brute force."""
     low, out = value.lower(), []
     plain = low.translate(LEET)
@@ -82,15 +98,19 @@ def _candidates(value: str) -> list[tuple[int, int, float]]:
     for found in DATE.finditer(value):
         begin, end = found.span()
         out.append((begin, end, 2.1 if end - begin == 4 else 4.7))
-    for found in LETTERS.finditer(value):
-        # Some word of a language: one of 100,000, more where it is longer than words are.
-        begin, end = found.span()
-        out.append((begin, end, 5.0 * math.ceil((end - begin) / 16)))
+    for found in LETTERS.finditer(value) if words else ():
+        for begin in range(found.start(), found.end() - SHORTEST + 1):
+            for end in range(begin + SHORTEST, min(begin + LONGEST, found.end()) + 1):
+                cost = _word_cost(value[begin:end], words)
+                if cost is not None:
+                    out.append((begin, end, cost))
     for found in RUN.finditer(value):
         begin, end = found.span()
         unit = found.group(1)
         if end - begin >= 3:
-            cost = min(_brute(unit) * len(unit), 5.0 if unit.isalpha() and len(unit) > 3 else 99)
+            cost = _brute(unit) * len(unit)
+            listed = _word_cost(unit, words)
+            cost = cost if listed is None else min(cost, listed)
             out.append((begin, end, cost + math.log10((end - begin) / len(unit))))
     begin = 0
     for i in range(1, len(low) + 1):
@@ -106,19 +126,23 @@ def _candidates(value: str) -> list[tuple[int, int, float]]:
     return out
 
 
-def guesses(value: str) -> float:
+def guesses(value: str, words: frozenset[str] = NO_WORDS) -> float:
     """Log10 of the guesses for the cheapest segmentation of ``value``.
 
-    best[j] is the least cost of value[:j]: it ends in a word, a date, a repeat or a keyboard
-    walk, or in one more sign of brute force. Each segment that is not brute force costs
+    best[j] is the least cost of value[:j]: it ends in a word (a frequent one of passwords, or
+    one of ``words``), a date, a repeat or a keyboard walk, or in one more sign of brute force. Each segment that is not brute force costs
     log10(2) more, for the choice among kinds. The search is linear in the value's length
     and in the number of segments. Costs of values seen are remembered by the process.
     """
-    known = process_cache("guesses")
+    cache = process_cache("guesses")
+    if cache.get("words") is not words:
+        cache.clear()
+        cache.update(words=words, known={})
+    known = cache["known"]
     if value in known:
         return known[value]
     ending: dict[int, list[tuple[int, float]]] = {}
-    for begin, end, cost in _candidates(value):
+    for begin, end, cost in _candidates(value, words):
         ending.setdefault(end, []).append((begin, cost + 0.3))
     sign = _brute(value) if value else 0.0
     best = [0.0]
@@ -148,13 +172,13 @@ def _base(text: str, low: str) -> list[Span]:
     return sorted(spans)
 
 
-def scan(text: str) -> tuple[list[Span], list[Span], float]:
+def scan(text: str, words: frozenset[str] = NO_WORDS) -> tuple[list[Span], list[Span], float]:
     """Base spans; guessed spans that no base span contains; the highest guess cost."""
     low = text.lower()
     base, more, most = _base(text, low), [], 0.0
     if any(k in low for k in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
-            cost = guesses(m.group(1))
+            cost = guesses(m.group(1), words)
             most = max(most, cost)
             begin, end = m.span(1)
             if cost >= STRONG and not any(s <= begin and end <= e for s, _, e in base):
@@ -173,10 +197,10 @@ FOUND = T.StructType([
     T.StructField("log10_guesses", T.DoubleType())])
 
 
-def _found(texts: list[str]) -> pa.Array:
+def _found(texts: list[str], words: frozenset[str]) -> pa.Array:
     columns = [[] for _ in FOUND.fields]
     for text in texts:
-        base, more, most = scan(text)
+        base, more, most = scan(text, words)
         counts = [sum(k == kind for _, k, _ in base) for kind in range(3)]
         digest = hashlib.sha256(_text(base).encode()).hexdigest()
         row = [*counts, len(more), digest, _text(sorted(base + more)), most]
@@ -187,10 +211,10 @@ def _found(texts: list[str]) -> pa.Array:
         [pa.array(c, k) for c, k in zip(columns, kinds)], FOUND.fieldNames())
 
 
-def _redacted(texts: list[str]) -> pa.Array:
+def _redacted(texts: list[str], words: frozenset[str]) -> pa.Array:
     out = []
     for text in texts:
-        base, more, _ = scan(text)
+        base, more, _ = scan(text, words)
         parts, at = [], 0
         for begin, _, end in sorted(base + more):
             if end <= at:
@@ -202,6 +226,47 @@ def _redacted(texts: list[str]) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+def words_of(text: str) -> set[str]:
+    """Words of a text in one of their usual cases, as lower case, without values of credentials."""
+    low = text.lower()
+    if any(k in low for k in CONTEXT_WORDS):
+        text = CONTEXT.sub(" ", text)
+    return {
+        w.lower() for w in set(LETTERS.findall(text))
+        if len(w) <= LONGEST and w in (w.lower(), w.upper(), w.title())}
+
+
+def frequent_words(docs: DataFrame) -> frozenset[str]:
+    """The WORDS words in most documents of all ``docs``, of those in WORD_DOCS or more."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+
+        def table() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                ["word", "n"])
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                counts.update(words_of(text))
+                if len(counts) > REMEMBERED:
+                    yield table()
+                    counts.clear()
+        yield table()
+
+    counted = docs.select(whole_text().alias("text")).mapInArrow(emit, "word string, n long")
+    top = counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= WORD_DOCS)
+    found = top.orderBy(F.desc("n"), "word").limit(WORDS).select("word").toArrow()
+    return frozenset(found.column("word").to_pylist())
+
+
+def _with_words(docs: DataFrame, per_batch: Callable[[list[str], frozenset[str]], pa.Array]):
+    """``per_batch`` as a function of texts alone, with the frequent words of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_words(docs))
+    return lambda texts: per_batch(texts, shared.value)
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id and what was found in each whole text, a row for every row of ``docs``.
 
@@ -210,14 +275,14 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     that repeat are each scanned; other columns are ignored; an empty table gives no rows.
     """
     found = free(docs, "found")
-    return docs.select("doc_id", text_udf(FOUND, _found)(whole_text()).alias(found)).select(
+    return docs.select("doc_id", text_udf(FOUND, _with_words(docs, _found))(whole_text()).alias(found)).select(
         "doc_id", f"{found}.*")
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``[SECRET]`` and n_chars, where there
     is such a column, counted anew. Overlapping spans give one mark. Null texts stay null."""
-    clean = F.when(F.col("text").isNotNull(), text_udf(T.StringType(), _redacted)(whole_text()))
+    clean = F.when(F.col("text").isNotNull(), text_udf(T.StringType(), _with_words(docs, _redacted))(whole_text()))
     columns = ["text" if c == "text" else c for c in docs.columns]
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType

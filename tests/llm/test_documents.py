@@ -204,6 +204,22 @@ def test_guess_costs():
         assert cost(value) == pytest.approx(least(len(value)))
 
 
+def test_random_letters_are_secrets(spark):
+    values = {
+        "pwd=XkTrQwPzLmNvBhJd": 1, "passphrase: XkTrQwPz42": 1, "pwd:          kV7#pQz2!mRw": 1,
+        "pwd          =          kV7#pQz2!mRw": 1, "Authorization: Bearer kV7#pQz2!mRw": 1,
+        "bearer passcode: kV7#pQz2!mRw": 1, "pwd: XkTrQwPzXkTrQwPz": 1,
+        "passphrase is responsibility": 0, "passphrase: responsibility1999": 0}
+    prose = ["all the responsibility we have"] * 3
+    docs = spark.createDataFrame(
+        [(i, t) for i, t in enumerate([*values, *prose])], "doc_id long, text string")
+    found = {r["doc_id"]: r["n_guess"] for r in rows_of(secret_scan.find_secrets(docs))}
+    assert [found[i] for i in range(len(values))] == list(values.values())
+    # Copies of a secret do not make a word of it.
+    copies = spark.createDataFrame([(i, "pwd=xktrqwpzlmnvbhjd") for i in range(9)], "doc_id long, text string")
+    assert {r["text"] for r in rows_of(secret_scan.redact(copies))} == {"pwd=[SECRET]"}
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame(
         [(1, 'a token = "0123456789abcdef0123456789abcdef" b', 5)], "doc_id long, text string, n_chars int")
