@@ -16,9 +16,10 @@ from logforge.session import staged
 #: Runs are the shortest ones from or up to a sentence with so many sentences and words.
 SENTENCES = 3
 WORDS = 24
-#: A sentence ends after one in CUT words, too, chosen by the word's hash once it has SHORT words.
-SHORT = 6
+#: A sentence ends after one in CUT words, too, chosen by the hash of the word and the one before
+#: it, and after the word of the least hash among any NEAR words.
 CUT = 4
+NEAR = 6
 _BASES = (_P, _Q)
 #: Texts hashed at once, in characters.
 BATCH = 1 << 20
@@ -29,21 +30,34 @@ def _blank(codes: np.ndarray) -> np.ndarray:
         (codes >= 0x2000) & (codes <= 0x200A)) | (codes == 0x2028) | (codes == 0x2029)
 
 
+def _alone(codes: np.ndarray) -> np.ndarray:
+    """Characters of scripts without blanks (Thai to Khmer, kana, ideographs): words of their own."""
+    out = np.zeros(len(codes), bool)
+    for low, high in (
+            (0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x30FF), (0x31F0, 0x31FF),
+            (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF01, 0xFF9F), (0x20000, 0x3FFFF)):
+        out |= (codes >= low) & (codes <= high)
+    return out
+
+
 class Runs:
     """Sentences and runs of a batch of texts, as arrays.
 
-    Sentences end after a word that ends in ``. ! ?`` or before a line feed. Longer ones are
-    cut after words picked by their hash, so that a passage which begins in mid-sentence
-    falls into the same pieces wherever it stands, and a text without any punctuation has
-    pieces too. White space between words does not count.
+    Sentences end after a word that ends in ``. ! ?`` or before a line feed. They are
+    cut further by the hashes of nearby words alone (see CUT, NEAR), so that copies of a passage
+    agree on every cut NEAR words or more inside it, wherever it begins, no piece has more than
+    NEAR words, and any 50 words that two documents share hold a run of both. Characters of
+    scripts without blanks are words. White space between words does not count.
     """
 
     def __init__(self, texts: list[str]):
         found, done = [], np.zeros(len(texts), np.int64)
         for rows, parts in segments(texts):
             codes, piece = _codes(parts)
-            edge = np.diff(_blank(codes).astype(np.int8))
-            starts, ends = np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
+            blank, alone = _blank(codes), _alone(codes)
+            edge = (blank[1:] != blank[:-1]) | alone[1:] | alone[:-1]
+            starts = np.flatnonzero(edge & ~blank[1:]) + 1
+            ends = np.flatnonzero(edge & ~blank[:-1]) + 1
             sums = np.zeros(len(codes) + 1, np.uint64)
             np.cumsum(codes.astype(np.uint64) * _power(_P, len(codes)), dtype=np.uint64, out=sums[1:])
             inverse = _power(pow(_P, -1, 2**64), len(codes) + 1)
@@ -72,12 +86,7 @@ class Runs:
             self.hashes = np.zeros((0, 2), np.int64)
             return
         stop = stop.astype(bool) | np.append(self.row[1:] != self.row[:-1], True)
-        at = np.arange(n)
-        opened = np.maximum.accumulate(np.where(np.append(True, stop[:-1]), at, 0))
-        # Words may be cut behind by their hash only where no cut lies within SHORT words.
-        picked = (self.word >> np.uint64(40)) % np.uint64(CUT) == 0
-        picked &= at - opened >= SHORT - 1
-        stop |= self._spaced(np.flatnonzero(picked), opened, n)
+        stop |= self._cuts()
         self.first = np.flatnonzero(np.append(True, stop[:-1]))
         self.ends = np.append(self.first[1:], n)
         self.owner = self.row[self.first]
@@ -103,15 +112,20 @@ class Runs:
             value = (value ^ (value >> np.uint64(32))) * np.uint64(_BASES[1 - i])
             self.hashes[:, i] = (value ^ (value >> np.uint64(29))).view(np.int64)
 
-    @staticmethod
-    def _spaced(picked: np.ndarray, opened: np.ndarray, n: int) -> np.ndarray:
-        """Of the picked words those at least SHORT words after the cut before them."""
-        cut = np.zeros(n, bool)
-        begin = -1
-        for at, start in zip(picked.tolist(), opened[picked].tolist()):
-            if at - max(begin, start - 1) >= SHORT:
-                cut[at] = True
-                begin = at
+    def _cuts(self) -> np.ndarray:
+        """Words picked by the hashes of words nearby in their text."""
+        before = np.append(np.uint64(0), self.word[:-1])
+        before[np.append(True, self.row[1:] != self.row[:-1])] = 0
+        key = before * np.uint64(_P) + self.word
+        key = (key ^ (key >> np.uint64(32))) * np.uint64(_Q)
+        key ^= key >> np.uint64(29)
+        cut = key < np.uint64(2**64 // CUT)
+        if len(key) >= NEAR:
+            near = np.lib.stride_tricks.sliding_window_view(key, NEAR)
+            # The last of equal ones.
+            at = NEAR - 1 - near[:, ::-1].argmin(axis=1)
+            whole = self.row[NEAR - 1 :] == self.row[: len(near)]
+            cut[(np.arange(len(near)) + at)[whole]] = True
         return cut
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:

@@ -243,6 +243,20 @@ def test_passages_go_but_for_the_first(spark):
     assert passage in rows[0]["text"] and all(n <= 1 for n in left.values())
 
 
+@pytest.mark.parametrize("join", [" ", ""])
+def test_any_shared_passage_holds_a_common_run(join):
+    rng = random.Random(11)
+
+    def words(n):
+        return [f"w{rng.randrange(3000)}" if join else chr(0x4E00 + rng.randrange(3000)) for _ in range(n)]
+
+    for _ in range(300):
+        passage = words(51)
+        texts = [join.join(words(rng.randint(5, 30)) + passage + words(9)) for _ in range(2)]
+        one, two = ({tuple(h) for h in spans.Runs([t]).hashes.tolist()} for t in texts)
+        assert one & two
+
+
 def test_runs_do_not_depend_on_batches():
     texts = [prose(i, 15) + ("\n" if i % 2 else "") for i in range(9)] + ["", " \n", "word"]
     whole = spans.Runs(texts)
