@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.llm import ann, chat, exact_topk, mixing, packing, quality, secret_scan, simhash, spans, toxicity
+from logforge.llm import (
+    ann,
+    bpe,
+    chat,
+    exact_topk,
+    fim,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    spans,
+    toxicity,
+    whitening,
+)
 from logforge.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +144,59 @@ def op4_toxicity(docs: DataFrame, sf_dir: str) -> DataFrame:
 def op2_sentence_spans(docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without repeated runs of sentences."""
     return spans.remove_repeats(docs)
+
+
+@query("documents", sql="""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+drawn AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n,
+         [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) for i in [0, 1, 2, 3]] AS d
+  FROM cut
+),
+parts AS (
+  SELECT doc_id, t, n,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR d[3] % 100 >= 90 THEN 'plain'
+              WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1 : least(d[1] % (n + 1), d[2] % (n + 1))], '') AS p,
+         array_to_string(u[least(d[1] % (n + 1), d[2] % (n + 1)) + 1
+                           : greatest(d[1] % (n + 1), d[2] % (n + 1))], '') AS m,
+         array_to_string(u[greatest(d[1] % (n + 1), d[2] % (n + 1)) + 1 : n], '') AS s
+  FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+""")
+def op11_fill_in_middle(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as a fill-in-middle sample, and as restored from the sample."""
+    made = fim.fill_in_middle(docs)
+    back = fim.restoring_pieces(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        fim.stream_sha256(F.col("text"), F.col("pieces")).alias("output_sha256"),
+        fim.stream_sha256(F.col("output"), back).alias("restored_sha256"))
+
+
+@query("embeddings")
+def op12_whitening(table: DataFrame, sf_dir: str) -> DataFrame:
+    """The four largest whitened components of every vector."""
+    return whitening.whiten(table).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened",
+        "explained", "identity_error")
+
+
+@query("documents")
+def op13_bpe(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    return bpe.digests(bpe.encode(docs))
