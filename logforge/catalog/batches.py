@@ -73,6 +73,21 @@ def pack_batches_hot_unit(t: Tables) -> DataFrame:
     return df.select("event_id", "batch_id")
 
 
+@query(f"""
+WITH RECURSIVE numbered AS (
+  SELECT event_type AS unit, event_id AS k, {SIZE_SQL} + {OVERHEAD} AS size,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events),
+{packed_cte(TARGET)}
+SELECT unit AS event_type, k AS event_id, batch_id FROM packed
+""")
+def pack_batches_by_time(t: Tables) -> DataFrame:
+    # A few large units in time order: each is cut where its own rows lie.
+    times = t("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    df = sized_events(t).drop("event_type").join(times, "event_id")
+    df = batching.pack_batches(df, ["event_type"], ["ts", "event_id"], "size", TARGET, OVERHEAD, span=128)
+    return df.select("event_type", "event_id", "batch_id")
+
+
 @query(PACK_EVENTS_SQL + f"""
 SELECT unit AS user_id, batch_id, count(*) AS records, CAST(sum(size - {OVERHEAD}) AS BIGINT) AS bytes
 FROM packed JOIN (SELECT unit, k, size FROM numbered) USING (unit, k) GROUP BY ALL

@@ -103,6 +103,23 @@ def stride_sample_by_time(t: Tables) -> DataFrame:
     return stride_rows(events, 7, ["event_type"], ["ts", "event_id"], span=512).select("event_id")
 
 
+@query("""
+SELECT unit, event_id FROM
+  (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE event_type END AS unit,
+     row_number() OVER (PARTITION BY CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE event_type END
+       ORDER BY CASE WHEN user_id % 3 = 0 THEN event_id // 50 ELSE epoch_us(ts) END, event_id) - 1 AS n
+   FROM events)
+WHERE n % 11 = 0
+""")
+def stride_sample_skewed(t: Tables) -> DataFrame:
+    # A third of all rows is one unit, within a narrow time and with many equal times.
+    hot = F.col("user_id") % 3 == 0
+    unit = F.when(hot, "hot").otherwise(F.col("event_type")).alias("unit")
+    at = F.when(hot, F.floor(F.col("event_id") / 50)).otherwise(F.unix_micros(F.col("ts").cast("timestamp")))
+    events = t("events").select(unit, at.alias("at"), "event_id")
+    return stride_rows(events, 11, ["unit"], ["at", "event_id"], span=128).select("unit", "event_id")
+
+
 @query(LINES_SQL + f"SELECT line, count(*) AS n FROM lines WHERE {NOT_BLANK_SQL} GROUP BY line")
 def read_objects(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "objects")

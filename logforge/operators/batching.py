@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,90 +15,127 @@ from pyspark.sql import types as T
 from logforge.functions.text import not_blank
 from logforge.operators.framing import kept_records
 from logforge.operators.joins import join_on
-from logforge.operators.ordering import SPAN, chunk_column, ordered_position
+from logforge.operators.ordering import SPAN, chunked, ordered_position
 from logforge.operators.rows import unfold
+from logforge.operators.scan import prefix_scan
+from logforge.session import staged
 
 # Default batch target, and the bytes added for each record.
 BATCH_TARGET = 4 * 1024 * 1024
 RECORD_OVERHEAD = 200
 
+LONGS = T.ArrayType(T.LongType())
 SUMMARY = T.StructType([
+    T.StructField("first", T.LongType()),
     T.StructField("total", T.LongType()),
-    T.StructField("prefix", T.ArrayType(T.LongType())),
-    T.StructField("closed", T.ArrayType(T.LongType())),
-    T.StructField("carry", T.ArrayType(T.LongType())),
+    T.StructField("prefix", LONGS),
+    T.StructField("closed", LONGS),
+    T.StructField("carry", LONGS),
 ])
+STATE = T.StructType([T.StructField("carry", T.LongType()), T.StructField("base", T.LongType())])
+_SUMMARIES = pa.struct([
+    ("first", pa.int64()), ("total", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("prefix", "closed", "carry")]])
+_STATES = pa.list_(pa.struct([("carry", pa.int64()), ("base", pa.int64())]))
 
 
-def _summary(target: int):
-    """Per chunk: what it does to any number of bytes already in the open batch.
+@dataclass
+class Effect:
+    """What consecutive records do to any number of bytes already in the open batch.
 
-    If the open batch holds ``c`` bytes, the first record with ``prefix > target - c``
-    starts a new batch; from there on the cuts depend on nothing before. So each possible
-    first cut is followed once, giving the batches closed and the bytes left open.
+    If the open batch holds ``c`` bytes, the first record with ``prefix > target - c`` starts a
+    new batch; from there on the cuts depend on nothing before. So each possible first
+    cut is followed once, giving the batches ``closed`` and the bytes left open (``carry``). Of
+    neighbours with one outcome the last stands for all. ``first`` is the size of the first record.
     """
 
-    def follow(sizes: np.ndarray) -> dict:
-        sums = np.cumsum(sizes)
-        before = sums - sizes
-        count = int(np.searchsorted(sums, target, side="right")) + 1
-        first = np.arange(min(count, len(sizes)))
-        closed = np.ones(len(first), dtype=np.int64)
-        at = first.copy()
-        while True:
-            nxt = np.maximum(np.searchsorted(sums, before[at] + target, side="right"), at + 1)
-            inside = nxt < len(sizes)
-            if not inside.any():
-                break
-            closed += inside
-            at = np.where(inside, nxt, at)
-        carry = sums[-1] - before[at]
-        same = (closed[1:] == closed[:-1]) & (carry[1:] == carry[:-1])
-        last = np.append(~same, True)
+    first: int
+    total: int
+    prefix: np.ndarray
+    closed: np.ndarray
+    carry: np.ndarray
+
+    def merged(self, target: int) -> dict:
+        """As a row: without outcomes that repeat, and none behind the first certain cut."""
+        count = int(np.searchsorted(self.prefix, target, side="right")) + 1
+        prefix, closed, carry = self.prefix[:count], self.closed[:count], self.carry[:count]
+        last = np.append((closed[1:] != closed[:-1]) | (carry[1:] != carry[:-1]), True)[: len(prefix)]
         return {
-            "total": int(sums[-1]),
-            "prefix": sums[first][last].tolist(),
-            "closed": closed[last].tolist(),
-            "carry": carry[last].tolist(),
-        }
+            "first": self.first, "total": self.total, "prefix": prefix[last], "closed": closed[last],
+            "carry": carry[last]}
+
+    def apply(self, carry: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray]:
+        """(batches closed, bytes left open) for each number of open bytes."""
+        through = carry + self.total <= target
+        hit = np.minimum(np.searchsorted(self.prefix, target - carry, side="right"), len(self.prefix) - 1)
+        return np.where(through, 0, self.closed[hit]), np.where(through, carry + self.total, self.carry[hit])
+
+    def then(self, other: Effect, target: int) -> Effect:
+        """The effect of these records and then the others."""
+        closed, carry = other.apply(self.carry, target)
+        out = Effect(
+            self.first, self.total + other.total,
+            np.concatenate([self.prefix, self.total + other.prefix]),
+            np.concatenate([self.closed + closed, other.closed]), np.concatenate([carry, other.carry]))
+        return Effect(**out.merged(target))
+
+
+def effect_of(sizes: np.ndarray, target: int) -> Effect:
+    """The effect of records of these sizes (at least one)."""
+    sums = np.cumsum(sizes)
+    before = sums - sizes
+    count = int(np.searchsorted(sums, target, side="right")) + 1
+    first = np.arange(min(count, len(sizes)))
+    closed = np.ones(len(first), dtype=np.int64)
+    at = first.copy()
+    while True:
+        nxt = np.maximum(np.searchsorted(sums, before[at] + target, side="right"), at + 1)
+        inside = nxt < len(sizes)
+        if not inside.any():
+            break
+        closed += inside
+        at = np.where(inside, nxt, at)
+    return Effect(int(sizes[0]), int(sums[-1]), sums[first], closed, sums[-1] - before[at])
+
+
+def _effects(rows: pa.Array) -> list[Effect]:
+    """Effects from their rows."""
+    lists = [[x.values.to_numpy() for x in rows.field(c)] for c in ("prefix", "closed", "carry")]
+    return [Effect(*x) for x in zip(rows.field("first").to_pylist(), rows.field("total").to_pylist(), *lists)]
+
+
+def _summary(sizes: Column, target: int) -> Column:
+    @F.arrow_udf(SUMMARY)
+    def summarise(rows: pa.Array) -> pa.Array:
+        return pa.array([effect_of(np.asarray(s.values), target).merged(target) for s in rows], _SUMMARIES)
+
+    return summarise(sizes)
+
 
+def _combined(target: int) -> Callable[[Column], Column]:
     @F.arrow_udf(SUMMARY)
-    def summarise(sizes: pa.Array) -> pa.Array:
-        kind = pa.struct([
-            ("total", pa.int64()),
-            ("prefix", pa.list_(pa.int64())),
-            ("closed", pa.list_(pa.int64())),
-            ("carry", pa.list_(pa.int64())),
-        ])
-        return pa.array([follow(np.asarray(s.values)) for s in sizes], kind)
-
-    return summarise
-
-
-def _walk(unit: list[str], target: int):
-    """Carry the open batch from chunk to chunk of a unit, one short row each."""
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, carry, base = None, 0, 0
-        for frame in frames:
-            carries, bases = [], []
-            keys = list(frame[unit].itertuples(index=False, name=None))
-            rows = zip(keys, frame["first"], frame["total"], frame["prefix"], frame["closed"], frame["carry"])
-            for key, first, total, prefix, closed, left in rows:
-                key = tuple(None if pd.isna(part) else part for part in key)
-                if key != current:
-                    # An oversized first record has no open batch to close.
-                    current, carry, base = key, 0, -1 if first > target else 0
-                carries.append(carry)
-                bases.append(base)
-                if carry + total <= target:
-                    carry += total
-                else:
-                    hit = int(np.searchsorted(np.asarray(prefix), target - carry, side="right"))
-                    carry, base = int(left[hit]), base + int(closed[hit])
-            yield frame[[*unit, "_chunk"]].assign(_carry=carries, _base=bases)
+    def combine(rows: pa.Array) -> pa.Array:
+        return pa.array(
+            [reduce(lambda a, b: a.then(b, target), _effects(r.values)).merged(target) for r in rows], _SUMMARIES)
+
+    return combine
 
-    return walk
+
+def _handed(target: int) -> Callable[[Column, Column], Column]:
+    """States before each of some consecutive chunks."""
+
+    @F.arrow_udf(T.ArrayType(STATE))
+    def hand_down(rows: pa.Array, states: pa.Array) -> pa.Array:
+        out = []
+        for row, state in zip(rows, states.to_pylist()):
+            given = []
+            for effect in _effects(row.values):
+                given.append(dict(state))
+                closed, carry = effect.apply(np.array([state["carry"]]), target)
+                state = {"carry": int(carry[0]), "base": state["base"] + int(closed[0])}
+            out.append(given)
+        return pa.array(out, _STATES)
+
+    return hand_down
 
 
 def _cuts(target: int):
@@ -134,12 +172,12 @@ def pack_batches(
     """Greedy packing along ``order`` within ``unit``: a record opens a new batch when the
     open one would pass ``target`` bytes; a record over the target is alone.
 
-    The fold is sequential, yet no unit is handled as a whole: chunks are summarised in
-    parallel from their sizes only, the summaries are chained, and each record finds its
-    batch from the few batch starts of its own chunk. ``order`` is unique within a unit.
+    The fold is sequential, yet no unit is handled as a whole: the effect of each chunk is
+    found in parallel from its sizes only, effects are combined in a tree, and each record finds
+    its batch from the few batch starts of its own chunk. ``order`` is unique within a unit;
+    rows that share it share a batch.
     """
-    df = df.withColumn("_chunk", chunk_column(df, order, chunk, span))
-    df = df.withColumn("_at", F.struct(*order))
+    df = chunked(df, unit, order, chunk, span).withColumn("_at", F.struct(*order))
     sized = F.struct(F.col("_at").alias("at"), (F.col(size) + overhead).cast("bigint").alias("size"))
     chunks = (
         df.select(*unit, "_chunk", sized.alias("_row"))
@@ -147,23 +185,19 @@ def pack_batches(
         .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
         .select(*unit, "_chunk", F.col("_rows.at").alias("_ats"), F.col("_rows.size").alias("_sizes"))
     )
-    summaries = chunks.select(
-        *unit, "_chunk", F.get("_sizes", F.lit(0)).alias("first"), _summary(target)("_sizes").alias("s")
-    ).select(*unit, "_chunk", "first", "s.*")
-    fields = [chunks.schema[c] for c in [*unit, "_chunk"]]
-    carried = (
-        summaries.repartition(*unit)
-        .sortWithinPartitions(*unit, "_chunk")
-        .mapInPandas(
-            _walk(unit, target),
-            T.StructType([*fields, T.StructField("_carry", T.LongType()), T.StructField("_base", T.LongType())]),
-        )
-    )
-    starts = join_on(chunks, carried, [*unit, "_chunk"]).select(
+    chunks = staged(chunks.withColumn("_f", _summary(F.col("_sizes"), target)), "chunks")
+    # An oversized first record has no open batch to close.
+    states = prefix_scan(
+        chunks.select(*unit, "_chunk", "_f"), unit, _combined(target),
+        lambda f: F.struct(
+            F.lit(0).cast("bigint").alias("carry"),
+            F.when(f["first"] > target, -1).otherwise(0).cast("bigint").alias("base")),
+        _handed(target))
+    starts = join_on(chunks.drop("_f"), states, [*unit, "_chunk"]).select(
         *unit,
         "_chunk",
-        "_base",
-        F.transform(_cuts(target)("_sizes", "_carry"), lambda i: F.get("_ats", i)).alias("_starts"),
+        F.col("_state.base").alias("_base"),
+        F.transform(_cuts(target)("_sizes", "_state.carry"), lambda i: F.get("_ats", i)).alias("_starts"),
     )
     passed = F.size(F.filter("_starts", lambda s: s <= F.col("_at")))
     return (

@@ -7,40 +7,94 @@ per chunk is combined along the unit.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logforge.operators.joins import join_on
+from logforge.session import staged
 
 SPAN = 1 << 16
-MOST_CHUNKS = 1 << 12
+#: A chunk of more than this many spans is cut again.
+LARGE = 4
+#: Parts that one sketch can cut a chunk into, and its accuracy: ranks are off by 0.1 %.
+PARTS = 512
+SKETCH = 4096
+#: Bounds are searched in two steps, among blocks and inside one.
+BLOCK = 24
 
 
-def chunk_column(df: DataFrame, order: list[str], chunk: Column | str | None, span: int) -> Column:
-    """A value that never decreases along ``order``.
+def chunked(
+    df: DataFrame, unit: list[str], order: list[str], chunk: Column | str | None = None, span: int = SPAN
+) -> DataFrame:
+    """``df`` with ``_chunk``, a whole number that never decreases along ``order`` in a unit.
 
     A single integer column is a dense position: it is divided by ``span``. Other orders, by
-    time or by several columns, are cut where the data lie: at approximate quantiles of the
-    first column, and at those of the second one inside values of the first that fill
-    whole chunks. This reads ``df`` up to three times while the plan is made.
+    time or by several columns, are cut where each unit's own rows lie: a mergeable
+    quantile sketch per unit gives bounds of its first column, and chunks that are still large are
+    cut again, by their own sketches; where the first column has one value only, by the second
+    column, and so on. A pass cuts a chunk into up to ``PARTS`` parts, so few passes do for any
+    number of rows, and chunks stay below ``LARGE`` spans whatever the size of a unit. Each
+    pass reads ``df`` once and writes the bounds, which are a small share of it.
     """
     if chunk is not None:
-        return F.col(chunk) if isinstance(chunk, str) else chunk
+        return df.withColumn("_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
     key = order_key(df, order[0])
     if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.IntegralType):
-        return F.floor(key / F.lit(span)).cast("bigint")
-    parts = min(MOST_CHUNKS, df.count() // span + 1)
-    bounds = quantiles(df, key, parts)
-    column = between(key, sorted(set(bounds)))
-    heavy = sorted({b for b in bounds if bounds.count(b) > 1})
-    if heavy and len(order) > 1:
-        second = order_key(df, order[1])
-        inner = quantiles(df.filter(key.isin(heavy)), second, parts)
-        column = column * (2 * parts) + F.when(key.isin(heavy), between(second, sorted(set(inner)))).otherwise(0)
-    return column
+        return df.withColumn("_chunk", F.floor(key / F.lit(span)).cast("bigint"))
+    df = df.withColumn("_chunk", F.lit(0).cast("bigint"))
+    keys, by = [order_key(df, name) for name in order], 0
+    while True:
+        bounds = staged(sketched_bounds(df, unit, keys, by, span), "bounds")
+        most, first = bounds.agg(F.max("_count"), F.min("_by")).first()
+        if first is None:
+            return df
+        if most is not None:
+            df = cut_at(df, unit, keys[by], bounds.filter(F.col("_count").isNotNull()), most)
+        else:
+            by = first
+
+
+def sketched_bounds(df: DataFrame, unit: list[str], keys: list[Column], by: int, span: int) -> DataFrame:
+    """``unit, _chunk, _by`` of the large chunks, where ``_by`` is the place of the first order
+    column with more than one value in a chunk (those without any are left out).
+
+    Those to be cut by column ``by`` have the bounds, in ``_blocks``, and their ``_count``.
+    """
+    size = df.groupBy(*unit, "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"), F.kll_sketch_agg_bigint(keys[by], F.lit(SKETCH)).alias("_sketch"),
+        *[(F.min(key) < F.max(key)).alias(f"_varies{i}") for i, key in enumerate(keys)])
+    first = F.lit(None).cast("int")
+    for i in reversed(range(len(keys))):
+        first = F.when(F.col(f"_varies{i}"), i).otherwise(first)
+    large = size.withColumn("_by", first).filter((F.col("_n") > LARGE * span) & F.col("_by").isNotNull())
+    ranks = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
+    parts = F.least(F.ceil(F.col("_n") / span), F.lit(PARTS))
+    chosen = F.transform(
+        F.sequence(F.lit(1), (parts - 1).cast("int")),
+        lambda i: F.element_at("_all", F.greatest(F.floor(i * PARTS / parts), F.lit(1)).cast("int")))
+    large = large.withColumn("_all", F.kll_sketch_get_quantile_bigint("_sketch", ranks))
+    large = large.withColumn("_bounds", F.when(F.col("_by") == by, F.array_sort(F.array_distinct(chosen))))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_bounds") - 1) / BLOCK).cast("int")),
+        lambda b: F.slice("_bounds", b * BLOCK + 1, BLOCK))
+    return large.select(
+        *unit, "_chunk", "_by", F.when(F.col("_by") == by, blocks).alias("_blocks"),
+        F.when(F.col("_by") == by, F.size("_bounds").cast("bigint")).alias("_count"))
+
+
+def cut_at(df: DataFrame, unit: list[str], key: Column, bounds: DataFrame, most: int) -> DataFrame:
+    """Chunks cut at their bounds (``most`` at most): between two bounds is a part, and at each
+    one another."""
+    columns = df.columns
+    df = join_on(df, bounds.select(*unit, "_chunk", "_blocks"), [*unit, "_chunk"], "left").withColumn("_key", key)
+    before = F.size(F.filter("_blocks", lambda b: F.element_at(b, -1) < F.col("_key")))
+    df = df.withColumn("_before", before).withColumn("_block", F.get("_blocks", "_before"))
+    inside = F.when(F.col("_block").isNotNull(), F.size(F.filter("_block", lambda b: b < F.col("_key"))))
+    below = F.least(F.col("_before") * BLOCK + F.coalesce(inside, F.lit(0)), F.lit(most))
+    at = F.coalesce(F.array_contains("_block", F.col("_key")), F.lit(False)).cast("int")
+    part = F.when(F.col("_blocks").isNull(), 0).otherwise(2 * below + at)
+    return df.withColumn("_chunk", F.col("_chunk") * (2 * most + 1) + part).select(*columns)
 
 
 def order_key(df: DataFrame, name: str) -> Column:
@@ -53,27 +107,6 @@ def order_key(df: DataFrame, name: str) -> Column:
     return F.coalesce(key.cast("bigint"), F.lit(-(1 << 63)))
 
 
-def quantiles(df: DataFrame, key: Column, parts: int) -> list[int]:
-    """The bounds between ``parts`` parts of about equal size."""
-    if parts < 2:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    return df.agg(F.percentile_approx(key, shares, 10 * parts)).first()[0] or []
-
-
-def between(key: Column, bounds: list[int]) -> Column:
-    """Twice the number of bounds below the key, one more if it is one of them."""
-    if not bounds:
-        return F.lit(0).cast("bigint")
-
-    @F.arrow_udf(T.LongType())
-    def search(keys: pa.Array) -> pa.Array:
-        values, edges = keys.to_numpy(zero_copy_only=False), np.array(bounds, np.int64)
-        return pa.array(np.searchsorted(edges, values, "left") + np.searchsorted(edges, values, "right"))
-
-    return search(key)
-
-
 def ordered_position(
     df: DataFrame,
     unit: list[str],
@@ -83,7 +116,7 @@ def ordered_position(
     out: str = "position",
 ) -> DataFrame:
     """Exact 0-based row number within ``unit`` along ``order`` (unique inside a unit)."""
-    df = df.withColumn("_chunk", chunk_column(df, order, chunk, span))
+    df = chunked(df, unit, order, chunk, span)
     counts = df.groupBy(*unit, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     along = Window.partitionBy(*unit).orderBy("_chunk")
     before = F.sum("_n").over(along) - F.col("_n")

@@ -14,7 +14,7 @@ from logforge.operators.body import build_body
 from logforge.operators.filters import stride_sample
 from logforge.operators.lookup import join_group_tags
 from logforge.operators.metrics import _value, value_text
-from logforge.operators.ordering import chunk_column
+from logforge.operators.ordering import chunked
 from logforge.operators.transform import transform_records
 from logforge.plans.config import LogConfig
 from logforge.plans.deliver import deliver, file_sink
@@ -166,8 +166,8 @@ def test_chunks_follow_the_data(spark, shape):
     rows = [("u", rng.randint(0, 10**12) if shape == "spread" else rng.choice([7, 7, 9]), i, rng.randint(1, 50)) for i in range(3000)]
     df = spark.createDataFrame(rows, "unit string, at long, id long, size long")
     df = df.withColumn("ts", F.timestamp_micros("at"))
-    sizes = df.withColumn("c", chunk_column(df, ["ts", "id"], None, 100)).groupBy("c").count().collect()
-    assert 20 <= len(sizes) <= 130 and max(r["count"] for r in sizes) <= 300
+    sizes = chunked(df, ["unit"], ["ts", "id"], None, 100).groupBy("_chunk").count().collect()
+    assert 20 <= len(sizes) <= 130 and max(r["count"] for r in sizes) <= 400
     ordered = sorted((r[1], r[2], r[3]) for r in rows)
     batch, held, wanted = 0, None, {}
     for _, key, size in ordered:
