@@ -6,15 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logforge.catalog.registry import Tables, query
-from logforge.functions.text import gzip, key_level
+from logforge.functions.text import gzip, key_level, not_blank
 from logforge.operators import framing
 from logforge.operators.filters import block_pattern as block_rows
 from logforge.operators.filters import drop_blank, stride_sample as stride_rows
+from logforge.operators.lines import delimited_lines, multiline_records
+from logforge.operators.ordering import ordered_position
 from logforge.plans.config import LogConfig
 from logforge.plans.ship import frame_source
 from logforge.session import work_dir
 from logforge.sources.events import read_scan_events
-from logforge.sources.objects import decode_objects, read_lines as lines_of, read_objects as objects_of, select_keys
+from logforge.sources.objects import (
+    decode_objects,
+    notifications_to_paths,
+    read_lines as lines_of,
+    read_objects as objects_of,
+    select_keys,
+)
+from logforge.sources.paths import object_address, read_paths
 
 LINES_SQL = r"""
 WITH pieces AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
@@ -45,6 +54,25 @@ def frame_multiline(t: Tables) -> DataFrame:
     return framing.explode_records(df).withColumnRenamed("log", "record")
 
 
+def blocks_of_lines(texts: DataFrame, lines: int) -> DataFrame:
+    """``unit``, ``text`` → lines in blocks, as a file's lines come from its splits."""
+    rows = texts.select("unit", F.posexplode(F.split("text", "\n", -1)).alias("seq", "log"))
+    return rows.select("unit", F.floor(F.col("seq") / lines).alias("block"), F.col("seq").cast("bigint"), "log")
+
+
+@query(r"""
+WITH pieces AS (SELECT doc_id, string_split_regex(text, '[.!?]\n+') AS a FROM documents),
+kept AS (SELECT doc_id, CASE WHEN len(a) > 1 AND a[1] = '' THEN a[2:] ELSE a END AS a FROM pieces)
+SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, a[i] AS record
+FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM kept)
+""")
+def frame_multiline_lines(t: Tables) -> DataFrame:
+    # Blocks of five lines: nearly every record meets an edge, many span blocks.
+    lines = blocks_of_lines(documents(t).select(F.col("doc_id").alias("unit"), "text"), 5)
+    rows = multiline_records(lines, r"[.!?]\n+", reach=64)
+    return rows.select(F.col("unit").alias("doc_id"), F.col("seq").alias("pos"), F.col("log").alias("record"))
+
+
 @query(LINES_SQL + f"""
 , open AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS pos, line
            FROM lines WHERE NOT regexp_matches(line, 'token = |[0-9]{{6}}'))
@@ -138,6 +166,51 @@ def read_lines(t: Tables) -> DataFrame:
     return lines.groupBy(F.col("log").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(LINES_SQL + f"""
+SELECT CASE WHEN doc_id % 10 = 7 THEN 'missing' END AS error,
+  CASE WHEN doc_id % 10 = 7 THEN NULL ELSE md5(line) END AS digest, count(*) AS n
+FROM (SELECT doc_id, line, pos FROM lines WHERE doc_id % 10 <> 7 AND {NOT_BLANK_SQL}
+      UNION ALL SELECT doc_id, NULL, 0 FROM documents WHERE doc_id % 10 = 7)
+GROUP BY ALL
+""")
+def read_notified(t: Tables) -> DataFrame:
+    # Objects written by their ids, every third one compressed, every tenth one named but missing;
+    # notifications name them, and tasks read them by path.
+    root = work_dir(t.spark, "notified")
+    number, shard = F.col("doc_id").cast("string"), (F.col("doc_id") % 16).cast("string")
+    name = F.concat(shard, F.lit("/o "), number, F.when(F.col("doc_id") % 3 == 0, ".gz").otherwise(".log"))
+    raw = F.encode("text", "UTF-8")
+    zipped = F.col("doc_id") % 3 == 0
+    content = F.coalesce(gzip(F.when(zipped, raw)), raw)
+    objects = t("documents").select("doc_id", name.alias("key"), content.alias("content"))
+    write_objects(objects.filter("doc_id % 10 <> 7"), root)
+    record = F.struct(F.struct(
+        F.struct(F.lit("b").alias("name")).alias("bucket"), F.struct(F.url_encode("key").alias("key")).alias("object")).alias("s3"))
+    event = F.to_json(F.struct(F.array(record).alias("Records"))).alias("event")
+    paths = notifications_to_paths(objects.select("doc_id", event))
+    paths = paths.withColumn("path", object_address(F.col("bucket"), F.col("key"), root + "/{bucket}/{key}"))
+    rows = read_paths(paths, compression=LogConfig("S3").compression)
+    rows = rows.filter(F.col("error").isNotNull() | not_blank(F.col("log")))
+    error = F.when(F.contains("error", F.lit("FileNotFound")), "missing").otherwise(F.col("error"))
+    return rows.groupBy(error.alias("error"), F.md5("log").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_objects(objects: DataFrame, root: str) -> None:
+    """One object per row of ``key``, ``content``, under a bucket ``b``."""
+    folder = root.removeprefix("file://")
+
+    def write(rows) -> None:
+        import os
+
+        for row in rows:
+            path = f"{folder}/b/{row['key']}"
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "wb") as file:
+                file.write(row["content"])
+
+    objects.foreachPartition(write)
+
+
 @query("SELECT doc_id, octet_length(encode(text)) AS bytes, md5(text) AS digest FROM documents")
 def gunzip_documents(t: Tables) -> DataFrame:
     # Every second object is compressed; the reader finds out by looking.
@@ -228,6 +301,18 @@ def frame_delimited(t: Tables) -> DataFrame:
     return order_fields(rows, ["id", "status", "big", "padded", "priority"])
 
 
+@query(ORDER_ROWS_SQL)
+def frame_delimited_lines(t: Tables) -> DataFrame:
+    # The objects of frame_delimited, read line by line in blocks of seven lines.
+    cells = order_cells()
+    cells.insert(1, F.lit("other"))
+    df = order_objects(t, "id;status;status;big;padded;priority\n", ";", cells)
+    lines = blocks_of_lines(df.select(F.col("object").alias("unit"), "text"), 7)
+    rows = ordered_position(delimited_lines(lines, ";"), ["unit"], ["seq"], chunk="block", out="pos")
+    rows = rows.select(F.col("unit").alias("object"), "pos", "log")
+    return order_fields(rows, ["id", "status", "big", "padded", "priority"])
+
+
 @query(ORDER_ROWS_SQL)
 def frame_custom_header(t: Tables) -> DataFrame:
     df = order_objects(t, "a,b,c,d,e\n", ",", order_cells())

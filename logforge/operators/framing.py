@@ -44,43 +44,54 @@ def frame_delimited(
     missing trailing cells are ``""``, surplus ones are ignored.
     """
     delimiter = "\t" if delimiter == "\\t" else delimiter
-    cut = re.escape(delimiter)
     df = df.withColumn("_lines", split_records(F.col(text), r"\n"))
     lines = F.col("_lines")
     first = F.get(lines, F.lit(0))
     extended = first.startswith("#Version")
+    names = header_names(first, F.get(lines, F.lit(1)), delimiter, header, header_regex)
+    rows = F.slice(lines, F.when(extended, 3).otherwise(2), F.size(lines))
+    df = df.withColumn("_names", names).withColumn("_rows", F.filter(rows, not_blank)).drop("_lines")
+    df = df.withColumn("_heads", json_heads(F.col("_names")))
+    # The second mention of _heads keeps Spark from computing it anew for every row.
+    ready = F.size("_heads") > 0
+    cells = F.transform(F.col("_rows"), lambda row: row_json(F.col("_heads"), row, re.escape(delimiter)))
+    return df.withColumn("records", F.when(ready, cells)).drop("_names", "_rows", "_heads")
+
+
+def header_names(
+    first: Column, second: Column, delimiter: str, header: str | None = None, header_regex: str | None = None
+) -> Column:
+    """Names of the cells, from the first two lines of an object."""
     if header:
         plain = F.array(*[F.lit(name) for name in header.split(delimiter)])
     elif header_regex:
         plain = split_records(first, header_regex)
     else:
-        plain = F.split(first, cut, -1)
-    directive = F.split(F.get(lines, F.lit(1)), " ", -1)
-    names = F.when(extended, F.slice(directive, F.lit(2), F.size(directive))).otherwise(plain)
-    rows = F.slice(lines, F.when(extended, 3).otherwise(2), F.size(lines))
-    df = df.withColumn("_names", names).withColumn("_rows", F.filter(rows, not_blank)).drop("_lines")
-    # A repeated name keeps its last cell; NULL heads drop a cell.
-    named = F.zip_with(
-        F.col("_names"),
-        F.sequence(F.lit(2), F.size("_names") + 1),
+        plain = F.split(first, re.escape(delimiter), -1)
+    directive = F.split(second, " ", -1)
+    extended = first.startswith("#Version")
+    return F.when(extended, F.slice(directive, F.lit(2), F.size(directive))).otherwise(plain)
+
+
+def json_heads(names: Column) -> Column:
+    """``"name":`` for each cell; a repeated name keeps its last cell, the others have NULL."""
+    return F.zip_with(
+        names,
+        F.sequence(F.lit(2), F.size(names) + 1),
         lambda n, after: F.when(
-            ~F.array_contains(F.slice(F.col("_names"), after, F.size("_names")), n), F.concat(json_quote(n), F.lit(":"))
+            ~F.array_contains(F.slice(names, after, F.size(names)), n), F.concat(json_quote(n), F.lit(":"))
         ),
     )
-    df = df.withColumn("_heads", named)
 
-    def row_json(row: Column) -> Column:
-        parts = F.zip_with(
-            F.col("_heads"),
-            F.split(row, cut, -1),
-            lambda head, cell: F.concat(head, typed_cell(F.coalesce(cell, F.lit("")))),
-        )
-        return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
-    # The second mention of _heads keeps Spark from computing it anew for every row.
-    ready = F.size("_heads") > 0
-    df = df.withColumn("records", F.when(ready, F.transform(F.col("_rows"), row_json)))
-    return df.drop("_names", "_rows", "_heads")
+def row_json(heads: Column, row: Column, cut: str) -> Column:
+    """The JSON object of a row; NULL heads drop a cell."""
+    parts = F.zip_with(
+        heads,
+        F.split(row, cut, -1),
+        lambda head, cell: F.concat(head, typed_cell(F.coalesce(cell, F.lit("")))),
+    )
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
 
 def typed_cell(value: Column) -> Column:

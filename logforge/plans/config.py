@@ -10,13 +10,15 @@ from logforge.operators.batching import BATCH_TARGET, RECORD_OVERHEAD
 # Integration names; one has a second name.
 OBJECT_SOURCES = ["S3", "S3Csv", "CloudFront", "VpcFlow", "CloudTrail"]
 RECORD_SOURCES = ["CloudWatch", "Kinesis", "Sqs", "Sns", "Kafka", "EcrScan"]
+COMPRESSED_SOURCES = ["VpcFlow", "CloudTrail"]
 INTEGRATION_ALIASES = {"MSK": "Kafka"}
 
 
 @dataclass(frozen=True)
 class LogConfig:
     """Settings of ``ship_logs``. ``application`` / ``subsystem`` left out take the default
-    of their source."""
+    of their source. ``compression`` is what ``decode_objects`` and ``read_paths`` need for its
+    objects."""
 
     integration: str
     application: str | None = None
@@ -34,6 +36,11 @@ class LogConfig:
     batch_target: int = BATCH_TARGET
     record_overhead: int = RECORD_OVERHEAD
 
+    @property
+    def compression(self) -> str:
+        """How objects of the integration are compressed: some always are, others if named so."""
+        return "gzip" if self.integration in COMPRESSED_SOURCES else "auto_ext"
+
     def __post_init__(self):
         name = INTEGRATION_ALIASES.get(self.integration, self.integration)
         if name not in OBJECT_SOURCES + RECORD_SOURCES:

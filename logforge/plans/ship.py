@@ -14,6 +14,7 @@ from logforge.operators.association import associate_tags, require_inventory
 from logforge.operators.batching import pack_batches, pack_objects, single_batches
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import block_pattern, drop_blank, stride_sample
+from logforge.operators.lines import delimited_lines, multiline_records
 from logforge.operators.lookup import join_group_tags
 from logforge.operators.metrics import (
     decode_metrics,
@@ -45,7 +46,7 @@ def frame_source(df: DataFrame, cfg: LogConfig) -> DataFrame:
     kind = cfg.integration
     # Rows with an error have no text, and so no records; ``failed_rows`` tells of them.
     df = df.drop("error")
-    if kind == "S3" and _are_lines(df):
+    if kind in OBJECT_SOURCES and _are_lines(df):
         return frame_object_lines(df, cfg)
     for name in _needed(kind):
         if name not in df.columns:
@@ -75,15 +76,24 @@ def _are_lines(df: DataFrame) -> bool:
 
 
 def frame_object_lines(df: DataFrame, cfg: LogConfig) -> DataFrame:
-    """Lines of objects, blocked and sampled as whole objects are; ``seq`` becomes ``pos``."""
-    if cfg.newline_pattern != LogConfig.newline_pattern:
-        raise ValueError("lines are split while reading; a separator pattern needs whole objects")
+    """Lines of objects (``read_lines``, ``read_paths``), framed, blocked and sampled as whole objects
+    are; ``seq`` becomes ``pos``."""
+    if cfg.integration == "CloudTrail":
+        raise ValueError("a JSON array has no lines; give whole objects")
+    df = df.filter(F.col("log").isNotNull())
+    if "meta" not in df.columns:
+        df = df.withColumn("meta", object_meta(*split_path(F.col("unit"))))
+    if cfg.integration != "S3":
+        delimiter = {"CloudFront": "\t", "VpcFlow": " "}.get(cfg.integration, cfg.delimiter)
+        spaces = r"\s+" if cfg.integration == "VpcFlow" else None
+        header = None if cfg.integration == "VpcFlow" else cfg.header or None
+        df = delimited_lines(df, delimiter, header, spaces)
+    elif cfg.newline_pattern != LogConfig.newline_pattern:
+        df = multiline_records(df, cfg.newline_pattern)
     if cfg.block:
         df = block_pattern(df, cfg.block)
     if cfg.sample > 1:
         df = stride_sample(df, cfg.sample, ["unit"], ["seq"], chunk="block")
-    if "meta" not in df.columns:
-        df = df.withColumn("meta", object_meta(*split_path(F.col("unit"))))
     return df.withColumnRenamed("seq", "pos")
 
 
@@ -94,7 +104,7 @@ def failed_rows(df: DataFrame, cfg: LogConfig | None = None) -> DataFrame:
     error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     if "event_kind" in df.columns:
         error = F.coalesce(error, F.when(F.col("event_kind") == "unsupported", "unsupported event"))
-    if cfg is not None and not (cfg.integration == "S3" and _are_lines(df)):
+    if cfg is not None and not (cfg.integration in OBJECT_SOURCES and _are_lines(df)):
         missing = [name for name in _needed(cfg.integration) if name not in df.columns]
         if missing:
             error = F.coalesce(error, F.lit(f"rows do not match integration {cfg.integration}: no {missing[0]}"))
@@ -173,7 +183,7 @@ def ship_logs(df: DataFrame, cfg: LogConfig, group_tags: DataFrame | None = None
         # An object is one row until it is unfolded, so it is packed there, without a shuffle.
         df = pack_objects(frame_objects(df, cfg), cfg.block, cfg.sample, cfg.batch_target, cfg.record_overhead)
     else:
-        lines = cfg.integration == "S3" and _are_lines(df)
+        lines = cfg.integration in OBJECT_SOURCES and _are_lines(df)
         df = drop_blank(frame_source(df, cfg))
         order = [c for c in ("record", "pos") if c in df.columns]
         if not order:

@@ -83,6 +83,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], separator: str = "\n
 
     A file is read by many tasks. ``block`` (start of the file split) and ``seq`` order
     the lines of one ``unit``; pass them as ``chunk`` and ``order`` to the ordered operators.
+    ``size`` is the file's.
     """
     df = spark.read.option("lineSep", separator).text(paths)
     return df.select(
@@ -90,6 +91,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], separator: str = "\n
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").alias("log"),
+        F.col("_metadata.file_size").alias("size"),
     )
 
 
