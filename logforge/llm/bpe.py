@@ -1,9 +1,9 @@
 """BPE by a table of distinct words, and decoding through a table of pieces.
 
 Documents are split into words where they lie. A chunk of documents is kept as one row:
-places in its own list of words, the commonest first. All lists together give the distinct
-words; each of these is encoded once, and its ids return to every list that has it. So
-nothing is shuffled per word that occurs, only per word that is new to a chunk.
+places in its own list of words, the commonest first. The lists are exploded and dealt out by
+word, so that each distinct word meets all its places once: it is encoded once, and its ids go back
+to these places. So nothing is shuffled per word that occurs, only per word that is new to a chunk.
 
 Chunks and their tables are written bucketed by chunk; putting them together moves neither.
 """
@@ -36,8 +36,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CHUNK = 1 << 24
 #: A blank after white space: there a text is not cut at single blanks.
 TWO_BLANKS = re.compile(r"\s ")
-#: Ids put together at a time.
+#: Ids put together at a time; words encoded and kept before they go back to their chunks.
 BLOCK = 1 << 20
+ENTRIES = T.ArrayType(T.StructType([T.StructField(c, T.BinaryType()) for c in ("places", "sizes", "ids")]))
 
 
 def _tokenizer(path: str):
@@ -105,6 +106,28 @@ class Splitter:
         return [(t, i % 2 == 1) for i, t in enumerate(self.added.split(text)) if t]
 
 
+def table_part(places: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Ascending places and the ids of each (an array of arrays), packed."""
+    sizes = np.array([len(i) for i in ids], np.uint32)
+    flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
+    return packed(np.diff(places, prepend=0)), packed(sizes), packed(flat)
+
+
+def table_of(entries: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, size) by place, and the ids they mean, from all parts of a table."""
+    places = np.concatenate([np.zeros(0, np.int64), *[np.cumsum(unpacked(e["places"]).astype(np.int64)) for e in entries]])
+    sizes = np.concatenate([np.zeros(0, np.int64), *[unpacked(e["sizes"]).astype(np.int64) for e in entries]])
+    flat = np.concatenate([np.zeros(0, np.int32), *[unpacked(e["ids"]).view(np.int32) for e in entries]])
+    begin, length = np.empty(len(places), np.int64), np.empty(len(places), np.int64)
+    begin[places], length[places] = np.cumsum(sizes) - sizes, sizes
+    return begin, length, flat
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _distinct_ids(tables: pa.Array) -> pa.Array:
+    return pa.array([np.unique(table_of(t.as_py())[2]) for t in tables], pa.list_(pa.int32()))
+
+
 class Coder:
     """Numbers the words of a chunk of documents."""
 
@@ -178,7 +201,7 @@ def bucketed(df: DataFrame, name: str) -> DataFrame:
 @dataclass
 class Encoded:
     """Documents in token ids: ``chunks`` (chunk, keys, counts, places) hold places in the lists of
-    ``tables`` (chunk, entries of place and ids)."""
+    ``tables`` (chunk, entries: some places, how many ids each has, and these, packed)."""
 
     chunks: DataFrame
     tables: DataFrame
@@ -195,15 +218,15 @@ class Encoded:
                 yield pa.RecordBatch.from_arrays(
                     [keys, pa.array(ids, pa.list_(pa.int32()))], [schema[0].name, "ids"])
 
-        return self.chunks.join(self.tables, "chunk").mapInArrow(rows, schema)
+        return self.chunks.join(self.tables, "chunk", "left").mapInArrow(rows, schema)
 
     def with_pieces(self, vocabulary: str = VOCABULARY) -> DataFrame:
         """Chunks with their tables and the pieces of the ids that occur in them."""
-        ids = F.explode(F.array_distinct(F.flatten("entries.ids"))).alias("id")
+        ids = F.explode(_distinct_ids("entries")).alias("id")
         known = piece_table(self.tables.sparkSession, vocabulary)
         pieces = self.tables.select("chunk", ids).join(F.broadcast(known), "id")
         pieces = pieces.groupBy("chunk").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
-        return self.chunks.join(self.tables, "chunk").join(pieces, "chunk", "left")
+        return self.chunks.join(self.tables, "chunk", "left").join(pieces, "chunk", "left")
 
 
 def piece_table(spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -266,16 +289,46 @@ def encode(docs: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY, s
     """
     chunks = bucketed(split_chunks(docs, key, vocabulary, size), "words")
     entries = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
+    by_word = entries.repartition("word").sortWithinPartitions("word")
+    schema = T.StructType([T.StructField("chunk", T.LongType()), *ENTRIES.elementType.fields])
+
+    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, last, known = _tokenizer(vocabulary), None, None
+        waiting, count = [], 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            chunk, place, ids = (np.concatenate([w[i] for w in waiting]) for i in range(3))
+            order = np.lexsort((place, chunk))
+            chunk, place, ids = chunk[order], place[order], ids[order]
+            cuts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+            packs = [table_part(*x) for x in zip(np.split(place, cuts[1:]), np.split(ids, cuts[1:]))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunk[cuts], pa.int64()), *[pa.array(c, pa.binary()) for c in zip(*packs)]], schema.names)
 
-    @F.arrow_udf("array<int>")
-    def ids(words: pa.Array) -> pa.Array:
-        tokenizer = _tokenizer(vocabulary)
-        found = tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)
-        return pa.array([e.ids for e in found], pa.list_(pa.int32()))
-
-    words = entries.select("word").distinct().withColumn("ids", ids("word"))
-    back = entries.join(words, "word").groupBy("chunk")
-    tables = back.agg(F.collect_list(F.struct("place", "ids")).alias("entries"))
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            new = [i for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
+            encoded = tokenizer.encode_batch_fast([words[i] for i in new], add_special_tokens=False)
+            # Place 0 is the word that the batch before ended with.
+            found = np.empty(len(new) + 1, object)
+            found[0] = known
+            for i, e in enumerate(encoded, 1):
+                found[i] = np.array(e.ids, np.int32)
+            which = np.zeros(len(words), np.int64)
+            which[new] = 1
+            ids = found[np.cumsum(which)]
+            if words:
+                last, known = words[-1], ids[-1]
+            waiting.append((batch.column("chunk").to_numpy(), batch.column("place").to_numpy(), ids))
+            count += len(words)
+            if count >= BLOCK:
+                yield from done()
+                waiting, count = [], 0
+        if count:
+            yield from done()
+
+    packs = by_word.mapInArrow(back, schema)
+    tables = packs.groupBy("chunk").agg(F.collect_list(F.struct("places", "sizes", "ids")).alias("entries"))
     kind = docs.schema[key].dataType
     return Encoded(chunks.drop("words"), bucketed(tables, "ids"), key, kind)
 
@@ -283,30 +336,35 @@ def encode(docs: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY, s
 def encoded_ids(table: DataFrame, key: str = "doc_id", size: int = CHUNK) -> Encoded:
     """``Encoded`` from rows with their own ``ids`` (array<int>), say of a model, to be decoded.
 
-    A null list counts as empty.
+    A null list counts as empty; null and unknown ids stand for no text.
     """
     kind = table.schema[key].dataType
     schema = T.StructType([
         T.StructField("chunk", T.LongType()), T.StructField("keys", T.ArrayType(kind)),
         T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("places", T.BinaryType()),
-        T.StructField("known", T.ArrayType(T.IntegerType()))])
+        T.StructField("entries", ENTRIES)])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, waiting, length = TaskContext.get().partitionId() << 32, [], 0
 
         def done() -> pa.RecordBatch:
             known, places = np.unique(np.concatenate([i for _, i in waiting]), return_inverse=True)
+            own = np.empty(len(known), object)
+            for i, known_id in enumerate(known):
+                own[i] = np.array([known_id])
+            part = dict(zip(ENTRIES.elementType.names, table_part(np.arange(len(known)), own)))
+            entry_kind = pa.list_(pa.struct([(c, pa.binary()) for c in part]))
             return pa.RecordBatch.from_arrays([
                 pa.array([chunk], pa.int64()), pa.array([[k for k, _ in waiting]], pa.list_(key_kind)),
                 pa.array([[len(i) for _, i in waiting]], pa.list_(pa.int32())),
-                pa.array([packed(places)], pa.binary()), pa.array([known], pa.list_(pa.int32()))], schema.names)
+                pa.array([packed(places)], pa.binary()), pa.array([[part]], entry_kind)], schema.names)
 
         for batch in batches:
             keys, lists = batch.columns
             key_kind = keys.type
             for at in range(batch.num_rows):
                 values = lists[at].values
-                waiting.append((keys[at], np.zeros(0, np.int32) if values is None else values.to_numpy()))
+                waiting.append((keys[at], np.zeros(0, np.int32) if values is None else values.fill_null(-1).to_numpy()))
                 length += len(waiting[-1][1])
                 if length >= size:
                     yield done()
@@ -315,8 +373,7 @@ def encoded_ids(table: DataFrame, key: str = "doc_id", size: int = CHUNK) -> Enc
             yield done()
 
     chunks = bucketed(table.select(key, "ids").mapInArrow(split, schema), "given")
-    entries = F.transform("known", lambda i, at: F.struct(at.alias("place"), F.array(i).alias("ids")))
-    return Encoded(chunks.drop("known"), chunks.select("chunk", entries.alias("entries")), key, kind)
+    return Encoded(chunks.drop("entries"), chunks.select("chunk", "entries"), key, kind)
 
 
 def documents(
@@ -326,17 +383,12 @@ def documents(
     if the chunks have them."""
     for batch in batches:
         for at in range(batch.num_rows):
-            entries = batch.column("entries")[at].values
             pieces = None
             if "pieces" in batch.schema.names:
                 found = batch.column("pieces")[at].values
                 pieces = {} if found is None else dict(zip(
                     found.field("id").to_pylist(), found.field("piece").to_pylist()))
-            lists = entries.field("ids") if entries is not None else pa.array([], pa.list_(pa.int32()))
-            order = np.argsort(entries.field("place").to_numpy()) if entries is not None else np.zeros(0, int)
-            offsets = lists.offsets.to_numpy()
-            begin, length = offsets[:-1][order].astype(np.int64), np.diff(offsets)[order].astype(np.int64)
-            flat = lists.values.to_numpy()
+            begin, length, flat = table_of(batch.column("entries")[at].as_py() or [])
             keys, places = batch.column("keys")[at].values, unpacked(batch.column("places")[at].as_py())
             ends = np.cumsum(batch.column("counts")[at].values.to_numpy())
             low = 0
