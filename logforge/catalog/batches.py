@@ -17,7 +17,8 @@ from logforge.catalog.events import subscription_events
 from logforge.plans.config import LogConfig
 from logforge.plans.deliver import deliver, file_sink
 from logforge.plans.ship import failed_rows, ship_logs
-from logforge.session import work_dir
+from logforge.plans.sink import read_delivered, send_requests
+from logforge.session import staged, work_dir
 from logforge.sources.events import read_cloudwatch
 from logforge.sources.objects import decode_objects, object_meta
 from logforge.streaming.stream import ship_stream
@@ -382,6 +383,22 @@ def deliver_requests(t: Tables) -> DataFrame:
     return deliver(requests, sink, ["user_id"]).select("user_id", "delivered", "batches")
 
 
+@query(PACK_EVENTS_SQL + """
+SELECT unit AS user_id, true AS delivered, CAST(max(batch_id) + 1 AS BIGINT) AS batches,
+  CAST(max(batch_id) + 1 AS BIGINT) AS copies, count(*) AS records FROM packed GROUP BY unit
+""")
+def deliver_source(t: Tables) -> DataFrame:
+    # Requests are sent by a data source, a third of them once more: one copy of each is left.
+    keys = ["user_id", "batch_id"]
+    requests = staged(export.to_singles(projected_events(t), keys, ["event_id"]), "requests")
+    path = work_dir(t.spark, "sent")
+    outcome = deliver(requests, lambda df: send_requests(df, path, keys), ["user_id"])
+    send_requests(requests.filter("user_id % 3 = 0"), path, keys)
+    stored = read_delivered(t.spark, path, requests, keys).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("copies"), F.sum("records").alias("records"))
+    return outcome.select("user_id", "delivered", "batches").join(stored, "user_id")
+
+
 # Whole pipelines.
 
 
