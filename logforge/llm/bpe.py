@@ -1,7 +1,7 @@
 """BPE by a table of distinct words, and decoding through a table of pieces.
 
 Documents are split into words where they lie. A chunk of documents is kept as one row:
-places in its own list of words, the commonest first. The lists are exploded and dealt out by
+places in its own list of words, the commonest first. The lists are cut up and dealt out by
 word, so that each distinct word meets all its places once: it is encoded once, and its ids go back
 to these places. So nothing is shuffled per word that occurs, only per word that is new to a chunk.
 
@@ -16,6 +16,7 @@ import os
 import re
 import unicodedata
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 # Fixed value: the pattern of words that byte-level BPE tokenizers of this kind share.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a chunk; a longer text is a chunk of its own.
-CHUNK = 1 << 24
+CHUNK = 1 << 25
+#: Shares that the distinct words are dealt into; a task holds one of them at a time.
+SHARES = 1 << 12
 #: A blank after white space: there a text is not cut at single blanks.
 TWO_BLANKS = re.compile(r"\s ")
 #: Ids put together at a time; words encoded and kept before they go back to their chunks.
@@ -277,6 +280,32 @@ def split_chunks(docs: DataFrame, key: str, vocabulary: str, size: int) -> DataF
     return docs.select(key, whole_text().alias("text")).mapInArrow(split, schema)
 
 
+def dealt_words(chunks: DataFrame) -> DataFrame:
+    """(share, chunk, lengths, words, places): each chunk's words in SHARES lists by their hash, so that
+    equal words of all chunks have one share."""
+    schema = T.StructType([
+        T.StructField("share", T.IntegerType()), T.StructField("chunk", T.LongType()),
+        *[T.StructField(c, T.BinaryType()) for c in ("lengths", "words", "places")]])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                words = batch.column("words")[at].as_py()
+                shares = np.array([zlib.crc32(w.encode()) % SHARES for w in words], np.int32)
+                order = np.argsort(shares, kind="stable")
+                own, begin = np.unique(shares[order], return_index=True)
+                rows = []
+                for places in np.split(order, begin[1:]) if len(words) else []:
+                    held = [words[i] for i in places]
+                    rows.append((packed(np.array([len(w) for w in held])), "".join(held).encode(), packed(places)))
+                columns = zip(*rows) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(own, pa.int32()), pa.array([batch.column("chunk")[at].as_py()] * len(rows), pa.int64()),
+                    *[pa.array(list(c), pa.binary()) for c in columns]], schema.names)
+
+    return chunks.select("chunk", "words").mapInArrow(deal, schema)
+
+
 def encode(docs: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY, size: int = CHUNK) -> Encoded:
     """Whole texts in ids, as the tokenizer of the vocabulary file gives them for the text
     alone, without the tokens that templates add.
@@ -288,44 +317,42 @@ def encode(docs: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY, s
     ``size`` or by one text.
     """
     chunks = bucketed(split_chunks(docs, key, vocabulary, size), "words")
-    entries = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
-    by_word = entries.repartition("word").sortWithinPartitions("word")
+    by_word = dealt_words(chunks).repartition("share").sortWithinPartitions("share")
     schema = T.StructType([T.StructField("chunk", T.LongType()), *ENTRIES.elementType.fields])
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, last, known = _tokenizer(vocabulary), None, None
+        tokenizer, share, known = _tokenizer(vocabulary), None, {}
         waiting, count = [], 0
 
-        def done() -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
             chunk, place, ids = (np.concatenate([w[i] for w in waiting]) for i in range(3))
             order = np.lexsort((place, chunk))
             chunk, place, ids = chunk[order], place[order], ids[order]
             cuts = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
             packs = [table_part(*x) for x in zip(np.split(place, cuts[1:]), np.split(ids, cuts[1:]))]
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(chunk[cuts], pa.int64()), *[pa.array(c, pa.binary()) for c in zip(*packs)]], schema.names)
 
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            new = [i for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
-            encoded = tokenizer.encode_batch_fast([words[i] for i in new], add_special_tokens=False)
-            # Place 0 is the word that the batch before ended with.
-            found = np.empty(len(new) + 1, object)
-            found[0] = known
-            for i, e in enumerate(encoded, 1):
-                found[i] = np.array(e.ids, np.int32)
-            which = np.zeros(len(words), np.int64)
-            which[new] = 1
-            ids = found[np.cumsum(which)]
-            if words:
-                last, known = words[-1], ids[-1]
-            waiting.append((batch.column("chunk").to_numpy(), batch.column("place").to_numpy(), ids))
-            count += len(words)
-            if count >= BLOCK:
-                yield from done()
-                waiting, count = [], 0
+            for own, chunk, lengths, text, places in zip(*[c.to_pylist() for c in batch.columns]):
+                if own != share:
+                    share, known = own, {}
+                ends = np.cumsum(unpacked(lengths).astype(np.int64)).tolist()
+                text = text.decode()
+                words = [text[a:b] for a, b in zip([0, *ends], ends)]
+                new = [w for w in words if w not in known]
+                for word, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                    known[word] = np.array(e.ids, np.int32)
+                ids = np.empty(len(words), object)
+                for i, word in enumerate(words):
+                    ids[i] = known[word]
+                waiting.append((np.full(len(words), chunk, np.int64), unpacked(places).astype(np.int64), ids))
+                count += len(words)
+                if count >= BLOCK:
+                    yield done()
+                    waiting, count = [], 0
         if count:
-            yield from done()
+            yield done()
 
     packs = by_word.mapInArrow(back, schema)
     tables = packs.groupBy("chunk").agg(F.collect_list(F.struct("places", "sizes", "ids")).alias("entries"))
