@@ -16,6 +16,7 @@ from logforge.operators import framing
 from logforge.operators import transform as transforms
 from logforge.operators.filters import drop_blank
 from logforge.operators.lookup import join_group_tags as join_tags
+from logforge.operators.table_function import register_transforms
 
 # A log text per event: every eighth kind of wording, then the JSON properties.
 WORDS = ["WARNING", "Trace", "DEBUG info", "PANIC", "all fine", "Verbose debug", "warn: error", "Critical"]
@@ -276,7 +277,7 @@ def event_json(t: Tables) -> DataFrame:
     return t("events").select("event_id", "event_type", "props", log.alias("log"))
 
 
-@query("""
+TRANSFORM_SQL = """
 SELECT event_id, CASE WHEN event_id % 9 = 0 THEN event_type || ' ' || props END AS text,
   CASE WHEN event_id % 9 <> 0 THEN event_type END AS level,
   CASE WHEN event_id % 9 = 0 OR event_type IN ('error', 'signup') THEN NULL ELSE 'true' END AS processed,
@@ -285,19 +286,21 @@ SELECT event_id, CASE WHEN event_id % 9 = 0 THEN event_type || ' ' || props END
 FROM events, (SELECT 0 AS n UNION ALL SELECT 1)
 WHERE (n = 0 AND NOT (event_type = 'view' AND event_id % 9 <> 0)) OR
       (n = 1 AND event_type = 'purchase' AND event_id % 9 <> 0)
-""")
-def transform_records(t: Tables) -> DataFrame:
-    # Drops views, doubles purchases, fails on errors and on text, returns no list for signups.
-    def fn(event):
-        level = event["level"]
-        if level == "error":
-            return [event["missing"]]
-        if level == "signup":
-            return event
-        event["processed"] = True
-        return [] if level == "view" else [event] * (2 if level == "purchase" else 1)
-
-    df = transforms.transform_records(event_json(t), fn)
+"""
+
+
+def reshape(event):
+    """Drops views, doubles purchases, fails on errors and on text, returns no list for signups."""
+    level = event["level"]
+    if level == "error":
+        return [event["missing"]]
+    if level == "signup":
+        return event
+    event["processed"] = True
+    return [] if level == "view" else [event] * (2 if level == "purchase" else 1)
+
+
+def reshaped(df: DataFrame) -> DataFrame:
     plain = F.col("event_id") % 9 == 0
     return df.select(
         "event_id", F.when(plain, F.col("log")).alias("text"),
@@ -306,6 +309,19 @@ def transform_records(t: Tables) -> DataFrame:
     )
 
 
+@query(TRANSFORM_SQL)
+def transform_records(t: Tables) -> DataFrame:
+    return reshaped(transforms.transform_records(event_json(t), reshape))
+
+
+@query(TRANSFORM_SQL)
+def transform_sql(t: Tables) -> DataFrame:
+    # The same function, called from SQL with a table.
+    register_transforms(t.spark, "transform_logs", reshape=reshape)
+    df = t.spark.sql("SELECT * FROM transform_logs(TABLE({events}), fn => 'reshape')", events=event_json(t))
+    return reshaped(df)
+
+
 @query("SELECT event_id, event_type FROM events WHERE event_id % 9 = 0 OR event_type <> 'view'")
 def drop_where(t: Tables) -> DataFrame:
     return transforms.drop_where(event_json(t), ".level", "view").select("event_id", "event_type")

@@ -28,7 +28,9 @@ def _parse(log: str) -> Any:
 
     try:
         value = json.loads(log, parse_constant=not_json, parse_float=finite)
-        json.dumps(value, ensure_ascii=False).encode()
+        if "\\u" in log:
+            # Only an escape can bring in a lone surrogate, which has no UTF-8 form.
+            json.dumps(value, ensure_ascii=False).encode()
         return value
     except (ValueError, RecursionError):
         return log
@@ -52,6 +54,27 @@ def _render(item: Any) -> str:
     return json.dumps(item, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
 
 
+def record_runner(fn: Callable[[Any], list], on_error: str = "passthrough") -> Callable[[str], tuple[list[str], str | None]]:
+    """Record → its results as texts, and the error if the call failed."""
+
+    def run(record: str) -> tuple[list[str], str | None]:
+        try:
+            result = fn(_parse(record))
+            if not isinstance(result, list):
+                raise TypeError(f"got {type(result).__name__}, expected a list")
+            texts = [_render(item) for item in result]
+            for text in texts:
+                # A lone surrogate has no UTF-8 form: that is this record's error, not the job's.
+                text.encode()
+            return texts, None
+        except Exception as error:
+            if on_error == "fail":
+                raise
+            return [record], f"{type(error).__name__}: {error}"
+
+    return run
+
+
 def transform_records(
     df: DataFrame,
     fn: Callable[[Any], list] | None,
@@ -71,22 +94,7 @@ def transform_records(
         if on_error == "fail":
             raise TypeError("fn is not callable")
         return df.withColumn("transform_seq", F.lit(0)).withColumn("transform_error", F.lit("fn is not callable"))
-    call = fn
-
-    def run(record: str) -> tuple[list[str], str | None]:
-        try:
-            result = call(_parse(record))
-            if not isinstance(result, list):
-                raise TypeError(f"got {type(result).__name__}, expected a list")
-            texts = [_render(item) for item in result]
-            for text in texts:
-                # A lone surrogate has no UTF-8 form: that is this record's error, not the job's.
-                text.encode()
-            return texts, None
-        except Exception as error:
-            if on_error == "fail":
-                raise
-            return [record], f"{type(error).__name__}: {error}"
+    run = record_runner(fn, on_error)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
