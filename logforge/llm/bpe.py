@@ -39,8 +39,10 @@ CHUNK = 1 << 25
 SHARES = 1 << 12
 #: A blank after white space: there a text is not cut at single blanks.
 TWO_BLANKS = re.compile(r"\s ")
-#: Ids put together at a time; words encoded and kept before they go back to their chunks.
-BLOCK = 1 << 20
+#: Words whose ids are put together at a time, or kept before they go back to their chunks.
+BLOCK = 1 << 18
+#: Pieces between blanks that are remembered with their words; the rest are split each time.
+REMEMBERED = 1 << 17
 ENTRIES = T.ArrayType(T.StructType([T.StructField(c, T.BinaryType()) for c in ("places", "sizes", "ids")]))
 
 
@@ -146,7 +148,7 @@ class Coder:
         """One document.
 
         No word spans the place before a single blank, so what lies between those is split
-        once per chunk.
+        by itself, and the first REMEMBERED ones of a chunk only once.
         """
         out: list[int] = []
         for part, whole in self.splitter.parts(text):
@@ -160,7 +162,9 @@ class Coder:
                 for other in others:
                     codes = self.seen.get(other)
                     if codes is None:
-                        codes = self.seen[other] = self.numbered(self.splitter.part(" " + other))
+                        codes = self.numbered(self.splitter.part(" " + other))
+                        if len(self.seen) < REMEMBERED:
+                            self.seen[other] = codes
                     out += codes
         self.keys.append(key)
         self.codes.append(np.array(out, np.uint32))
