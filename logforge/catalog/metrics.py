@@ -10,10 +10,12 @@ from logforge.catalog.registry import Tables, query
 from logforge.functions import otlp
 from logforge.operators import association as assoc
 from logforge.operators import metrics as ops
+from logforge.operators import metrics_json
 from logforge.operators.batching import pack_batches
 from logforge.operators.filters import filter_metrics
 from logforge.plans.config import MetricConfig
 from logforge.plans.ship import ship_metrics as ship
+from logforge.session import staged
 from logforge.sources.events import read_delivery_records
 
 # A line item is a data point. Its line number picks the namespace.
@@ -79,12 +81,13 @@ def flatten_dimensions(t: Tables) -> DataFrame:
 
 @query(f"""
 SELECT {NAMESPACE_SQL} AS namespace, 'm-' || l_returnflag AS metric_name,
-  {KEYS_SQL} AS dim_keys, {FIRST_SQL} AS first_value, count(*) AS n
-FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL
+  CASE WHEN l_returnflag = 'R' THEN '' ELSE {KEYS_SQL} END AS dim_keys,
+  CASE WHEN l_returnflag <> 'R' THEN {FIRST_SQL} END AS first_value, count(*) AS n
+FROM lineitem GROUP BY ALL
 """)
 def metric_identity(t: Tables) -> DataFrame:
-    # Gauges go through it too; only those that summaries have are compared in text.
-    df = ops.metric_identity(ops.flatten_points(line_points(t))).filter("kind = 'summary'")
+    # Gauges keep their dimensions folded up, so they have no pairs of their own.
+    df = ops.metric_identity(ops.flatten_points(line_points(t)))
     df = df.select(
         "namespace", "metric_name", F.array_join(F.transform("dims", lambda d: d["key"]), ",").alias("dim_keys"),
         F.get("dims", F.lit(0))["value"].alias("first_value"),
@@ -299,7 +302,19 @@ FROM lineitem GROUP BY ALL
 
 @query(POINTS_SQL)
 def decode_metrics(t: Tables) -> DataFrame:
-    df = ops.explode_points(ops.decode_metrics(ops.split_messages(line_records(t))))
+    return first_dimensions(ops.explode_points(ops.decode_metrics(ops.split_messages(line_records(t)))))
+
+
+@query(POINTS_SQL)
+def decode_metrics_json(t: Tables) -> DataFrame:
+    # The same messages in their JSON form, without Python.
+    payloads = metrics_json.encode_metrics_json(line_payloads(t)).drop("resource_metrics")
+    messages = staged(payloads, "json-messages")
+    return first_dimensions(ops.explode_points(metrics_json.decode_metrics_json(messages)))
+
+
+def first_dimensions(df: DataFrame) -> DataFrame:
+    """Points by record, name, kind and the first of their dimensions."""
     dims = F.get(F.filter("attributes", lambda a: a["key"] == "Dimensions"), F.lit(0))["value"]["kvlistValue"]["values"]
     df = df.select("record_id", "name", "kind", F.get(dims, F.lit(0))["value"]["stringValue"].alias("first_value"))
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
