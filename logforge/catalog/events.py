@@ -61,6 +61,13 @@ def stream_filter(t: Tables) -> DataFrame:
     return _subscription_rows(framing.explode_records(df))
 
 
+@query(SUBSCRIPTION_SQL + " WHERE conv_id % 4 IN (1, 3) OR conv_id % 4 = 2")
+def select_groups(t: Tables) -> DataFrame:
+    # Two groups by name, others by the beginning of theirs.
+    payloads = src.select_groups(src.read_cloudwatch(subscription_events(t)), ["/chat/1", "/chat/3", "/none"], ["/chat/2", "/x"])
+    return _subscription_rows(framing.explode_records(framing.frame_cloudwatch(payloads)))
+
+
 # Record events are rebuilt from the events table, a block of consecutive ids at a time.
 
 

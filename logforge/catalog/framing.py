@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,6 +233,26 @@ def gunzip_corrupt(t: Tables) -> DataFrame:
     return text.select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"), F.md5("text").alias("digest"))
 
 
+@query("""
+SELECT doc_id % 5 AS kind, CASE WHEN doc_id % 5 IN (0, 1) AND doc_id % 2 = 0 THEN 'nothing could be decompressed' END AS error,
+  CASE WHEN NOT (doc_id % 5 IN (0, 1) AND doc_id % 2 = 0) THEN md5(text) END AS digest, count(*) AS n
+FROM documents WHERE text <> '' GROUP BY ALL
+""")
+def decode_by_integration(t: Tables) -> DataFrame:
+    # Flow logs and trails are always compressed, whatever their names; other objects if named so.
+    raw, kind = F.encode("text", "UTF-8"), F.col("doc_id") % 5
+    even = F.col("doc_id") % 2 == 0
+    packed = gzip(F.when(~even, raw))
+    objects = t("documents").filter("text <> ''").select(
+        kind.alias("kind"), F.concat(F.lit("o"), F.when(even, ".log").when(kind.isin(0, 1), ".log").otherwise(".gz")).alias("unit"),
+        F.coalesce(packed, raw).alias("content"))
+    parts = [
+        decode_objects(objects.filter(F.col("kind") == i), LogConfig(name).compression)
+        for i, name in enumerate(["VpcFlow", "CloudTrail", "S3", "S3Csv", "CloudFront"])]
+    df = reduce(DataFrame.unionByName, parts)
+    return df.groupBy("kind", "error", F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 SELECT doc_id, lang AS level FROM documents WHERE source LIKE 'src1%' AND doc_id % 10 = 7
 """)
@@ -320,6 +342,15 @@ def frame_custom_header(t: Tables) -> DataFrame:
     return order_fields(rows, ["n", "s", "m", "p", "q"])
 
 
+@query(ORDER_ROWS_SQL)
+def frame_tab_spelled(t: Tables) -> DataFrame:
+    # The delimiter is given as a backslash and a t.
+    df = order_objects(t, "id\tstatus\tbig\tpadded\tpriority\n", "\t", order_cells())
+    cfg = LogConfig("S3Csv", delimiter="\\t")
+    rows = frame_source(df.select("*", F.col("object").alias("unit")), cfg).drop("unit")
+    return order_fields(rows, ["id", "status", "big", "padded", "priority"])
+
+
 @query(ORDER_ROWS_SQL)
 def frame_cloudfront(t: Tables) -> DataFrame:
     head = "#Version: 1.0\n#Fields: date cs-method cs-bytes pad x(Host)\n"

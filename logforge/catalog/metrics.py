@@ -107,6 +107,19 @@ def add_labels(t: Tables) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"SELECT {NAMESPACE_SQL} AS namespace, count(*) AS points, 0 AS tagged FROM lineitem GROUP BY ALL")
+def missing_inventory(t: Tables) -> DataFrame:
+    # Of the inventory only one namespace's resources are there, and none that a point names: the
+    # points of the others go on without tags.
+    registry = assoc.load_registry(t.spark, REGISTRY)
+    strangers = resources(t).filter("resource_type = 'mq:broker'").withColumn("arn", F.concat("arn", F.lit(":not:ours")))
+    index = assoc.build_associations(strangers, registry)
+    points = line_points(t).withColumn("attributes", ops.flatten_dimensions(F.col("attributes")))
+    points = assoc.require_inventory(ops.metric_identity(points), index, registry, "skip")
+    tagged = F.count_if(F.size("tags") > 0).cast("int").alias("tagged")
+    return assoc.associate_tags(points, index, registry).groupBy("namespace").agg(F.count(F.lit(1)).alias("points"), tagged)
+
+
 RULES_SQL = """(l_returnflag = 'A' AND l_linenumber % 4 = 0) OR l_linenumber % 4 = 2"""
 
 

@@ -314,6 +314,37 @@ def transform_records(t: Tables) -> DataFrame:
     return reshaped(transforms.transform_records(event_json(t), reshape))
 
 
+@query("""
+SELECT event_id, CASE event_id % 6
+    WHEN 0 THEN 'NaN' WHEN 1 THEN CAST(9007199254740993 + event_id AS VARCHAR) WHEN 2 THEN event_id || '.0'
+    WHEN 3 THEN '{"v":NaN}' WHEN 4 THEN '[' || event_id || ',null,true]' ELSE '{"a":1}' END AS log,
+  CASE event_id % 6 WHEN 4 THEN 'ValueError' WHEN 5 THEN 'TypeError' END AS failure
+FROM events
+""")
+def transform_values(t: Tables) -> DataFrame:
+    # Whole numbers of any size and fractions stay as they are; text that is no strict JSON stays
+    # text; results that are not finite, or objects with keys that are no text, are errors.
+    def fn(event):
+        if isinstance(event, list):
+            return [float("inf")]
+        return [{1: 2}] if isinstance(event, dict) else [event]
+
+    case, number = F.col("event_id") % 6, F.col("event_id").cast("string")
+    log = (
+        F.when(case == 0, "NaN").when(case == 1, (F.col("event_id") + 9007199254740993).cast("string"))
+        .when(case == 2, F.concat(number, F.lit(".0"))).when(case == 3, '{"v":NaN}')
+        .when(case == 4, F.concat(F.lit("["), number, F.lit(",null,true]"))).otherwise('{"a":1}'))
+    df = transforms.transform_records(t("events").select("event_id", log.alias("log")), fn)
+    return df.select("event_id", "log", F.substring_index("transform_error", ":", 1).alias("failure"))
+
+
+@query("SELECT event_id, props AS log, 'fn is not callable' AS failure FROM events")
+def transform_unusable(t: Tables) -> DataFrame:
+    # What is no function leaves every record as it is, and says so.
+    df = transforms.transform_records(t("events").select("event_id", F.col("props").alias("log")), {"no": "function"})
+    return df.select("event_id", "log", F.col("transform_error").alias("failure"))
+
+
 @query(TRANSFORM_SQL)
 def transform_sql(t: Tables) -> DataFrame:
     # The same function, called from SQL with a table.

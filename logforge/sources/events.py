@@ -216,6 +216,18 @@ def read_cloudwatch(df: DataFrame, event: str = "event") -> DataFrame:
     return df.select(*[c for c in rest if c != "error"], payload.alias("payload"), error.alias("error"))
 
 
+def select_groups(df: DataFrame, names: list[str] | None = None, prefixes: list[str] | None = None) -> DataFrame:
+    """Subscriptions (rows with ``payload``) of several log groups: those named, and those whose name
+    begins with one of ``prefixes``. Without either all are kept; other rows stay."""
+    if not names and not prefixes:
+        return df
+    group = F.col("payload.logGroup")
+    kept = group.isin(list(names or []))
+    for prefix in prefixes or []:
+        kept = kept | group.startswith(prefix)
+    return df.filter(group.isNull() | kept)
+
+
 def cloudwatch_payload(text: Column) -> Column:
     """Parsed subscription payload, NULL when the text is none."""
     payload = F.from_json(text, CLOUDWATCH_SCHEMA)
