@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logforge.llm.vectors import best_k, matrix, ranked, slot, spread, valid_vectors
+from logforge.llm.vectors import each_time, matrix, ranked, slot, spread, valid_vectors
 from logforge.session import staged
 
 TABLES = 2
@@ -148,16 +148,17 @@ def fit(vectors: DataFrame, k: int) -> Hashing:
     return hashing
 
 
-def _distinct(vectors: DataFrame, k: int) -> DataFrame:
-    """(vid, ids, v) for each distinct vector; ids are its k + 1 smallest, vid the smallest.
+def _distinct(valid: DataFrame, k: int) -> DataFrame:
+    """(vid, key, ids, v) for each distinct vector; ids are its 2 k smallest, vid the smallest, key
+    its hash.
 
-    No query can have a further one among its k nearest: the smaller ids of the same vector
-    come first, at most one of them being the query itself.
+    No query can have a further one among its k nearest: at least k smaller ids of the same
+    vector come first, or these are k rows of the query's own id.
     """
     place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    few = vectors.withColumn("place", place).filter(F.col("place") <= k + 1)
+    few = each_time(valid).withColumn("place", place).filter(F.col("place") <= 2 * k)
     return few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(
-        F.element_at("ids", 1).alias("vid"), "ids", "v")
+        F.element_at("ids", 1).alias("vid"), F.xxhash64("v").alias("key"), "ids", "v")
 
 
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
@@ -176,13 +177,17 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     compared with all. Columns: query_id, rank (from 1), vec_id, score.
 
     Rows without id or vector, zero vectors and vectors with null or non-finite components take
-    no part; of rows that repeat an id the smallest vector stands for it; other columns are
-    ignored; an empty table gives no rows. Every vector is indexed, in buckets split by a hash
+    no part. Rows that repeat an id are candidates of their own, equal ones, too; queries that
+    share an id have one ranking, of all their pairs. Other columns are ignored; an empty table
+    gives no rows. Every vector is indexed, in buckets split by a hash
     where they are large, and tasks hold cells of bounded size.
     """
-    valid = valid_vectors(table, nonzero=True)
+    valid = staged(valid_vectors(table, nonzero=True, copies=k), "valid")
     vectors = staged(_distinct(valid, k), "vectors")
-    queries = staged(valid.filter(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "qid"), "queries")
+    # A query is a row: those that share an id are told apart by their vectors.
+    own = F.xxhash64("vec_id", "v").alias("qid")
+    queries = staged(valid.filter(F.col("vec_id") % every == 0).select(
+        own, F.col("vec_id").alias("query_id"), "v", "times"), "queries")
     hashing = fit(vectors, k)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,18 +199,18 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
             yield from _by_length(
                 batch, lambda m: hashing.probed(m).reshape(len(m), -1), "buckets")
 
-    homes = vectors.select("vid", "ids", "v").mapInArrow(
-        index, "vid long, ids array<long>, v array<double>, buckets array<long>")
-    homes = staged(homes.select("vid", "ids", "v", F.explode("buckets").alias("bucket")), "homes")
+    homes = vectors.mapInArrow(
+        index, "vid long, key long, ids array<long>, v array<double>, buckets array<long>")
+    homes = staged(homes.select("vid", "key", "ids", "v", F.explode("buckets").alias("bucket")), "homes")
     sizes = staged(homes.groupBy("bucket").count().select(
         F.col("bucket").alias("b"), (F.floor(F.col("count") / BUCKET_ROWS) + 1).alias("parts")), "sizes")
     cells = homes.count() // CELL_ROWS + 1
     chunks = queries.count() // CHUNK_QUERIES + 1
 
-    part = F.pmod(F.xxhash64("vid"), F.col("parts"))
+    part = F.pmod(F.xxhash64("key"), F.col("parts"))
     right = homes.join(sizes, homes["bucket"] == sizes["b"]).select(
-        "vid", "ids", "v", "bucket", slot(F.struct("bucket", part), cells).alias("cell"))
-    probes = queries.mapInArrow(probe, "qid long, v array<double>, buckets array<long>")
+        "key", "ids", "v", "bucket", slot(F.struct("bucket", part), cells).alias("cell"))
+    probes = queries.select("qid", "v").mapInArrow(probe, "qid long, v array<double>, buckets array<long>")
     probes = probes.select("qid", F.explode(F.array_distinct("buckets")).alias("bucket"))
     probes = probes.join(sizes, probes["bucket"] == sizes["b"]).select(
         "qid", "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
@@ -213,23 +218,27 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     # A query has at most probes * tables * bands buckets, so its list per cell is short.
     probes = probes.groupBy("qid", "cell").agg(F.collect_set("bucket").alias("buckets"))
     left = probes.join(queries, "qid").withColumn("chunk", slot(F.col("qid"), chunks))
-    kind = "query_id long, score double, vec_id long"
+    kind = "qid long, score double, vec_id long, key long, spot long"
     search = _search(k)
+    right = right.select("key", "ids", "v", "bucket", "cell")
     found = left.groupBy("chunk", "cell").cogroup(
         spread(right, "chunk", chunks).groupBy("chunk", "cell")).applyInArrow(search, kind)
-    found = staged(found.dropDuplicates(["query_id", "vec_id"]), "found")
-    enough = found.groupBy("query_id").count().filter(F.col("count") >= k)
-    short = staged(queries.join(enough, queries["qid"] == enough["query_id"], "left_anti"), "short")
+    # A vector is met in each table; ``spot`` tells the rows of one vector apart.
+    pair = ["qid", "vec_id", "key", "spot"]
+    found = staged(found.dropDuplicates(pair), "found")
+    enough = found.groupBy("qid").count().filter(F.col("count") >= k).select(F.col("qid").alias("done"))
+    short = staged(queries.join(enough, queries["qid"] == enough["done"], "left_anti"), "short")
     if not short.isEmpty():
         all_cells = vectors.count() // CELL_ROWS + 1
         every_one = F.lit(0).cast("long")
         left = spread(short.withColumns({
             "chunk": slot(F.col("qid"), chunks), "buckets": F.array(every_one)}), "cell", all_cells)
-        whole = vectors.withColumns({"bucket": every_one, "cell": slot(F.col("vid"), all_cells)})
+        whole = vectors.select(
+            "key", "ids", "v", every_one.alias("bucket"), slot(F.col("key"), all_cells).alias("cell"))
         more = left.groupBy("chunk", "cell").cogroup(
             spread(whole, "chunk", chunks).groupBy("chunk", "cell")).applyInArrow(search, kind)
-        found = found.union(more).dropDuplicates(["query_id", "vec_id"])
-    return ranked(found, k)
+        found = found.union(more).dropDuplicates(pair)
+    return ranked(each_time(found.join(queries.select("qid", "query_id", "times"), "qid")), k)
 
 
 def _by_length(batch: pa.RecordBatch, apply, name: str) -> Iterator[pa.RecordBatch]:
@@ -248,7 +257,8 @@ def _search(k: int):
     """The function of one cell: queries with the buckets they probe, vectors with theirs."""
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
+        none = np.zeros(0, np.int64)
+        out = [(none, np.zeros(0), none, none, none)]
         if left.num_rows and right.num_rows:
             mine = left.column("v").combine_chunks().value_lengths().to_numpy()
             theirs = right.column("v").combine_chunks().value_lengths().to_numpy()
@@ -258,26 +268,68 @@ def _search(k: int):
                     int(dim), k))
         return pa.table({
             name: np.concatenate([o[i] for o in out])
-            for i, name in enumerate(("query_id", "score", "vec_id"))})
+            for i, name in enumerate(("qid", "score", "vec_id", "key", "spot"))})
 
     return search
 
 
+def _exact(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Inner products row by row, summed from the first component on."""
+    total = np.zeros(len(queries))
+    for i in range(queries.shape[1]):
+        total += queries[:, i] * points[:, i]
+    return total
+
+
 def _cell(left: pa.Table, right: pa.Table, dim: int, k: int):
+    """The k best rows of each query in a cell: key of the query, score, vec_id, vector, place in its ids.
+
+    Matrix products choose what may be among the k best, up to their rounding; these are
+    scored exactly, and of equal scores the smaller ids stay.
+    """
     queries, points = matrix(left.column("v"), dim), matrix(right.column("v"), dim)
-    qid = left.column("qid").to_numpy()
+    qid, own = left.column("qid").to_numpy(), left.column("query_id").to_numpy()
+    keys = right.column("key").to_numpy()
+    # Each vector's smallest id, and its smallest other one, if it has one.
+    row, every = _lists(right.column("ids"))
+    first = every[np.searchsorted(row, np.arange(len(points)))]
+    other, at = np.unique(row[every != first[row]], return_index=True)
+    second, some_other = first.copy(), np.zeros(len(points), bool)
+    second[other], some_other[other] = every[every != first[row]][at], True
+    with np.errstate(over="ignore"):
+        slack = dim * 2.0**-50 * np.linalg.norm(queries, axis=1) * np.linalg.norm(points, axis=1).max(initial=0.0)
+    slack = np.where(np.isfinite(slack), slack, np.inf)
     asker, asked = _lists(left.column("buckets"))
     by_bucket = np.argsort(right.column("bucket").to_numpy(), kind="stable")
     homes = right.column("bucket").to_numpy()[by_bucket]
     order = np.argsort(asked, kind="stable")
     asker, asked = asker[order], asked[order]
-    held = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
     kth = np.full(len(qid), -np.inf)
+    none = np.zeros(0, np.int64)
+    held = (none, np.zeros(0), none)
+
+    def settle(pairs: list[tuple[np.ndarray, np.ndarray]]):
+        """The k best vectors of each query, of those held and some more."""
+        who, place = (np.concatenate([p[i] for p in pairs]) for i in range(2))
+        scores = np.concatenate([held[1], _exact(queries[who], points[place])])
+        who, place = np.concatenate([held[0], who]), np.concatenate([held[2], place])
+        # One vector may be met in several buckets.
+        order = np.lexsort((keys[place], who))
+        who, place, scores = who[order], place[order], scores[order]
+        new = np.append(True, (who[1:] != who[:-1]) | (keys[place][1:] != keys[place][:-1]))[: len(who)]
+        who, place, scores = who[new], place[new], scores[new]
+        lowest = np.where(first[place] != own[who], first[place], second[place])
+        order = np.lexsort((lowest, -scores, who))
+        who, place, scores = who[order], place[order], scores[order]
+        starts = np.flatnonzero(np.append(True, who[1:] != who[:-1])[: len(who)])
+        rank = np.arange(len(who)) - np.repeat(starts, np.diff(np.append(starts, len(who))))
+        last = rank == k - 1
+        kth[who[last]] = scores[last]
+        return who[rank < k], scores[rank < k], place[rank < k]
+
     names, starts = np.unique(homes, return_index=True)
     ends = np.append(starts[1:], len(homes))
-    waiting, size = [held], 0
-    # Twice k, so that rounding in the matrix product can't push out one of the k best.
-    most = 2 * k
+    waiting, size = [(none, none)], 0
     for name, begin, end in zip(names, starts, ends):
         who = asker[np.searchsorted(asked, name) : np.searchsorted(asked, name, side="right")]
         there = by_bucket[begin:end]
@@ -285,25 +337,22 @@ def _cell(left: pa.Table, right: pa.Table, dim: int, k: int):
             if not len(some):
                 continue
             scores = queries[some] @ points[there].T
-            at, place = np.nonzero(scores >= kth[some][:, None])
-            waiting.append((some[at], scores[at, place], there[place]))
+            usable = (first[there][None, :] != own[some][:, None]) | some_other[there][None, :]
+            at, place = np.nonzero(usable & ~(scores < (kth[some] - slack[some])[:, None]))
+            waiting.append((some[at], there[place]))
             size += len(at)
-            if size > 1 << 19:
-                held = best_k(*[np.concatenate([w[i] for w in waiting]) for i in range(3)], most)
-                waiting, size = [held], 0
-                last = np.flatnonzero(np.append(held[0][1:] != held[0][:-1], True))
-                full = np.bincount(held[0], minlength=len(qid)) >= most
-                ends_at = np.full(len(qid), -np.inf)
-                ends_at[held[0][last]] = held[1][last]
-                kth = np.where(full, ends_at, -np.inf)
-    who, _, place = best_k(*[np.concatenate([w[i] for w in waiting]) for i in range(3)], most)
-    exact = np.zeros(len(who))
-    for i in range(dim):
-        exact += queries[who, i] * points[place, i]
-    ids = right.column("ids").take(pa.array(place))
-    row, vec = _lists(ids)
-    who, exact = who[row], exact[row]
-    other = vec != qid[who]
-    who, score, vec = best_k(who[other], exact[other], vec[other], k)
-    return qid[who], score, vec
-
+            if size > 1 << 18:
+                held = settle(waiting)
+                waiting, size = [(none, none)], 0
+    who, scores, place = settle(waiting)
+    row, vec = _lists(right.column("ids").take(pa.array(place)))
+    spot = np.arange(len(row)) - np.searchsorted(row, row)
+    who, scores, key = who[row], scores[row], keys[place][row]
+    mine = vec != own[who]
+    who, scores, vec, key, spot = who[mine], scores[mine], vec[mine], key[mine], spot[mine]
+    order = np.lexsort((spot, key, vec, -scores, who))
+    who, scores, vec, key, spot = (x[order] for x in (who, scores, vec, key, spot))
+    starts = np.flatnonzero(np.append(True, who[1:] != who[:-1])[: len(who)])
+    rank = np.arange(len(who)) - np.repeat(starts, np.diff(np.append(starts, len(who))))
+    best = rank < k
+    return qid[who[best]], scores[best], vec[best], key[best], spot[best]

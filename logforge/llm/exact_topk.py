@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logforge.llm.vectors import best_k, matrix, ranked, slot, spread, valid_vectors
+from logforge.llm.vectors import best_k, each_time, matrix, ranked, slot, spread, valid_vectors
 from logforge.session import staged
 
 SCALE = 1024
@@ -109,13 +109,17 @@ def exact_top_k(table: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     candidates are all other ids with a vector of the same length. Columns: query_id, rank
     (from 1), vec_id, score. Scores are exact 64-bit integers (beyond that they wrap).
 
-    Rows without id or vector, or with null or non-finite components, take no part; of rows
-    that repeat an id the smallest vector stands for it; other columns are ignored; an empty
-    table gives no rows. Queries in chunks meet blocks in cells, each pair of a chunk and a
+    Rows without id or vector, or with null or non-finite components, take no part. Rows that
+    repeat an id are candidates of their own, equal ones, too; queries that share an id have
+    one ranking, of all their pairs. Other columns are ignored; an empty table gives no rows.
+    Queries in chunks meet blocks in cells, each pair of a chunk and a
     cell in one task of bounded size; only the k best of each query leave it.
     """
     v = F.transform("v", lambda x: F.floor(x * F.lit(float(SCALE))).cast("long"))
-    vectors = valid_vectors(table).select("vec_id", v.alias("v"))
+    rows = each_time(valid_vectors(table, copies=k))
+    # Blocks are ranges of ids; one id with many vectors is split by these.
+    rows = rows.repartitionByRange("vec_id", F.xxhash64("v")).sortWithinPartitions("vec_id")
+    vectors = rows.select("vec_id", v.alias("v"))
     blocks = staged(build_blocks(vectors), "blocks")
     queries = staged(vectors.filter(F.col("vec_id") % every == 0), "queries")
     cells = -(-blocks.count() // CELL_BLOCKS) or 1

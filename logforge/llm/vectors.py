@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def valid_vectors(table: DataFrame, nonzero: bool = False) -> DataFrame:
-    """(vec_id, v array<double>) of rows with an id and finite components only.
+def valid_vectors(table: DataFrame, nonzero: bool = False, copies: int = 1) -> DataFrame:
+    """(vec_id, v array<double>, times) of rows with an id and finite components only.
 
-    Of rows that repeat an id the smallest vector stands for it. Rows lie in ranges of
-    vec_id, in order.
+    Rows that share an id but not the vector stay apart. Equal rows are one with ``times``,
+    their number up to ``copies``: no more of them can be among that many best.
     """
     v = F.col("embedding").cast("array<double>")
     odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -20,8 +20,14 @@ def valid_vectors(table: DataFrame, nonzero: bool = False) -> DataFrame:
     rows = rows.filter("vec_id is not null and v is not null and not odd")
     if nonzero:
         rows = rows.filter(F.exists("v", lambda x: x != 0))
-    ranged = rows.select("vec_id", "v").repartitionByRange("vec_id")
-    return ranged.groupBy("vec_id").agg(F.min("v").alias("v"))
+    counted = rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("vec_id", "v", F.least("n", F.lit(copies)).cast("int").alias("times"))
+
+
+def each_time(df: DataFrame) -> DataFrame:
+    """Rows once for each of their ``times``."""
+    rest = [c for c in df.columns if c != "times"]
+    return df.select(*rest, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_time")).drop("_time")
 
 
 def spread(df: DataFrame, name: str, parts: int) -> DataFrame:
