@@ -172,21 +172,25 @@ class Coder:
 
     def row(self) -> tuple[list, list[int], bytes, list[str]]:
         """Keys, words per document, places in bytes, words; the commonest words come first."""
-        codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.uint32)
+        counts = [len(c) for c in self.codes]
+        codes = np.concatenate([np.zeros(0, np.uint32), *self.codes])
+        self.codes, self.seen = [], {}
         order = np.argsort(-np.bincount(codes, minlength=len(self.code)), kind="stable")
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order))
         words = list(self.code)
-        return self.keys, [len(c) for c in self.codes], packed(place[codes]), [words[i] for i in order]
+        self.code = {}
+        np.take(place, codes, out=codes)
+        return self.keys, counts, packed(codes), [words[i] for i in order]
 
 
 def packed(places: np.ndarray) -> bytes:
     """Numbers as all first bytes, all second bytes, and so on: small ones compress well."""
-    return np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return places.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    """The numbers of ``packed``."""
+def unpacked(data) -> np.ndarray:
+    """The numbers of ``packed``, from bytes or a buffer of them."""
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
@@ -420,7 +424,7 @@ def documents(
                 pieces = {} if found is None else dict(zip(
                     found.field("id").to_pylist(), found.field("piece").to_pylist()))
             begin, length, flat = table_of(batch.column("entries")[at].as_py() or [])
-            keys, places = batch.column("keys")[at].values, unpacked(batch.column("places")[at].as_py())
+            keys, places = batch.column("keys")[at].values, unpacked(batch.column("places")[at].as_buffer())
             ends = np.cumsum(batch.column("counts")[at].values.to_numpy())
             low = 0
             while low < len(ends):
