@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.catalog.framing import LINES_SQL, NOT_BLANK_SQL
-from logforge.catalog.records import EVENT_LOG_SQL, SEVERITY_SQL, event_logs
+from logforge.catalog.records import EVENT_LOG_SQL, SEVERITY_SQL, event_log
 from logforge.catalog.registry import Tables, query
 from logforge.functions import otlp
 from logforge.functions.text import json_quote, with_json
@@ -27,10 +27,10 @@ TARGET = 2000
 OVERHEAD = 200
 
 
-def sized_events(t: Tables) -> DataFrame:
+def sized_events(t: Tables, *more: str) -> DataFrame:
     # Every 37th record alone is over the target.
     size = F.when(F.col("event_id") % 37 == 0, 3000).otherwise(F.octet_length("props") + F.octet_length("event_type"))
-    return t("events").select("event_id", "user_id", "event_type", "props", size.cast("bigint").alias("size"))
+    return t("events").select("event_id", "user_id", "event_type", "props", *more, size.cast("bigint").alias("size"))
 
 
 def packed_cte(target: int) -> str:
@@ -83,8 +83,7 @@ SELECT unit AS event_type, k AS event_id, batch_id FROM packed
 """)
 def pack_batches_by_time(t: Tables) -> DataFrame:
     # A few large units in time order: each is cut where its own rows lie.
-    times = t("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    df = sized_events(t).drop("event_type").join(times, "event_id")
+    df = sized_events(t, "ts").withColumn("ts", F.col("ts").cast("timestamp"))
     df = batching.pack_batches(df, ["event_type"], ["ts", "event_id"], "size", TARGET, OVERHEAD, span=128)
     return df.select("event_type", "event_id", "batch_id")
 
@@ -177,9 +176,9 @@ def size_gate(t: Tables) -> DataFrame:
 
 
 def projected_events(t: Tables) -> DataFrame:
-    logs = event_logs(t).select("event_id", "log")
-    df = packed_events(t).join(t("events").select("event_id", F.col("ts").cast("timestamp").alias("ts")), "event_id")
-    df = df.join(logs, "event_id").withColumn("log", F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(F.col("log")))
+    rows = sized_events(t, "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    df = batching.pack_batches(rows, ["user_id"], ["event_id"], "size", TARGET, OVERHEAD)
+    df = df.withColumn("log", F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(event_log()))
     meta = F.create_map(F.lit("event.type"), F.col("event_type"), F.lit("user"), F.concat(F.lit("u"), (F.col("user_id") % 3).cast("string")))
     df = name_records(df.withColumn("meta", meta), "{{ event.type }}", "{{ user }}")
     return build_body(df)

@@ -31,10 +31,14 @@ SEVERITY_SQL = """CASE
   WHEN contains(lower(log), 'debug') THEN 'Debug' ELSE 'Info' END"""
 
 
-def event_logs(t: Tables) -> DataFrame:
+def event_log() -> Column:
+    """The log text of an event."""
     word = F.get(F.array(*[F.lit(w) for w in WORDS]), (F.col("event_id") % 8).cast("int"))
-    log = F.concat_ws(" ", word, "event_type", "props")
-    return t("events").select("event_id", "event_type", log.alias("log"))
+    return F.concat_ws(" ", word, "event_type", "props")
+
+
+def event_logs(t: Tables) -> DataFrame:
+    return t("events").select("event_id", "event_type", event_log().alias("log"))
 
 
 @query(f"""

@@ -59,13 +59,18 @@ JSON_NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
 
 
 def _beyond_json(text: Column) -> Column:
-    """What a strict parser refuses and Spark's does not: lone surrogates, infinite numbers."""
+    """What a strict parser refuses and Spark's does not: lone surrogates, infinite numbers.
+
+    Each is looked for only in texts that hold a mark of it: an escape, an exponent, or digits enough.
+    """
     numbers = F.regexp_extract_all(
         F.regexp_replace(text, JSON_STRING, '""'), F.lit(JSON_NUMBER), F.lit(0))
     infinite = F.exists(numbers, lambda n: F.abs(n.cast("double")) == float("inf"))
-    return F.coalesce(
-        text.rlike(LONE_SURROGATE) | F.when(text.rlike(MAYBE_HUGE), infinite).otherwise(False),
-        F.lit(False))
+    escaped = F.contains(text, F.lit("\\u")) | F.contains(text, F.lit("\\U"))
+    lone = F.when(escaped, text.rlike(LONE_SURROGATE)).otherwise(False)
+    long_number = (F.length(text) >= 300) | F.contains(F.lower(text), F.lit("e"))
+    huge = F.when(long_number, F.when(text.rlike(MAYBE_HUGE), infinite).otherwise(False)).otherwise(False)
+    return F.coalesce(lone | huge, F.lit(False))
 
 
 def strict_object(text: Column) -> Column:

@@ -113,14 +113,22 @@ def rebuild_payload(df: DataFrame, keys: list[str]) -> DataFrame:
     return level(df, keys, "rm_idx", item, "resource_metrics")
 
 
-def merge_payloads(df: DataFrame, batch: list[str], order: list[str]) -> DataFrame:
+def merge_payloads(df: DataFrame, batch: list[str], order: list[str], message: str | None = None) -> DataFrame:
     """One request per batch holding the resources of all its messages, in order.
 
-    Batches are bounded by ``pack_batches``.
+    With ``message``, the column of their bytes, also the bytes of the request: those of its
+    messages one after the other, as the wire format merges what is repeated. Batches are
+    bounded by ``pack_batches``.
     """
-    held = F.struct(F.struct(*order).alias("at"), F.col("resource_metrics").alias("item"))
-    rows = F.sort_array(F.collect_list(held))
-    return df.groupBy(*batch).agg(F.flatten(F.transform(rows, lambda r: r["item"])).alias("resource_metrics"))
+    parts = [F.col("resource_metrics").alias("item")]
+    if message:
+        parts.append(F.hex(message).alias("bytes"))
+    rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), *parts)))
+    df = df.groupBy(*batch).agg(rows.alias("_rows"))
+    columns = [F.flatten("_rows.item").alias("resource_metrics")]
+    if message:
+        columns.append(F.unhex(F.array_join("_rows.bytes", "")).alias(message))
+    return df.select(*batch, *columns)
 
 
 def batch_totals(df: DataFrame, keys: list[str], message: str | None = None) -> DataFrame:

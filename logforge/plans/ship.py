@@ -241,5 +241,4 @@ def ship_metrics(
         batched = pack_batches(messages, unit, order, "bytes", cfg.batch_target, overhead=0)
     else:
         batched = single_batches(messages, unit, order)
-    merged = merge_payloads(batched, [*unit, "batch_id"], order)
-    return encode_metrics(merged)
+    return merge_payloads(batched, [*unit, "batch_id"], order, "message")
