@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,7 +145,7 @@ class Runs:
             if row != now:
                 seen, now = set(), row
             key = tuple(key)
-            if key in seen or key[0] in row_keys[row]:
+            if key in seen or key in row_keys[row]:
                 change[begin] += 1
                 change[stop] -= 1
             seen.add(key)
@@ -177,6 +178,70 @@ def run_hashes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(emit, "h1 long, h2 long, doc long")
 
 
+FOUND = "h1 long, h2 long, doc long, keeper long, part int, first boolean, last boolean"
+
+
+def later_occurrences(runs: DataFrame) -> DataFrame:
+    """(h1, h2, doc, keeper) of the runs that an earlier document has, too; keeper is the earliest.
+
+    The rows are sorted by (h1, h2, doc) across all partitions, and each is shuffled once. As doc
+    is part of the order, a run of many documents is dealt over several partitions. Each finds
+    the first document of its groups; of its first and last group it also says so, and one
+    short row per partition settles who is first in a group that goes on from one to the next.
+    """
+    ordered = runs.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, key, keeper, group = TaskContext.get().partitionId(), None, 0, -1
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.bool_(), pa.bool_()]
+        names = [p.split()[0] for p in FOUND.split(", ")]
+
+        def rows(h1, h2, doc, keeper, first, last) -> pa.RecordBatch:
+            columns = [h1, h2, doc, keeper, np.full(len(h1), part), first, last]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h1, h2, doc = (c.to_numpy() for c in batch.columns)
+            new = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
+            new[0] = key != (h1[0], h2[0])
+            starts = np.flatnonzero(new)
+            if key is None:
+                # What the partition begins with: a row of its own, that marks nothing.
+                yield rows(h1[:1], h2[:1], doc[:1], doc[:1], [True], [False])
+            keepers = np.concatenate([[keeper], doc[starts]])[np.cumsum(new)]
+            groups = group + np.cumsum(new)
+            later = doc > keepers
+            yield rows(
+                h1[later], h2[later], doc[later], keepers[later], groups[later] == 0, np.zeros(later.sum(), bool))
+            key, keeper, group = (h1[-1], h2[-1]), int(keepers[-1]), int(groups[-1])
+        if key is not None:
+            one = [np.array([x], np.int64) for x in (*key, keeper, keeper)]
+            yield rows(*one, [group == 0], [True])
+
+    found = staged(ordered.mapInArrow(find, FOUND), "later")
+    # Two rows per partition: its first key with its first document, and its last with its keeper.
+    edges = found.filter("doc = keeper").select("part", "h1", "h2", "keeper", "first", "last")
+    begin = edges.filter("not last").select("part", "h1", "h2", F.col("keeper").alias("doc"))
+    end = edges.filter("last").select("part", "h1", "h2", "keeper", F.col("first").alias("alone"))
+    starts = {r["part"]: r for r in begin.collect()}
+    ends = {r["part"]: r for r in end.collect()}
+    carried, open_key, open_keeper = [], None, None
+    for part in sorted(starts):
+        r = starts[part]
+        if open_key == (r["h1"], r["h2"]):
+            carried.append((part, r["h1"], r["h2"], r["doc"], open_keeper))
+        r = ends[part]
+        if open_key != (r["h1"], r["h2"]):
+            open_key, open_keeper = (r["h1"], r["h2"]), r["keeper"]
+    settled = found.sparkSession.createDataFrame(carried, "part int, h1 long, h2 long, doc long, carried long")
+    marks = found.filter("doc > keeper").join(
+        settled.select("part", "carried").withColumn("first", F.lit(True)), ["part", "first"], "left")
+    marks = marks.select("h1", "h2", "doc", F.coalesce("carried", "keeper").alias("keeper"))
+    return marks.union(settled.filter("doc > carried").select("h1", "h2", "doc", F.col("carried").alias("keeper")))
+
+
 CLEANED = "doc_id long, text string, n_sentences long, n_removed long, removed string, copied_from array<long>"
 
 
@@ -193,19 +258,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Null texts count as empty. Rows that repeat a doc_id count as one document: what they
     share with each other stays. Rows without an id count as one document too, after all
     others. Other columns are ignored; an empty table gives no rows. Only hashes of whole
-    runs are shuffled, and texts once to meet their marks; a frequent run is combined before
-    the first shuffle, and the join's hot keys can be split.
+    runs are shuffled, once, and texts once to meet their marks.
     """
     last = (1 << 63) - 1
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(last)).alias("doc"), whole_text().alias("text"))
-    runs = run_hashes(texts)
-    ends = runs.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.max("doc").alias("far"))
-    repeated = staged(ends.filter("keeper < far").select(
-        F.col("h1").alias("r1"), F.col("h2").alias("r2"), "keeper"), "repeated")
-    marks = runs.join(repeated, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")))
-    marks = marks.filter("doc > keeper").groupBy(F.col("doc").alias("marked")).agg(
-        F.collect_set("h1").alias("runs"), F.sort_array(F.collect_set("keeper")).alias("copied_from"))
+    marks = later_occurrences(run_hashes(texts)).groupBy(F.col("doc").alias("marked")).agg(
+        F.collect_set(F.struct("h1", "h2")).alias("runs"), F.sort_array(F.collect_set("keeper")).alias("copied_from"))
     marks = staged(marks, "marks")
     met = texts.join(marks, texts["doc"] == marks["marked"], "left").select(
         "doc", "text", "runs", "copied_from")
@@ -216,7 +275,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             left, total, gone, spans = [], [], [], []
             for begin, end in _batches(texts):
                 some = Runs(texts[begin:end])
-                keys = [set(x) if x else set() for x in lists.slice(begin, end - begin).to_pylist()]
+                keys = [
+                    set(zip(x.values.field("h1").to_pylist(), x.values.field("h2").to_pylist())) if x.is_valid else set()
+                    for x in lists.slice(begin, end - begin)]
                 covered = some.covered(keys)
                 bounds = np.searchsorted(some.owner, np.arange(end - begin + 1))
                 for i in range(end - begin):

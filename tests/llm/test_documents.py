@@ -435,3 +435,28 @@ def test_held_out_accuracy(spark):
     toxic = QUERIES["op4_toxicity"](spark, FOLDER).toPandas().merge(labels, on="doc_id")
     toxic = toxic[toxic.held_out]
     assert ((toxic.predicted == 1) == (toxic.toxic == 1)).mean() > 0.9
+
+
+def test_later_occurrences_across_partitions(spark):
+    """Groups that lie in one partition, go on in the next, or fill several."""
+    import random
+
+    rng = random.Random(6)
+    rows = {(0, 5, d) for d in range(2000)} | {(7, 1, d) for d in range(300, 900)}
+    rows |= {(rng.randint(-40, 40), rng.randint(0, 2), rng.randint(0, 50)) for _ in range(2500)}
+    df = spark.createDataFrame(sorted(rows, key=lambda r: rng.random()), "h1 long, h2 long, doc long")
+    first = {}
+    for h1, h2, doc in rows:
+        first[h1, h2] = min(doc, first.get((h1, h2), doc))
+    want = sorted((h1, h2, doc, first[h1, h2]) for h1, h2, doc in rows if doc > first[h1, h2])
+    kept = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        for parts, adaptive in (("1", "true"), ("8", "true"), ("60", "false"), ("60", "true")):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            got = spans.later_occurrences(df).select("h1", "h2", "doc", "keeper").collect()
+            assert sorted(map(tuple, got)) == want
+            assert spans.later_occurrences(df.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept[0])
+        spark.conf.set("spark.sql.adaptive.enabled", kept[1])
