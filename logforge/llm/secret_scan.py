@@ -25,12 +25,22 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT_WORDS = (
     "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "apikey", "api_key",
     "api-key", "credential", "private_key", "access_key", "auth_key", "bearer")
-_NAMES = "(?:" + "|".join(CONTEXT_WORDS) + ")"
+#: Any of these is in a text that holds an announcement.
+MARKS = ("pass", "pwd", "secret", "token", "api", "credential", "_key", "bearer", "phrase", "mnemonic")
+_NAMES = "(?:" + "|".join(CONTEXT_WORDS) + "|(?<![A-Za-z])pass(?![A-Za-z]))"
+# Names may go on (client_secret_key, credentials) and be quoted.
+_NAMED = _NAMES + r"(?:[_-]?(?:keys?|pass|value|string|text|hash))*s?[\"'`]?"
+_SIGN = r"(?:[\x20\t]*(?:=>|->|:=|[:=\uff1a])[\x20\t]*)"
 # A blank alone announces a value after bearer, unless another announcement follows.
 CONTEXT = re.compile(
-    _NAMES + r"s?[\"']?(?:\x20*[:=]\x20*|\x20+is\x20+"
-    r"|(?<=bearer)\x20+(?!" + _NAMES + r"s?[\"']?\x20*(?:[:=]|is\x20)))[\"'`]?"
+    _NAMED + "(?:" + _SIGN + r"|[\x20\t]+is[\x20\t]+"
+    r"|(?<=bearer)[\x20\t]+(?!" + _NAMED + "(?:" + _SIGN + r"|[\x20\t]+is[\x20\t])))[\"'`]?"
     r"([^\s\"'`<>,;]+)", re.IGNORECASE | re.ASCII)
+#: A phrase: what stands in quotes, or up to PHRASE_WORDS words that fill the rest of a line.
+PHRASE_WORDS = 8
+PHRASE = re.compile(
+    r"(?:pass[_-]?phrase|mnemonic|seed[_-]phrase)s?[\"'`]?" + _SIGN + r"""(?:"([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`"""
+    rf"""|([^\s"'`]+(?:[\x20\t]+[^\s"'`]+){{1,{PHRASE_WORDS - 1}}})(?=[\x20\t]*(?:\r?\n|$)))""", re.IGNORECASE | re.ASCII)
 #: Words of the language of the documents: the WORDS most frequent ones in WORD_DOCS documents or more.
 WORDS = 100_000
 WORD_DOCS = 3
@@ -175,14 +185,19 @@ def _base(text: str, low: str) -> list[Span]:
 def scan(text: str, words: frozenset[str] = NO_WORDS) -> tuple[list[Span], list[Span], float]:
     """Base spans; guessed spans that no base span contains; the highest guess cost."""
     low = text.lower()
-    base, more, most = _base(text, low), [], 0.0
-    if any(k in low for k in CONTEXT_WORDS):
-        for m in CONTEXT.finditer(text):
-            cost = guesses(m.group(1), words)
-            most = max(most, cost)
-            begin, end = m.span(1)
-            if cost >= STRONG and not any(s <= begin and end <= e for s, _, e in base):
-                more.append((begin, 3, end))
+    base, found, most = _base(text, low), [], 0.0
+    if any(k in low for k in MARKS):
+        found = [m.span(1) for m in CONTEXT.finditer(text)]
+        if "phrase" in low or "mnemonic" in low:
+            phrases = [m.span(m.lastindex) for m in PHRASE.finditer(text)]
+            # A phrase takes the place of its first word.
+            found = sorted(phrases + [f for f in found if not any(b <= f[0] and f[1] <= e for b, e in phrases)])
+    more = []
+    for begin, end in found:
+        cost = guesses(text[begin:end], words)
+        most = max(most, cost)
+        if cost >= STRONG and not any(s <= begin and end <= e for s, _, e in base):
+            more.append((begin, 3, end))
     return base, more, most
 
 
@@ -229,7 +244,7 @@ def _redacted(texts: list[str], words: frozenset[str]) -> pa.Array:
 def words_of(text: str) -> set[str]:
     """Words of a text in one of their usual cases, as lower case, without values of credentials."""
     low = text.lower()
-    if any(k in low for k in CONTEXT_WORDS):
+    if any(k in low for k in MARKS):
         text = CONTEXT.sub(" ", text)
     return {
         w.lower() for w in set(LETTERS.findall(text))

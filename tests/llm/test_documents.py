@@ -460,3 +460,31 @@ def test_later_occurrences_across_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept[0])
         spark.conf.set("spark.sql.adaptive.enabled", kept[1])
+
+
+STRONG_VALUE = "Qx7kV9pZ2mRw4Tb"
+
+
+@pytest.mark.parametrize("text, secret", [
+    (f"pwd:\t{STRONG_VALUE}", STRONG_VALUE), (f"api-key\t=\t{STRONG_VALUE}", STRONG_VALUE),
+    (f"client_secret_key = {STRONG_VALUE}", STRONG_VALUE), (f"secretkey={STRONG_VALUE}", STRONG_VALUE),
+    (f"DB_PASS={STRONG_VALUE}", STRONG_VALUE), (f"password=>{STRONG_VALUE}", STRONG_VALUE),
+    (f"credential -> {STRONG_VALUE}", STRONG_VALUE), (f"pwd\uff1a{STRONG_VALUE}", STRONG_VALUE),
+    (f"credentials := '{STRONG_VALUE}'", STRONG_VALUE),
+    ("passphrase: correct-horse battery staple", "correct-horse battery staple"),
+    ('x passphrase = "tulip Anvil 93 orbit" y', "tulip Anvil 93 orbit"),
+    ("mnemonic: zebra quilt oxygen jumble\nnext line", "zebra quilt oxygen jumble")])
+def test_contexts_of_credentials(text, secret):
+    base, more, _ = secret_scan.scan(text)
+    assert any(text[s:e] == secret or secret in text[s:e] for s, _, e in base + more)
+    assert secret not in secret_scan._redacted([text], frozenset()).to_pylist()[0]
+    for word in secret.split():
+        assert word not in secret_scan._redacted([text], frozenset()).to_pylist()[0]
+
+
+@pytest.mark.parametrize("text", [
+    "they pass: ten of twelve", "a long passage of text, and then some more of it", "the passphrase is kept in a safe place",
+    "passphrase: see the page on how to choose one that nobody else would ever think of", "surpass -> everything"])
+def test_prose_is_no_credential(text):
+    base, more, _ = secret_scan.scan(text, frozenset(text.lower().split()) | {"everything"})
+    assert not base and not more
