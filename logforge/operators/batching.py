@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -250,6 +250,43 @@ def pack_objects(
     return unfold(df, rest, items, "_item", "_n").select(*rest, "_item.pos", "_item.log", "_item.batch_id")
 
 
+def pack_in_order(
+    df: DataFrame,
+    unit: str,
+    size: str,
+    target: int = BATCH_TARGET,
+    overhead: int = RECORD_OVERHEAD,
+    out: str = "batch_id",
+) -> DataFrame:
+    """``pack_batches`` for rows that lie unit by unit, in order, in their partitions, as those of an
+    event do from where it was unfolded until something is shuffled.
+
+    Nothing is moved: units and sizes visit Python, and what the open batch holds is carried from
+    one Arrow batch to the next. Rows without a size are left out, with a NULL batch.
+    """
+
+    @F.arrow_udf(T.LongType())
+    def running(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        now, held, batch = None, None, 0
+        for units, sizes in parts:
+            out = []
+            for name, bytes_ in zip(units.to_pylist(), sizes.to_pylist()):
+                if bytes_ is None:
+                    out.append(None)
+                    continue
+                if name != now or held is None:
+                    now, held, batch = name, bytes_, 0
+                elif held + bytes_ > target:
+                    held, batch = bytes_, batch + 1
+                else:
+                    held += bytes_
+                out.append(batch)
+            yield pa.array(out, pa.int64())
+
+    sizes = (F.col(size) + overhead).cast("bigint")
+    return df.withColumn(out, running.asNondeterministic()(F.col(unit).cast("string"), sizes))
+
+
 def single_batches(
     df: DataFrame,
     unit: list[str],

@@ -9,9 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.functions.naming import NO_APPLICATION, NO_SUBSYSTEM, java_pattern
-from logforge.functions.text import base64_bytes, base64_or_raw, gunzip_or_raw, object_key, utf8_or_null, with_json
+from logforge.functions.text import (
+    base64_bytes,
+    base64_or_raw,
+    gunzip_or_raw,
+    not_blank,
+    object_key,
+    utf8_or_null,
+    with_json,
+)
 from logforge.operators import framing
-from logforge.operators.batching import pack_batches
+from logforge.operators.batching import pack_batches, pack_in_order
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import drop_blank
 from logforge.operators.joins import join_on
@@ -86,8 +94,8 @@ def route_events(
     """Events (JSON text) → rows ``event_kind, record, pos, log, meta, bucket, key, error``.
 
     One pass over the table, whatever kinds it mixes: an event is classified, unwrapped, cut into
-    its items, decoded and framed in its own task, and only scans meet ``findings`` in a
-    join. A row is a log; or an object to be read (``bucket``, ``key``, no ``log``); or, with
+    its items, decoded and framed in its own task; only ``findings``, if there are any, are joined
+    to scans before. The rows of an event lie together, in order. A row is a log; or an object to be read (``bucket``, ``key``, no ``log``); or, with
     ``error``, something for the quarantine: unknown events and delivery-stream ones, texts that
     are not base64 or not UTF-8, subscriptions without a payload, scans without findings, envelopes
     deeper than ``depth``. Queue messages are logs if ``cfg.integration`` is ``Sqs``, else
@@ -97,16 +105,20 @@ def route_events(
     df = df.drop("event_kind", "record", "pos", "log", "meta", "bucket", "key", "error")
     df = src.classify_events(df, event) if texts else src._unwrap_levels(df, event, depth)
     rest = [c for c in df.columns if c not in (event, "event_kind")]
+    scans = ["findings", "severity_counts"] if findings is not None else []
+    if findings is not None:
+        df = _join_findings(df.drop(*scans), findings, event)
+        rest = [c for c in rest if c not in scans]
     kind = F.col("event_kind")
     deep = (kind == "Sqs") | ((kind == "Sns") & src._notices(event))
     items = event_items(F.col(event), kind, texts)
     if not texts:
         items = F.when(deep & ~src._text_messages(event), F.array(
             item(record=F.lit(0), error=F.lit("nested too deep")))).otherwise(items)
-    df = unfold(df, [*rest, "event_kind"], items, "_item").drop("_pos")
+    df = unfold(df, [*rest, *scans, "event_kind"], items, "_item").drop("_pos")
     # Messages without text are no records.
     missing = F.col("coding").isin("text", "either") & F.col("value").isNull()
-    df = df.select(*rest, "event_kind", "_item.*").filter(~F.coalesce(missing, F.lit(False)))
+    df = df.select(*rest, *scans, "event_kind", "_item.*").filter(~F.coalesce(missing, F.lit(False)))
     packed = F.col("coding") == "packed"
     df = df.withColumn("_data", F.when(packed, base64_bytes(F.col("value"))).when(
         F.col("coding") == "either", base64_or_raw(F.col("value"))))
@@ -136,27 +148,41 @@ def route_events(
     df = df.withColumn("records", F.when(F.col("payload").isNotNull(), subscribed).when(
         single.isNotNull() & ~blank, F.array(single)))
     df = df.drop("payload", "value", "_data", "_content", "_text")
-    df = _with_findings(df, findings)
+    df = _scan_records(df, findings is not None)
     keep = F.col("error").isNotNull() | (kind == "S3")
     rows = F.when(keep, F.array(F.lit(None).cast("string"))).otherwise(F.col("records"))
     out = [*rest, "event_kind", "record", "meta", "bucket", "key", "error"]
     return unfold(df, out, rows, "log", "pos").select(*rest, "event_kind", "record", "pos", "log", "meta", "bucket", "key", "error")
 
 
-def _with_findings(df: DataFrame, findings: DataFrame | None) -> DataFrame:
-    """Records of scans, from ``findings`` (see ``read_scan_events``)."""
+def _join_findings(df: DataFrame, findings: DataFrame, event: str) -> DataFrame:
+    """Scan events with ``findings`` and ``severity_counts`` of their image, other events with NULL.
+
+    Events are joined while they are one row each, so what they hold stays together.
+    """
+    detail = F.from_json(F.col(event), src.SCAN_SCHEMA).getField("detail")
+    scan = F.col("event_kind") == "EcrScan"
+    # Events that are no scans meet nothing; salted, they do not gather in one partition.
+    salt = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % SALTS).cast("string"))
+    repository = F.when(scan, F.coalesce(detail.getField("repository-name"), F.lit(""))).otherwise(salt)
+    df = df.withColumns({
+        "_repository": repository, "_digest": F.when(scan, F.coalesce(detail.getField("image-digest"), F.lit("")))})
+    found = findings.select(
+        F.col("repository").alias("_repository"), F.col("image_digest").alias("_digest"), "findings", "severity_counts")
+    return join_on(df, found, ["_repository", "_digest"], "left").drop("_repository", "_digest")
+
+
+def _scan_records(df: DataFrame, joined: bool) -> DataFrame:
+    """``records`` and ``error`` of scans."""
     scan = F.coalesce(F.col("coding") == "scan", F.lit(False))
-    if findings is None:
+    if not joined:
         df = df.withColumn("error", F.when(scan, "no scan findings").otherwise(F.col("error")))
         return df.drop("coding", "repository", "image_digest", "image_tags")
-    # Rows that are no scans meet nothing; salted, they do not gather in one partition.
-    salt = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % SALTS).cast("string"))
-    columns = [c for c in df.columns if c not in ("repository", "image_digest", "image_tags", "coding", "records")]
-    df = df.withColumn("_scan", scan).withColumn("repository", F.when(scan, F.col("repository")).otherwise(salt))
-    found = findings.select("repository", "image_digest", "findings", "severity_counts")
-    df = join_on(df.withColumnRenamed("records", "_records"), found, ["repository", "image_digest"], "left")
-    df = df.withColumn("error", F.when(F.col("_scan") & F.col("findings").isNull(), "no scan findings").otherwise(F.col("error")))
-    df = framing.frame_scan_findings(df.drop("coding"))
+    names = ("repository", "image_digest", "image_tags", "findings", "severity_counts", "coding", "records")
+    columns = [c for c in df.columns if c not in names]
+    missing = scan & F.col("findings").isNull()
+    df = df.withColumn("error", F.when(missing, "no scan findings").otherwise(F.col("error")))
+    df = framing.frame_scan_findings(df.withColumn("_scan", scan).withColumnRenamed("records", "_records"))
     return df.select(*columns, F.when(F.col("_scan"), F.col("records")).otherwise(F.col("_records")).alias("records"))
 
 
@@ -175,10 +201,19 @@ def ship_events(
     are the quarantine: they have no ``batch_id``. A unit is an event; each object of it is one,
     too, named after the event and its address. The events are read once, and so is each object.
     """
-    routed = staged(route_events(df, cfg, findings, event), "routed")
-    logs = _packed(routed.filter("log is not null"), cfg, ["record", "pos"], None)
+    routed = route_events(df, cfg, findings, event)
+    routed = routed.filter(F.col("log").isNull() | not_blank(F.col("log")))
+    if cfg.transform is not None:
+        routed = transform_records(routed, cfg.transform)
+        routed = routed.filter(F.col("log").isNull() | not_blank(F.col("log")))
+    # An event is packed where it was unfolded.
+    routed = pack_in_order(
+        routed.withColumn("log_bytes", F.octet_length("log")), "unit", "log_bytes", cfg.batch_target, cfg.record_overhead)
+    routed = staged(routed, "routed")
+    logs = routed.filter("log is not null")
     failed = [routed.filter("error is not null")]
-    objects = routed.filter("event_kind = 'S3' and error is null").drop("log", "pos", "error")
+    made = ("log_bytes", "batch_id", "transform_seq", "transform_error")
+    objects = routed.filter("event_kind = 'S3' and error is null").drop("log", "pos", "error", *made)
     if cfg.integration not in OBJECT_SOURCES:
         failed.append(objects.withColumn("error", F.lit(f"objects do not match integration {cfg.integration}")))
         named = _named(logs, cfg)
@@ -197,7 +232,7 @@ def ship_events(
             framed = framing.explode_records(framed.drop("text"), cfg.block, cfg.sample).withColumn("block", F.lit(0))
         else:
             framed = frame_object_lines(good, cfg)
-        framed = _packed(framed, cfg, ["pos"], "block").drop("block")
+        framed = _packed(framed, cfg, "block").drop("block")
         logs = logs.withColumn("unit", F.col("unit").cast("string"))
         named = _named(logs.unionByName(framed, allowMissingColumns=True), cfg)
     for rows in failed:
@@ -205,8 +240,9 @@ def ship_events(
     return named
 
 
-def _packed(df: DataFrame, cfg: LogConfig, order: list[str], chunk: str | None) -> DataFrame:
-    df = drop_blank(df)
+def _packed(df: DataFrame, cfg: LogConfig, chunk: str) -> DataFrame:
+    """Records of objects, packed in order."""
+    df, order = drop_blank(df), ["pos"]
     if cfg.transform is not None:
         df = staged(drop_blank(transform_records(df, cfg.transform)), "transformed")
         order = [*order, "transform_seq"]

@@ -178,10 +178,17 @@ def ship_logs(df: DataFrame, cfg: LogConfig, group_tags: DataFrame | None = None
     Frame, block, sample, drop blanks, transform, drop blanks, pack per unit, project.
     ``ts`` is the processing time unless the source brings its own.
     """
-    in_place = cfg.integration in OBJECT_SOURCES and "text" in df.columns and cfg.transform is None
+    in_place = cfg.transform is None and (
+        cfg.integration in OBJECT_SOURCES and "text" in df.columns
+        or cfg.integration == "CloudWatch" and "payload" in df.columns and "pos" not in df.columns)
     if in_place:
-        # An object is one row until it is unfolded, so it is packed there, without a shuffle.
-        df = pack_objects(frame_objects(df, cfg), cfg.block, cfg.sample, cfg.batch_target, cfg.record_overhead)
+        # An object, or a subscription, is one row until it is unfolded: it is packed there, without
+        # a shuffle.
+        if cfg.integration == "CloudWatch":
+            df = framing.frame_cloudwatch(df.drop("error"), cfg.stream_filter)
+        else:
+            df = frame_objects(df, cfg)
+        df = pack_objects(df, cfg.block, cfg.sample, cfg.batch_target, cfg.record_overhead)
     else:
         lines = cfg.integration in OBJECT_SOURCES and _are_lines(df)
         df = drop_blank(frame_source(df, cfg))

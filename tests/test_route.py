@@ -3,12 +3,15 @@
 import base64
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from logforge.plans.config import LogConfig
 from logforge.plans.route import route_events, ship_events
+from logforge.plans.ship import ship_logs
+from logforge.sources.events import read_cloudwatch
 
 
 def notice(*keys):
@@ -101,3 +104,44 @@ def test_empty_table(spark):
     df = events(spark, "x").filter(F.lit(False))
     assert route_events(df, LogConfig("S3")).count() == 0
     assert ship_events(df, LogConfig("S3")).count() == 0
+
+
+def test_events_are_packed_in_place(spark):
+    """Batches of each event as the record-by-record packing gives them, over many Arrow batches."""
+    rng = random.Random(2)
+    texts = [[("x" * rng.choice([1, 30, 90, 400])) for _ in range(rng.choice([1, 7, 40]))] for _ in range(60)]
+    df = events(spark, *[subscription(*t) for t in texts])
+    cfg = LogConfig("CloudWatch", "a", batch_target=500, record_overhead=10)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+        rows = ship_events(df, cfg).collect()
+        whole = ship_logs(read_cloudwatch(df.drop("log", "error")), cfg).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    want = {}
+    for i, messages in enumerate(texts):
+        held, batch = None, 0
+        for pos, m in enumerate(messages):
+            size = len(m) + 10
+            if held is not None and held + size > 500:
+                held, batch = size, batch + 1
+            else:
+                held = size + (held or 0)
+            want[f"u{i}", pos] = batch
+    assert {(r["unit"], r["pos"]): r["batch_id"] for r in rows} == want
+    assert {(r["unit"], r["pos"]): r["batch_id"] for r in whole} == want
+
+
+def test_transforms_and_findings(spark):
+    findings = spark.createDataFrame(
+        [("r", "d", [("CVE", "u", "HIGH", [("package_name", "p")])], None)],
+        "repository string, image_digest string, findings array<struct<name string, uri string, severity string,"
+        " attributes array<struct<key string, value string>>>>, severity_counts map<string,bigint>")
+    scan = '{"id":"i","detail":{"repository-name":"%s","image-digest":"d"}}'
+    df = events(spark, scan % "r", scan % "other", topic("one"), topic("drop"))
+    cfg = LogConfig("Sns", "a", "b", transform=lambda e: [] if e == "drop" else [e, {"again": 1}])
+    rows = ship_events(df, cfg, findings).collect()
+    assert [(r["unit"], r["error"]) for r in rows if r["error"]] == [("u1", "no scan findings")]
+    logs = sorted((r["unit"], r["transform_seq"], r["batch_id"]) for r in rows if not r["error"])
+    assert logs == [("u0", 0, 0), ("u0", 1, 0), ("u2", 0, 0), ("u2", 1, 0)]
