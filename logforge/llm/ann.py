@@ -308,9 +308,20 @@ def _cell(left: pa.Table, right: pa.Table, dim: int, k: int):
     none = np.zeros(0, np.int64)
     held = (none, np.zeros(0), none)
 
-    def settle(pairs: list[tuple[np.ndarray, np.ndarray]]):
+    def settle(pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
         """The k best vectors of each query, of those held and some more."""
-        who, place = (np.concatenate([p[i] for p in pairs]) for i in range(2))
+        who, place, rough = (np.concatenate([p[i] for p in pairs]) for i in range(3))
+        # A vector is in a bucket of each table: so many pairs hold k of them, and what is below
+        # the last of these by more than rounding is none of the k best.
+        order = np.lexsort((-rough, who))
+        who, place, rough = who[order], place[order], rough[order]
+        starts = np.flatnonzero(np.append(True, who[1:] != who[:-1])[: len(who)])
+        counts = np.diff(np.append(starts, len(who)))
+        enough = counts >= TABLES * k
+        least = np.full(len(starts), -np.inf)
+        least[enough] = rough[starts[enough] + TABLES * k - 1]
+        near = ~(rough < np.repeat(least, counts) - 2 * slack[who])
+        who, place = who[near], place[near]
         scores = np.concatenate([held[1], _exact(queries[who], points[place])])
         who, place = np.concatenate([held[0], who]), np.concatenate([held[2], place])
         # One vector may be met in several buckets.
@@ -329,7 +340,8 @@ def _cell(left: pa.Table, right: pa.Table, dim: int, k: int):
 
     names, starts = np.unique(homes, return_index=True)
     ends = np.append(starts[1:], len(homes))
-    waiting, size = [(none, none)], 0
+    nothing = (none, none, np.zeros(0))
+    waiting, size = [nothing], 0
     for name, begin, end in zip(names, starts, ends):
         who = asker[np.searchsorted(asked, name) : np.searchsorted(asked, name, side="right")]
         there = by_bucket[begin:end]
@@ -339,11 +351,11 @@ def _cell(left: pa.Table, right: pa.Table, dim: int, k: int):
             scores = queries[some] @ points[there].T
             usable = (first[there][None, :] != own[some][:, None]) | some_other[there][None, :]
             at, place = np.nonzero(usable & ~(scores < (kth[some] - slack[some])[:, None]))
-            waiting.append((some[at], there[place]))
+            waiting.append((some[at], there[place], scores[at, place]))
             size += len(at)
             if size > 1 << 18:
                 held = settle(waiting)
-                waiting, size = [(none, none)], 0
+                waiting, size = [nothing], 0
     who, scores, place = settle(waiting)
     row, vec = _lists(right.column("ids").take(pa.array(place)))
     spot = np.arange(len(row)) - np.searchsorted(row, row)
