@@ -1,7 +1,7 @@
 """BPE by a table of distinct words, and decoding through a table of pieces.
 
-Documents are split into words where they lie. A chunk of documents is kept as one row:
-places in its own list of words, the commonest first. The lists are cut up and dealt out by
+Documents are split into words where they lie. A chunk of documents is kept as places in its own
+list of words, the commonest first, a row for some documents. The lists are cut up and dealt out by
 word, so that each distinct word meets all its places once: it is encoded once, and its ids go back
 to these places. So nothing is shuffled per word that occurs, only per word that is new to a chunk.
 
@@ -35,6 +35,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a chunk; a longer text is a chunk of its own.
 CHUNK = 1 << 25
+#: Words of the documents that one row of a chunk holds.
+PART = 1 << 19
 #: Shares that the distinct words are dealt into; a task holds one of them at a time.
 SHARES = 1 << 12
 #: A blank after white space: there a text is not cut at single blanks.
@@ -170,9 +172,10 @@ class Coder:
         self.codes.append(np.array(out, np.uint32))
         self.size += len(text)
 
-    def row(self) -> tuple[list, list[int], bytes, list[str]]:
-        """Keys, words per document, places in bytes, words; the commonest words come first."""
-        counts = [len(c) for c in self.codes]
+    def rows(self) -> tuple[list[tuple[list, list[int], bytes]], list[str]]:
+        """Keys, words per document and places, some documents at a time; and the words, the
+        commonest first."""
+        counts = np.array([len(c) for c in self.codes], np.int64)
         codes = np.concatenate([np.zeros(0, np.uint32), *self.codes])
         self.codes, self.seen = [], {}
         order = np.argsort(-np.bincount(codes, minlength=len(self.code)), kind="stable")
@@ -181,7 +184,20 @@ class Coder:
         words = list(self.code)
         self.code = {}
         np.take(place, codes, out=codes)
-        return self.keys, counts, packed(codes), [words[i] for i in order]
+        parts = []
+        for low, high, begin, end in parted(counts):
+            parts.append((self.keys[low:high], counts[low:high].tolist(), packed(codes[begin:end])))
+        return parts, [words[i] for i in order]
+
+
+def parted(counts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Documents (low, high) and their words (begin, end) of parts of about PART words."""
+    ends, low = np.cumsum(counts), 0
+    while low < len(ends):
+        begin = int(ends[low - 1]) if low else 0
+        high = max(int(np.searchsorted(ends, begin + PART, side="right")), low + 1)
+        yield low, high, begin, int(ends[high - 1])
+        low = high
 
 
 def packed(places: np.ndarray) -> bytes:
@@ -256,7 +272,8 @@ def piece_table(spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def split_chunks(docs: DataFrame, key: str, vocabulary: str, size: int) -> DataFrame:
-    """(chunk, keys, counts, places, words): a row for about ``size`` characters of documents."""
+    """(chunk, keys, counts, places, words): chunks of about ``size`` characters of documents, of
+    several rows, the first of which has the words."""
     kind = docs.schema[key].dataType
     schema = T.StructType([
         T.StructField("chunk", T.LongType()), T.StructField("keys", T.ArrayType(kind)),
@@ -267,12 +284,13 @@ def split_chunks(docs: DataFrame, key: str, vocabulary: str, size: int) -> DataF
         splitter, chunk = Splitter(vocabulary), TaskContext.get().partitionId() << 32
         coder = Coder(splitter)
 
-        def done() -> pa.RecordBatch:
-            keys, counts, places, words = coder.row()
-            return pa.RecordBatch.from_arrays([
-                pa.array([chunk], pa.int64()), pa.array([keys], pa.list_(key_kind)),
-                pa.array([counts], pa.list_(pa.int32())), pa.array([places], pa.binary()),
-                pa.array([words], pa.list_(pa.string()))], schema.names)
+        def done() -> Iterator[pa.RecordBatch]:
+            parts, words = coder.rows()
+            for i, (keys, counts, places) in enumerate(parts):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk], pa.int64()), pa.array([keys], pa.list_(key_kind)),
+                    pa.array([counts], pa.list_(pa.int32())), pa.array([places], pa.binary()),
+                    pa.array([words if i == 0 else None], pa.list_(pa.string()))], schema.names)
 
         for batch in batches:
             keys, texts = batch.columns
@@ -280,10 +298,10 @@ def split_chunks(docs: DataFrame, key: str, vocabulary: str, size: int) -> DataF
             for at in range(batch.num_rows):
                 coder.add(keys[at], texts[at].as_py())
                 if coder.size >= size:
-                    yield done()
+                    yield from done()
                     coder, chunk = Coder(splitter), chunk + 1
         if coder.keys:
-            yield done()
+            yield from done()
 
     return docs.select(key, whole_text().alias("text")).mapInArrow(split, schema)
 
@@ -311,7 +329,7 @@ def dealt_words(chunks: DataFrame) -> DataFrame:
                     pa.array(own, pa.int32()), pa.array([batch.column("chunk")[at].as_py()] * len(rows), pa.int64()),
                     *[pa.array(list(c), pa.binary()) for c in columns]], schema.names)
 
-    return chunks.select("chunk", "words").mapInArrow(deal, schema)
+    return chunks.filter("words is not null").select("chunk", "words").mapInArrow(deal, schema)
 
 
 def encode(docs: DataFrame, key: str = "doc_id", vocabulary: str = VOCABULARY, size: int = CHUNK) -> Encoded:
@@ -382,17 +400,19 @@ def encoded_ids(table: DataFrame, key: str = "doc_id", size: int = CHUNK) -> Enc
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, waiting, length = TaskContext.get().partitionId() << 32, [], 0
 
-        def done() -> pa.RecordBatch:
+        def done() -> Iterator[pa.RecordBatch]:
             known, places = np.unique(np.concatenate([i for _, i in waiting]), return_inverse=True)
             own = np.empty(len(known), object)
             for i, known_id in enumerate(known):
                 own[i] = np.array([known_id])
             part = dict(zip(ENTRIES.elementType.names, table_part(np.arange(len(known)), own)))
             entry_kind = pa.list_(pa.struct([(c, pa.binary()) for c in part]))
-            return pa.RecordBatch.from_arrays([
-                pa.array([chunk], pa.int64()), pa.array([[k for k, _ in waiting]], pa.list_(key_kind)),
-                pa.array([[len(i) for _, i in waiting]], pa.list_(pa.int32())),
-                pa.array([packed(places)], pa.binary()), pa.array([[part]], entry_kind)], schema.names)
+            counts = np.array([len(i) for _, i in waiting], np.int64)
+            for low, high, begin, end in parted(counts):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk], pa.int64()), pa.array([[k for k, _ in waiting[low:high]]], pa.list_(key_kind)),
+                    pa.array([counts[low:high]], pa.list_(pa.int32())), pa.array([packed(places[begin:end])], pa.binary()),
+                    pa.array([[part] if low == 0 else None], entry_kind)], schema.names)
 
         for batch in batches:
             keys, lists = batch.columns
@@ -402,13 +422,14 @@ def encoded_ids(table: DataFrame, key: str = "doc_id", size: int = CHUNK) -> Enc
                 waiting.append((keys[at], np.zeros(0, np.int32) if values is None else values.fill_null(-1).to_numpy()))
                 length += len(waiting[-1][1])
                 if length >= size:
-                    yield done()
+                    yield from done()
                     waiting, length, chunk = [], 0, chunk + 1
         if waiting:
-            yield done()
+            yield from done()
 
     chunks = bucketed(table.select(key, "ids").mapInArrow(split, schema), "given")
-    return Encoded(chunks.drop("entries"), chunks.select("chunk", "entries"), key, kind)
+    tables = chunks.filter("entries is not null").select("chunk", "entries")
+    return Encoded(chunks.drop("entries"), tables, key, kind)
 
 
 def documents(

@@ -97,10 +97,12 @@ def library():
     return Tokenizer.from_file(bpe.VOCABULARY)
 
 
-def test_ids_as_the_library(spark, library):
+@pytest.mark.parametrize("part", [3, bpe.PART])
+def test_ids_as_the_library(spark, library, monkeypatch, part):
+    monkeypatch.setattr(bpe, "PART", part)
     texts = STRANGE + [prose(i) for i in range(30)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    for size in (1, 100, bpe.CHUNK):
+    for size in (100, bpe.CHUNK):
         encoded = bpe.encode(docs, size=size)
         got = {r["doc_id"]: r["ids"] for r in encoded.ids().collect()}
         want = [library.encode(t, add_special_tokens=False).ids for t in texts]
@@ -123,8 +125,8 @@ def test_words_as_the_library(parts):
     assert isinstance(known, Tokenizer)
     coder = bpe.Coder(SPLITTER)
     coder.add(0, text)
-    _, _, places, words = coder.row()
-    listed = [words[i] for i in bpe.unpacked(places)]
+    parts, words = coder.rows()
+    listed = [words[i] for _, _, places in parts for i in bpe.unpacked(places)]
     assert "".join(listed) == text
     ids = [i for w in listed for i in known.encode(w, add_special_tokens=False).ids]
     assert ids == known.encode(text, add_special_tokens=False).ids
