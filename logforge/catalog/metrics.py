@@ -345,9 +345,24 @@ def split_messages(t: Tables) -> DataFrame:
     )
 
 
-def _wire(tag: str, data: Column) -> Column:
-    """One length-prefixed field, under 128 bytes."""
-    return F.concat(F.unhex(F.lit(tag)), F.unhex(F.lpad(F.hex(F.octet_length(data)), 2, "0")), data)
+def _wired(df: DataFrame, tag: str | Column, name: str = "value") -> DataFrame:
+    """Column ``name`` as one length-prefixed field, under 128 bytes.
+
+    Each field is a projection of its own: within one expression, fields in fields would double
+    it at each level.
+    """
+    held, tag = F.col(name), F.lit(tag) if isinstance(tag, str) else tag
+    return df.withColumn(name, F.concat(F.unhex(tag), F.unhex(F.lpad(F.hex(F.octet_length(held)), 2, "0")), held))
+
+
+def _nested(df: DataFrame, listed: Column, paired: Column) -> DataFrame:
+    """``value`` in a list where ``listed``, in a pair of key ``k`` where ``paired``."""
+    df = df.withColumn("_plain", F.when(~listed & ~paired, F.col("value")))
+    key = F.unhex(F.lit("0A016B"))
+    pair = _wired(df.withColumn("_pair", F.col("value")), "12", "_pair")
+    df = _wired(pair.withColumn("value", F.when(paired, F.concat(key, "_pair")).otherwise(F.col("value"))), "0A")
+    df = _wired(df, F.when(paired, "32").otherwise("2A"))
+    return df.withColumn("value", F.coalesce("_plain", "value")).drop("_plain", "_pair")
 
 
 @query("""
@@ -357,21 +372,15 @@ SELECT l_linenumber % 5 AS kind, CASE WHEN l_returnflag = 'R' THEN 'gauge' ELSE
 def metric_value_kinds(t: Tables) -> DataFrame:
     # Attribute values that are bytes, or nested twice, survive decoding and encoding whole,
     # also where Dimensions are flattened.
-    text = _wire("0A", F.encode(F.concat_ws("-", "l_orderkey", "l_partkey"), "UTF-8"))
-    data = _wire("3A", F.encode(F.col("l_suppkey").cast("string"), "UTF-8"))
-
-    def listed(value: Column) -> Column:
-        return _wire("2A", _wire("0A", value))
-
-    def paired(value: Column) -> Column:
-        return _wire("32", _wire("0A", F.concat(_wire("0A", F.encode(F.lit("k"), "UTF-8")), _wire("12", value))))
-
     kind = F.col("l_linenumber") % 5
-    value = (
-        F.when(kind == 0, data).when(kind == 1, listed(listed(text))).when(kind == 2, paired(paired(data)))
-        .when(kind == 3, listed(data)).otherwise(paired(listed(text)))
-    )
-    rows = line_points(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("kind").alias("point_kind"))
+    rows = line_points(t).select(kind.alias("kind"), "l_orderkey", "l_partkey", "l_suppkey", F.col("kind").alias("point_kind"))
+    texts, kind = F.col("kind").isin(1, 4), F.col("kind")
+    text = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"))
+    held = F.when(texts, text).otherwise(F.col("l_suppkey").cast("string")).cast("binary")
+    rows = _wired(rows.select("kind", "point_kind", held.alias("value")), F.when(texts, "0A").otherwise("3A"))
+    rows = _nested(rows, kind.isin(1, 3, 4), kind == 2)
+    rows = _nested(rows, kind == 1, kind.isin(2, 4))
+    value = F.col("value")
     point = F.struct(
         F.array(ops.attribute("n", F.lit("x")), F.struct(F.lit("v").alias("key"), ops._value({"raw": value}).alias("value"))).alias("attributes"),
         F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("double").alias("sum"), F.lit(None).cast("binary").alias("rest"),
@@ -382,7 +391,7 @@ def metric_value_kinds(t: Tables) -> DataFrame:
         empty.alias("data_rest"), empty.alias("rest"),
     )
     resource = F.struct(F.array(F.struct(F.array(metric).alias("metrics"), empty.alias("rest"))).alias("scope_metrics"), empty.alias("rest"))
-    df = rows.select(kind.alias("kind"), "point_kind", value.alias("value"),
+    df = rows.select("kind", "point_kind", "value",
                      F.array(resource).cast(from_arrow_type(otlp.RESOURCES)).alias("resource_metrics"))
     df = df.withColumn("message", otlp.encode_request(F.col("resource_metrics")))
     df = df.withColumn("again", otlp.decode_request(F.col("message")))

@@ -418,14 +418,136 @@ def decode_request(message: Column) -> Column:
     return decode(message)
 
 
+# Encoding as columns. Nested rows cross to Python slowly: to bound a batch by bytes, every row
+# makes Spark size each of its some forty Arrow vectors anew. Bytes are put together as hex text, which
+# arrays can join, and turned into bytes once.
+
+
+def _hex_varint(number: Column) -> Column:
+    """Of a BIGINT taken as unsigned."""
+
+    def byte(value: Column) -> Column:
+        return F.lpad(F.hex(value), 2, "0")
+
+    # Seven bits each, the lowest first; the last one has no flag.
+    def group(at: int, more: bool) -> Column:
+        bits = F.shiftrightunsigned(number, 7 * at).bitwiseAND(F.lit(127).cast("bigint"))
+        return byte(bits.bitwiseOR(F.lit(128).cast("bigint")) if more else bits)
+
+    def longer(at: int) -> Column:
+        if at == 9:
+            return group(at, False)
+        rest = F.shiftrightunsigned(number, 7 * (at + 1)) == 0
+        return F.when(rest, group(at, False)).otherwise(F.concat(group(at, True), longer(at + 1)))
+
+    return longer(0)
+
+
+def _hex_size(size: Column) -> Column:
+    """``_hex_varint`` of a number of bytes, in fewer steps: it is wanted everywhere."""
+
+    def digits(groups: int) -> Column:
+        number = F.lit(0).cast("bigint")
+        for at in range(groups):
+            bits = F.shiftright(size, 7 * at).bitwiseAND(F.lit(127)).cast("bigint")
+            number = number * 256 + bits + (128 if at < groups - 1 else 0)
+        return F.lpad(F.hex(number), 2 * groups, "0")
+
+    return (
+        F.when(size < 1 << 7, F.lpad(F.hex(size), 2, "0")).when(size < 1 << 14, digits(2)).when(size < 1 << 21, digits(3))
+        .otherwise(F.when(size < 1 << 28, digits(4)).otherwise(digits(5))))
+
+
+def _hex_field(number: int | Column, data: Column) -> Column:
+    """A length-prefixed field of a number, or with a tag as hex text; ``data`` should be a plain column,
+    as it is named twice."""
+    tag = F.lit(f"{number << 3 | 2:02X}") if isinstance(number, int) else number
+    return F.concat(tag, _hex_size(F.shiftright(F.octet_length(data), 1)), data)
+
+
+def _hex_fields(number: int | Column, items: Column) -> Column:
+    return F.array_join(F.transform(items, lambda held: _hex_field(number, held)), "")
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _hex_text(text: Column) -> Column:
+    return F.concat(_hex_size(F.octet_length(text)), F.hex(text))
+
+
+def _hex_scalar(value: Column) -> Column:
+    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), value["doubleValue"])
+    real = F.lpad(F.hex(bits.cast("bigint")), 16, "0")
+    turned = F.concat(*[F.substring(real, at, 2) for at in range(15, 0, -2)])
+    return (
+        F.when(value["stringValue"].isNotNull(), F.concat(F.lit("0A"), _hex_text(value["stringValue"])))
+        .when(value["boolValue"].isNotNull(), F.when(value["boolValue"], "1001").otherwise("1000"))
+        .when(value["intValue"].isNotNull(), F.concat(F.lit("18"), _hex_varint(value["intValue"])))
+        .when(value["doubleValue"].isNotNull(), F.concat(F.lit("21"), turned))
+        .otherwise("")
+    )
+
+
+def _hex_held(value: Column) -> Column:
+    return F.when(value["raw"].isNotNull(), F.hex(value["raw"])).otherwise(_hex_scalar(value))
+
+
+def _hex_value(value: Column) -> Column:
+    pairs, items = value["kvlistValue"], value["arrayValue"]
+    listed = _hex_fields(1, F.transform(items["values"], _hex_scalar))
+    paired = _hex_fields(1, _hex_pairs(pairs["values"], _hex_held))
+    return (
+        F.when(value["raw"].isNotNull(), F.hex(value["raw"]))
+        .when(pairs.isNotNull(), _bound(F.coalesce(paired, F.lit("")), lambda held: _hex_field(6, held)))
+        .when(items.isNotNull(), _bound(F.coalesce(listed, F.lit("")), lambda held: _hex_field(5, held)))
+        .otherwise(_hex_scalar(value))
+    )
+
+
+def _hex_pairs(pairs: Column, value) -> Column:
+    key = lambda pair: F.concat(F.lit("0A"), _hex_text(F.coalesce(pair["key"], F.lit(""))))
+    parts = F.transform(pairs, lambda pair: F.struct(key(pair).alias("key"), value(pair["value"]).alias("value")))
+    return F.transform(parts, lambda part: F.concat(part["key"], _hex_field(2, part["value"])))
+
+
+def _hex_metric(metric: Column) -> Column:
+    def rest(value: Column) -> Column:
+        return F.coalesce(F.hex(value), F.lit(""))
+
+    def tag(which: int) -> Column:
+        chosen = F.lit("3A")
+        for name, fields in KINDS.items():
+            chosen = F.when(kind == name, f"{fields[which] << 3 | 2:02X}").otherwise(chosen)
+        return chosen
+
+    kind, none = metric["kind"], F.lit("")
+    points = F.transform(metric["data_points"], lambda point: F.concat(
+        rest(point["rest"]), F.coalesce(_hex_fields(tag(1), _hex_pairs(point["attributes"], _hex_value)), none)))
+    whole = F.concat(F.coalesce(_hex_fields(1, points), none), rest(metric["data_rest"]))
+    known = _bound(whole, lambda held: _hex_field(tag(0), held))
+    unknown = F.raise_error(F.concat(F.lit("unknown kind of metric: "), kind)).cast("string")
+    unit = F.when(metric["unit"] != "", F.concat(F.lit("1A"), _hex_text(metric["unit"])))
+    return F.concat(
+        F.lit("0A"), _hex_text(F.coalesce(metric["name"], F.lit(""))), F.coalesce(unit, F.lit("")),
+        F.when(kind.isNull(), "").when(kind.isin(*KINDS), known).otherwise(unknown), rest(metric["rest"]))
+
+
 def encode_request(resources: Column) -> Column:
     """``array<resource>`` → wire bytes."""
+    none = F.lit("")
+
+    def scope(held: Column) -> Column:
+        metrics = _hex_fields(2, F.transform(held["metrics"], _hex_metric))
+        return F.concat(F.coalesce(metrics, none), F.coalesce(F.hex(held["rest"]), none))
 
-    @F.arrow_udf(T.BinaryType())
-    def encode(column: pa.Array) -> pa.Array:
-        return _encode(column)
+    def resource(held: Column) -> Column:
+        scopes = _hex_fields(2, F.transform(held["scope_metrics"], scope))
+        return F.concat(F.coalesce(scopes, none), F.coalesce(F.hex(held["rest"]), none))
 
-    return encode(resources)
+    return F.unhex(_hex_fields(1, F.transform(resources, resource)))
 
 
 def split_delimited(data: Column) -> Column:
@@ -456,13 +578,10 @@ def split_delimited(data: Column) -> Column:
 def join_delimited(messages: Column) -> Column:
     """Inverse of ``split_delimited``."""
 
-    @F.arrow_udf(T.BinaryType())
-    def join(lists: pa.Array) -> pa.Array:
-        return pa.array(
-            [None if r is None else b"".join(varint(len(m)) + m for m in r) for r in lists.to_pylist()], pa.binary()
-        )
+    def prefixed(message: Column) -> Column:
+        return F.concat(_hex_size(F.octet_length(message)), F.hex(message))
 
-    return join(messages)
+    return F.unhex(F.array_join(F.transform(messages, prefixed), ""))
 
 
 def _any_json(value: Any) -> dict:
