@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
@@ -31,11 +33,11 @@ def dimension(key: str, text: Column) -> Column:
     return F.struct(F.lit(key).alias("key"), scalar.alias("value"))
 
 
-def line_points(t: Tables) -> DataFrame:
-    """Points with ``MetricName``, ``Namespace`` and a ``Dimensions`` list."""
-    supplier, part = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
-    case = F.col("l_linenumber") % 4
-    broker = F.concat(F.lit("b"), supplier, F.lit("-"), (F.col("l_linenumber") % 3 + 1).cast("string"))
+def line_attributes(line: Callable[[str], Column]) -> Column:
+    """Attributes of a line item's point; ``line`` gives its columns by name."""
+    supplier, part = line("l_suppkey").cast("string"), line("l_partkey").cast("string")
+    case = line("l_linenumber") % 4
+    broker = F.concat(F.lit("b"), supplier, F.lit("-"), (line("l_linenumber") % 3 + 1).cast("string"))
     dims = (
         F.when(case == 0, F.array(dimension("InstanceId", F.concat(F.lit("i-"), supplier)), dimension("Zone", F.lit("z"))))
         .when(case == 1, F.array(dimension("PartId", part), dimension("Supplier Id", supplier)))
@@ -44,15 +46,23 @@ def line_points(t: Tables) -> DataFrame:
     )
     held = ops._value({"kvlistValue": F.struct(dims.alias("values"))})
     namespace = F.get(F.array(*[F.lit(n) for n in NAMESPACES]), case)
-    attributes = F.array(
-        ops.attribute("MetricName", F.concat(F.lit("m-"), "l_returnflag")),
+    return F.array(
+        ops.attribute("MetricName", F.concat(F.lit("m-"), line("l_returnflag"))),
         F.struct(F.lit("Dimensions").alias("key"), held.alias("value")),
         ops.attribute("Namespace", namespace),
     )
+
+
+def line_kind(flag: Column) -> Column:
+    return F.when(flag == "R", "gauge").otherwise("summary")
+
+
+def line_points(t: Tables) -> DataFrame:
+    """Points with ``MetricName``, ``Namespace`` and a ``Dimensions`` list."""
     return t("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity",
-        F.when(F.col("l_returnflag") == "R", "gauge").otherwise("summary").alias("kind"), F.lit("Count").alias("metric_unit"),
-        attributes.cast(ops.ATTRIBUTES_TYPE).alias("attributes"),
+        line_kind(F.col("l_returnflag")).alias("kind"), F.lit("Count").alias("metric_unit"),
+        line_attributes(F.col).cast(ops.ATTRIBUTES_TYPE).alias("attributes"),
     )
 
 
@@ -282,20 +292,26 @@ def pick_snapshot_stale(t: Tables) -> DataFrame:
 
 
 def line_payloads(t: Tables) -> DataFrame:
-    points = line_points(t)
-    point = F.struct(
-        F.col("attributes").alias("attributes"), F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("double").alias("sum"),
-        F.lit(None).cast("binary").alias("rest"),
+    # Line items are grouped as they are, four short columns; their metrics are built behind the shuffle.
+    line = F.struct("l_linenumber", "l_partkey", "l_returnflag")
+    df = t("lineitem").groupBy(F.col("l_orderkey").alias("record_id"), F.col("l_suppkey").alias("msg_idx")).agg(
+        F.sort_array(F.collect_list(line)).alias("lines")
     )
     empty = F.lit(None).cast("binary")
-    metric = F.struct(
-        F.concat(F.lit("m-"), "l_returnflag").alias("name"), F.col("metric_unit").alias("unit"), F.col("kind"), F.array(point).alias("data_points"),
-        empty.alias("data_rest"), empty.alias("rest"),
-    )
-    df = points.groupBy(F.col("l_orderkey").alias("record_id"), F.col("l_suppkey").alias("msg_idx")).agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", metric.alias("m")))).alias("rows")
-    )
-    scope = F.struct(F.transform("rows", lambda r: r["m"]).alias("metrics"), empty.alias("rest"))
+
+    def metric(row: Column) -> Column:
+        attributes = line_attributes(lambda name: F.col("msg_idx") if name == "l_suppkey" else row[name])
+        point = F.struct(
+            attributes.alias("attributes"), F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("double").alias("sum"),
+            empty.alias("rest"),
+        )
+        return F.struct(
+            F.concat(F.lit("m-"), row["l_returnflag"]).alias("name"), F.lit("Count").alias("unit"),
+            line_kind(row["l_returnflag"]).alias("kind"), F.array(point).alias("data_points"),
+            empty.alias("data_rest"), empty.alias("rest"),
+        )
+
+    scope = F.struct(F.transform("lines", metric).alias("metrics"), empty.alias("rest"))
     resource = F.struct(F.array(scope).alias("scope_metrics"), empty.alias("rest"))
     return df.select("record_id", "msg_idx", F.array(resource).cast(from_arrow_type(otlp.RESOURCES)).alias("resource_metrics"))
 

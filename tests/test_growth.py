@@ -57,3 +57,29 @@ def test_requests_are_encoded_without_python(spark):
     assert [None if r.m is None else bytes(r.m) for r in df.orderBy("n").collect()] == wanted
     joined = df.filter("m IS NOT NULL").groupBy().agg(F.sort_array(F.collect_list("m")).alias("m")).select(otlp.join_delimited(F.col("m")).alias("d"))
     assert bytes(joined.first().d) == b"".join(otlp.varint(len(m)) + m for m in sorted(m for m in wanted if m is not None))
+
+
+def test_messages_of_a_batch_are_decoded_together(spark, monkeypatch):
+    # One message after the other took 0.1 ms each. Only odd ones may still go that way.
+    def pair(key, value):
+        return otlp._block(1, key) + otlp._block(2, value)
+
+    def message(*values, kind=11, field=7):
+        point = b"\x19abcdefgh" + b"".join(otlp._block(field, pair(b"k", v)) for v in values) + b"\x21\x02\0\0\0\0\0\0\0"
+        metric = otlp._block(1, b"m") + otlp._block(kind, otlp._block(1, point) + b"\x10\x02") + otlp._block(3, b"u")
+        return otlp._block(1, b"\x1a\x01u" + otlp._block(2, otlp._block(2, metric) + otlp._block(3, b"x")))
+
+    text, number = otlp._block(1, "é".encode()), b"\x18" + otlp.varint((1 << 64) - 5)
+    listed = otlp._block(5, otlp._block(1, text) + otlp._block(1, b""))
+    nested = otlp._block(6, otlp._block(1, pair(b"in", listed)) + otlp._block(1, pair(b"n", number)))
+    plain = [message(text, number, b"", b"\x10\x01", b"\x21abcdefgh", listed, nested, otlp._block(7, b"raw"), otlp._block(5, listed))]
+    plain += [message(text, kind=kind, field=field) for kind, field in otlp.KINDS.values()] + [b"", message()]
+    odd = [None, b"\xff", message(otlp._block(1, b"\xff")), message(text + number), message(b"\x08\x01"), plain[0][:-3], b"\x0a\x05ab"]
+    single = otlp._decode_singly
+    mixed = pa.array(plain + odd[:2] + odd[3:] + plain, pa.binary())
+    assert otlp._decode(mixed).equals(single(mixed)) and otlp._decode(mixed[3:]).equals(single(mixed[3:]))
+    broken = pa.array(plain + odd, pa.binary())
+    assert otlp._decode(broken).equals(single(broken))
+    monkeypatch.setattr(otlp, "_decode_singly", lambda messages: 1 / 0)
+    clean = pa.array(plain * 3, pa.binary())
+    assert otlp._decode(clean).equals(single(clean))
