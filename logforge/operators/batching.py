@@ -217,36 +217,34 @@ def pack_objects(
     """``explode_records`` (blank records dropped) with ``batch_id``, for rows that each
     hold a whole unit in ``records``.
 
-    The unit is packed where it was framed: nothing is shuffled, and only the sizes visit
-    Python.
+    The unit is packed where it was framed: nothing is shuffled, and no Python is needed. (A
+    function in Python would make Spark write out all columns between it and the one that inflates the
+    objects anew wherever they are named.)
     """
-
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def batches(sizes: pa.Array) -> pa.Array:
-        out = []
-        for row in sizes:
-            if row.values is None:
-                out.append(None)
-                continue
-            sums = np.cumsum(np.asarray(row.values))
-            opens = np.zeros(len(sums), dtype=np.int64)
-            at = 0
-            while at < len(sums):
-                limit = (sums[at - 1] if at else 0) + target
-                at = max(int(np.searchsorted(sums, limit, side="right")), at + 1)
-                if at < len(sums):
-                    opens[at] = 1
-            out.append(np.cumsum(opens))
-        return pa.array(out, pa.list_(pa.int64()))
-
     numbered = F.transform(
         kept_records(block, sample), lambda r, i: F.struct(i.cast("bigint").alias("pos"), r.alias("log"))
     )
     rest = [c for c in df.columns if c not in ("records", "pos", "log")]
     df = df.withColumn("_rows", F.filter(numbered, lambda r: not_blank(r["log"])))
-    sizes = F.transform("_rows", lambda r: (F.octet_length(r["log"]) + overhead).cast("bigint"))
-    df = df.withColumn("_batches", batches(sizes))
-    items = F.zip_with("_rows", "_batches", lambda r, b: F.struct(r["pos"].alias("pos"), r["log"].alias("log"), b.alias("batch_id")))
+    nothing = F.struct(
+        F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("held"), F.array().cast("array<int>").alias("starts"))
+
+    def add(state: Column, row: Column) -> Column:
+        # Only where a batch starts is noted, so states stay short.
+        size = (F.octet_length(row["log"]) + overhead).cast("bigint")
+        opens = (state["n"] > 0) & (state["held"] + size > target)
+        return F.struct(
+            (state["n"] + 1).alias("n"), (F.when(opens, F.lit(0)).otherwise(state["held"]) + size).alias("held"),
+            F.when(opens, F.array_append(state["starts"], state["n"])).otherwise(state["starts"]).alias("starts"))
+
+    df = df.withColumn("_starts", F.aggregate("_rows", nothing, add, lambda state: F.concat(F.array(F.lit(0)), state["starts"])))
+
+    def batch(start: Column, number: Column) -> Column:
+        stop = F.coalesce(F.get("_starts", number + 1), F.size("_rows"))
+        return F.transform(F.slice("_rows", start + 1, stop - start), lambda r: F.struct(
+            r["pos"].alias("pos"), r["log"].alias("log"), number.cast("bigint").alias("batch_id")))
+
+    items = F.flatten(F.transform("_starts", batch))
     return unfold(df, rest, items, "_item", "_n").select(*rest, "_item.pos", "_item.log", "_item.batch_id")
 
 

@@ -207,13 +207,15 @@ def kafka_values(df: DataFrame) -> DataFrame:
 def read_cloudwatch(df: DataFrame, event: str = "event") -> DataFrame:
     """Subscription events: base64 gzip payload → ``payload`` struct."""
     data = F.from_json(F.col(event), "awslogs struct<data string>").getField("awslogs").getField("data")
-    rest = [c for c in df.columns if c != event]
-    raw = base64_bytes(data)
-    text = utf8_or_null(gunzip_or_raw(raw))
-    payload = cloudwatch_payload(text)
-    error = F.when(data.isNotNull() & raw.isNull(), "not base64").when(
-        data.isNotNull() & text.isNull(), "not UTF-8")
-    return df.select(*[c for c in rest if c != "error"], payload.alias("payload"), error.alias("error"))
+    rest = [c for c in df.columns if c not in (event, "error")]
+    # Each step is a column of its own: within one expression every use of the text would inflate it anew.
+    df = df.select(*rest, data.alias("_coded")).withColumn("_raw", base64_bytes(F.col("_coded")))
+    df = df.withColumn("_inflated", gunzip_or_raw(F.col("_raw"))).withColumn("_text", utf8_or_null(F.col("_inflated")))
+    error = F.when(F.col("_coded").isNotNull() & F.col("_raw").isNull(), "not base64").when(
+        F.col("_coded").isNotNull() & F.col("_text").isNull(), "not UTF-8")
+    df = df.withColumn("_parsed", F.from_json(F.col("_text"), CLOUDWATCH_SCHEMA))
+    payload = cloudwatch_payload(F.col("_text"), F.col("_parsed"))
+    return df.select(*rest, payload.alias("payload"), error.alias("error"))
 
 
 def select_groups(df: DataFrame, names: list[str] | None = None, prefixes: list[str] | None = None) -> DataFrame:
@@ -228,9 +230,9 @@ def select_groups(df: DataFrame, names: list[str] | None = None, prefixes: list[
     return df.filter(group.isNull() | kept)
 
 
-def cloudwatch_payload(text: Column) -> Column:
+def cloudwatch_payload(text: Column, payload: Column | None = None) -> Column:
     """Parsed subscription payload, NULL when the text is none."""
-    payload = F.from_json(text, CLOUDWATCH_SCHEMA)
+    payload = F.from_json(text, CLOUDWATCH_SCHEMA) if payload is None else payload
     needed = ["owner", "logGroup", "logStream", "messageType", "subscriptionFilters", "logEvents"]
     whole = payload.getField(needed[0]).isNotNull()
     for name in needed[1:]:

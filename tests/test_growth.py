@@ -5,6 +5,11 @@ from pyspark.sql import functions as F
 
 from logforge.catalog import metrics as metric_queries
 from logforge.functions import otlp
+from logforge.functions.text import gzip
+from logforge.operators.batching import pack_objects
+from logforge.plans.config import LogConfig
+from logforge.plans.ship import ship_logs
+from logforge.sources.events import read_cloudwatch
 
 
 def test_nested_wire_fields_stay_small(spark):
@@ -83,3 +88,33 @@ def test_messages_of_a_batch_are_decoded_together(spark, monkeypatch):
     monkeypatch.setattr(otlp, "_decode_singly", lambda messages: 1 / 0)
     clean = pa.array(plain * 3, pa.binary())
     assert otlp._decode(clean).equals(single(clean))
+
+
+def test_subscriptions_are_inflated_once(spark):
+    # Every use of the payload inflated and parsed it anew: 85 calls for each row.
+    payload = """{"owner":"o","logGroup":"g","logStream":"s","messageType":"m","subscriptionFilters":[],
+        "logEvents":[{"id":"1","timestamp":1,"message":"aaaa"},{"id":"2","timestamp":1,"message":" "},{"id":"3","timestamp":1,"message":"bb"}]}"""
+    data = F.base64(gzip(F.lit(payload).cast("binary")))
+    event = F.to_json(F.struct(F.struct(data.alias("data")).alias("awslogs")))
+    df = read_cloudwatch(spark.range(1).select(F.lit("u").alias("unit"), event.alias("event")))
+    df = ship_logs(df, LogConfig("CloudWatch", batch_target=205))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("gunzip(") == 1
+    assert [(r.pos, r.batch_id, r.body) for r in df.collect()] == [(0, 0, '"aaaa"'), (2, 1, '"bb"')]
+
+
+def test_objects_are_packed_without_python(spark):
+    sizes = [[], [5], [11], [4, 4, 4, 4], [20, 1, 9, 1, 20, 20, 2], [10, 10], [3, 7, 1, 0, 9, 10, 0]]
+    rows = [(i, ["x" * n + "y" for n in row]) for i, row in enumerate(sizes)] + [(99, None), (98, [" ", "xy", None, "z"])]
+    df = pack_objects(spark.createDataFrame(rows, "id int, records array<string>"), target=11, overhead=0)
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.id, r.pos, r.batch_id) for r in df.collect())
+    want = []
+    for i, records in rows:
+        held, batch, some = 0, 0, False
+        for pos, record in enumerate(records or []):
+            if record and record.strip():
+                if some and held + len(record) > 11:
+                    held, batch = 0, batch + 1
+                held, some = held + len(record), True
+                want.append((i, pos, batch))
+    assert got == sorted(want)
