@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from datetime import timezone
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -41,6 +43,31 @@ def result_schema(functions: dict, table: AnalyzeArgument, fn: AnalyzeArgument,
         T.StructField("transform_error", T.StringType())])
 
 
+@dataclass
+class Analyzed(AnalyzeResult):
+    """Also the types of the table's columns."""
+
+    kinds: list[T.DataType] | None = None
+
+
+def _zoned(kind: T.DataType) -> Callable[[Any], Any] | None:
+    """Gives the instants in a value of this type their zone, if it can hold any.
+
+    Rows come and go as local times, and Spark cannot tell the second of two equal hours by its own.
+    """
+    if isinstance(kind, T.TimestampType):
+        return lambda v: None if v is None else v.astimezone(timezone.utc)
+    if isinstance(kind, T.ArrayType) and (item := _zoned(kind.elementType)):
+        return lambda v: None if v is None else [item(x) for x in v]
+    if isinstance(kind, T.MapType) and (_zoned(kind.keyType) or _zoned(kind.valueType)):
+        key, value = (_zoned(k) or (lambda x: x) for k in (kind.keyType, kind.valueType))
+        return lambda v: None if v is None else {key(a): value(b) for a, b in v.items()}
+    if isinstance(kind, T.StructType) and any(_zoned(f.dataType) for f in kind):
+        fields = [_zoned(f.dataType) or (lambda x: x) for f in kind]
+        return lambda v: None if v is None else tuple(field(x) for field, x in zip(fields, v))
+    return None
+
+
 def transform_function(functions: dict[str, Callable[[Any], list]]) -> type:
     """The class of the table function, which knows ``functions`` by their names."""
 
@@ -53,10 +80,12 @@ def transform_function(functions: dict[str, Callable[[Any], list]]) -> type:
 
         @staticmethod
         def analyze(table: AnalyzeArgument, fn: AnalyzeArgument, **options: AnalyzeArgument) -> AnalyzeResult:
-            return AnalyzeResult(result_schema(functions, table, fn, **options))
+            schema = result_schema(functions, table, fn, **options)
+            return Analyzed(schema, kinds=[f.dataType for f in table.dataType])
 
-        def __init__(self) -> None:
+        def __init__(self, analyze_result: Analyzed) -> None:
             self.run: Callable[[str], tuple[list[str], str | None]] | None = None
+            self.zoned = [(i, use) for i, kind in enumerate(analyze_result.kinds) if (use := _zoned(kind))]
 
         def eval(self, table, fn: str, log: str = "log", on_error: str = "passthrough") -> Iterator[tuple]:
             if self.run is None:
@@ -64,8 +93,12 @@ def transform_function(functions: dict[str, Callable[[Any], list]]) -> type:
                 self.at = table.__fields__.index(log)
             record = table[self.at]
             results, error = self.run(record) if record is not None else ([None], None)
+            row = [*table, 0, error]
+            for i, use in self.zoned:
+                row[i] = use(row[i])
             for seq, text in enumerate(results):
-                yield (*table[: self.at], text, *table[self.at + 1 :], seq, error)
+                row[self.at], row[-2] = text, seq
+                yield tuple(row)
 
     return TransformLogs
 
@@ -77,5 +110,6 @@ def register_transforms(spark: SparkSession, name: str = NAME, **functions: Call
     """
     from pyspark.sql.functions import udtf
 
-    spark.udtf.register(name, udtf(transform_function(functions), useArrow=True))
+    # Rows come in pickled batches: with Arrow each row's results would be a table of their own.
+    spark.udtf.register(name, udtf(transform_function(functions), useArrow=False))
     return name
