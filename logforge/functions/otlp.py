@@ -776,8 +776,8 @@ def _hex_metric(metric: Column) -> Column:
         return chosen
 
     kind, none = metric["kind"], F.lit("")
-    points = F.transform(metric["data_points"], lambda point: F.concat(
-        rest(point["rest"]), F.coalesce(_hex_fields(tag(1), _hex_pairs(point["attributes"], _hex_value)), none)))
+    points = _bound(tag(1), lambda pair: F.transform(metric["data_points"], lambda point: F.concat(
+        rest(point["rest"]), F.coalesce(_hex_fields(pair, _hex_pairs(point["attributes"], _hex_value)), none))))
     whole = F.concat(F.coalesce(_hex_fields(1, points), none), rest(metric["data_rest"]))
     known = _bound(whole, lambda held: _hex_field(tag(0), held))
     unknown = F.raise_error(F.concat(F.lit("unknown kind of metric: "), kind)).cast("string")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from logforge.functions import otlp
-from logforge.functions.text import json_quote, with_json
+from logforge.functions.text import JSON_OBJECT_START, json_quote, with_json
 from logforge.operators.metrics import VALUE_TYPE
 
 # Fixed values (public names of the OTLP JSON form): the kinds of data, and the members of each
@@ -39,7 +40,9 @@ def _rest(row: Column, members: str) -> Column:
     """The other members of a level as JSON bytes, NULL if there are none."""
     names = [part.split()[0] for part in members.replace("\n", " ").split(",")]
     text = F.to_json(F.struct(*[row[n].alias(n) for n in names]))
-    return F.when(text != "{}", F.encode(text, "UTF-8"))
+    # Mostly there are none: the text is made only where it holds something.
+    some = reduce(lambda a, b: a | b, [row[n].isNotNull() for n in names])
+    return F.when(some, F.when(text != "{}", F.encode(text, "UTF-8")))
 
 
 def _scalars(value: Column) -> list[Column]:
@@ -109,7 +112,7 @@ def decode_metrics_json(df: DataFrame, message: str = "message") -> DataFrame:
             F.transform(F.coalesce(r["scopeMetrics"], F.array()), scope).alias("scope_metrics"),
             _rest(r, RESOURCE_REST).alias("rest"))
 
-    good = F.schema_of_variant(F.try_variant_get("_json", "$[0]", "variant")).startswith("OBJECT")
+    good = F.col("_json").isNotNull() & F.col(message).rlike(JSON_OBJECT_START)
     levels = F.transform(F.coalesce(parsed, F.array()), resource).cast(from_arrow_type(otlp.RESOURCES))
     df = df.withColumn("resource_metrics", F.when(F.coalesce(good, F.lit(False)), levels))
     bad = F.col(message).isNotNull() & F.col("resource_metrics").isNull()

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from logforge.functions.text import strict_object
 from logforge.operators.metrics import explode_points, finish_points, flatten_points, rebuild_payload
 from logforge.operators.metrics_json import decode_metrics_json, encode_metrics_json
 
@@ -73,3 +74,16 @@ def test_bad_messages(spark):
 def test_no_python_in_the_plan(spark):
     df = encode_metrics_json(decode_metrics_json(messages(spark, "{}").filter(F.col("record_id") >= 0)))
     assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_json_messages_are_tested_without_their_schema(spark):
+    # The schema of each whole message was worked out to see that it is an object.
+    texts = [' {"resourceMetrics":[]}', "[{}]", '"{"', "{} x", '{"a":[1]}', '{"a":1e999}', '{"a":1E+0400}', '{"a":"1e999"}', "{" , "null", None,
+             '{"a":' + "9" * 400 + "}", '{"a":"' + "9" * 400 + '"}', '{"a":0.' + "0" * 400 + "1}", '{"a":"\\ud800"}', "{}] [{}", "\u000b{}", "1,{}", "{},1"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "n int, message string")
+    got = decode_metrics_json(df)
+    assert "schemaOfVariant" not in got._jdf.queryExecution().executedPlan().toString()
+    good = {r.n for r in got.collect() if r.resource_metrics is not None}
+    assert good == {0, 4, 7, 12, 13}
+    strict = df.select("n", strict_object(F.col("message")).alias("ok"))
+    assert {r.n for r in strict.collect() if r.ok} == good
