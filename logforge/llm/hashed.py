@@ -20,6 +20,8 @@ LEXICAL = 1 << LEXICAL_BITS
 SHAPES = 1 << SHAPE_BITS
 GRAMS = (4, 5, 6)
 SEGMENT = 1 << 19
+#: Texts are scored together up to this many characters: some ten arrays of them are held at once.
+GROUP = 1 << 17
 
 #: Odd multipliers: of the rolling hash (with its inverse modulo 2**64) and of the buckets.
 _P = 0x9E3779B97F4A7C15
@@ -44,6 +46,18 @@ def _bucket(hashes: np.ndarray, salt: int, bits: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - bits)).astype(np.int32)
 
 
+def groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive texts of about GROUP characters; a longer text is alone."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text) > GROUP:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text)
+    if texts:
+        yield begin, len(texts)
+
+
 def segments(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Runs of (row of each piece, pieces): at most about SEGMENT characters a run.
 

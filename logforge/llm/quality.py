@@ -214,8 +214,8 @@ def tails(spark, model: OrdinalModel, text: Column) -> Column:
 
     def per_batch(texts: list[str]) -> pa.Array:
         out = np.zeros((len(texts), len(shared.value[1])))
-        for begin in range(0, len(texts), 256):
-            out[begin : begin + 256] = OrdinalModel(*shared.value).tails(texts[begin : begin + 256])
+        for begin, end in hashed.groups(texts):
+            out[begin:end] = OrdinalModel(*shared.value).tails(texts[begin:end])
         offsets = np.arange(0, out.size + 1, max(out.shape[1], 1), dtype=np.int32)
         return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
 

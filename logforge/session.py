@@ -13,7 +13,7 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Objects and payloads are large cells: bound Arrow batches by bytes, not only rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.sql.session.timeZone": "UTC",
     # The codec of metric messages is functions inside functions, resolved one level at a time.
     "spark.sql.analyzer.maxIterations": "400",

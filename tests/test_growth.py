@@ -1,11 +1,13 @@
 """Plans and steps whose cost must not outgrow their input."""
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from logforge.catalog import metrics as metric_queries
 from logforge.functions import otlp
 from logforge.functions.text import gzip
+from logforge.llm import hashed, quality
 from logforge.operators.batching import pack_objects
 from logforge.plans.config import LogConfig
 from logforge.plans.ship import ship_logs
@@ -118,3 +120,15 @@ def test_objects_are_packed_without_python(spark):
                 held, some = held + len(record), True
                 want.append((i, pos, batch))
     assert got == sorted(want)
+
+
+def test_texts_are_scored_in_small_groups():
+    # 256 texts at once were ten arrays of as many characters as they have, whatever their length.
+    texts = ["a b " * n for n in (0, 1, 5000, 40_000, 10, 0, 32_000, 1, 70_000)] + ["x"] * 300
+    bounds = list(hashed.groups(texts))
+    assert [i for a, b in bounds for i in range(a, b)] == list(range(len(texts)))
+    assert all(b == a + 1 or sum(map(len, texts[a:b])) <= hashed.GROUP for a, b in bounds) and list(hashed.groups([])) == []
+    kept = np.ones(hashed.LEXICAL, bool)
+    model = quality.OrdinalModel(np.linspace(-1, 1, quality.WIDTH), np.array([0.1, 0.4]), kept)
+    parts = [model.tails(texts[a:b]) for a, b in bounds]
+    assert np.allclose(np.concatenate(parts), model.tails(texts), rtol=0, atol=1e-12)
