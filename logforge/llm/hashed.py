@@ -158,6 +158,8 @@ def shapes(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         kind = np.where(upper, np.uint32(65), np.where(digit, np.uint32(48), kind))
         keep = np.ones(len(kind), bool)
         keep[1:] = (kind[1:] != kind[:-1]) | ~(letter | digit)[1:]
+        # The line feed behind the last piece is not of it: features are the same whatever texts stand beside.
+        keep[-1] = False
         kind, where = kind[keep].astype(np.uint64), piece[keep]
         owner, found = rows[where], []
         rolled = kind
