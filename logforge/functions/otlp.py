@@ -671,11 +671,24 @@ def decode_request(message: Column) -> Column:
 
 
 # Encoding as columns. Nested rows cross to Python slowly: to bound a batch by bytes, every row
-# makes Spark size each of its some forty Arrow vectors anew. Bytes are put together as hex text, which
-# arrays can join, and turned into bytes once.
+# makes Spark size each of its some forty Arrow vectors anew. Bytes are put together as strings, which
+# arrays can join: a cast between both looks at nothing and changes nothing, whatever the bytes are.
 
 
-def _hex_varint(number: Column) -> Column:
+def _wire(data: Column) -> Column:
+    """Bytes as a string of the same bytes."""
+    return data.cast("string")
+
+
+def _literal(data: bytes) -> Column:
+    return F.lit(data).cast("string")
+
+
+def _wire_hex(digits: Column) -> Column:
+    return _wire(F.unhex(digits))
+
+
+def _wire_varint(number: Column) -> Column:
     """Of a BIGINT taken as unsigned."""
 
     def byte(value: Column) -> Column:
@@ -692,33 +705,34 @@ def _hex_varint(number: Column) -> Column:
         rest = F.shiftrightunsigned(number, 7 * (at + 1)) == 0
         return F.when(rest, group(at, False)).otherwise(F.concat(group(at, True), longer(at + 1)))
 
-    return longer(0)
+    return _wire_hex(longer(0))
 
 
-def _hex_size(size: Column) -> Column:
-    """``_hex_varint`` of a number of bytes, in fewer steps: it is wanted everywhere."""
+def _wire_size(size: Column) -> Column:
+    """``_wire_varint`` of a number of bytes, in fewer steps: it is wanted everywhere."""
 
     def digits(groups: int) -> Column:
         number = F.lit(0).cast("bigint")
         for at in range(groups):
             bits = F.shiftright(size, 7 * at).bitwiseAND(F.lit(127)).cast("bigint")
             number = number * 256 + bits + (128 if at < groups - 1 else 0)
-        return F.lpad(F.hex(number), 2 * groups, "0")
+        return _wire_hex(F.lpad(F.hex(number), 2 * groups, "0"))
 
+    # Below 128 a size is one byte, and the character of that number.
     return (
-        F.when(size < 1 << 7, F.lpad(F.hex(size), 2, "0")).when(size < 1 << 14, digits(2)).when(size < 1 << 21, digits(3))
+        F.when(size < 1 << 7, F.char(size)).when(size < 1 << 14, digits(2)).when(size < 1 << 21, digits(3))
         .otherwise(F.when(size < 1 << 28, digits(4)).otherwise(digits(5))))
 
 
-def _hex_field(number: int | Column, data: Column) -> Column:
-    """A length-prefixed field of a number, or with a tag as hex text; ``data`` should be a plain column,
+def _wire_field(number: int | Column, data: Column) -> Column:
+    """A length-prefixed field of a number, or with a tag; ``data`` should be a plain column,
     as it is named twice."""
-    tag = F.lit(f"{number << 3 | 2:02X}") if isinstance(number, int) else number
-    return F.concat(tag, _hex_size(F.shiftright(F.octet_length(data), 1)), data)
+    tag = _literal(bytes([number << 3 | 2])) if isinstance(number, int) else number
+    return F.concat(tag, _wire_size(F.octet_length(data)), data)
 
 
-def _hex_fields(number: int | Column, items: Column) -> Column:
-    return F.array_join(F.transform(items, lambda held: _hex_field(number, held)), "")
+def _wire_fields(number: int | Column, items: Column) -> Column:
+    return F.array_join(F.transform(items, lambda held: _wire_field(number, held)), "")
 
 
 def _bound(value: Column, use) -> Column:
@@ -726,64 +740,64 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _hex_text(text: Column) -> Column:
-    return F.concat(_hex_size(F.octet_length(text)), F.hex(text))
+def _wire_text(text: Column) -> Column:
+    return F.concat(_wire_size(F.octet_length(text)), text)
 
 
-def _hex_scalar(value: Column) -> Column:
+def _wire_scalar(value: Column) -> Column:
     bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), value["doubleValue"])
     real = F.lpad(F.hex(bits.cast("bigint")), 16, "0")
-    turned = F.concat(*[F.substring(real, at, 2) for at in range(15, 0, -2)])
+    turned = _wire_hex(F.concat(*[F.substring(real, at, 2) for at in range(15, 0, -2)]))
     return (
-        F.when(value["stringValue"].isNotNull(), F.concat(F.lit("0A"), _hex_text(value["stringValue"])))
-        .when(value["boolValue"].isNotNull(), F.when(value["boolValue"], "1001").otherwise("1000"))
-        .when(value["intValue"].isNotNull(), F.concat(F.lit("18"), _hex_varint(value["intValue"])))
-        .when(value["doubleValue"].isNotNull(), F.concat(F.lit("21"), turned))
+        F.when(value["stringValue"].isNotNull(), F.concat(_literal(b"\x0a"), _wire_text(value["stringValue"])))
+        .when(value["boolValue"].isNotNull(), F.when(value["boolValue"], _literal(b"\x10\x01")).otherwise(_literal(b"\x10\x00")))
+        .when(value["intValue"].isNotNull(), F.concat(_literal(b"\x18"), _wire_varint(value["intValue"])))
+        .when(value["doubleValue"].isNotNull(), F.concat(_literal(b"\x21"), turned))
         .otherwise("")
     )
 
 
-def _hex_held(value: Column) -> Column:
-    return F.when(value["raw"].isNotNull(), F.hex(value["raw"])).otherwise(_hex_scalar(value))
+def _wire_held(value: Column) -> Column:
+    return F.when(value["raw"].isNotNull(), _wire(value["raw"])).otherwise(_wire_scalar(value))
 
 
-def _hex_value(value: Column) -> Column:
+def _wire_value(value: Column) -> Column:
     pairs, items = value["kvlistValue"], value["arrayValue"]
-    listed = _hex_fields(1, F.transform(items["values"], _hex_scalar))
-    paired = _hex_fields(1, _hex_pairs(pairs["values"], _hex_held))
+    listed = _wire_fields(1, F.transform(items["values"], _wire_scalar))
+    paired = _wire_fields(1, _wire_pairs(pairs["values"], _wire_held))
     return (
-        F.when(value["raw"].isNotNull(), F.hex(value["raw"]))
-        .when(pairs.isNotNull(), _bound(F.coalesce(paired, F.lit("")), lambda held: _hex_field(6, held)))
-        .when(items.isNotNull(), _bound(F.coalesce(listed, F.lit("")), lambda held: _hex_field(5, held)))
-        .otherwise(_hex_scalar(value))
+        F.when(value["raw"].isNotNull(), _wire(value["raw"]))
+        .when(pairs.isNotNull(), _bound(F.coalesce(paired, F.lit("")), lambda held: _wire_field(6, held)))
+        .when(items.isNotNull(), _bound(F.coalesce(listed, F.lit("")), lambda held: _wire_field(5, held)))
+        .otherwise(_wire_scalar(value))
     )
 
 
-def _hex_pairs(pairs: Column, value) -> Column:
-    key = lambda pair: F.concat(F.lit("0A"), _hex_text(F.coalesce(pair["key"], F.lit(""))))
+def _wire_pairs(pairs: Column, value) -> Column:
+    key = lambda pair: F.concat(_literal(b"\x0a"), _wire_text(F.coalesce(pair["key"], F.lit(""))))
     parts = F.transform(pairs, lambda pair: F.struct(key(pair).alias("key"), value(pair["value"]).alias("value")))
-    return F.transform(parts, lambda part: F.concat(part["key"], _hex_field(2, part["value"])))
+    return F.transform(parts, lambda part: F.concat(part["key"], _wire_field(2, part["value"])))
 
 
-def _hex_metric(metric: Column) -> Column:
+def _wire_metric(metric: Column) -> Column:
     def rest(value: Column) -> Column:
-        return F.coalesce(F.hex(value), F.lit(""))
+        return F.coalesce(_wire(value), F.lit(""))
 
     def tag(which: int) -> Column:
-        chosen = F.lit("3A")
+        chosen = _literal(b"\x3a")
         for name, fields in KINDS.items():
-            chosen = F.when(kind == name, f"{fields[which] << 3 | 2:02X}").otherwise(chosen)
+            chosen = F.when(kind == name, _literal(bytes([fields[which] << 3 | 2]))).otherwise(chosen)
         return chosen
 
     kind, none = metric["kind"], F.lit("")
     points = _bound(tag(1), lambda pair: F.transform(metric["data_points"], lambda point: F.concat(
-        rest(point["rest"]), F.coalesce(_hex_fields(pair, _hex_pairs(point["attributes"], _hex_value)), none))))
-    whole = F.concat(F.coalesce(_hex_fields(1, points), none), rest(metric["data_rest"]))
-    known = _bound(whole, lambda held: _hex_field(tag(0), held))
+        rest(point["rest"]), F.coalesce(_wire_fields(pair, _wire_pairs(point["attributes"], _wire_value)), none))))
+    whole = F.concat(F.coalesce(_wire_fields(1, points), none), rest(metric["data_rest"]))
+    known = _bound(whole, lambda held: _wire_field(tag(0), held))
     unknown = F.raise_error(F.concat(F.lit("unknown kind of metric: "), kind)).cast("string")
-    unit = F.when(metric["unit"] != "", F.concat(F.lit("1A"), _hex_text(metric["unit"])))
+    unit = F.when(metric["unit"] != "", F.concat(_literal(b"\x1a"), _wire_text(metric["unit"])))
     return F.concat(
-        F.lit("0A"), _hex_text(F.coalesce(metric["name"], F.lit(""))), F.coalesce(unit, F.lit("")),
+        _literal(b"\x0a"), _wire_text(F.coalesce(metric["name"], F.lit(""))), F.coalesce(unit, F.lit("")),
         F.when(kind.isNull(), "").when(kind.isin(*KINDS), known).otherwise(unknown), rest(metric["rest"]))
 
 
@@ -792,14 +806,14 @@ def encode_request(resources: Column) -> Column:
     none = F.lit("")
 
     def scope(held: Column) -> Column:
-        metrics = _hex_fields(2, F.transform(held["metrics"], _hex_metric))
-        return F.concat(F.coalesce(metrics, none), F.coalesce(F.hex(held["rest"]), none))
+        metrics = _wire_fields(2, F.transform(held["metrics"], _wire_metric))
+        return F.concat(F.coalesce(metrics, none), F.coalesce(_wire(held["rest"]), none))
 
     def resource(held: Column) -> Column:
-        scopes = _hex_fields(2, F.transform(held["scope_metrics"], scope))
-        return F.concat(F.coalesce(scopes, none), F.coalesce(F.hex(held["rest"]), none))
+        scopes = _wire_fields(2, F.transform(held["scope_metrics"], scope))
+        return F.concat(F.coalesce(scopes, none), F.coalesce(_wire(held["rest"]), none))
 
-    return F.unhex(_hex_fields(1, F.transform(resources, resource)))
+    return _wire_fields(1, F.transform(resources, resource)).cast("binary")
 
 
 def split_delimited(data: Column) -> Column:
@@ -831,9 +845,9 @@ def join_delimited(messages: Column) -> Column:
     """Inverse of ``split_delimited``."""
 
     def prefixed(message: Column) -> Column:
-        return F.concat(_hex_size(F.octet_length(message)), F.hex(message))
+        return F.concat(_wire_size(F.octet_length(message)), _wire(message))
 
-    return F.unhex(F.array_join(F.transform(messages, prefixed), ""))
+    return F.array_join(F.transform(messages, prefixed), "").cast("binary")
 
 
 def _any_json(value: Any) -> dict:

@@ -122,12 +122,12 @@ def merge_payloads(df: DataFrame, batch: list[str], order: list[str], message: s
     """
     parts = [F.col("resource_metrics").alias("item")]
     if message:
-        parts.append(F.hex(message).alias("bytes"))
+        parts.append(F.col(message).cast("string").alias("bytes"))
     rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), *parts)))
     df = df.groupBy(*batch).agg(rows.alias("_rows"))
     columns = [F.flatten("_rows.item").alias("resource_metrics")]
     if message:
-        columns.append(F.unhex(F.array_join("_rows.bytes", "")).alias(message))
+        columns.append(F.array_join("_rows.bytes", "").cast("binary").alias(message))
     return df.select(*batch, *columns)
 
 
