@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -97,16 +96,116 @@ def effect_of(sizes: np.ndarray, target: int) -> Effect:
     return Effect(int(sizes[0]), int(sums[-1]), sums[first], closed, sums[-1] - before[at])
 
 
-def _effects(rows: pa.Array) -> list[Effect]:
-    """Effects from their rows."""
-    lists = [[x.values.to_numpy() for x in rows.field(c)] for c in ("prefix", "closed", "carry")]
-    return [Effect(*x) for x in zip(rows.field("first").to_pylist(), rows.field("total").to_pylist(), *lists)]
+# The same for many chunks at once: one after the other they cost a millisecond each, however short
+# they are. ``owner`` is the place of the chunk that an outcome or a record belongs to.
+
+
+def _stretches(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``start[i]`` and the numbers after it, ``count[i]`` in all, for each i."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + count, count)
+
+
+@dataclass
+class Effects:
+    """Effects of many chunks; outcomes lie one after the other, ``owner`` never decreases."""
+
+    first: np.ndarray
+    total: np.ndarray
+    owner: np.ndarray
+    prefix: np.ndarray
+    closed: np.ndarray
+    carry: np.ndarray
+
+    @classmethod
+    def of_sizes(cls, sizes: pa.ListArray, target: int) -> Effects:
+        """``effect_of`` of each list (none is empty)."""
+        flat, low, high = _flat(sizes)
+        sums = np.cumsum(flat)
+        before = sums - flat
+        count = np.minimum(np.searchsorted(sums, before[low] + target, side="right") + 1, high) - low
+        count = np.maximum(count, 1)
+        owner, first = np.repeat(np.arange(len(low)), count), _stretches(low, count)
+        closed, at, stop = np.ones(len(first), dtype=np.int64), first.copy(), high[owner]
+        open_ = np.arange(len(first))
+        while len(open_):
+            nxt = np.maximum(np.searchsorted(sums, before[at[open_]] + target, side="right"), at[open_] + 1)
+            inside = nxt < stop[open_]
+            open_ = open_[inside]
+            closed[open_] += 1
+            at[open_] = nxt[inside]
+        total = sums[high - 1] - before[low]
+        out = cls(flat[low], total, owner, sums[first] - before[low][owner], closed, sums[stop - 1] - before[at])
+        return out.merged(target)
+
+    @classmethod
+    def of_rows(cls, rows: pa.StructArray) -> Effects:
+        lists = [_flat(rows.field(c)) for c in ("prefix", "closed", "carry")]
+        _, low, high = lists[0]
+        first, total = (np.asarray(rows.field(c)) for c in ("first", "total"))
+        return cls(first, total, np.repeat(np.arange(len(low)), high - low), *[flat for flat, _, _ in lists])
+
+    def rows(self) -> pa.StructArray:
+        ends = np.searchsorted(self.owner, np.arange(len(self.first) + 1)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(ends, pa.array(c)) for c in (self.prefix, self.closed, self.carry)]
+        return pa.StructArray.from_arrays([pa.array(self.first), pa.array(self.total), *lists], fields=list(_SUMMARIES))
+
+    def take(self, places: np.ndarray) -> Effects:
+        low = np.searchsorted(self.owner, places)
+        count = np.searchsorted(self.owner, places, side="right") - low
+        at = _stretches(low, count)
+        return Effects(
+            self.first[places], self.total[places], np.repeat(np.arange(len(places)), count),
+            self.prefix[at], self.closed[at], self.carry[at])
+
+    def merged(self, target: int) -> Effects:
+        new = np.append(True, self.owner[1:] != self.owner[:-1])[: len(self.owner)]
+        kept = new | np.append(True, self.prefix[:-1] <= target)[: len(new)]
+        owner, prefix, closed, carry = (c[kept] for c in (self.owner, self.prefix, self.closed, self.carry))
+        last = (owner[1:] != owner[:-1]) | (closed[1:] != closed[:-1]) | (carry[1:] != carry[:-1])
+        last = np.append(last, True)[: len(owner)]
+        return Effects(self.first, self.total, owner[last], prefix[last], closed[last], carry[last])
+
+    def apply(self, owner: np.ndarray, carry: np.ndarray, target: int) -> tuple[np.ndarray, np.ndarray]:
+        """(batches closed, bytes left open) of the chunks ``owner``, each for a number of open bytes."""
+        most = int(self.prefix.max(initial=0))
+        low, high = np.searchsorted(self.owner, owner), np.searchsorted(self.owner, owner, side="right")
+        wanted = np.clip(target - carry, -1, most) + owner * (most + 2)
+        hit = np.searchsorted(self.prefix + self.owner * (most + 2), wanted, side="right")
+        hit = np.minimum(np.maximum(hit, low), high - 1)
+        through = carry + self.total[owner] <= target
+        return np.where(through, 0, self.closed[hit]), np.where(through, carry + self.total[owner], self.carry[hit])
+
+    def then(self, other: Effects, target: int) -> Effects:
+        closed, carry = other.apply(self.owner, self.carry, target)
+        owner = np.concatenate([self.owner, other.owner])
+        order = np.argsort(owner, kind="stable")
+        columns = [
+            owner, np.concatenate([self.prefix, self.total[other.owner] + other.prefix]),
+            np.concatenate([self.closed + closed, other.closed]), np.concatenate([carry, other.carry])]
+        return Effects(self.first, self.total + other.total, *[c[order] for c in columns]).merged(target)
+
+    def replaced(self, places: np.ndarray, others: Effects) -> Effects:
+        """These, but for the chunks ``places`` the others."""
+        rest = np.setdiff1d(np.arange(len(self.first)), places, assume_unique=True)
+        mine, names = self.take(rest), np.concatenate([rest, places])
+        owner = names[np.concatenate([mine.owner, others.owner + len(rest)])]
+        order, back = np.argsort(owner, kind="stable"), np.argsort(names)
+        first, total = (np.concatenate([getattr(mine, c), getattr(others, c)])[back] for c in ("first", "total"))
+        lists = [np.concatenate([getattr(mine, c), getattr(others, c)])[order] for c in ("prefix", "closed", "carry")]
+        return Effects(first, total, owner[order], *lists)
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items of all lists, and where each list begins and ends in them."""
+    ends = np.asarray(lists.offsets).astype(np.int64)
+    return np.asarray(lists.values)[ends[0] : ends[-1]], ends[:-1] - ends[0], ends[1:] - ends[0]
 
 
 def _summary(sizes: Column, target: int) -> Column:
     @F.arrow_udf(SUMMARY)
     def summarise(rows: pa.Array) -> pa.Array:
-        return pa.array([effect_of(np.asarray(s.values), target).merged(target) for s in rows], _SUMMARIES)
+        return Effects.of_sizes(rows, target).rows()
 
     return summarise(sizes)
 
@@ -114,8 +213,13 @@ def _summary(sizes: Column, target: int) -> Column:
 def _combined(target: int) -> Callable[[Column], Column]:
     @F.arrow_udf(SUMMARY)
     def combine(rows: pa.Array) -> pa.Array:
-        return pa.array(
-            [reduce(lambda a, b: a.then(b, target), _effects(r.values)).merged(target) for r in rows], _SUMMARIES)
+        _, low, high = _flat(rows)
+        effects = Effects.of_rows(rows.flatten())
+        out = effects.take(low)
+        for step in range(1, int((high - low).max(initial=0))):
+            more = np.flatnonzero(high - low > step)
+            out = out.replaced(more, out.take(more).then(effects.take(low[more] + step), target))
+        return out.rows()
 
     return combine
 
@@ -125,15 +229,19 @@ def _handed(target: int) -> Callable[[Column, Column], Column]:
 
     @F.arrow_udf(T.ArrayType(STATE))
     def hand_down(rows: pa.Array, states: pa.Array) -> pa.Array:
-        out = []
-        for row, state in zip(rows, states.to_pylist()):
-            given = []
-            for effect in _effects(row.values):
-                given.append(dict(state))
-                closed, carry = effect.apply(np.array([state["carry"]]), target)
-                state = {"carry": int(carry[0]), "base": state["base"] + int(closed[0])}
-            out.append(given)
-        return pa.array(out, _STATES)
+        _, low, high = _flat(rows)
+        effects = Effects.of_rows(rows.flatten())
+        now = np.arange(len(low))
+        carry, base = (np.array(states.field(c)) for c in ("carry", "base"))
+        given = np.zeros((2, len(effects.first)), dtype=np.int64)
+        for step in range(int((high - low).max(initial=0))):
+            now = now[high[now] - low[now] > step]
+            at = low[now] + step
+            given[0, at], given[1, at] = carry[now], base[now]
+            closed, carry[now] = effects.apply(at, carry[now], target)
+            base[now] += closed
+        held = pa.StructArray.from_arrays([pa.array(c) for c in given], fields=list(_STATES.value_type))
+        return pa.ListArray.from_arrays(np.append(low, len(effects.first)).astype(np.int32), held)
 
     return hand_down
 
@@ -141,19 +249,23 @@ def _handed(target: int) -> Callable[[Column, Column], Column]:
 def _cuts(target: int):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def cuts(sizes: pa.Array, carry: pa.Array) -> pa.Array:
-        out = []
-        for row, open_bytes in zip(sizes, carry.to_pylist()):
-            sums = np.cumsum(np.asarray(row.values))
-            found, limit = [], target - open_bytes
-            while True:
-                at = int(np.searchsorted(sums, limit, side="right"))
-                at = max(at, found[-1] + 1) if found else at
-                if at >= len(sums):
-                    break
-                found.append(at)
-                limit = (sums[at - 1] if at else 0) + target
-            out.append(found)
-        return pa.array(out, pa.list_(pa.int32()))
+        flat, low, high = _flat(sizes)
+        sums = np.cumsum(flat)
+        now = np.arange(len(low))
+        limit = sums[low] - flat[low] + target - np.asarray(carry)
+        at, owners, places = low, [], []
+        while len(now):
+            at = np.maximum(np.searchsorted(sums, limit, side="right"), at)
+            inside = at < high[now]
+            now, at = now[inside], at[inside]
+            owners.append(now)
+            places.append(at - low[now])
+            limit, at = sums[at] - flat[at] + target, at + 1
+        owner = np.concatenate([*owners, np.arange(0)])
+        order = np.argsort(owner, kind="stable")
+        ends = np.searchsorted(owner[order], np.arange(len(low) + 1)).astype(np.int32)
+        found = np.concatenate([*places, np.arange(0)])[order]
+        return pa.ListArray.from_arrays(ends, pa.array(found.astype(np.int32)))
 
     return cuts
 

@@ -36,21 +36,39 @@ def chunked(
     column, and so on. A pass cuts a chunk into up to ``PARTS`` parts, so few passes do for any
     number of rows, and chunks stay below ``LARGE`` spans whatever the size of a unit. Each
     pass reads ``df`` once and writes the bounds, which are a small share of it.
+
+    Spans shorter than ``SPAN`` would need a sketch, and bounds, for every few rows: there the
+    sketches cut until ``SPAN`` would be met, and parts of that size are cut by the rank of their rows.
     """
     if chunk is not None:
         return df.withColumn("_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
     key = order_key(df, order[0])
     if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.IntegralType):
         return df.withColumn("_chunk", F.floor(key / F.lit(span)).cast("bigint"))
-    df = df.withColumn("_chunk", F.lit(0).cast("bigint"))
-    keys, by = [order_key(df, name) for name in order], 0
+    keys = [order_key(df, name) for name in order]
+    df, most = sketched(df.withColumn("_chunk", F.lit(0).cast("bigint")), unit, keys, max(span, SPAN))
+    if span >= SPAN:
+        return df
+    # Ranks begin at 1; of equal rows, which stay together, the first counts.
+    at = F.rank().over(Window.partitionBy(*unit, "_chunk").orderBy(*order)) - 1
+    part = F.floor(at / F.lit(span)).cast("bigint")
+    return df.withColumn("_part", part).withColumn(
+        "_chunk", F.col("_chunk") * (most // span + 1) + F.col("_part") if most else F.col("_part")).drop("_part")
+
+
+def sketched(df: DataFrame, unit: list[str], keys: list[Column], span: int) -> tuple[DataFrame, int]:
+    """``df`` cut by sketches, and the rows of its largest chunk; 0 if no unit had to be cut."""
+    by, cut = 0, False
+    largest = lambda: df.groupBy(*unit, "_chunk").count().agg(F.max("count")).first()[0] or 0
+    if largest() <= LARGE * span:
+        return df, 0
     while True:
         bounds = staged(sketched_bounds(df, unit, keys, by, span), "bounds")
         most, first = bounds.agg(F.max("_count"), F.min("_by")).first()
         if first is None:
-            return df
+            return df, largest() if cut else 0
         if most is not None:
-            df = cut_at(df, unit, keys[by], bounds.filter(F.col("_count").isNotNull()), most)
+            df, cut = cut_at(df, unit, keys[by], bounds.filter(F.col("_count").isNotNull()), most), True
         else:
             by = first
 

@@ -1,8 +1,10 @@
 """Chunks by sketches, and the tree over chunks."""
 
 import random
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +108,34 @@ def test_packing_across_rounds(spark, monkeypatch):
             held = size + 5 + (held or 0)
         want[key] = batch
     assert {r["id"]: r["batch_id"] for r in packed.collect()} == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(SIZES, min_size=1, max_size=5), min_size=1, max_size=5), st.integers(0, 100))
+def test_effects_of_many_chunks_at_once(groups, target):
+    # Each chunk took a millisecond of Python, however short it was.
+    def rows(effects):
+        return pa.array([{k: v if isinstance(v, int) else list(v) for k, v in e.items()} for e in effects], batching._SUMMARIES)
+
+    single = [[batching.Effect(**effect_of(np.array(p), target).merged(target)) for p in g] for g in groups]
+    sizes = pa.array([[7]] + [p for g in groups for p in g], pa.list_(pa.int64()))[1:]
+    many = batching.Effects.of_sizes(sizes, target)
+    assert many.rows().equals(rows([e.merged(target) for g in single for e in g]))
+    nested = pa.ListArray.from_arrays(np.cumsum([0, *map(len, groups)]).astype(np.int32), many.rows())
+    whole = [reduce(lambda a, b: a.then(b, target), g).merged(target) for g in single]
+    assert batching._combined(target).func(nested).equals(rows(whole))
+
+
+def test_short_spans_need_no_sketches(spark, monkeypatch):
+    # Every unit was sketched and its bounds written, pass after pass, to cut it into chunks of a few rows.
+    rows = [(i % 7, i // 20 % 5, i, 3) for i in range(2000)]
+    df = spark.createDataFrame(rows, "unit long, at long, id long, size long")
+    monkeypatch.setattr(ordering, "staged", lambda *_: 1 / 0)
+    assert {r["count"] for r in chunked(df, ["unit"], ["at", "id"], None, 5).groupBy("unit", "_chunk").count().collect()} <= set(range(1, 6))
+
+
+@pytest.mark.parametrize("short", [True, False])
+def test_sketches_and_ranks_together(spark, monkeypatch, short):
+    monkeypatch.setattr(ordering, "SPAN", 30)
+    test_chunks_of_skewed_units_are_small(spark, 4 if short else 40)
+    test_packing_across_rounds(spark, monkeypatch)
