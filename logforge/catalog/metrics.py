@@ -291,12 +291,15 @@ def pick_snapshot_stale(t: Tables) -> DataFrame:
 # Messages: one per order and supplier, with a metric for each of its line items.
 
 
-def line_payloads(t: Tables) -> DataFrame:
+def line_payloads(t: Tables, by: dict[str, Column] | None = None) -> DataFrame:
+    """Messages in order; with ``by``, columns of ``record_id`` and ``msg_idx``, they lie together by those."""
     # Line items are grouped as they are, four short columns; their metrics are built behind the shuffle.
     line = F.struct("l_linenumber", "l_partkey", "l_returnflag")
-    df = t("lineitem").groupBy(F.col("l_orderkey").alias("record_id"), F.col("l_suppkey").alias("msg_idx")).agg(
-        F.sort_array(F.collect_list(line)).alias("lines")
-    )
+    df = t("lineitem").withColumnsRenamed({"l_orderkey": "record_id", "l_suppkey": "msg_idx"})
+    keys = [*(by or {}), "record_id", "msg_idx"]
+    df = df.withColumns(by or {}).select(*keys, "l_linenumber", "l_partkey", "l_returnflag")
+    df = df.repartition(*(by or keys)).sortWithinPartitions(*keys)
+    df = df.groupBy(*keys).agg(F.sort_array(F.collect_list(line)).alias("lines"))
     empty = F.lit(None).cast("binary")
 
     def metric(row: Column) -> Column:
@@ -313,7 +316,7 @@ def line_payloads(t: Tables) -> DataFrame:
 
     scope = F.struct(F.transform("lines", metric).alias("metrics"), empty.alias("rest"))
     resource = F.struct(F.array(scope).alias("scope_metrics"), empty.alias("rest"))
-    return df.select("record_id", "msg_idx", F.array(resource).cast(from_arrow_type(otlp.RESOURCES)).alias("resource_metrics"))
+    return df.select(*keys, F.array(resource).cast(from_arrow_type(otlp.RESOURCES)).alias("resource_metrics"))
 
 
 def line_records(t: Tables) -> DataFrame:
@@ -436,7 +439,7 @@ SELECT CAST(l_orderkey // 16 AS BIGINT) AS batch, l_suppkey // 32 AS part, count
 """)
 def metric_batch_totals(t: Tables) -> DataFrame:
     keys = {"batch": F.floor(F.col("record_id") / 16), "part": F.floor(F.col("msg_idx") / 32)}
-    merged = ops.merge_payloads(line_payloads(t).withColumns(keys), ["batch", "part"], ["record_id", "msg_idx"])
+    merged = ops.merge_payloads(line_payloads(t, keys), ["batch", "part"], ["record_id", "msg_idx"])
     df = ops.batch_totals(merged, ["batch", "part"])
     return df.select("batch", "part", *[F.col(c).cast("bigint").alias(c) for c in ("resource_metrics", "scope_metrics", "metrics")])
 

@@ -84,12 +84,12 @@ def explode_points(df: DataFrame) -> DataFrame:
 
 def rebuild_payload(df: DataFrame, keys: list[str]) -> DataFrame:
     """Inverse of ``explode_points``. ``keys`` name one message, which is bounded; the rows
-    move once, and all four levels are regrouped where they are."""
+    move once and are sorted once, and all four levels are regrouped where they are."""
 
     def level(df: DataFrame, by: list[str], index: str, item: Column, out: str) -> DataFrame:
         held = F.struct(F.col(index).alias("at"), item.alias("item"))
         items = F.sort_array(F.collect_list(F.when(F.col(index).isNotNull(), held)))
-        return df.groupBy(*by).agg(F.transform(items, lambda r: r["item"]).alias(out))
+        return df.sortWithinPartitions(*by).groupBy(*by).agg(F.transform(items, lambda r: r["item"]).alias(out))
 
     def struct(kind, *columns: Column) -> Column:
         return F.struct(*columns).cast(from_arrow_type(kind))
@@ -97,6 +97,7 @@ def rebuild_payload(df: DataFrame, keys: list[str]) -> DataFrame:
     col = F.col
     scope = [*keys, "rm_idx", "rm_rest", "sm_idx", "sm_rest"]
     metric = [*scope, "m_idx", "name", "metric_unit", "kind", "data_rest", "m_rest"]
+    # Only the first of the sorts sorts anything; Spark drops the others, as each level leaves its rows in order.
     df = df.repartition(*keys)
     point = struct(
         otlp.POINT, col("attributes").alias("attributes"), col("count").alias("count"), col("sum").alias("sum"), col("dp_rest").alias("rest")
@@ -118,13 +119,13 @@ def merge_payloads(df: DataFrame, batch: list[str], order: list[str], message: s
 
     With ``message``, the column of their bytes, also the bytes of the request: those of its
     messages one after the other, as the wire format merges what is repeated. Batches are
-    bounded by ``pack_batches``.
+    bounded by ``pack_batches``. Rows that lie by batch, in order, are neither moved nor sorted.
     """
     parts = [F.col("resource_metrics").alias("item")]
     if message:
         parts.append(F.col(message).cast("string").alias("bytes"))
     rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), *parts)))
-    df = df.groupBy(*batch).agg(rows.alias("_rows"))
+    df = df.repartition(*batch).sortWithinPartitions(*batch).groupBy(*batch).agg(rows.alias("_rows"))
     columns = [F.flatten("_rows.item").alias("resource_metrics")]
     if message:
         columns.append(F.array_join("_rows.bytes", "").cast("binary").alias(message))

@@ -15,6 +15,9 @@ SETTINGS = {
     # Objects and payloads are large cells: bound Arrow batches by bytes, not only rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.sql.session.timeZone": "UTC",
+    # Rows that lie in order are grouped as they come. Hashed, many groups of lists are sorted after
+    # all, as whole nested rows, and spilled.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     # The codec of metric messages is functions inside functions, resolved one level at a time.
     "spark.sql.analyzer.maxIterations": "400",
 }

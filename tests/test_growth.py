@@ -1,10 +1,14 @@
 """Plans and steps whose cost must not outgrow their input."""
 
+import os
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from logforge.catalog import metrics as metric_queries
+from logforge.catalog.registry import Tables
 from logforge.functions import otlp
 from logforge.functions.text import gzip
 from logforge.llm import hashed, quality
@@ -122,6 +126,18 @@ def test_objects_are_packed_without_python(spark):
     assert got == sorted(want)
 
 
+def _sorts_and_hashed_lists(spark, query):
+    text = query(Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    return sum("- Sort [" in line for line in text.splitlines()), text.count("ObjectHashAggregate")
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="tables are not here")
+def test_messages_are_regrouped_without_sorting_them(spark):
+    # Lists were hashed, then sorted as nested rows at every level and for the join: 4.6 GB spilled of 6,000,000 lines.
+    assert _sorts_and_hashed_lists(spark, metric_queries.metric_batch_totals) == (1, 0)
+    assert _sorts_and_hashed_lists(spark, metric_queries.rebuild_payload) == (3, 0)
+
+
 def test_texts_are_scored_in_small_groups():
     # 256 texts at once were ten arrays of as many characters as they have, whatever their length.
     texts = ["a b " * n for n in (0, 1, 5000, 40_000, 10, 0, 32_000, 1, 70_000)] + ["x"] * 300
