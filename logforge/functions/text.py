@@ -127,35 +127,52 @@ def key_level(key: Column, level: int) -> Column:
     return F.get(F.split(key, "/"), F.lit(level - 1))
 
 
-def _gunzip(data: bytes) -> bytes | None:
-    """Inflate all gzip members; a broken tail keeps what was decoded before it."""
-    if not data:
+# Compressed bytes inflated at once: a step gives a thousand times as much at most, and a broken one is done again.
+STEP = 1 << 13
+
+
+def _gunzip(data: bytes | memoryview, out: bytearray | None = None) -> bytes | None:
+    """Inflate all gzip members; a broken tail keeps what was decoded before it.
+
+    With ``out`` the bytes go behind those that it holds, and nothing of them is returned but whether there are any.
+    """
+    whole, out = out is None, bytearray() if out is None else out
+    if not len(data):
         return b""
-    view, pos, parts = memoryview(data), 0, []
+    view, pos, start = memoryview(data), 0, len(out)
     while pos < len(view):
         member = zlib.decompressobj(wbits=31)
         try:
             while pos < len(view) and not member.eof:
-                chunk = view[pos : pos + (1 << 16)]
+                chunk = view[pos : pos + STEP]
                 before = member.copy()
-                parts.append(member.decompress(chunk))
+                out += member.decompress(chunk)
                 pos += len(chunk)
         except zlib.error:
             # Again byte by byte, to keep what the step gave before its error.
             try:
                 for at in range(len(chunk)):
-                    parts.append(before.decompress(chunk[at : at + 1]))
+                    out += before.decompress(chunk[at : at + 1])
             except zlib.error:
                 pass
             break
         pos -= len(member.unused_data)
-    return b"".join(parts) or None
+    if len(out) == start:
+        return None
+    return bytes(out) if whole else b""
 
 
 @F.arrow_udf(T.BinaryType())
 def gunzip(data: pa.Array) -> pa.Array:
     """Tolerant gunzip; NULL when nothing could be decoded, empty for empty input."""
-    return pa.array([None if d is None else _gunzip(d) for d in data.to_pylist()], pa.binary())
+    # What a batch inflates to goes into one buffer, which is the array's.
+    out, ends, there = bytearray(), [0], []
+    for cell in data:
+        there.append(cell.is_valid and _gunzip(memoryview(cell.as_buffer()), out) is not None)
+        ends.append(len(out))
+    valid, kind = pa.array(there, pa.bool_()).buffers()[1], pa.binary() if len(out) < 1 << 31 else pa.large_binary()
+    offsets = pa.array(ends, pa.int32() if kind == pa.binary() else pa.int64()).buffers()[1]
+    return pa.Array.from_buffers(kind, len(data), [valid, offsets, pa.py_buffer(out)])
 
 
 @F.arrow_udf(T.BinaryType())

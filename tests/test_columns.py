@@ -1,7 +1,9 @@
 import base64
 import gzip
 import json
+import zlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -132,3 +134,29 @@ def test_length_prefix_round_trip(messages):
         found.append(record[at : at + size])
         at += size
     assert found == messages
+
+
+def test_objects_are_inflated_in_small_steps(monkeypatch):
+    # A step of 64 KB inflated to 67 MB at once, and a broken one was done again byte by byte.
+    steps, make = [], zlib.decompressobj
+
+    class Member:
+        def __init__(self, held):
+            self.held = held
+
+        def decompress(self, data):
+            steps.append(self.held.decompress(data))
+            return steps[-1]
+
+        def copy(self):
+            return Member(self.held.copy())
+
+        eof = property(lambda self: self.held.eof)
+        unused_data = property(lambda self: self.held.unused_data)
+
+    monkeypatch.setattr(text.zlib, "decompressobj", lambda wbits: Member(make(wbits=wbits)))
+    deflate = zlib.compressobj(wbits=31)
+    packed = deflate.compress(bytes(100 << 20)) + deflate.flush()
+    got = text.gunzip.func(pa.array([b"", None, b"no", packed, packed[:-8] + bytes(8)], pa.binary()))
+    assert got[:3].to_pylist() == [b"", None, None] and [len(got[i].as_buffer()) for i in (3, 4)] == [100 << 20] * 2
+    assert max(map(len, steps)) <= 9 << 20
