@@ -530,11 +530,13 @@ WITH l AS (SELECT user_id, event_id, event_type, {SEVERITY_SQL} AS severity FROM
 SELECT 'user-' || user_id AS unit, event_type AS application, severity, count(*) AS records FROM l GROUP BY ALL
 """)
 def stream_ship(t: Tables) -> DataFrame:
-    # The event table as a file stream; each micro-batch is packed and written once.
+    # The event table as a file stream, in three micro-batches; each is packed and written once. A unit lies in
+    # one file, and a micro-batch has a file for each core.
     source = work_dir(t.spark, "stream-in")
-    log_rows(t).repartition(3, "unit").write.parquet(source)
+    files = t.spark.sparkContext.defaultParallelism
+    log_rows(t).repartition(3 * files, "unit").write.parquet(source)
     schema = t.spark.read.parquet(source).schema
-    stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
     cfg = LogConfig("Kafka", application="{{ kafka.topic }}", subsystem="events", batch_target=20_000)
     out = work_dir(t.spark, "stream-out")
     run = ship_stream(stream, lambda df: ship_logs(df, cfg), out, work_dir(t.spark, "stream-checkpoint"))

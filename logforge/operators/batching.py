@@ -312,8 +312,10 @@ def pack_batches(
         F.transform(_cuts(target)("_sizes", "_state.carry"), lambda i: F.get("_ats", i)).alias("_starts"),
     )
     passed = F.size(F.filter("_starts", lambda s: s <= F.col("_at")))
+    # Rows move to their chunk's starts. Were the starts broadcast, each row would be read back where it was
+    # mapped, and all that is done to it later would take place in as many tasks as the input has row groups.
     return (
-        join_on(df, starts, [*unit, "_chunk"])
+        join_on(df, starts.hint("merge"), [*unit, "_chunk"])
         .withColumn(out, F.col("_base") + passed)
         .drop("_chunk", "_at", "_base", "_starts")
     )

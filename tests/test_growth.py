@@ -12,7 +12,7 @@ from logforge.catalog.registry import Tables
 from logforge.functions import otlp
 from logforge.functions.text import gzip
 from logforge.llm import hashed, quality
-from logforge.operators.batching import pack_objects
+from logforge.operators.batching import pack_batches, pack_objects
 from logforge.plans.config import LogConfig
 from logforge.plans.ship import ship_logs
 from logforge.sources.events import read_cloudwatch
@@ -148,3 +148,16 @@ def test_texts_are_scored_in_small_groups():
     model = quality.OrdinalModel(np.linspace(-1, 1, quality.WIDTH), np.array([0.1, 0.4]), kept)
     parts = [model.tails(texts[a:b]) for a, b in bounds]
     assert np.allclose(np.concatenate(parts), model.tails(texts), rtol=0, atol=1e-12)
+
+
+def test_packed_rows_do_not_lie_where_the_input_did(spark, tmp_path):
+    # Few batch starts were broadcast and the rows read back where they were mapped: a file of one row group,
+    # such as a micro-batch, was then shipped by one task whatever its size.
+    rows = spark.range(5000).select((F.col("id") % 50).alias("unit"), F.col("id").alias("pos"), F.lit(10).alias("size"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "rows"))
+    df = pack_batches(spark.read.parquet(str(tmp_path / "rows")), ["unit"], ["pos"], "size", 2100, 200)
+    found = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "AQEShuffleRead local" not in plan
+    assert sorted((r.unit, r.pos, r.batch_id) for r in found) == sorted(
+        (i % 50, i, i // 50 // 10) for i in range(5000))
