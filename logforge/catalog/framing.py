@@ -374,9 +374,9 @@ def frame_vpc_flow(t: Tables) -> DataFrame:
     text = F.concat(F.lit("account-id  srcport dstport\taction start\n"), F.array_join("rows", "\n"))
     rows = framing.explode_records(framing.frame_vpc_flow(df.select(text.alias("text"))).drop("text"))
     kind = F.when(F.contains("log", F.lit('"account-id":"')), "string").otherwise("number")
-    fields = [F.get_json_object("log", f"$.{c}").alias(c) for c in ("srcport", "dstport", "action")]
-    object_id = F.get_json_object("log", "$.start").cast("bigint").alias("object")
-    rows = rows.select(object_id, *fields, kind.alias("account_kind"))
+    names = ["srcport", "dstport", "action"]
+    rows = rows.select(kind.alias("account_kind"), F.json_tuple("log", *names, "start").alias(*names, "start"))
+    rows = rows.select(F.col("start").cast("bigint").alias("object"), *names, "account_kind")
     return rows.groupBy("object", "srcport", "dstport", "action", "account_kind").agg(F.count(F.lit(1)).alias("n"))
 
 

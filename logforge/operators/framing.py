@@ -95,8 +95,13 @@ def row_json(heads: Column, row: Column, cut: str) -> Column:
 
 
 def typed_cell(value: Column) -> Column:
-    """JSON text of a cell. Spark's cast would trim blanks, hence the pattern."""
-    number = F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast("int")).cast("string")
+    """JSON text of a cell. Spark's cast would trim blanks, hence the patterns.
+
+    A cast that fails makes an exception, also where it is only tried, and costs twenty times one that does
+    not: what has more digits than a 32-bit integer is left out first, and ten digits are compared.
+    """
+    large = value.rlike(r"^[+-]?0*[1-9][0-9]{9}$") & value.try_cast("bigint").between(-(1 << 31), (1 << 31) - 1)
+    number = F.when(value.rlike(r"^[+-]?0*[0-9]{1,9}$") | large, value.try_cast("int")).cast("string")
     return F.coalesce(number, json_quote(value))
 
 

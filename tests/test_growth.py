@@ -1,6 +1,8 @@
 """Plans and steps whose cost must not outgrow their input."""
 
+import json
 import os
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +14,13 @@ from logforge.catalog.registry import Tables
 from logforge.functions import otlp
 from logforge.functions.text import gzip
 from logforge.llm import hashed, quality
+from logforge.operators import association, export, framing
 from logforge.operators.batching import pack_batches, pack_objects
 from logforge.plans.config import LogConfig
 from logforge.plans.ship import ship_logs
+from logforge.sources import events
 from logforge.sources.events import read_cloudwatch
+from logforge.sources.paths import read_paths
 
 
 def test_nested_wire_fields_stay_small(spark):
@@ -161,3 +166,25 @@ def test_packed_rows_do_not_lie_where_the_input_did(spark, tmp_path):
     assert "SortMergeJoin" in plan and "AQEShuffleRead local" not in plan
     assert sorted((r.unit, r.pos, r.batch_id) for r in found) == sorted(
         (i % 50, i, i // 50 // 10) for i in range(5000))
+
+
+def test_cells_beyond_an_integer_cost_no_exception(spark):
+    # A failing cast was tried for each of them, at ten times the cost of a cell that fits.
+    cells = {
+        "2147483647": "2147483647", "2147483648": '"2147483648"', "-2147483648": "-2147483648", "-2147483649": '"-2147483649"',
+        "+0005": "5", "-0": "0", "000000000000000000000007": "7", "00002147483647": "2147483647", "9999999999": '"9999999999"',
+        "99999999999999999999": '"99999999999999999999"', "": '""', "+": '"+"', " 1": '" 1"', "1.0": '"1.0"'}
+    df = spark.createDataFrame([(c,) for c in cells], "c string").select("c", framing.typed_cell(F.col("c")).alias("json"))
+    assert {r.c: r.json for r in df.collect()} == cells
+
+    def seconds(first):
+        numbers = F.array((F.col("id") + first).cast("string"))
+        df = spark.range(0, 200_000, 1, 1).select(F.array_join(F.transform(numbers, framing.typed_cell), ",").alias("c"))
+        took = []
+        for _ in range(4):
+            begin = time.perf_counter()
+            df.agg(F.max("c")).collect()
+            took.append(time.perf_counter() - begin)
+        return min(took)
+
+    assert seconds(10**11) < 4 * seconds(10**6)
