@@ -53,10 +53,15 @@ def event_kind(event: Column) -> Column:
     )
 
 
-def classify_events(df: DataFrame, event: str = "event") -> DataFrame:
-    """Add ``event_kind``; text that fits nothing becomes ``unsupported`` (quarantine)."""
-    df = df.withColumn("_event", F.try_parse_json(F.col(event)))
-    return df.withColumn("event_kind", event_kind(F.col("_event"))).drop("_event")
+def classify_events(df: DataFrame, event: str = "event", known: Column | None = None) -> DataFrame:
+    """Add ``event_kind``; text that fits nothing becomes ``unsupported`` (quarantine).
+
+    Events with a ``known`` kind keep it and are not parsed.
+    """
+    text = F.col(event) if known is None else F.when(known.isNull(), F.col(event))
+    df = df.withColumn("_event", F.try_parse_json(text))
+    kind = event_kind(F.col("_event"))
+    return df.withColumn("event_kind", kind if known is None else F.coalesce(known, kind)).drop("_event")
 
 
 def unwrap_envelopes(df: DataFrame, event: str = "event", depth: int = 3) -> DataFrame:
@@ -131,18 +136,24 @@ def records_type() -> str:
 
 
 def _unwrap_levels(df: DataFrame, event: str, depth: int) -> DataFrame:
+    df = classify_events(df, event)
     for _ in range(depth):
-        df = classify_events(df, event)
         bodies = F.transform(F.from_json(F.col(event), SQS_SCHEMA).getField("Records"), lambda r: r["body"])
         messages = F.transform(F.from_json(F.col(event), SNS_SCHEMA).getField("Records"), lambda r: r["Sns"]["Message"])
+        # What was no envelope keeps its kind; what came out of one is another event.
+        def unwrapped(text: Column, kind: Column | None = None) -> Column:
+            kind = F.lit(None).cast("string") if kind is None else kind
+            return F.struct(text.alias("text"), kind.alias("kind"))
+
         inner = (
-            F.when(F.col("event_kind") == "Sqs", F.filter(bodies, lambda b: b.isNotNull()))
-            .when((F.col("event_kind") == "Sns") & _notices(event), messages)
-            .otherwise(F.array(F.col(event)))
+            F.when(F.col("event_kind") == "Sqs", F.transform(F.filter(bodies, lambda b: b.isNotNull()), lambda b: unwrapped(b)))
+            .when((F.col("event_kind") == "Sns") & _notices(event), F.transform(messages, lambda m: unwrapped(m)))
+            .otherwise(F.array(unwrapped(F.col(event), F.col("event_kind"))))
         )
         rest = [c for c in df.columns if c not in (event, "event_kind")]
-        df = unfold(df, rest, inner, "_inner").withColumnRenamed("_inner", event).drop("_pos")
-    return classify_events(df, event)
+        df = unfold(df, rest, inner, "_inner").select(*rest, F.col("_inner.text").alias(event), F.col("_inner.kind").alias("_kind"))
+        df = classify_events(df, event, F.col("_kind")).drop("_kind")
+    return df
 
 
 def _explode_records(df: DataFrame, event: str, schema: str) -> DataFrame:

@@ -221,15 +221,29 @@ def read_paths(
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             addresses = batch.column(path).to_pylist()
+            # Short objects share a batch: one for each would cost more than to read it.
+            places, numbers, logs, errors, held = [], [], [], [], 0
+
+            def lines() -> pa.RecordBatch:
+                place = pa.array(places, pa.int64())
+                return pa.RecordBatch.from_arrays([
+                    *[c.take(place) for c in batch.columns],
+                    pa.array([None if n is None else n // SPAN for n in numbers], pa.int64()),
+                    pa.array(numbers, pa.int64()), pa.array(logs, pa.string()),
+                    pa.array(errors, pa.string())], schema.names)
+
             for at, address in enumerate(addresses):
-                for seq, logs, errors in object_lines(address):
-                    place = pa.array([at] * len(logs), pa.int64())
-                    numbers = list(seq)
-                    yield pa.RecordBatch.from_arrays([
-                        *[c.take(place) for c in batch.columns],
-                        pa.array([None if n is None else n // SPAN for n in numbers], pa.int64()),
-                        pa.array(numbers, pa.int64()), pa.array(logs, pa.string()),
-                        pa.array(errors, pa.string())], schema.names)
+                for seq, texts_, faults in object_lines(address):
+                    places += [at] * len(texts_)
+                    numbers += seq
+                    logs += texts_
+                    errors += faults
+                    held += sum(len(t) for t in texts_ if t)
+                    if held >= step or len(places) >= MOST_LINES:
+                        yield lines()
+                        places, numbers, logs, errors, held = [], [], [], [], 0
+            if places:
+                yield lines()
 
     spark = paths.sparkSession
     return rows.repartition(tasks or 4 * spark.sparkContext.defaultParallelism).mapInArrow(read, schema)

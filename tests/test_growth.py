@@ -188,3 +188,33 @@ def test_cells_beyond_an_integer_cost_no_exception(spark):
         return min(took)
 
     assert seconds(10**11) < 4 * seconds(10**6)
+
+
+def test_only_what_comes_out_of_an_envelope_is_classified_again(spark):
+    # Each level of unwrapping parsed every event anew, whatever it was.
+    notice = '{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"k"}}}]}'
+    queued = json.dumps({"Records": [{"messageId": "m", "body": notice}, {"messageId": "n", "body": "{x"}]})
+    rows = [("plain", notice), ("once", queued), ("twice", json.dumps({"Records": [{"messageId": "o", "body": queued}]})), ("none", None)]
+    df = events._unwrap_levels(spark.createDataFrame(rows, "unit string, event string"), "event", 3)
+    assert sorted((r.unit, r.event_kind, r.event) for r in df.collect() if r.event) == [
+        ("once", "S3", notice), ("once", "unsupported", "{x"), ("plain", "S3", notice),
+        ("twice", "S3", notice), ("twice", "unsupported", "{x")]
+    assert [r.event_kind for r in df.collect() if r.event is None] == ["unsupported"]
+    plan = df.select("event_kind")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json(CASE WHEN isnull(_kind") == 3
+
+
+def test_short_objects_share_batches(spark, tmp_path):
+    # An Arrow batch for each of them took four times as long as reading it.
+    for i in range(50):
+        (tmp_path / f"{i}.log").write_bytes(b"a\nb" if i % 5 else b"\xff\nc")
+    (tmp_path / "7.log").write_text("\n".join(map(str, range(20_000))))
+    names = [(str(tmp_path / f"{i}.log"), i) for i in range(51)]
+    rows = read_paths(spark.createDataFrame(names, "path string, n int"), tasks=1).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.n, []).append((r.seq, r.log, (r.error or "")[:14]))
+    assert found.pop(7) == [(i, str(i), "") for i in range(20_000)]
+    assert found.pop(50) == [(None, None, "cannot be read")]
+    for i, lines in found.items():
+        assert lines == ([(0, "a", ""), (1, "b", "")] if i % 5 else [(0, None, "not UTF-8"), (1, "c", "")])
