@@ -125,7 +125,7 @@ def missing_inventory(t: Tables) -> DataFrame:
     strangers = resources(t).filter("resource_type = 'mq:broker'").withColumn("arn", F.concat("arn", F.lit(":not:ours")))
     index = assoc.build_associations(strangers, registry)
     points = line_points(t).withColumn("attributes", ops.flatten_dimensions(F.col("attributes")))
-    points = assoc.require_inventory(ops.metric_identity(points), index, registry, "skip")
+    points = assoc.require_inventory(ops.metric_identity(points).select("namespace", "dims"), index, registry, "skip")
     tagged = F.count_if(F.size("tags") > 0).cast("int").alias("tagged")
     return assoc.associate_tags(points, index, registry).groupBy("namespace").agg(F.count(F.lit(1)).alias("points"), tagged)
 
@@ -218,7 +218,8 @@ def associate_tags(t: Tables) -> DataFrame:
     registry = assoc.load_registry(t.spark, REGISTRY)
     index = assoc.build_associations(resources(t), registry)
     points = line_points(t).withColumn("attributes", ops.flatten_dimensions(F.col("attributes")))
-    df = assoc.associate_tags(ops.metric_identity(points), index, registry)
+    points = ops.metric_identity(points).select("l_orderkey", "namespace", "dims")
+    df = assoc.associate_tags(points, index, registry)
     team = F.get("tags", F.lit(0))["value"].alias("team")
     return df.groupBy("namespace", team).agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from logforge.operators.joins import join_on
 from logforge.operators.rows import unfold
+from logforge.session import staged
 
 REGISTRY_SCHEMA = pa.schema([
     ("namespace", pa.string()),
@@ -154,8 +155,13 @@ def associate_tags(points: DataFrame, index: DataFrame, registry: DataFrame) ->
     Patterns with more dimensions come first, then registry order; all dimensions of a
     pattern must be there, with exactly the values in the index. Points repeat few distinct
     dimension sets, so those are reduced first, matched by equi-joins, and joined back.
+
+    Points are read twice and so written out once. A hash of a set goes before its values wherever sets are
+    grouped or joined: rows are then sorted by a number, and values are compared only where it is the same.
     """
-    sets = points.select("namespace", "dims").distinct()
+    points = staged(points.withColumn("_set", F.xxhash64("namespace", "dims")), "points")
+    one = ["_set", "namespace", "dims"]
+    sets = points.select(*one).distinct()
     def value(dim: Column, strip: Column) -> Column:
         found = F.filter("dims", lambda d: d["key"] == dim)
         text = F.try_element_at(found, F.lit(-1))["value"]
@@ -172,13 +178,13 @@ def associate_tags(points: DataFrame, index: DataFrame, registry: DataFrame) ->
         "patterns", lambda p: F.forall(p["dims"], lambda d: F.exists("dims", lambda m: m["key"] == d))
     )
     tries = sets.join(registry.select("namespace", "patterns"), "namespace")
-    tries = unfold(tries, ["namespace", "dims"], F.transform(present, attempt), "_try", "_n")
-    tries = tries.select("namespace", "dims", "_try.pattern_idx", F.col("_try.rank").alias("_rank"), "_try.key")
+    tries = unfold(tries, one, F.transform(present, attempt), "_try", "_n")
+    tries = tries.select(*one, "_try.pattern_idx", F.col("_try.rank").alias("_rank"), "_try.key")
     hits = tries.join(index, ["namespace", "pattern_idx", "key"])
     best = F.min_by(F.struct("arn", "tags"), F.struct("_rank", "pattern_idx"))
-    found = hits.groupBy("namespace", "dims").agg(best.alias("_r"))
-    found = found.select("namespace", "dims", "_r.arn", "_r.tags")
-    return join_on(points, found, ["namespace", "dims"], "left")
+    found = hits.groupBy(*one).agg(best.alias("_r"))
+    found = found.select(*one, "_r.arn", "_r.tags")
+    return join_on(points, found, one, "left").drop("_set")
 
 
 def require_inventory(points: DataFrame, inventory: DataFrame, registry: DataFrame, policy: str = "skip") -> DataFrame:

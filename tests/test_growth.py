@@ -218,3 +218,19 @@ def test_short_objects_share_batches(spark, tmp_path):
     assert found.pop(50) == [(None, None, "cannot be read")]
     for i, lines in found.items():
         assert lines == ([(0, "a", ""), (1, "b", "")] if i % 5 else [(0, None, "not UTF-8"), (1, "c", "")])
+
+
+def test_points_are_worked_out_once_for_their_tags(spark):
+    # Sets and points were both worked out from the source.
+    registry = association.load_registry(spark, [{"namespace": "N/S", "resource_types": ["x"], "arn_patterns": ["r/(?P<Id>[0-9]+)$"]}])
+    tags = F.array(F.struct(F.lit("Team").alias("key"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("value")))
+    inventory = spark.range(5).select(
+        F.concat(F.lit("arn:aws:x:eu:1:r/"), F.col("id").cast("string")).alias("arn"), F.lit("x").alias("resource_type"),
+        tags.alias("tags"), F.col("id").alias("pos"))
+    dims = F.array(F.struct(F.lit("Id").alias("key"), (F.col("id") % 7).cast("string").alias("value")))
+    points = spark.range(70).select("id", F.upper(F.concat(F.lit("n/"), F.when(F.col("id") >= 0, "s"))).alias("namespace"),
+                                    F.when(F.col("id") != 69, dims).alias("dims"))
+    df = association.associate_tags(points, association.build_associations(inventory, registry), registry)
+    assert "upper(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.id: r.tags and r.tags[0].value for r in df.collect()}
+    assert found == {i: f"t{i % 7}" if i % 7 < 5 and i != 69 else None for i in range(70)}
