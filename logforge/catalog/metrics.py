@@ -294,36 +294,35 @@ def pick_snapshot_stale(t: Tables) -> DataFrame:
 
 def line_payloads(t: Tables, by: dict[str, Column] | None = None) -> DataFrame:
     """Messages in order; with ``by``, columns of ``record_id`` and ``msg_idx``, they lie together by those."""
-    # Line items are grouped as they are, four short columns; their metrics are built behind the shuffle.
-    line = F.struct("l_linenumber", "l_partkey", "l_returnflag")
+    # Line items move as they are, four short columns; their metrics are built behind the shuffle, row by row,
+    # as what is inside a list is not compiled.
     df = t("lineitem").withColumnsRenamed({"l_orderkey": "record_id", "l_suppkey": "msg_idx"})
-    keys = [*(by or {}), "record_id", "msg_idx"]
+    keys = [*dict.fromkeys([*(by or {}), "record_id", "msg_idx"])]
     df = df.withColumns(by or {}).select(*keys, "l_linenumber", "l_partkey", "l_returnflag")
     df = df.repartition(*(by or keys)).sortWithinPartitions(*keys)
-    df = df.groupBy(*keys).agg(F.sort_array(F.collect_list(line)).alias("lines"))
     empty = F.lit(None).cast("binary")
-
-    def metric(row: Column) -> Column:
-        attributes = line_attributes(lambda name: F.col("msg_idx") if name == "l_suppkey" else row[name])
-        point = F.struct(
-            attributes.alias("attributes"), F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("double").alias("sum"),
-            empty.alias("rest"),
-        )
-        return F.struct(
-            F.concat(F.lit("m-"), row["l_returnflag"]).alias("name"), F.lit("Count").alias("unit"),
-            line_kind(row["l_returnflag"]).alias("kind"), F.array(point).alias("data_points"),
-            empty.alias("data_rest"), empty.alias("rest"),
-        )
-
-    scope = F.struct(F.transform("lines", metric).alias("metrics"), empty.alias("rest"))
+    attributes = line_attributes(lambda name: F.col("msg_idx" if name == "l_suppkey" else name))
+    point = F.struct(
+        attributes.alias("attributes"), F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("double").alias("sum"),
+        empty.alias("rest"),
+    )
+    metric = F.struct(
+        F.concat(F.lit("m-"), "l_returnflag").alias("name"), F.lit("Count").alias("unit"),
+        line_kind(F.col("l_returnflag")).alias("kind"), F.array(point).alias("data_points"),
+        empty.alias("data_rest"), empty.alias("rest"),
+    )
+    line = F.struct(F.struct("l_linenumber", "l_partkey", "l_returnflag").alias("at"), metric.alias("metric"))
+    df = df.select(*keys, line.alias("line")).groupBy(*keys).agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    scope = F.struct(F.col("lines.metric").alias("metrics"), empty.alias("rest"))
     resource = F.struct(F.array(scope).alias("scope_metrics"), empty.alias("rest"))
     return df.select(*keys, F.array(resource).cast(from_arrow_type(otlp.RESOURCES)).alias("resource_metrics"))
 
 
 def line_records(t: Tables) -> DataFrame:
     """Binary records: the messages of an order and 32 suppliers, length-prefixed."""
-    df = ops.encode_metrics(line_payloads(t)).drop("resource_metrics")
-    return ops.join_messages(df.withColumn("part", F.floor(F.col("msg_idx") / 32)), ["record_id", "part"])
+    # Messages lie by record and are joined where they are.
+    by = {"record_id": F.col("record_id"), "part": F.floor(F.col("msg_idx") / 32)}
+    return ops.join_messages(ops.encode_metrics(line_payloads(t, by)).drop("resource_metrics"), [*by])
 
 
 POINTS_SQL = f"""

@@ -149,6 +149,11 @@ def build_associations(resources: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def with_sets(points: DataFrame) -> DataFrame:
+    """Points with ``_set``, a hash of their dimension set, for ``associate_tags``."""
+    return points.withColumn("_set", F.xxhash64("namespace", "dims"))
+
+
 def associate_tags(points: DataFrame, index: DataFrame, registry: DataFrame) -> DataFrame:
     """Add ``arn`` and ``tags`` of the resource each point (``namespace``, ``dims``) belongs to.
 
@@ -156,10 +161,12 @@ def associate_tags(points: DataFrame, index: DataFrame, registry: DataFrame) ->
     pattern must be there, with exactly the values in the index. Points repeat few distinct
     dimension sets, so those are reduced first, matched by equi-joins, and joined back.
 
-    Points are read twice and so written out once. A hash of a set goes before its values wherever sets are
-    grouped or joined: rows are then sorted by a number, and values are compared only where it is the same.
+    Points are read twice and so written out once, here unless they come ``with_sets`` and were written out as
+    such. A hash of a set goes before its values wherever sets are grouped or joined: rows are then sorted by a
+    number, and values are compared only where it is the same.
     """
-    points = staged(points.withColumn("_set", F.xxhash64("namespace", "dims")), "points")
+    if "_set" not in points.columns:
+        points = staged(with_sets(points), "points")
     one = ["_set", "namespace", "dims"]
     sets = points.select(*one).distinct()
     def value(dim: Column, strip: Column) -> Column:

@@ -48,8 +48,11 @@ def decode_metrics(df: DataFrame, message: str = "message") -> DataFrame:
     return df.withColumn("error", F.when(bad, "bad metrics message").otherwise(known)).drop(message)
 
 
-def encode_metrics(df: DataFrame, out: str = "message") -> DataFrame:
-    return df.withColumn(out, otlp.encode_request(F.col("resource_metrics")))
+def encode_metrics(df: DataFrame, out: str = "message", together: bool = False) -> DataFrame:
+    """``resource_metrics`` → ``message`` bytes; with ``together``, those of an Arrow batch at once, for
+    rows that are staged with a number of rows to a batch."""
+    encode = otlp.encode_together if together else otlp.encode_request
+    return df.withColumn(out, encode(F.col("resource_metrics")))
 
 
 LEVELS = ["rm_idx", "sm_idx", "m_idx", "dp_idx"]
@@ -82,9 +85,16 @@ def explode_points(df: DataFrame) -> DataFrame:
     )
 
 
-def rebuild_payload(df: DataFrame, keys: list[str]) -> DataFrame:
+def rebuild_payload(df: DataFrame, keys: list[str], together: bool = False) -> DataFrame:
     """Inverse of ``explode_points``. ``keys`` name one message, which is bounded; the rows
-    move once and are sorted once, and all four levels are regrouped where they are."""
+    move once and are sorted once, and all four levels are regrouped where they are.
+
+    With ``together``, the messages of an Arrow batch are regrouped at once, as ``encode_metrics`` has it.
+    """
+    if together:
+        rows = F.sort_array(F.collect_list(F.struct(*[F.col(name) for name in otlp.FLAT.names])))
+        df = df.repartition(*keys).sortWithinPartitions(*keys).groupBy(*keys).agg(rows.alias("_rows"))
+        return df.select(*keys, otlp.regroup_together(F.col("_rows")).alias("resource_metrics"))
 
     def level(df: DataFrame, by: list[str], index: str, item: Column, out: str) -> DataFrame:
         held = F.struct(F.col(index).alias("at"), item.alias("item"))
@@ -118,18 +128,23 @@ def merge_payloads(df: DataFrame, batch: list[str], order: list[str], message: s
     """One request per batch holding the resources of all its messages, in order.
 
     With ``message``, the column of their bytes, also the bytes of the request: those of its
-    messages one after the other, as the wire format merges what is repeated. Batches are
+    messages one after the other, as the wire format merges what is repeated. Rows that have only
+    the bytes move as such, and their resources are decoded from the request's, if anybody wants them. Batches are
     bounded by ``pack_batches``. Rows that lie by batch, in order, are neither moved nor sorted.
     """
-    parts = [F.col("resource_metrics").alias("item")]
+    items = {"resource_metrics": F.col("resource_metrics")} if "resource_metrics" in df.columns else {}
     if message:
-        parts.append(F.col(message).cast("string").alias("bytes"))
-    rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("at"), *parts)))
+        items[message] = F.col(message).cast("string")
+    held = F.struct(F.struct(*order).alias("at"), *[item.alias(name) for name, item in items.items()])
+    rows = F.sort_array(F.collect_list(held))
     df = df.repartition(*batch).sortWithinPartitions(*batch).groupBy(*batch).agg(rows.alias("_rows"))
-    columns = [F.flatten("_rows.item").alias("resource_metrics")]
+    columns = {name: F.flatten(f"_rows.{name}") for name in items if name != message}
     if message:
-        columns.append(F.array_join("_rows.bytes", "").cast("binary").alias(message))
-    return df.select(*batch, *columns)
+        columns[message] = F.array_join(f"_rows.{message}", "").cast("binary")
+    df = df.select(*batch, *[column.alias(name) for name, column in columns.items()])
+    if "resource_metrics" in columns:
+        return df
+    return df.select(*batch, otlp.decode_request(F.col(message)).alias("resource_metrics"), message)
 
 
 def batch_totals(df: DataFrame, keys: list[str], message: str | None = None) -> DataFrame:

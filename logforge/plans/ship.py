@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logforge.functions.naming import NO_APPLICATION, NO_SUBSYSTEM, java_pattern
 from logforge.functions.text import with_json
 from logforge.operators import framing
-from logforge.operators.association import associate_tags, require_inventory
+from logforge.operators.association import associate_tags, require_inventory, with_sets
 from logforge.operators.batching import pack_batches, pack_objects, single_batches
 from logforge.operators.body import build_body, name_records
 from logforge.operators.filters import block_pattern, drop_blank, stride_sample
@@ -209,14 +209,25 @@ def ship_logs(df: DataFrame, cfg: LogConfig, group_tags: DataFrame | None = None
     return df if "ts" in df.columns else df.withColumn("ts", F.current_timestamp())
 
 
-def enrich_points(
+#: Bytes of messages that an Arrow batch may come from, and the rows it has at least and at most.
+TOGETHER, LEAST_ROWS, MOST_ROWS = 1 << 27, 16, 4096
+
+
+def identified_points(
     df: DataFrame, cfg: MetricConfig, index: DataFrame | None = None, registry: DataFrame | None = None
 ) -> DataFrame:
-    """Flat points → flattened dimensions, resource tags, labels, names."""
+    """Points with flattened dimensions and, where there is an index, what tags are found by."""
     df = flatten_points(df)
+    if index is None:
+        return df
+    return with_sets(require_inventory(metric_identity(df), index, registry, cfg.on_missing_inventory))
+
+
+def enrich_points(
+    df: DataFrame, cfg: MetricConfig, index: DataFrame | None = None, registry: DataFrame | None = None
+) -> DataFrame:
+    """Identified points, written out as association reads them twice → resource tags, labels, names."""
     if index is not None:
-        df = metric_identity(df)
-        df = require_inventory(df, index, registry, cfg.on_missing_inventory)
         df = associate_tags(df, index, registry).drop("dims", "namespace", "metric_name", "arn")
     return finish_points(df, cfg.application, cfg.subsystem, cfg.labels).drop("tags")
 
@@ -235,15 +246,19 @@ def ship_metrics(
         # No global unit, which would be one long sequence: each record is its own.
         unit = ["unit"]
         df = df.withColumn("unit", F.col("record_id").cast("string"))
-    points = explode_points(decode_metrics(split_messages(df)))
+    messages = split_messages(df).withColumn("_size", F.octet_length("message"))
+    points = explode_points(decode_metrics(messages))
+    # The test is part of a key: a filter would be pushed below the decoding, which would then take place twice.
+    stop = F.raise_error(F.concat(F.lit("bad metrics record: "), F.col("error"))).cast("int")
+    points = points.withColumn("msg_idx", F.when(F.col("error").isNotNull(), stop).otherwise(F.col("msg_idx")))
     # Decoded once: association reads the points twice.
-    points = staged(points, "points")
-    stop = F.raise_error(F.concat(F.lit("bad metrics record: "), F.col("error"))).cast("boolean")
-    points = points.filter(F.when(F.col("error").isNotNull(), stop).otherwise(True)).drop("error")
-    keys = [*unit, "record_id", "msg_idx"]
-    messages = encode_metrics(rebuild_payload(enrich_points(points, cfg, index, registry), keys))
-    messages = staged(messages.withColumn("bytes", F.octet_length("message")), "messages")
-    order = ["record_id", "msg_idx"]
+    points = staged(identified_points(points.drop("error"), cfg, index, registry), "points")
+    largest = points.agg(F.max("_size")).first()[0] or 1
+    keys, order = [*unit, "record_id", "msg_idx"], ["record_id", "msg_idx"]
+    messages = rebuild_payload(enrich_points(points, cfg, index, registry), keys, together=True)
+    messages = encode_metrics(messages, together=True).select(*keys, "message")
+    rows = min(max(TOGETHER // largest, LEAST_ROWS), MOST_ROWS)
+    messages = staged(messages.withColumn("bytes", F.octet_length("message")), "messages", rows)
     if cfg.batching:
         batched = pack_batches(messages, unit, order, "bytes", cfg.batch_target, overhead=0)
     else:

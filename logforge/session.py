@@ -47,12 +47,27 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Used where costly rows (a Python transform, decoded messages) feed several branches of
     one plan: they are computed once, and a lost executor does not bring them all back.
+
+    With ``rows``, Arrow batches on the way there are bounded by so many rows and not by bytes, for rows whose
+    size is known: to bound a batch by bytes, every nested row makes Spark size each of its vectors anew,
+    which takes ten times as long as to hand it to Python.
     """
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    bounds = {} if rows is None else {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str((1 << 31) - 1)}
+    before = {key: spark.conf.get(key) for key in bounds}
+    try:
+        for key, value in bounds.items():
+            spark.conf.set(key, value)
+        df.write.parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    return spark.read.parquet(path)
