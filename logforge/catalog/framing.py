@@ -35,6 +35,10 @@ lines AS (SELECT doc_id, i - 1 AS pos, a[i] AS line FROM (SELECT doc_id, a, unne
 NOT_BLANK_SQL = r"regexp_matches(line, '[^\s\p{Z}]')"
 
 
+#: Documents that are written to one object.
+OBJECT_DOCUMENTS = 1000
+
+
 def documents(t: Tables) -> DataFrame:
     return t("documents").select("doc_id", "text")
 
@@ -152,8 +156,9 @@ def stride_sample_skewed(t: Tables) -> DataFrame:
 
 @query(LINES_SQL + f"SELECT line, count(*) AS n FROM lines WHERE {NOT_BLANK_SQL} GROUP BY line")
 def read_objects(t: Tables) -> DataFrame:
+    # An object is one cell from reading to framing, so those of a task are cut, whatever rows the task has.
     path = work_dir(t.spark, "objects")
-    t("documents").select("text").write.option("compression", "gzip").text(path)
+    t("documents").select("text").write.option("maxRecordsPerFile", OBJECT_DOCUMENTS).option("compression", "gzip").text(path)
     objects = objects_of(t.spark, path, suffix=".txt.gz")
     text = decode_objects(objects, "auto_ext")
     lines = drop_blank(framing.explode_records(framing.frame_lines(text).select("unit", "records")))
