@@ -84,6 +84,17 @@ def strict_object(text: Column) -> Column:
     return F.coalesce(text.rlike(JSON_OBJECT_START) & one & ~two & closed & ~_beyond_json(text), F.lit(False))
 
 
+def whole_object(text: Column) -> Column:
+    """``strict_object`` for texts that are parsed elsewhere: they are only read through here, as the one
+    element of an array and the one member of an object, not made into a VARIANT. Reading through lets pass
+    single quotes and control characters, so texts with any of these are parsed after all.
+    """
+    one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    closed = F.size(F.json_object_keys(F.concat(F.lit('{"e":'), text, F.lit("}")))) == 1
+    read = F.coalesce(text.rlike(JSON_OBJECT_START) & one & closed & ~_beyond_json(text), F.lit(False))
+    return F.when(text.rlike(r"['\x00-\x1f]"), strict_object(text)).otherwise(read)
+
+
 def json_at(json: Column, path: str = "") -> Column:
     """VARIANT at ``path`` (such as ``.logs``) of a value made by ``with_json``."""
     return F.try_variant_get(json, "$[0]" + path, "variant")

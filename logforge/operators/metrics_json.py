@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from logforge.functions import otlp
-from logforge.functions.text import JSON_OBJECT_START, json_quote, with_json
-from logforge.operators.metrics import VALUE_TYPE
+from logforge.functions.text import json_quote, whole_object
 
 # Fixed values (public names of the OTLP JSON form): the kinds of data, and the members of each
 # level that travel along untouched.
@@ -71,7 +70,7 @@ def _value(value: Column) -> Column:
         F.coalesce(pairs, F.array()), lambda p: F.struct(p["key"].alias("key"), F.struct(
             *_scalars(p["value"]), F.when(_deep(p["value"]), _raw(p["value"])).alias("raw")).alias("value"))).alias("values")))
     raw = F.when(value["bytesValue"].isNotNull() | ~flat, _raw(value))
-    return F.struct(*_scalars(value), listed.alias("arrayValue"), held.alias("kvlistValue"), raw.alias("raw")).cast(VALUE_TYPE)
+    return F.struct(*_scalars(value), listed.alias("arrayValue"), held.alias("kvlistValue"), raw.alias("raw"))
 
 
 def decode_metrics_json(df: DataFrame, message: str = "message") -> DataFrame:
@@ -81,7 +80,6 @@ def decode_metrics_json(df: DataFrame, message: str = "message") -> DataFrame:
     Members that the operators do not touch are kept as JSON bytes in the ``rest`` columns, so these
     rows are written back by ``encode_metrics_json``, not by the binary encoder.
     """
-    df = with_json(df, message, "_json")
     parsed = F.from_json(F.col(message), SCHEMA)["resourceMetrics"]
 
     def point(p: Column) -> Column:
@@ -112,17 +110,20 @@ def decode_metrics_json(df: DataFrame, message: str = "message") -> DataFrame:
             F.transform(F.coalesce(r["scopeMetrics"], F.array()), scope).alias("scope_metrics"),
             _rest(r, RESOURCE_REST).alias("rest"))
 
-    good = F.col("_json").isNotNull() & F.col(message).rlike(JSON_OBJECT_START)
+    # The whole text, read twice without building anything of it.
+    good = whole_object(F.col(message))
     levels = F.transform(F.coalesce(parsed, F.array()), resource).cast(from_arrow_type(otlp.RESOURCES))
-    df = df.withColumn("resource_metrics", F.when(F.coalesce(good, F.lit(False)), levels))
+    df = df.withColumn("resource_metrics", F.when(good, levels))
     bad = F.col(message).isNotNull() & F.col("resource_metrics").isNull()
     known = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
-    return df.withColumn("error", F.when(bad, "bad metrics message").otherwise(known)).drop(message, "_json")
+    return df.withColumn("error", F.when(bad, "bad metrics message").otherwise(known)).drop(message)
 
 
 def _members(*parts: Column) -> Column:
     """A JSON object of those members that are there."""
-    return F.concat(F.lit("{"), F.array_join(F.filter(F.array(*parts), lambda p: p.isNotNull()), ","), F.lit("}"))
+    if len(parts) == 1:
+        return F.concat(F.lit("{"), F.coalesce(parts[0], F.lit("")), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(F.array(*parts), ","), F.lit("}"))
 
 
 def _member(name: str, text: Column) -> Column:
@@ -152,16 +153,27 @@ def _scalar_text(value: Column) -> list[Column]:
         _member("doubleValue", _number(value["doubleValue"]))]
 
 
+def _only_text(value: Column, *others: str) -> Column:
+    """Whether a value is a text and nothing else, as most are: these need no list of members."""
+    none = [value[name].isNull() for name in ("boolValue", "intValue", "doubleValue", "raw", *others)]
+    return reduce(lambda a, b: a & b, none, value["stringValue"].isNotNull())
+
+
 def _value_text(value: Column) -> Column:
+    text = _members(_member("stringValue", json_quote(value["stringValue"])))
+
     def inner(held: Column) -> Column:
-        return F.coalesce(F.decode(held["raw"], "UTF-8"), _members(*_scalar_text(held)))
+        plain = _members(_member("stringValue", json_quote(held["stringValue"])))
+        whole = F.coalesce(F.decode(held["raw"], "UTF-8"), _members(*_scalar_text(held)))
+        return F.when(_only_text(held), plain).otherwise(whole)
 
     listed = F.when(value["arrayValue"].isNotNull(), _member(
         "arrayValue", _members(_member("values", _list(value["arrayValue"]["values"], lambda v: _members(*_scalar_text(v)))))))
     held = F.when(value["kvlistValue"].isNotNull(), _member("kvlistValue", _members(_member("values", _list(
         value["kvlistValue"]["values"],
         lambda p: _members(_member("key", json_quote(p["key"])), _member("value", inner(p["value"]))))))))
-    return F.coalesce(F.decode(value["raw"], "UTF-8"), _members(*_scalar_text(value), listed, held))
+    whole = F.coalesce(F.decode(value["raw"], "UTF-8"), _members(*_scalar_text(value), listed, held))
+    return F.when(_only_text(value, "arrayValue", "kvlistValue"), text).otherwise(whole)
 
 
 def encode_metrics_json(df: DataFrame, out: str = "message") -> DataFrame:

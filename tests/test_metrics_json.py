@@ -87,3 +87,15 @@ def test_json_messages_are_tested_without_their_schema(spark):
     assert good == {0, 4, 7, 12, 13}
     strict = df.select("n", strict_object(F.col("message")).alias("ok"))
     assert {r.n for r in strict.collect() if r.ok} == good
+
+
+def test_texts_are_read_through_as_strictly_as_parsed(spark):
+    from logforge.functions.text import whole_object
+
+    texts = [
+        "{}", ' {"a":[1,{"b":null}]}\n', '{"a":1}}', '{"a":1}],[', '{"a":1},{"b":2}', '{"a":1},0', '{"a":1},"f":2', "[1]", "", "{",
+        '{"a":1,}', '{"a":01}', '{"a":NaN}', '{"a":"\\q"}', '{"a":"\\ud800"}', '{"a":1e400}', '{"a":' + "9" * 400 + "}", '{"a":"x\ty"}',
+        "{'a':1}", '{"a":"it\'s"}', '{"a":1} x', '{"a":1}//x', '{"a":' * 1100 + "1" + "}" * 1100, '{"a":"]"}', '{"a":1,"a":2}', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", whole_object(F.col("t")).alias("a"), strict_object(F.col("t")).alias("b")).collect()
+    assert [r.t for r in rows if r.a != r.b] == [] and sum(r.a for r in rows) == 5
